@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import re
 
+from orderlake.plans.reviews import COMPLAINTS, PRAISE
+
 
 def _file(name: str, day: str) -> str:
     return f"'raw/{name}/dt=' || strftime({day}, '%Y-%m-%d') || '/{name}.csv'"
@@ -284,6 +286,42 @@ LEFT JOIN restaurants_history h ON h.restaurant_id = r.restaurant_id AND r.revie
       AND (r.review_date::TIMESTAMP < h.valid_to OR h.valid_to IS NULL)
 LEFT JOIN fct_orders o ON o.order_id = r.order_id AND o.restaurant_id = r.restaurant_id
 LEFT JOIN latest_enrichment e ON e.review_id = r.review_id""",
+    # --- helpers of single queries --------------------------------------------------------
+    "search_filtered": "SELECT * FROM mart_review_search WHERE rating BETWEEN 1 AND 2",
+    "search_scored": """
+SELECT t.comment_hash, t.n_reviews,
+       list_cosine_similarity(e.embedding::DOUBLE[], (SELECT arg_min(embedding, vec_id) FROM embeddings)::DOUBLE[]) AS score
+FROM (SELECT comment_hash, count(*) AS n_reviews FROM search_filtered GROUP BY 1) t
+JOIN review_embeddings e ON e.comment_hash = t.comment_hash
+ORDER BY score DESC NULLS LAST, t.comment_hash LIMIT 10""",
+    "first_files": f"""
+SELECT order_id, min(order_date) AS order_date, min({file_date()}) AS first_file_date FROM raw_orders GROUP BY 1""",
+    "on_time_orders": f"""
+SELECT *, order_status = 'Delivered' AS is_delivered FROM raw_orders WHERE {file_date()} = order_date
+QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY {NEWEST}, order_status, sales_amount) = 1""",
+    "raw_items_of_orders": "SELECT * FROM stg_order_items WHERE order_id IN (SELECT order_id FROM raw_orders)",
+    "snapshot_runs": f"""
+SELECT run_at, {whole("id")} AS restaurant_id, name AS restaurant_name, {city_of("city")} AS city,
+       TRY_CAST(nullif(rating, '--') AS DECIMAL(3,1)) AS rating,
+       {whole("nullif(regexp_extract(rating_count, '[0-9]+'), '')")} AS rating_count,
+       {whole("nullif(regexp_extract(cost, '[0-9]+'), '')")} AS cost_for_two, cuisine, {file_date()} AS file_day, _loaded_at
+FROM raw_restaurants JOIN (SELECT unnest([TIMESTAMP '1996-01-01', TIMESTAMP '1998-01-01', TIMESTAMP '2030-01-01',
+                                          TIMESTAMP '2030-01-02']) AS run_at)
+  ON coalesce(_loaded_at, TIMESTAMP '1990-01-01') < run_at
+WHERE {whole("id")} IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY run_at, {whole("id")} ORDER BY {NEWEST}) = 1""",
+    "rule_hits": "SELECT review_id, lower(comment) AS text, "
+    + ", ".join(
+        f"regexp_matches(lower(comment), '(^|[^a-z])({p})([^a-z]|$)') AS {side}_{i}"
+        for side, patterns in (("bad", COMPLAINTS), ("good", PRAISE))
+        for i, p in enumerate(patterns.values())
+    )
+    + " FROM stg_reviews",
+    "city_days": """
+SELECT 'delivery_time' AS kind, city, order_date AS day, count(*) AS n, sum(delivery_time_min)::BIGINT AS total
+FROM fct_orders WHERE delivery_time_min IS NOT NULL GROUP BY 2, 3
+UNION ALL
+SELECT 'negative_reviews', city, review_date, count(*), count(*) FILTER (WHERE rating <= 2) FROM stg_reviews GROUP BY 2, 3""",
 }
 
 
@@ -313,3 +351,297 @@ for _name in (
     "mart_daily_review_stats mart_review_insights latest_enrichment mart_review_search"
 ).split():
     QUERIES[_name] = f"SELECT * FROM {_name}"
+
+
+def _columns(table: str, names: str) -> str:
+    return f"SELECT {names} FROM {table}"
+
+
+_ORDER_FILE = (
+    "order_id, order_timestamp, order_date, user_id, r_id, restaurant_city, cuisine, items_count, sales_qty, subtotal, "
+    "discount, delivery_fee, gst, sales_amount, currency, payment_method, order_status, customer_rating, delivery_time_min"
+)
+_RESTAURANT_FILE = "_idx, id, name, city, rating, rating_count, cost, cuisine, lic_no, link, address, menu"
+_USER_FILE = (
+    "_idx, user_id, name, email, password, age, gender, marital_status, occupation, monthly_income, education, family_size"
+)
+_RAW_NAMES = "restaurants users food menu orders order_items reviews".split()
+_CONTEXT = (
+    "review_id, review_date, city, rating, restaurant_name, cuisine, restaurant_rating_at_review, cost_for_two_at_review, "
+    "order_id, sales_amount, delivery_time_min, payment_method"
+)
+_ITEM_TIES = "order_item_id NULLS LAST, f_id NULLS LAST, quantity NULLS LAST, line_amount NULLS LAST"
+
+# --- files and written tables ---------------------------------------------------------------
+
+QUERIES |= {
+    "csv_scan": "SELECT _idx, f_id, item, veg_or_non_veg FROM raw_food",
+    "load_tolerant": _columns("raw_users", _USER_FILE),
+    "load_strict": _columns("raw_orders", _ORDER_FILE),
+    "load_metadata": f"""
+SELECT coalesce({file_date()}, DATE '1900-01-01') AS file_day, count(*) AS n, 1::BIGINT AS load_times
+FROM raw_restaurants GROUP BY 1""",
+    "load_day": _columns("raw_restaurants", _RESTAURANT_FILE) + f" WHERE {file_date()} = DATE '1995-10-18'",
+    "load_audit": " UNION ALL ".join(f"SELECT '{n}' AS t, count(*) AS n FROM raw_{n}" for n in _RAW_NAMES),
+    "loaded_at_default": f"SELECT id, _source_file, {LOADED_AT} AS _loaded_at FROM raw_restaurants",
+    "incremental_ingest": _columns("raw_orders", _ORDER_FILE),
+    "full_refresh": "SELECT * FROM dim_restaurants",
+    "write_day_partition": f"""
+SELECT date_trunc('month', {file_date()})::DATE AS dt, {file_date()} AS file_day, count(*) AS n FROM raw_orders GROUP BY 1, 2""",
+    "incremental_merge_orders": "SELECT * FROM fct_orders",
+    "stream_merge_orders": "SELECT * FROM fct_orders",
+    "incremental_merge_items": "SELECT * FROM fct_order_items",
+    "incremental_lookback": """
+SELECT * FROM fct_orders WHERE _loaded_at > (SELECT coalesce(max(_loaded_at), TIMESTAMP '1900-01-01') - INTERVAL 3 DAY
+  FROM raw_orders WHERE _loaded_at <= TIMESTAMP '1998-07-01')""",
+    "append_new_columns": """
+SELECT order_id, order_date, sales_amount, CASE WHEN order_date >= DATE '1998-01-01' THEN payment_method END AS payment_method
+FROM fct_orders""",
+    "scd2_snapshot": f"""
+SELECT restaurant_id, {TRACKED}, run_at AS dbt_valid_from,
+       lead(run_at) OVER (PARTITION BY restaurant_id ORDER BY run_at) AS dbt_valid_to
+FROM (SELECT *, lag(({TRACKED})) OVER w AS previous, row_number() OVER w AS n FROM snapshot_runs
+      WINDOW w AS (PARTITION BY restaurant_id ORDER BY run_at))
+WHERE n = 1 OR ({TRACKED}) IS DISTINCT FROM previous""",
+    "insert_if_absent": """
+SELECT * FROM review_enriched QUALIFY row_number() OVER (PARTITION BY review_id
+  ORDER BY (enrichment_at < TIMESTAMP '2024-01-15') DESC, enrichment_at DESC) = 1""",
+    "trace_log_flatten": """
+SELECT event_type, key, count(*) AS n, sum(TRY_CAST(value AS BIGINT))::BIGINT AS total, min(value) AS first_text
+FROM (SELECT event_type, key, json_extract_string(props, '$.' || key) AS value
+      FROM (SELECT event_type, props, unnest(json_keys(props)) AS key FROM events))
+GROUP BY 1, 2""",
+}
+
+# --- expressions ----------------------------------------------------------------------------
+
+_COST = whole("nullif(regexp_extract(cost, '[0-9]+'), '')")
+_RATING = "TRY_CAST(rating AS DECIMAL(3,1))"
+
+QUERIES |= {
+    "scalar_functions": f"""
+SELECT _idx, name, id_number, rating, cost, rating_count, city, d AS file_day, loaded_at, link_hash, lower(name) AS name_lower,
+       cuisine AS cuisine_title, '*****@x.org' AS masked, lic_no || '-' || strftime(d, '%Y%m%d') AS version_key,
+       year(d)::INTEGER AS year, month(d)::INTEGER AS month, left(monthname(d), 3) AS month_name,
+       left(dayname(d), 3) AS day_name, isodow(d)::INTEGER AS iso_day, hour(_loaded_at)::INTEGER AS load_hour,
+       d - 7 AS week_before, datediff('day', d, DATE '2000-01-01')::INTEGER AS days_to_2000,
+       CASE WHEN cost IS NOT NULL AND rating IS NOT NULL THEN greatest(cost, trunc(rating)::BIGINT) END AS greatest,
+       CASE WHEN cost IS NOT NULL AND rating IS NOT NULL THEN least(cost, trunc(rating)::BIGINT) END AS least,
+       {rounded("cost", "(cost % 100)", 3)} AS ratio, abs(cost - 300) AS distance
+FROM (SELECT _idx, name, {whole("id")} AS id_number, {_RATING} AS rating, {_COST} AS cost,
+             {whole("nullif(regexp_extract(rating_count, '[0-9]+'), '')")} AS rating_count, {city_of("city")} AS city,
+             {file_date()} AS d, {LOADED_AT} AS loaded_at, sha256(link) AS link_hash, cuisine, lic_no, _loaded_at
+      FROM raw_restaurants)""",
+    "mask_email": "SELECT customer_id, '*****' || substr(email, strpos(email, '@')) AS email FROM dim_customer",
+    "analyst_projection": "SELECT * EXCLUDE (email) FROM dim_customer",
+    "dim_date": """
+SELECT d.date_day, year(d.date_day)::INTEGER AS year, month(d.date_day)::INTEGER AS month,
+       left(monthname(d.date_day), 3) AS month_name, left(dayname(d.date_day), 3) AS day_name,
+       isodow(d.date_day) >= 6 AS is_weekend, coalesce(o.n, 0) AS orders
+FROM (SELECT unnest(range(lo::TIMESTAMP, hi::TIMESTAMP + INTERVAL 1 DAY, INTERVAL 1 DAY))::DATE AS date_day
+      FROM (SELECT min(order_date) AS lo, max(order_date) AS hi FROM fct_orders)) d
+LEFT JOIN (SELECT order_date, count(*) AS n FROM fct_orders GROUP BY 1) o ON o.order_date = d.date_day""",
+    "dedup_latest": f"""
+SELECT order_id, order_status, _source_file, _loaded_at FROM raw_orders
+QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY {NEWEST}) = 1""",
+    "dedup_latest_items": f"""
+SELECT * FROM raw_order_items
+QUALIFY row_number() OVER (PARTITION BY order_id, r_id ORDER BY {NEWEST}, {_ITEM_TIES}) = 1""",
+}
+
+# --- reviews --------------------------------------------------------------------------------
+
+_BAD = " + ".join(f"bad_{i}::INTEGER" for i in range(len(COMPLAINTS)))
+_GOOD = " + ".join(f"good_{i}::INTEGER" for i in range(len(PRAISE)))
+_TOPIC = " ".join(
+    [f"WHEN bad_{i} THEN '{t}'" for i, t in enumerate(COMPLAINTS)] + [f"WHEN good_{i} THEN '{t}'" for i, t in enumerate(PRAISE)]
+)
+_ISSUE = " ".join(f"WHEN bad_{i} THEN nullif(regexp_extract(text, '{p}'), '')" for i, p in enumerate(COMPLAINTS.values()))
+
+QUERIES |= {
+    "review_filter": """
+SELECT * EXCLUDE (comment) FROM mart_review_search WHERE lower(city) = lower('nation_3') AND review_date >= DATE '1995-06-01'
+  AND review_date <= DATE '2000-12-31' AND rating BETWEEN 1 AND 2 AND restaurant_rating_at_review <= 4.5""",
+    "review_search": f"""
+SELECT comment_hash, comment, n_reviews, round(score, 3) AS similarity, {_CONTEXT}
+FROM search_filtered JOIN search_scored USING (comment_hash)
+QUALIFY row_number() OVER (PARTITION BY comment_hash ORDER BY review_date DESC NULLS FIRST, review_id DESC) <= 2""",
+    "review_search_summary": """
+SELECT count(*) AS matching_reviews,
+       count(DISTINCT CASE WHEN e.comment_hash IS NOT NULL THEN m.comment_hash END) AS searchable_texts,
+       CASE WHEN count(*) = 0 THEN '0 reviews match these filters; try a wider date range or fewer filters'
+            WHEN count(e.comment_hash) = 0 THEN 'matching reviews exist but none has an embedding yet' END AS note
+FROM mart_review_search m LEFT JOIN review_embeddings e ON e.comment_hash = m.comment_hash
+WHERE m.topic = 'delivery' AND m.review_date >= DATE '1996-01-01'""",
+    "reviews_to_enrich": """
+SELECT review_id, comment FROM stg_reviews r
+WHERE NOT EXISTS (SELECT 1 FROM review_enriched e WHERE e.review_id = r.review_id)""",
+    "next_reviews_to_enrich": """
+SELECT review_id, comment FROM stg_reviews r
+WHERE NOT EXISTS (SELECT 1 FROM review_enriched e WHERE e.review_id = r.review_id) ORDER BY review_id LIMIT 5""",
+    "enrich_reviews": f"""
+SELECT review_id, CASE WHEN good > bad THEN 'positive' WHEN bad > good THEN 'negative' ELSE 'neutral' END AS sentiment_label,
+       {rounded("(good - bad)", "(good + bad)", 3)} AS sentiment_score, CASE {_TOPIC} ELSE 'other' END AS topic,
+       CASE {_ISSUE} END AS key_issue, 'rules-1' AS model
+FROM (SELECT *, {_BAD} AS bad, {_GOOD} AS good FROM rule_hits)""",
+    "texts_to_embed": """
+SELECT comment_hash, min(comment) AS comment FROM stg_reviews
+WHERE comment_hash NOT IN (SELECT comment_hash FROM review_embeddings) GROUP BY 1""",
+}
+
+# --- profile and reports --------------------------------------------------------------------
+
+_PROFILE = {
+    "fct_orders": ["order_status", "payment_method"],
+    "dim_customer": ["age_segment"],
+    "dim_food": ["veg_or_non_veg"],
+    "mart_review_insights": ["sentiment_label", "topic"],
+}
+_FEED = f"""
+SELECT dt, sum(orders_on_time)::BIGINT AS orders_on_time, sum(orders_late)::BIGINT AS orders_late,
+       sum(status_changes)::BIGINT AS status_changes, sum(order_items)::BIGINT AS order_items,
+       sum(reviews)::BIGINT AS reviews, sum(restaurant_changes)::BIGINT AS restaurant_changes
+FROM (
+  SELECT f AS dt, CASE WHEN f = m AND f <= order_date THEN 1 ELSE 0 END AS orders_on_time,
+         CASE WHEN f = m AND f > order_date THEN 1 ELSE 0 END AS orders_late,
+         CASE WHEN f > m THEN 1 ELSE 0 END AS status_changes, 0 AS order_items, 0 AS reviews, 0 AS restaurant_changes
+  FROM (SELECT order_date, {file_date()} AS f, min({file_date()}) OVER (PARTITION BY order_id) AS m FROM raw_orders)
+  UNION ALL SELECT {file_date()}, 0, 0, 0, 1, 0, 0 FROM raw_order_items
+  UNION ALL SELECT {file_date()}, 0, 0, 0, 0, 1, 0 FROM raw_reviews
+  UNION ALL SELECT {file_date()}, 0, 0, 0, 0, 0, 1 FROM raw_restaurants)
+GROUP BY 1"""
+
+QUERIES |= {
+    "latest_dates": """
+SELECT (SELECT max(order_date) FROM fct_orders) AS latest_order_date,
+       (SELECT max(review_date) FROM mart_daily_review_stats) AS latest_review_date""",
+    "categorical_values": " UNION ALL ".join(
+        f"SELECT DISTINCT '{t.upper()}.{c.upper()}' AS column_name, {c}::VARCHAR AS value FROM {t} WHERE {c} IS NOT NULL"
+        for t, columns in _PROFILE.items()
+        for c in columns
+    ),
+    "top_cities": """
+SELECT city, sum(orders)::BIGINT AS orders FROM mart_daily_city_revenue GROUP BY 1
+ORDER BY orders DESC, city NULLS LAST LIMIT 40""",
+    "late_arrivals": f"""
+SELECT order_date, orders, late_orders, {rounded("late_orders", "orders", 4)} AS late_rate
+FROM (SELECT order_date, count(*) AS orders, count(*) FILTER (WHERE first_file_date > order_date) AS late_orders
+      FROM first_files GROUP BY 1)""",
+    "status_changes": f"""
+SELECT order_id, file_day AS changed_on, from_status, order_status AS to_status
+FROM (SELECT *, lag(order_status) OVER w AS from_status, row_number() OVER w AS n
+      FROM (SELECT order_id, order_status, {file_date()} AS file_day FROM raw_orders
+            QUALIFY row_number() OVER (PARTITION BY order_id, {file_date()}
+                                       ORDER BY _loaded_at DESC NULLS LAST, order_status NULLS LAST) = 1)
+      WINDOW w AS (PARTITION BY order_id ORDER BY file_day NULLS FIRST))
+WHERE n > 1 AND from_status IS DISTINCT FROM order_status""",
+    "amount_consistency": """
+SELECT * FROM (
+  SELECT o.order_id, o.subtotal, o.discount, o.delivery_fee, o.gst, o.sales_amount, l.items_total, l.wrong_lines,
+         coalesce(o.subtotal <> l.items_total, false) AS bad_subtotal, coalesce(l.wrong_lines > 0, false) AS bad_lines,
+         coalesce(o.gst <> round_even(o.subtotal::DOUBLE * 0.05::DOUBLE, 0), false) AS bad_gst,
+         coalesce(o.sales_amount <> o.subtotal - o.discount + o.delivery_fee + o.gst, false) AS bad_sales_amount
+  FROM fct_orders o
+  LEFT JOIN (SELECT order_id, sum(line_amount)::DECIMAL(38,2) AS items_total,
+                    count(*) FILTER (WHERE line_amount <> price * quantity) AS wrong_lines
+             FROM fct_order_items GROUP BY 1) l ON l.order_id = o.order_id)
+WHERE bad_subtotal OR bad_lines OR bad_gst OR bad_sales_amount""",
+    "anomaly_days": f"""
+SELECT kind, city, day, n, {rounded("total", "n", 4)} AS observed, {rounded("other_total", "other_n", 4)} AS baseline
+FROM (SELECT *, (sum(n) OVER w - n)::BIGINT AS other_n, (sum(total) OVER w - total)::BIGINT AS other_total FROM city_days
+      WINDOW w AS (PARTITION BY kind, city))
+WHERE n >= 2 AND other_total > 0 AND total * other_n * 100 >= other_total * n * 140""",
+    "daily_feed_summary": _FEED,
+    "review_eligibility": """
+SELECT * FROM (
+  SELECT r.review_id, r.order_id, r.review_date, o.order_date,
+         CASE WHEN o.delivered IS NULL THEN 'unknown order' WHEN NOT o.delivered THEN 'not delivered'
+              WHEN r.review_date <> o.order_date + 1 THEN 'not the next day' END AS reason
+  FROM stg_reviews r LEFT JOIN (SELECT order_id, min(order_date) AS order_date, bool_or(order_status = 'Delivered') AS delivered
+                                FROM raw_orders GROUP BY 1) o ON o.order_id = r.order_id)
+WHERE reason IS NOT NULL""",
+}
+
+# --- checks ---------------------------------------------------------------------------------
+
+
+def _unique(label: str, table: str, key: str) -> str:
+    failing = f"SELECT {key} FROM {table} WHERE {key} IS NOT NULL GROUP BY 1 HAVING count(*) > 1"
+    return f"SELECT 'unique {label}.{key}' AS check_name, 'error' AS severity, (SELECT count(*) FROM ({failing})) AS failures"
+
+
+def _not_null(label: str, table: str, column: str, severity: str = "error") -> str:
+    return (
+        f"SELECT 'not_null {label}.{column}' AS check_name, '{severity}' AS severity, "
+        f"(SELECT count(*) FROM {table} WHERE {column} IS NULL) AS failures"
+    )
+
+
+def _same(kind, table: str, column: str) -> str:
+    return kind(table, table, column)
+
+
+_HISTORY = "dim_restaurants_history", "restaurants_history"
+_CHECKS = [
+    *[_same(_unique, t, k) for t, k in (("stg_orders", "order_id"), ("stg_order_items", "order_item_id"),
+      ("stg_restaurants", "restaurant_id"), ("stg_users", "customer_id"), ("stg_reviews", "review_id"),
+      ("fct_orders", "order_id"), ("mart_review_search", "review_id"))],
+    _unique(*_HISTORY, "restaurant_version_key"),
+    *[_same(_not_null, t, c) for t, c in (("stg_orders", "order_id"), ("stg_orders", "customer_id"),
+      ("stg_orders", "restaurant_id"), ("stg_orders", "_loaded_at"), ("stg_order_items", "order_item_id"),
+      ("stg_restaurants", "restaurant_id"), ("stg_users", "customer_id"), ("stg_reviews", "review_id"),
+      ("fct_orders", "order_id"), ("mart_review_search", "review_id"), ("mart_review_search", "comment_hash"))],
+    _not_null(*_HISTORY, "restaurant_version_key"),
+    _not_null(*_HISTORY, "valid_from"),
+    _not_null("fct_orders_point_in_time", "fct_orders_point_in_time", "restaurant_version_key", "warn"),
+    """SELECT 'relationships fct_orders.customer_id', 'error', (SELECT count(DISTINCT customer_id) FROM fct_orders
+       WHERE customer_id NOT IN (SELECT customer_id FROM dim_customer))""",
+    """SELECT 'accepted_values fct_orders.order_status', 'error', (SELECT count(DISTINCT order_status) FROM fct_orders
+       WHERE order_status NOT IN ('Delivered', 'Cancelled', 'Refunded'))""",
+]
+
+
+def _reconcile_orders(facts: str) -> str:
+    totals = """SELECT count(*) AS orders, sum(CASE WHEN {delivered} THEN sales_amount ELSE 0 END)::BIGINT AS gmv,
+  count(*) FILTER (WHERE order_status = 'Refunded') AS refunded FROM {table}"""
+    raw = totals.format(delivered="order_status = 'Delivered'", table="stg_orders")
+    fct = totals.format(delivered="is_delivered", table=facts)
+    return f"""
+SELECT r.orders AS raw_orders, f.orders AS fct_orders, r.gmv AS raw_delivered_gmv, f.gmv AS fct_delivered_gmv,
+       r.refunded AS raw_refunded, f.refunded AS fct_refunded
+FROM ({raw}) r CROSS JOIN ({fct}) f WHERE r.orders <> f.orders OR r.gmv <> f.gmv OR r.refunded <> f.refunded"""
+
+
+def _reconcile_items(facts: str) -> str:
+    return f"""
+SELECT r.items AS raw_items, f.items AS fct_items, r.amount AS raw_amount, f.amount AS fct_amount
+FROM (SELECT count(*) AS items, sum(line_amount)::DECIMAL(20,2) AS amount FROM raw_items_of_orders) r
+CROSS JOIN (SELECT count(*) AS items, sum(line_amount)::DECIMAL(20,2) AS amount FROM {facts}) f
+WHERE r.items <> f.items OR r.amount <> f.amount"""
+
+
+QUERIES |= {
+    "dq_unique": """
+SELECT order_item_id, count(*) AS n FROM raw_order_items WHERE order_item_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1""",
+    "dq_not_null": "SELECT * FROM fct_orders_point_in_time WHERE restaurant_version_key IS NULL",
+    "dq_relationships": """
+SELECT customer_id, count(*) AS n FROM fct_orders
+WHERE customer_id IS NOT NULL AND customer_id NOT IN (SELECT customer_id FROM dim_customer) GROUP BY 1""",
+    "dq_accepted_values": """
+SELECT veg_or_non_veg, count(*) AS n FROM raw_food WHERE veg_or_non_veg NOT IN ('Veg', 'Non-veg') GROUP BY 1""",
+    "dq_report": "SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE severity END AS status FROM ("
+    + "\nUNION ALL ".join(_CHECKS)
+    + ")",
+    "reconcile_orders": _reconcile_orders("fct_orders"),
+    "reconcile_orders_without_late": _reconcile_orders("on_time_orders"),
+    "reconcile_order_items": _reconcile_items("fct_order_items"),
+    "reconcile_items_without_late": _reconcile_items(
+        "(SELECT i.* FROM stg_order_items i JOIN on_time_orders o ON o.order_id = i.order_id)"
+    ),
+    "assert_history_current": """
+SELECT restaurant_id, count(*) FILTER (WHERE is_current) AS current_versions FROM restaurants_history GROUP BY 1
+HAVING count(*) FILTER (WHERE is_current) <> 1
+UNION ALL
+SELECT NULL, abs(a - b) FROM (SELECT (SELECT count(DISTINCT restaurant_id) FROM restaurants_history) AS a,
+                                     (SELECT count(*) FROM stg_restaurants) AS b) WHERE a <> b""",
+}

@@ -34,21 +34,6 @@ def unexpected_values(df: DataFrame, column: str, allowed: Iterable) -> DataFram
     return counted.where(F.col(column).isNotNull() & ~F.col(column).isin(*allowed))
 
 
-def report(checks: Sequence[tuple[str, str, DataFrame]]) -> DataFrame:
-    """One row per check (name, severity, failing rows): number of failures and a status.
-
-    Failing checks of severity "warn" do not stop a run, those of "error" do.
-    """
-    out = None
-    for name, severity, failing in checks:
-        row = failing.agg(F.count(F.lit(1)).alias("failures")).select(
-            F.lit(name).alias("check_name"), F.lit(severity).alias("severity"), "failures"
-        )
-        out = row if out is None else out.unionByName(row)
-    status = F.when(F.col("failures") == 0, "pass").otherwise(F.col("severity"))
-    return out.withColumn("status", status)
-
-
 def drift(expected: DataFrame, actual: DataFrame, names: tuple[str, str], measures: Sequence[str]) -> DataFrame:
     """Compare two one-row totals; returns one row with both when a measure differs."""
     both = expected.select(F.lit(names[0]).alias("_side"), *measures).unionByName(

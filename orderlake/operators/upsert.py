@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from orderlake import settings
 from orderlake.operators.versions import first_per_group, version_order
+from orderlake.session import shared_dir
 from orderlake.sources import tables
 
 
@@ -68,10 +69,15 @@ def upsert(
         tables.overwrite_partitions(latest, path, [partition_by])
         return
 
+    # Written once: the partition list, the moved keys and the merge all read the same rows.
+    staged = shared_dir(spark, "updates")
+    tables.full_refresh(updates, staged)
+    updates = spark.read.schema(updates.schema).parquet(staged)
     target = tables.read(spark, path)
     target = target.withColumn(partition_by, F.col(partition_by).cast(updates.schema[partition_by].dataType))
     touched = set(_values_of(updates, partition_by))
     if not touched:
+        tables.remove(spark, staged)
         return
     left_behind: set = set()
     if not fixed_partition:
@@ -83,6 +89,7 @@ def upsert(
     emptied = left_behind - set(_values_of(merged, partition_by)) if left_behind else set()
     tables.overwrite_partitions(merged, path, [partition_by])
     tables.drop_partitions(spark, path, partition_by, emptied)
+    tables.remove(spark, staged)
 
 
 def _in_partitions(column: str, values: set) -> Column:

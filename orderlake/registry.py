@@ -6,10 +6,17 @@ from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-
-from orderlake.plans import marts, staging
-from orderlake.session import tune
+from pyspark.sql import functions as F
+
+from orderlake import settings
+from orderlake.functions import scalars
+from orderlake.operators import quality, upsert, versions
+from orderlake.plans import checks, daily, marts, reports, reviews, staging
+from orderlake.session import shared_dir, tune
+from orderlake.sources import csv_files, tables
 from orderlake.sources import sample_tables as sample
+from orderlake.sources.schemas import METADATA, TABLES
+from orderlake.streaming import ingest as streams
 
 
 class Lake:
@@ -152,3 +159,471 @@ for _name in (
     "mart_daily_review_stats mart_review_insights latest_enrichment mart_review_search"
 ).split():
     QUERIES[_name] = _model(_name)
+
+
+def query(fn: Callable[[Lake], DataFrame]) -> Callable[[Lake], DataFrame]:
+    """Register a query under its function name."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(Lake(spark, sf_dir))
+
+    run.__name__ = fn.__name__
+    QUERIES[fn.__name__] = run
+    return fn
+
+
+# --- files -------------------------------------------------------------------------------
+
+
+def _data_columns(df: DataFrame) -> DataFrame:
+    return df.drop(*METADATA)
+
+
+def _day_text(df: DataFrame) -> DataFrame:
+    """File rows with the day folder they belong to; undated rows go to the day 1900-01-01."""
+    day = F.coalesce(scalars.file_date(), F.lit(settings.BEGINNING_OF_TIME).cast("date"))
+    return _data_columns(df.withColumn("dt", F.date_format(day, "yyyy-MM-dd")))
+
+
+@query
+def csv_scan(lake: Lake) -> DataFrame:
+    """Dishes written with NULL tokens and read back by position."""
+    drop = shared_dir(lake.spark, "csv_scan")
+    token = F.when(F.col("_idx").cast("int") % 2 == 0, "\\N").otherwise("NULL")
+    food = _data_columns(lake.raw("food"))
+    tables.write_csv_drop(food.withColumn("f_id", F.coalesce("f_id", token)), drop)
+    return _data_columns(csv_files.read_table(lake.spark.read, "food", drop))
+
+
+@query
+def load_tolerant(lake: Lake) -> DataFrame:
+    """Users among lines with broken quotes; only those lines are left out."""
+    drop = shared_dir(lake.spark, "load_tolerant")
+    users = _data_columns(lake.raw("users"))
+    good = users.select(F.to_csv(F.struct(*users.columns), {"quoteAll": "true"}).alias("line"))
+    broken = users.select(F.concat(F.lit('1,"'), F.col("name"), F.lit('"x,open "quote')).alias("line"))
+    options = {"header": "true", "sep": "\u0001", "quote": "", "escapeQuotes": "false"}
+    good.unionByName(broken).write.options(**options).csv(drop)
+    return _data_columns(csv_files.read_table(lake.spark.read, "users", drop))
+
+
+@query
+def load_strict(lake: Lake) -> DataFrame:
+    """Orders with ratings and minutes written like '5.0' load as whole numbers."""
+    drop = shared_dir(lake.spark, "load_strict")
+    orders = _data_columns(lake.raw_orders)
+    decimals = {c: F.col(c).cast("decimal(10,1)").cast("string") for c in ("customer_rating", "delivery_time_min")}
+    clock = F.date_format("order_timestamp", "yyyy-MM-dd HH:mm:ss")
+    tables.write_csv_drop(orders.withColumns(decimals | {"order_timestamp": clock}), drop)
+    return _data_columns(csv_files.read_table(lake.spark.read, "orders", drop))
+
+
+@query
+def load_metadata(lake: Lake) -> DataFrame:
+    """Rows per file day, and the number of load times of the one load that read them."""
+    drop = shared_dir(lake.spark, "load_metadata")
+    tables.write_csv_drop(_day_text(lake.raw("restaurants")), drop, "dt")
+    loaded = csv_files.read_table(lake.spark.read, "restaurants", drop)
+    return loaded.groupBy(scalars.file_date().alias("file_day")).agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("_loaded_at").alias("load_times")
+    )
+
+
+@query
+def load_day(lake: Lake) -> DataFrame:
+    """One day's folder of restaurant changes."""
+    drop = shared_dir(lake.spark, "load_day")
+    tables.write_csv_drop(_day_text(lake.raw("restaurants")), f"{drop}/restaurants", "dt")
+    return _data_columns(csv_files.load_day(lake.spark, drop, "restaurants", "1995-10-18"))
+
+
+@query
+def load_audit(lake: Lake) -> DataFrame:
+    return csv_files.load_audit({name: lake.raw(name) for name in TABLES})
+
+
+@query
+def loaded_at_default(lake: Lake) -> DataFrame:
+    return lake.raw("restaurants").select("id", "_source_file", scalars.loaded_at().alias("_loaded_at"))
+
+
+def _yearly_drop(lake: Lake, path: str) -> tuple[str, str]:
+    """Orders as CSV in two drops of yearly folders: first versions, then late and re-sent rows."""
+    day = scalars.file_date()
+    rows = lake.raw_orders.select("*", F.concat(F.year(day).cast("string"), F.lit("-12-31")).alias("dt"))
+    later = day > F.col("order_date")
+    first, second = f"{path}/first", f"{path}/second"
+    tables.write_csv_drop(_data_columns(rows.where(~later)), first, "dt")
+    tables.write_csv_drop(_data_columns(rows.where(later)), second, "dt")
+    return first, second
+
+
+@query
+def incremental_ingest(lake: Lake) -> DataFrame:
+    """Two drops loaded by one stream, with a run in between that finds nothing new."""
+    path = shared_dir(lake.spark, "incremental_ingest")
+    first, second = _yearly_drop(lake, path)
+    for source in (first, first, second):
+        streams.ingest(
+            lake.spark, "orders", source, f"{path}/raw", f"{path}/checkpoint/{source[-6:]}", label=source[-6:]
+        ).awaitTermination()
+    loaded = lake.spark.read.parquet(f"{path}/raw")
+    return loaded.drop("_source_file", "_loaded_at", "_load")
+
+
+# --- written tables ----------------------------------------------------------------------
+
+
+@query
+def full_refresh(lake: Lake) -> DataFrame:
+    """A table that is replaced as a whole keeps nothing of its earlier rows."""
+    path = shared_dir(lake.spark, "full_refresh")
+    tables.full_refresh(lake.dim_restaurants.withColumn("rating", F.lit(None).cast("decimal(3,1)")), path)
+    tables.full_refresh(lake.dim_restaurants, path)
+    return lake.spark.read.parquet(path)
+
+
+@query
+def write_day_partition(lake: Lake) -> DataFrame:
+    """Order counts per day written by day, with the days written twice."""
+    path = shared_dir(lake.spark, "write_day_partition")
+    days = lake.raw_orders.groupBy(scalars.file_date().alias("dt")).agg(F.count(F.lit(1)).alias("n"))
+    monthly = days.select(F.trunc("dt", "month").alias("dt"), F.col("dt").alias("file_day"), "n")
+    for _ in range(2):
+        tables.overwrite_partitions(monthly, path, ["dt"])
+    return lake.spark.read.parquet(path).select(F.col("dt").cast("date").alias("dt"), "file_day", "n")
+
+
+def _by_month(orders: DataFrame) -> DataFrame:
+    return orders.withColumn("order_month", F.year("order_date") * 100 + F.month("order_date"))
+
+
+@query
+def incremental_merge_orders(lake: Lake) -> DataFrame:
+    """Orders merged in two loads, the second one twice; equals a rebuild from all rows."""
+    path = shared_dir(lake.spark, "merge_orders")
+    later = scalars.file_date() > F.col("order_date")
+    loads = [lake.raw_orders.where(~later), lake.raw_orders.where(later), lake.raw_orders.where(later)]
+    for rows in loads:
+        updates = _by_month(marts.fct_orders(staging.stg_orders(rows)))
+        upsert.upsert(lake.spark, path, updates, "order_id", "order_month")
+    return tables.read(lake.spark, path).select(*marts.ORDER_COLUMNS)
+
+
+@query
+def incremental_merge_items(lake: Lake) -> DataFrame:
+    """Items merged in order of load; later loads replace and repeat earlier ones."""
+    path = shared_dir(lake.spark, "merge_items")
+    raw, early = lake.raw("order_items"), F.col("_loaded_at") < F.lit("1998-01-01").cast("timestamp")
+    for rows in (raw.where(early), raw.where(~early), raw):
+        updates = _by_month(marts.fct_order_items(staging.stg_order_items(rows), lake.stg_orders))
+        upsert.upsert(
+            lake.spark, path, updates, "order_item_id", "order_month", ["restaurant_id", "f_id", "quantity", "line_amount"]
+        )
+    return tables.read(lake.spark, path).drop("order_month")
+
+
+@query
+def stream_merge_orders(lake: Lake) -> DataFrame:
+    """Orders streamed from RAW batches into the fact table."""
+    path = shared_dir(lake.spark, "stream_orders")
+    later = scalars.file_date() > F.col("order_date")
+
+    def merge(batch: DataFrame) -> None:
+        updates = _by_month(marts.fct_orders(staging.stg_orders(batch.drop("_load"))))
+        upsert.upsert(lake.spark, f"{path}/fct", updates, "order_id", "order_month")
+
+    for load, rows in (("1", lake.raw_orders.where(~later)), ("2", lake.raw_orders.where(later))):
+        tables.overwrite_partitions(rows.withColumn("_load", F.lit(load)), f"{path}/raw", ["_load"])
+        streams.follow_raw(lake.spark, f"{path}/raw", merge, f"{path}/checkpoint").awaitTermination()
+    return tables.read(lake.spark, f"{path}/fct").select(*marts.ORDER_COLUMNS)
+
+
+@query
+def incremental_lookback(lake: Lake) -> DataFrame:
+    """Orders a run re-reads when the facts were last loaded in mid 1998."""
+    target = lake.raw_orders.where(F.col("_loaded_at") <= F.lit("1998-07-01").cast("timestamp")).select("_loaded_at")
+    return upsert.loaded_since(lake.fct_orders, target)
+
+
+@query
+def append_new_columns(lake: Lake) -> DataFrame:
+    """Facts written before and after a column was added."""
+    path = shared_dir(lake.spark, "append_new_columns")
+    columns = ["order_id", "order_date", "sales_amount"]
+    early = F.col("order_date") < F.lit("1998-01-01").cast("date")
+    lake.fct_orders.where(early).select(*columns).write.parquet(path)
+    lake.fct_orders.where(~early).select(*columns, "payment_method").write.mode("append").parquet(path)
+    return tables.read(lake.spark, path)
+
+
+@query
+def scd2_snapshot(lake: Lake) -> DataFrame:
+    """Snapshots of the restaurants as known on three dates, the last one taken twice."""
+    path = shared_dir(lake.spark, "scd2_snapshot")
+    raw = lake.raw("restaurants")
+    for day in ("1996-01-01", "1998-01-01", "2030-01-01", "2030-01-02"):
+        known = raw.where(F.coalesce("_loaded_at", F.lit("1990-01-01").cast("timestamp")) < F.lit(day).cast("timestamp"))
+        run_at = F.lit(day).cast("timestamp")
+        daily.apply_snapshot(lake.spark, path, staging.stg_restaurants(known), "restaurant_id", marts.TRACKED, run_at)
+    columns = ["restaurant_id", *marts.TRACKED, "dbt_valid_from", "dbt_valid_to"]
+    return tables.read(lake.spark, path).select(*columns)
+
+
+@query
+def insert_if_absent(lake: Lake) -> DataFrame:
+    """Labels of the first run, then all labels: only reviews without one are added."""
+    path = shared_dir(lake.spark, "insert_if_absent")
+    first_run = F.col("enrichment_at") < F.lit("2024-01-15").cast("timestamp")
+    newest = [F.col("enrichment_at").desc()]
+    upsert.insert_if_absent(lake.spark, path, lake.labels.where(first_run), "review_id", newest)
+    for _ in range(2):
+        upsert.insert_if_absent(lake.spark, path, lake.labels, "review_id", newest)
+    return lake.spark.read.parquet(path)
+
+
+@query
+def trace_log_flatten(lake: Lake) -> DataFrame:
+    """JSON traces of events, summed per event type and field."""
+    events = sample.table(lake.spark, lake.sf_dir, "events")
+    fields = reports.trace_fields(events, "props", ["event_type"])
+    return fields.groupBy("event_type", "key").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("value_number").alias("total"), F.min("value_text").alias("first_text")
+    )
+
+
+# --- expressions -------------------------------------------------------------------------
+
+
+@query
+def scalar_functions(lake: Lake) -> DataFrame:
+    """Every scalar expression of the plans over the restaurant files."""
+    day, number = scalars.file_date(), scalars.first_whole("cost")
+    rating = scalars.try_amount("rating", 3, 1)
+    return lake.raw("restaurants").select(
+        "_idx",
+        "name",
+        scalars.try_whole("id").alias("id_number"),
+        rating.alias("rating"),
+        number.alias("cost"),
+        scalars.first_whole("rating_count").alias("rating_count"),
+        scalars.city_of("city").alias("city"),
+        day.alias("file_day"),
+        scalars.loaded_at().alias("loaded_at"),
+        scalars.text_hash("link").alias("link_hash"),
+        F.lower("name").alias("name_lower"),
+        F.initcap(F.lower("cuisine")).alias("cuisine_title"),
+        scalars.mask_email(F.concat(F.col("name"), F.lit("@x.org"))).alias("masked"),
+        F.concat(F.col("lic_no"), F.lit("-"), F.date_format(day, "yyyyMMdd")).alias("version_key"),
+        F.year(day).alias("year"),
+        F.month(day).alias("month"),
+        F.monthname(day).alias("month_name"),
+        F.dayname(day).alias("day_name"),
+        (F.weekday(day) + 1).alias("iso_day"),
+        F.hour(F.col("_loaded_at")).alias("load_hour"),
+        F.date_add(day, -7).alias("week_before"),
+        scalars.days_between(day, F.lit("2000-01-01").cast("date")).alias("days_to_2000"),
+        scalars.strict_greatest(number, rating.cast("bigint")).alias("greatest"),
+        scalars.strict_least(number, rating.cast("bigint")).alias("least"),
+        scalars.ratio(number, number % 100, 3).alias("ratio"),
+        F.abs(number - 300).alias("distance"),
+    )
+
+
+@query
+def mask_email(lake: Lake) -> DataFrame:
+    return marts.dim_customer(lake.stg_users, pii_masking=True).select("customer_id", "email")
+
+
+@query
+def analyst_projection(lake: Lake) -> DataFrame:
+    return marts.analyst_projection(lake.dim_customer)
+
+
+@query
+def dim_date(lake: Lake) -> DataFrame:
+    """The calendar of all days between the first and the last order, with the orders of each day."""
+    bounds = lake.raw_orders.agg(F.min("order_date").alias("first_day"), F.max("order_date").alias("last_day"))
+    orders = lake.fct_orders.groupBy(F.col("order_date").alias("date_day")).agg(F.count(F.lit(1)).alias("n"))
+    days = marts.calendar(marts.date_spine(bounds)).join(orders, "date_day", "left")
+    return days.withColumn("orders", F.coalesce("n", F.lit(0))).drop("n")
+
+
+@query
+def dedup_latest_items(lake: Lake) -> DataFrame:
+    keys = ["order_id", "r_id"]
+    return versions.dedup_latest(lake.raw("order_items"), keys, ["order_item_id", "f_id", "quantity", "line_amount"])
+
+
+@query
+def dedup_latest(lake: Lake) -> DataFrame:
+    return versions.dedup_latest(lake.raw_orders, "order_id").select("order_id", "order_status", *METADATA)
+
+
+# --- reviews -----------------------------------------------------------------------------
+
+
+@query
+def review_filter(lake: Lake) -> DataFrame:
+    args = reviews.ReviewQuery(
+        city="nation_3", date_from="1995-06-01", date_to="2000-12-31", sentiment="negative", max_restaurant_rating=4.5
+    )
+    return reviews.review_filter(lake.mart_review_search, args).drop("comment")
+
+
+def _question(lake: Lake):
+    """The vector of the lowest document stands for the embedded question."""
+    vectors = sample.table(lake.spark, lake.sf_dir, "embeddings")
+    return vectors.agg(F.min_by("embedding", "vec_id").alias("v")).scalar()
+
+
+@query
+def review_search(lake: Lake) -> DataFrame:
+    args = reviews.ReviewQuery(query="late delivery", sentiment="negative", k=10)
+    return reviews.review_search(lake.mart_review_search, lake.vectors, _question(lake), args)
+
+
+@query
+def review_search_summary(lake: Lake) -> DataFrame:
+    args = reviews.ReviewQuery(topic="delivery", date_from="1996-01-01")
+    return reviews.search_summary(lake.mart_review_search, lake.vectors, args)
+
+
+@query
+def reviews_to_enrich(lake: Lake) -> DataFrame:
+    return reviews.reviews_to_enrich(lake.stg_reviews, lake.labels)
+
+
+@query
+def next_reviews_to_enrich(lake: Lake) -> DataFrame:
+    """The batch of one run; the cap is the feature."""
+    return reviews.reviews_to_enrich(lake.stg_reviews, lake.labels, settings.REVIEWS_PER_RUN)
+
+
+@query
+def enrich_reviews(lake: Lake) -> DataFrame:
+    return reviews.rule_labels(lake.stg_reviews)
+
+
+@query
+def texts_to_embed(lake: Lake) -> DataFrame:
+    return reviews.texts_to_embed(lake.stg_reviews, lake.vectors)
+
+
+@query
+def embed_texts(lake: Lake) -> DataFrame:
+    return reviews.hashed_vectors(reviews.texts_to_embed(lake.stg_reviews, None)).drop("comment")
+
+
+# --- profile and reports -----------------------------------------------------------------
+
+
+@query
+def latest_dates(lake: Lake) -> DataFrame:
+    return reports.latest_dates(lake.fct_orders, lake.mart_daily_review_stats)
+
+
+@query
+def categorical_values(lake: Lake) -> DataFrame:
+    return reports.categorical_values(
+        {
+            "fct_orders": (lake.fct_orders, ["order_status", "payment_method"]),
+            "dim_customer": (lake.dim_customer, ["age_segment"]),
+            "dim_food": (lake.dim_food, ["veg_or_non_veg"]),
+            "mart_review_insights": (lake.mart_review_insights, ["sentiment_label", "topic"]),
+        }
+    )
+
+
+@query
+def top_cities(lake: Lake) -> DataFrame:
+    return reports.top_cities(lake.mart_daily_city_revenue)
+
+
+@query
+def late_arrivals(lake: Lake) -> DataFrame:
+    return reports.late_arrivals(lake.raw_orders)
+
+
+@query
+def status_changes(lake: Lake) -> DataFrame:
+    return reports.status_changes(lake.raw_orders)
+
+
+@query
+def amount_consistency(lake: Lake) -> DataFrame:
+    return reports.amount_consistency(lake.fct_orders, lake.fct_order_items)
+
+
+@query
+def anomaly_days(lake: Lake) -> DataFrame:
+    return reports.anomaly_days(lake.fct_orders, lake.stg_reviews)
+
+
+@query
+def daily_feed_summary(lake: Lake) -> DataFrame:
+    return reports.daily_feed_summary(
+        lake.raw_orders, lake.raw("order_items"), lake.raw_reviews, lake.raw("restaurants")
+    )
+
+
+@query
+def review_eligibility(lake: Lake) -> DataFrame:
+    return reports.review_eligibility(lake.stg_reviews, lake.raw_orders)
+
+
+# --- checks ------------------------------------------------------------------------------
+
+
+@query
+def dq_unique(lake: Lake) -> DataFrame:
+    return quality.duplicates(lake.raw("order_items"), "order_item_id")
+
+
+@query
+def dq_not_null(lake: Lake) -> DataFrame:
+    return quality.missing(lake.fct_orders_point_in_time, "restaurant_version_key")
+
+
+@query
+def dq_relationships(lake: Lake) -> DataFrame:
+    return quality.orphans(lake.fct_orders, "customer_id", lake.dim_customer, "customer_id")
+
+
+@query
+def dq_accepted_values(lake: Lake) -> DataFrame:
+    return quality.unexpected_values(lake.raw("food"), "veg_or_non_veg", ["Veg", "Non-veg"])
+
+
+@query
+def dq_report(lake: Lake) -> DataFrame:
+    return checks.full_report(lake)
+
+
+@query
+def reconcile_orders(lake: Lake) -> DataFrame:
+    return checks.reconcile_orders(lake.raw_orders, lake.fct_orders)
+
+
+@query
+def reconcile_orders_without_late(lake: Lake) -> DataFrame:
+    """Facts that missed late and re-sent rows do not reconcile."""
+    on_time = lake.raw_orders.where(scalars.file_date() == F.col("order_date"))
+    return checks.reconcile_orders(lake.raw_orders, marts.fct_orders(staging.stg_orders(on_time)))
+
+
+@query
+def reconcile_order_items(lake: Lake) -> DataFrame:
+    return checks.reconcile_order_items(lake.raw("order_items"), lake.raw_orders, lake.fct_order_items)
+
+
+@query
+def reconcile_items_without_late(lake: Lake) -> DataFrame:
+    on_time = lake.raw_orders.where(scalars.file_date() == F.col("order_date"))
+    items = marts.fct_order_items(lake.stg_order_items, staging.stg_orders(on_time))
+    return checks.reconcile_order_items(lake.raw("order_items"), lake.raw_orders, items)
+
+
+@query
+def assert_history_current(lake: Lake) -> DataFrame:
+    return checks.history_current(lake.restaurants_history, lake.stg_restaurants)

@@ -19,23 +19,33 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that a job wrote for itself."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def drop_partitions(spark: SparkSession, path: str, column: str, values) -> None:
     """Remove the folders of single partitions."""
     for value in values:
-        name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={name}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        remove(spark, f"{path}/{column}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}")
 
 
 def full_refresh(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Replace a whole table."""
+    df = balanced(df, partition_by) if partition_by else df
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
+def balanced(df: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Gather the rows of a partition into few files; a very large one is split over tasks."""
+    return df.hint("rebalance", *partition_by)
+
+
 def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
     """Replace exactly the partitions that ``df`` has rows for; a repeat changes nothing."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = balanced(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*partition_by).parquet(path)
 
 
@@ -56,4 +66,4 @@ def write_csv_drop(df: DataFrame, path: str, day_column: str | None = None) -> N
         df.write.mode("overwrite").options(**options).csv(path)
         return
     by_day = df.withColumnRenamed(day_column, "dt") if day_column != "dt" else df
-    by_day.write.mode("overwrite").options(**options).partitionBy("dt").csv(path)
+    balanced(by_day, ["dt"]).write.mode("overwrite").options(**options).partitionBy("dt").csv(path)
