@@ -27,6 +27,27 @@ def loaded_since(df: DataFrame, target: DataFrame, days: int = settings.LOOKBACK
     return df.where(F.col("_loaded_at") > lookback_cutoff(target, days).scalar())
 
 
+def recent_raw(raw: DataFrame, target: DataFrame | None, days: int = settings.LOOKBACK_DAYS) -> DataFrame:
+    """``loaded_since`` for RAW rows, as plain comparisons that reach the Parquet scan.
+
+    The cutoff is read first (one row). Rows without a load time count as the initial load. Where
+    the table has a ``_load_day`` partition, older days are not listed at all.
+    """
+    if target is None:
+        return raw
+    bounds = lookback_cutoff(target, days).select(
+        "cutoff",
+        F.to_date("cutoff").alias("day"),
+        (F.lit(settings.INITIAL_LOAD_AT).cast("timestamp") > F.col("cutoff")).alias("undated"),
+    )
+    cutoff, day, undated = bounds.head()
+    recent = F.col("_loaded_at") > F.lit(cutoff)
+    since = F.col("_load_day") >= F.lit(day) if "_load_day" in raw.columns else F.lit(True)
+    if undated:
+        recent, since = recent | F.col("_loaded_at").isNull(), since | F.col("_loaded_at").isNull()
+    return raw.where(recent & since)
+
+
 def append_new_columns(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """Union in which either side may lack columns; those are NULL there."""
     return existing.unionByName(incoming, allowMissingColumns=True)

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake import settings
-from orderlake.functions.scalars import loaded_at
 from orderlake.operators import upsert as incremental
 from orderlake.operators.versions import scd2_snapshot
 from orderlake.plans import checks, marts, reviews, staging
@@ -111,21 +110,13 @@ class Warehouse:
         return self.no_labels if found is None else found
 
 
-def _recent(raw: DataFrame, target: DataFrame | None, days: int) -> DataFrame:
-    """RAW rows inside the load-time window of the target; all rows for an empty target."""
-    if target is None:
-        return raw
-    cutoff = incremental.lookback_cutoff(target, days).head()["cutoff"]
-    return raw.where(loaded_at() > F.lit(cutoff))
-
-
 def refresh_orders(w: Warehouse, days: int = settings.LOOKBACK_DAYS) -> None:
     """Merge recently loaded orders. Only their RAW rows and their day partitions are read.
 
     The merge compares versions with the rows already there, so an old day that was loaded again
     does not replace anything, exactly as if all of RAW had been ranked.
     """
-    recent = _recent(w.raw("orders"), w.written("marts", "fct_orders"), days)
+    recent = incremental.recent_raw(w.raw("orders"), w.written("marts", "fct_orders"), days)
     updates = marts.fct_orders(staging.stg_orders(recent))
     incremental.upsert(w.spark, w.location("marts", "fct_orders"), updates, "order_id", "order_date")
 
@@ -136,7 +127,7 @@ def refresh_order_items(w: Warehouse, days: int = settings.LOOKBACK_DAYS) -> Non
     An item that comes more than the lookback before its order is left out until a rebuild; the
     reconciliation check reports it.
     """
-    recent = _recent(w.raw("order_items"), w.written("marts", "fct_order_items"), days)
+    recent = incremental.recent_raw(w.raw("order_items"), w.written("marts", "fct_order_items"), days)
     updates = marts.fct_order_items(staging.stg_order_items(recent), w.fct_orders)
     path = w.location("marts", "fct_order_items")
     incremental.upsert(w.spark, path, updates, "order_item_id", "order_date")

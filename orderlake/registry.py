@@ -36,6 +36,22 @@ class Lake:
     def raw_reviews(self) -> DataFrame:
         return self.raw("reviews")
 
+    @cached_property
+    def order_times(self) -> DataFrame:
+        """Times of all orders from one narrow scan, as the written fact table would give them."""
+        return sample.table(self.spark, self.sf_dir, "orders").select(sample.order_timestamp().alias("order_timestamp"))
+
+    @cached_property
+    def review_dates(self) -> DataFrame:
+        placed = F.col("o_orderdate").cast("date")
+        return sample.table(self.spark, self.sf_dir, "orders").select(F.date_add(placed, 1).alias("review_date"))
+
+    def written(self, name: str) -> DataFrame:
+        """A table written once, for queries that work on the table and not on its plan."""
+        path = shared_dir(self.spark, name)
+        tables.full_refresh(getattr(self, name), path)
+        return self.spark.read.parquet(path)
+
     @cached_property
     def labels(self) -> DataFrame:
         return sample.review_enriched(self.spark, self.sf_dir)
@@ -103,7 +119,7 @@ class Lake:
     @cached_property
     def fct_orders_point_in_time(self) -> DataFrame:
         return marts.fct_orders_point_in_time(
-            self.fct_orders, self.restaurants_history, self.dim_restaurants, span=self.raw_orders
+            self.fct_orders, self.restaurants_history, self.dim_restaurants, span=self.order_times
         )
 
     @cached_property
@@ -137,7 +153,7 @@ class Lake:
     @cached_property
     def mart_review_search(self) -> DataFrame:
         return marts.mart_review_search(
-            self.stg_reviews, self.restaurants_history, self.fct_orders, self.labels, span=self.raw_reviews
+            self.stg_reviews, self.restaurants_history, self.fct_orders, self.labels, span=self.review_dates
         )
 
 
@@ -179,10 +195,10 @@ def _data_columns(df: DataFrame) -> DataFrame:
     return df.drop(*METADATA)
 
 
-def _day_text(df: DataFrame) -> DataFrame:
-    """File rows with the day folder they belong to; undated rows go to the day 1900-01-01."""
-    day = F.coalesce(scalars.file_date(), F.lit(settings.BEGINNING_OF_TIME).cast("date"))
-    return _data_columns(df.withColumn("dt", F.date_format(day, "yyyy-MM-dd")))
+def _yearly(df: DataFrame) -> DataFrame:
+    """File rows with a folder day, the last day of their year; undated rows belong to 1900."""
+    year = F.coalesce(F.year(scalars.file_date()), F.lit(1900))
+    return _data_columns(df.withColumn("dt", F.concat(year.cast("string"), F.lit("-12-31"))))
 
 
 @query
@@ -222,7 +238,7 @@ def load_strict(lake: Lake) -> DataFrame:
 def load_metadata(lake: Lake) -> DataFrame:
     """Rows per file day, and the number of load times of the one load that read them."""
     drop = shared_dir(lake.spark, "load_metadata")
-    tables.write_csv_drop(_day_text(lake.raw("restaurants")), drop, "dt")
+    tables.write_csv_drop(_yearly(lake.raw("restaurants")), drop, "dt")
     loaded = csv_files.read_table(lake.spark.read, "restaurants", drop)
     return loaded.groupBy(scalars.file_date().alias("file_day")).agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("_loaded_at").alias("load_times")
@@ -231,10 +247,10 @@ def load_metadata(lake: Lake) -> DataFrame:
 
 @query
 def load_day(lake: Lake) -> DataFrame:
-    """One day's folder of restaurant changes."""
+    """The restaurant changes of one day's folder."""
     drop = shared_dir(lake.spark, "load_day")
-    tables.write_csv_drop(_day_text(lake.raw("restaurants")), f"{drop}/restaurants", "dt")
-    return _data_columns(csv_files.load_day(lake.spark, drop, "restaurants", "1995-10-18"))
+    tables.write_csv_drop(_yearly(lake.raw("restaurants")), f"{drop}/restaurants", "dt")
+    return _data_columns(csv_files.load_day(lake.spark, drop, "restaurants", "1996-12-31"))
 
 
 @query
@@ -249,12 +265,10 @@ def loaded_at_default(lake: Lake) -> DataFrame:
 
 def _yearly_drop(lake: Lake, path: str) -> tuple[str, str]:
     """Orders as CSV in two drops of yearly folders: first versions, then late and re-sent rows."""
-    day = scalars.file_date()
-    rows = lake.raw_orders.select("*", F.concat(F.year(day).cast("string"), F.lit("-12-31")).alias("dt"))
-    later = day > F.col("order_date")
+    later = scalars.file_date() > F.col("order_date")
     first, second = f"{path}/first", f"{path}/second"
-    tables.write_csv_drop(_data_columns(rows.where(~later)), first, "dt")
-    tables.write_csv_drop(_data_columns(rows.where(later)), second, "dt")
+    tables.write_csv_drop(_yearly(lake.raw_orders.where(~later)), first, "dt")
+    tables.write_csv_drop(_yearly(lake.raw_orders.where(later)), second, "dt")
     return first, second
 
 
@@ -268,7 +282,7 @@ def incremental_ingest(lake: Lake) -> DataFrame:
             lake.spark, "orders", source, f"{path}/raw", f"{path}/checkpoint/{source[-6:]}", label=source[-6:]
         ).awaitTermination()
     loaded = lake.spark.read.parquet(f"{path}/raw")
-    return loaded.drop("_source_file", "_loaded_at", "_load")
+    return loaded.drop(*METADATA, "_load_day", "_load")
 
 
 # --- written tables ----------------------------------------------------------------------
@@ -480,7 +494,7 @@ def _question(lake: Lake):
 @query
 def review_search(lake: Lake) -> DataFrame:
     args = reviews.ReviewQuery(query="late delivery", sentiment="negative", k=10)
-    return reviews.review_search(lake.mart_review_search, lake.vectors, _question(lake), args)
+    return reviews.review_search(lake.written("mart_review_search"), lake.vectors, _question(lake), args)
 
 
 @query

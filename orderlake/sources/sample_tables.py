@@ -73,6 +73,10 @@ def raw_restaurants(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_timestamp(day: str = "o_orderdate") -> Column:
+    return F.timestamp_add("SECOND", (F.col("o_orderkey") * 7919 % 86400).cast("int"), F.col(day))
+
+
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First versions of all orders and the re-sent ones; a day's late orders come a day later."""
     line = table(spark, sf_dir, "lineitem").select(
@@ -113,7 +117,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     amount = F.col("subtotal") - F.col("discount") + F.col("delivery_fee") + F.col("gst")
     return orders.select(
         o.alias("order_id"),
-        F.timestamp_add("SECOND", (o * 7919 % 86400).cast("int"), F.col("placed")).alias("order_timestamp"),
+        order_timestamp("placed").alias("order_timestamp"),
         "order_date",
         F.col("o_custkey").alias("user_id"),
         "r_id",

@@ -1,8 +1,8 @@
 """Files to RAW tables exactly once, and RAW rows to facts, with Structured Streaming.
 
 The checkpoint of a query is its list of files already loaded. Each micro-batch writes its own
-``_load`` partition with dynamic overwrite, so a batch that is repeated after a failure replaces
-itself. No watermark is used anywhere: late rows must not be dropped.
+partition (``_load_day``, ``_load``) with dynamic overwrite; a batch that is repeated after a failure
+has the time of its first try and replaces itself. No watermark is used anywhere: late rows must not be dropped.
 """
 
 from __future__ import annotations
@@ -42,8 +42,8 @@ def ingest(
     rows = read_table(spark.readStream, table, source)
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        load = f"{label}{batch_id:06d}"
-        tables.overwrite_partitions(batch.withColumn("_load", F.lit(load)), raw_path, ["_load"])
+        load = {"_load_day": F.to_date("_loaded_at"), "_load": F.lit(f"{label}{batch_id:06d}")}
+        tables.overwrite_partitions(batch.withColumns(load), raw_path, ["_load_day", "_load"])
 
     return _start(rows, save, checkpoint, every)
 
