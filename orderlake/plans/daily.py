@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,11 +16,10 @@ from orderlake.sources import tables
 from orderlake.sources.schemas import TABLES
 from orderlake.streaming.ingest import ingest_day
 
-MART_TABLES = (
-    "dim_customer dim_restaurants dim_food dim_date dim_restaurants_history mart_daily_city_revenue "
-    "mart_restaurant_performance mart_delivery_sla mart_restaurant_price_changes mart_daily_review_stats"
-).split()
-REVIEW_MARTS = ("mart_review_insights", "mart_review_search")
+LABEL_SCHEMA = (
+    "review_id bigint, sentiment_label string, sentiment_score double, topic string, key_issue string, model string, "
+    "enrichment_at timestamp"
+)
 
 
 class Warehouse:
@@ -38,12 +36,15 @@ class Warehouse:
         return tables.read(self.spark, path) if tables.exists(self.spark, path) else None
 
     def raw(self, name: str) -> DataFrame:
-        found = self.written("raw", name)
-        if found is not None:
-            return found
-        types = {"whole": "bigint"}
-        columns = [f"{c} {types.get(t, t)}" for c, t in TABLES[name].columns]
-        return self.spark.createDataFrame([], ", ".join([*columns, "_source_file string", "_loaded_at timestamp"]))
+        path, schema = self.location("raw", name), TABLES[name].stored_schema
+        return self.spark.read.schema(schema).parquet(path) if tables.exists(self.spark, path) else self._empty(schema)
+
+    def _empty(self, schema) -> DataFrame:
+        return self.spark.createDataFrame([], schema)
+
+    def _fact(self, name: str, plan: Callable[[], DataFrame]) -> DataFrame:
+        found = self.written("marts", name)
+        return self._empty(plan().schema) if found is None else found
 
     def mart(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.location("marts", name))
@@ -74,11 +75,11 @@ class Warehouse:
 
     @property
     def fct_orders(self) -> DataFrame:
-        return tables.read(self.spark, self.location("marts", "fct_orders"))
+        return self._fact("fct_orders", lambda: marts.fct_orders(self.stg_orders))
 
     @property
     def fct_order_items(self) -> DataFrame:
-        return tables.read(self.spark, self.location("marts", "fct_order_items"))
+        return self._fact("fct_order_items", lambda: marts.fct_order_items(self.stg_order_items, self.stg_orders))
 
     @property
     def restaurants_history(self) -> DataFrame:
@@ -96,18 +97,10 @@ class Warehouse:
     def mart_review_search(self) -> DataFrame:
         return self.mart("mart_review_search")
 
-    @cached_property
-    def no_labels(self) -> DataFrame:
-        return self.spark.createDataFrame(
-            [],
-            "review_id bigint, sentiment_label string, sentiment_score double, topic string, key_issue string, "
-            "model string, enrichment_at timestamp",
-        )
-
     @property
     def labels(self) -> DataFrame:
         found = self.written("ai", "review_enriched")
-        return self.no_labels if found is None else found
+        return self._empty(LABEL_SCHEMA) if found is None else found
 
 
 def refresh_orders(w: Warehouse, days: int = settings.LOOKBACK_DAYS) -> None:

@@ -193,9 +193,12 @@ def anomaly_days(orders: DataFrame, reviews: DataFrame, percent: int = 140, min_
 
 
 def trace_fields(rows: DataFrame, text_column: str, keep: list[str]) -> DataFrame:
-    """JSON text as one row per field: path, value as text, and as a number where it is one."""
+    """JSON text as one row per field: its value as text, and as a number where it is one.
+
+    Text that is not JSON gives one row without a field.
+    """
     parsed = rows.select(*keep, F.try_parse_json(text_column).alias("_trace"))
-    fields = parsed.lateralJoin(parsed.sparkSession.tvf.variant_explode(F.col("_trace").outer()))
+    fields = parsed.lateralJoin(parsed.sparkSession.tvf.variant_explode_outer(F.col("_trace").outer()))
     return fields.select(
         *keep,
         F.col("key"),

@@ -25,6 +25,12 @@ class RawTable:
     def text_schema(self) -> T.StructType:
         return T.StructType([T.StructField(name, T.StringType()) for name in self.names])
 
+    @property
+    def stored_schema(self) -> str:
+        """Columns of the RAW table as written: typed columns, load metadata, load partitions."""
+        typed = [f"{name} {'bigint' if kind == 'whole' else kind}" for name, kind in self.columns]
+        return ", ".join([*typed, "_source_file string", "_loaded_at timestamp", "_load_day date", "_load string"])
+
 
 def _text(names: str) -> tuple[tuple[str, str], ...]:
     return tuple((name, "string") for name in names.split())

@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """True when the folder is there, on any file system Spark can reach."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+    """True when the folder holds files or partitions, on any file system Spark can reach."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return False
+    names = [entry.getPath().getName() for entry in files.listStatus(folder)]
+    return any("=" in name or not name.startswith(("_", ".")) for name in names)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
