@@ -281,12 +281,13 @@ def price_changes(history: DataFrame) -> DataFrame:
 
 
 def mart_restaurant_price_changes(
-    orders: DataFrame, history: DataFrame, restaurants: DataFrame, days: int = 7
+    orders: DataFrame, history: DataFrame, restaurants: DataFrame, days: int = 7, span: DataFrame | None = None
 ) -> DataFrame:
     """Orders and delivered revenue in the days before and after each price change.
 
     A change takes effect at midnight, so the two windows are whole days: orders are summed per
     restaurant and day once, each change asks for its days by equality, and no range join is needed.
+    ``span`` may be any frame with the same newest ``order_timestamp`` that is cheaper to read.
     """
     paid_null = F.col("is_delivered") & F.col("sales_amount").isNull()
     daily = orders.groupBy("restaurant_id", F.col("order_timestamp").cast("date").alias("day")).agg(
@@ -294,7 +295,7 @@ def mart_restaurant_price_changes(
         F.sum(_paid_if(F.col("is_delivered"))).alias("revenue"),
         F.count_if(paid_null).alias("unpriced"),
     )
-    last_order = orders.agg(F.max("order_timestamp").alias("ts"))
+    last_order = (orders if span is None else span).agg(F.max("order_timestamp").alias("ts"))
     changes = price_changes(history)
     wanted = changes.select("*", F.explode(F.sequence(F.lit(-days), F.lit(days - 1))).alias("offset")).select(
         "*", F.date_add("changed_on", F.col("offset")).alias("day")

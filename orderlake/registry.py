@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,28 +23,52 @@ class Lake:
     """The platform's tables as lazy frames over one test directory."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = tune(spark), sf_dir
+        self.spark, self.sf_dir = spark, sf_dir
+        self.source = lru_cache(maxsize=None)(self.source)
+
+    def source(self, name: str) -> DataFrame:
+        return sample.table(self.spark, self.sf_dir, name)
 
     def raw(self, name: str) -> DataFrame:
-        return sample.RAW[name](self.spark, self.sf_dir)
+        return getattr(self, f"raw_{name}")
+
+    @cached_property
+    def raw_restaurants(self) -> DataFrame:
+        return sample.raw_restaurants(self.source)
+
+    @cached_property
+    def raw_users(self) -> DataFrame:
+        return sample.raw_users(self.source)
+
+    @cached_property
+    def raw_food(self) -> DataFrame:
+        return sample.raw_food(self.source)
+
+    @cached_property
+    def raw_menu(self) -> DataFrame:
+        return sample.raw_menu(self.source)
 
     @cached_property
     def raw_orders(self) -> DataFrame:
-        return self.raw("orders")
+        return sample.raw_orders(self.source)
+
+    @cached_property
+    def raw_order_items(self) -> DataFrame:
+        return sample.raw_order_items(self.source)
 
     @cached_property
     def raw_reviews(self) -> DataFrame:
-        return self.raw("reviews")
+        return sample.raw_reviews(self.source)
 
     @cached_property
     def order_times(self) -> DataFrame:
         """Times of all orders from one narrow scan, as the written fact table would give them."""
-        return sample.table(self.spark, self.sf_dir, "orders").select(sample.order_timestamp().alias("order_timestamp"))
+        return self.source("orders").select(sample.order_timestamp().alias("order_timestamp"))
 
     @cached_property
     def review_dates(self) -> DataFrame:
         placed = F.col("o_orderdate").cast("date")
-        return sample.table(self.spark, self.sf_dir, "orders").select(F.date_add(placed, 1).alias("review_date"))
+        return self.source("orders").select(F.date_add(placed, 1).alias("review_date"))
 
     def written(self, name: str) -> DataFrame:
         """A table written once, for queries that work on the table and not on its plan."""
@@ -54,11 +78,11 @@ class Lake:
 
     @cached_property
     def labels(self) -> DataFrame:
-        return sample.review_enriched(self.spark, self.sf_dir)
+        return sample.review_enriched(self.source)
 
     @cached_property
     def vectors(self) -> DataFrame:
-        return sample.review_embeddings(self.spark, self.sf_dir)
+        return sample.review_embeddings(self.source)
 
     @cached_property
     def stg_orders(self) -> DataFrame:
@@ -136,7 +160,9 @@ class Lake:
 
     @cached_property
     def mart_restaurant_price_changes(self) -> DataFrame:
-        return marts.mart_restaurant_price_changes(self.fct_orders, self.restaurants_history, self.dim_restaurants)
+        return marts.mart_restaurant_price_changes(
+            self.fct_orders, self.restaurants_history, self.dim_restaurants, span=self.order_times
+        )
 
     @cached_property
     def mart_daily_review_stats(self) -> DataFrame:
@@ -157,12 +183,22 @@ class Lake:
         )
 
 
+@lru_cache(maxsize=4)
+def _plans(spark: SparkSession, sf_dir: str) -> Lake:
+    return Lake(spark, sf_dir)
+
+
+def lake_of(spark: SparkSession, sf_dir: str) -> Lake:
+    """The lake of a directory; plans that several queries share are analysed once per session."""
+    return _plans(tune(spark), sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def _model(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return getattr(Lake(spark, sf_dir), name)
+        return getattr(lake_of(spark, sf_dir), name)
 
     run.__name__ = name
     return run
@@ -181,7 +217,7 @@ def query(fn: Callable[[Lake], DataFrame]) -> Callable[[Lake], DataFrame]:
     """Register a query under its function name."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(Lake(spark, sf_dir))
+        return fn(lake_of(spark, sf_dir))
 
     run.__name__ = fn.__name__
     QUERIES[fn.__name__] = run
@@ -399,7 +435,7 @@ def insert_if_absent(lake: Lake) -> DataFrame:
 @query
 def trace_log_flatten(lake: Lake) -> DataFrame:
     """JSON traces of events, summed per event type and field."""
-    events = sample.table(lake.spark, lake.sf_dir, "events")
+    events = lake.source("events")
     fields = reports.trace_fields(events, "props", ["event_type"])
     return fields.groupBy("event_type", "key").agg(
         F.count(F.lit(1)).alias("n"), F.sum("value_number").alias("total"), F.min("value_text").alias("first_text")
@@ -487,7 +523,7 @@ def review_filter(lake: Lake) -> DataFrame:
 
 def _question(lake: Lake):
     """The vector of the lowest document stands for the embedded question."""
-    vectors = sample.table(lake.spark, lake.sf_dir, "embeddings")
+    vectors = lake.source("embeddings")
     return vectors.agg(F.min_by("embedding", "vec_id").alias("v")).scalar()
 
 

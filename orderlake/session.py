@@ -38,6 +38,8 @@ def local_session(cores: int | str = 8, app: str = "orderlake") -> SparkSession:
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Building an expression need not record the Python line it came from.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     return tune(builder.getOrCreate())
 

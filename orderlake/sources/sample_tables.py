@@ -7,12 +7,15 @@ twice, repeated values, junk ids, wrong amounts, missing comments.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake.functions.scalars import text_hash
 
 CUISINES = ("North Indian", "Chinese", "South Indian", "Pizzas")
+Source = Callable[[str], DataFrame]
 PAYMENT_METHODS = ("UPI", "Card", "Wallet", "COD", "NetBanking")
 
 
@@ -37,12 +40,12 @@ def _text(value: Column) -> Column:
     return value.cast("string")
 
 
-def raw_restaurants(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_restaurants(table: Source) -> DataFrame:
     s, k = F.col("s_suppkey"), F.col("k")
     feeds = F.sequence(F.lit(0), F.when(s % 10 == 3, 7).otherwise(6))
-    nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
+    nations = table("nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
     files = (
-        table(spark, sf_dir, "supplier")
+        table("supplier")
         .join(nations, "s_nationkey")
         .select("s_suppkey", "s_name", "n_name", F.explode(feeds).alias("feed"))
         # Feed 7 is the file of feed 2 loaded a day later with another price.
@@ -77,9 +80,9 @@ def order_timestamp(day: str = "o_orderdate") -> Column:
     return F.timestamp_add("SECOND", (F.col("o_orderkey") * 7919 % 86400).cast("int"), F.col(day))
 
 
-def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_orders(table: Source) -> DataFrame:
     """First versions of all orders and the re-sent ones; a day's late orders come a day later."""
-    line = table(spark, sf_dir, "lineitem").select(
+    line = table("lineitem").select(
         F.col("l_orderkey").alias("o_orderkey"),
         "l_suppkey",
         "l_partkey",
@@ -92,8 +95,8 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum((F.lit(100) + F.col("l_partkey") % 400) * F.col("quantity")).alias("subtotal"),
     )
     places = (
-        table(spark, sf_dir, "supplier")
-        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+        table("supplier")
+        .join(table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         .select(F.col("s_suppkey").alias("r_id"), "n_name")
     )
     o, r = F.col("o_orderkey"), F.col("r_id")
@@ -101,7 +104,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     late = o % 50 == 7
     resent = delivered & ~late & (o % 97 == 5)
     orders = (
-        table(spark, sf_dir, "orders")
+        table("orders")
         .select("o_orderkey", "o_custkey", F.col("o_orderdate").alias("placed"), F.col("o_orderdate").cast("date").alias("order_date"))
         .join(baskets, "o_orderkey", "left")
         .join(places, "r_id", "left")
@@ -140,12 +143,12 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_order_items(table: Source) -> DataFrame:
     key, number = F.col("l_orderkey"), F.col("l_linenumber")
     price = F.lit(100) + F.col("l_partkey") % 400
     quantity = F.col("l_quantity").cast("bigint")
     wrong = F.when((key % 307 == 0) & (number == 1), 1).otherwise(0)
-    return table(spark, sf_dir, "lineitem").select(
+    return table("lineitem").select(
         (key * 10 + number).alias("order_item_id"),
         key.alias("order_id"),
         F.col("l_suppkey").alias("r_id"),
@@ -158,9 +161,9 @@ def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_users(table: Source) -> DataFrame:
     c = F.col("c_custkey")
-    return table(spark, sf_dir, "customer").select(
+    return table("customer").select(
         _text(c).alias("_idx"),
         F.when(c % 89 == 88, F.concat(F.lit("u"), _text(c))).otherwise(_text(c)).alias("user_id"),
         F.col("c_name").alias("name"),
@@ -178,9 +181,9 @@ def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_food(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_food(table: Source) -> DataFrame:
     p = F.col("p_partkey")
-    return table(spark, sf_dir, "part").select(
+    return table("part").select(
         _text(p).alias("_idx"),
         F.when(p % 101 != 100, F.concat(F.lit("fd"), _text(p))).alias("f_id"),
         F.col("p_name").alias("item"),
@@ -190,10 +193,10 @@ def raw_food(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_menu(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_menu(table: Source) -> DataFrame:
     p = F.col("p_partkey")
-    restaurants = table(spark, sf_dir, "supplier").agg(F.count(F.lit(1)).alias("n")).scalar()
-    return table(spark, sf_dir, "part").select(
+    restaurants = table("supplier").agg(F.count(F.lit(1)).alias("n")).scalar()
+    return table("part").select(
         _text(p).alias("_idx"),
         F.concat(F.lit("mn"), _text(p % 100)).alias("menu_id"),
         F.when(p % 77 == 0, "x").otherwise(_text(p % restaurants)).alias("r_id"),
@@ -205,16 +208,16 @@ def raw_menu(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_reviews(table: Source) -> DataFrame:
     """Documents as reviews of orders; odd ones name a restaurant that is not the order's."""
     doc = F.col("doc_id")
-    n_orders = table(spark, sf_dir, "orders").agg(F.count(F.lit(1)).alias("n")).scalar()
-    n_restaurants = table(spark, sf_dir, "supplier").agg(F.count(F.lit(1)).alias("n")).scalar()
+    n_orders = table("orders").agg(F.count(F.lit(1)).alias("n")).scalar()
+    n_restaurants = table("supplier").agg(F.count(F.lit(1)).alias("n")).scalar()
     first_restaurant = (
-        table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.min("l_suppkey").alias("r_id"))
+        table("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.min("l_suppkey").alias("r_id"))
     )
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("placed_on"))
-    texts = table(spark, sf_dir, "documents").select("doc_id", "text", (doc * 7 % n_orders).alias("o_orderkey"))
+    orders = table("orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("placed_on"))
+    texts = table("documents").select("doc_id", "text", (doc * 7 % n_orders).alias("o_orderkey"))
     written = texts.join(orders, "o_orderkey").join(first_restaurant, "o_orderkey", "left")
     return written.select(
         doc.alias("review_id"),
@@ -229,12 +232,12 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def review_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+def review_enriched(table: Source) -> DataFrame:
     """Labels of some reviews; every tenth review was labelled twice."""
     doc, toxic, quality = F.col("doc_id"), F.col("toxic"), F.col("quality")
     runs = F.when(doc % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     first = F.when(F.col("run") == 0, F.lit("2024-01-01")).otherwise(F.lit("2024-03-01")).cast("date")
-    rows = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic", F.explode(runs).alias("run"))
+    rows = table("labels").select("doc_id", "quality", "toxic", F.explode(runs).alias("run"))
     topics = ("food quality", "delivery", "pricing", "service", "packaging", "other")
     return rows.select(
         doc.alias("review_id"),
@@ -247,23 +250,13 @@ def review_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def review_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def review_embeddings(table: Source) -> DataFrame:
     """One vector per distinct text, that of the lowest document."""
-    texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("vec_id"), "text")
-    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    texts = table("documents").select(F.col("doc_id").alias("vec_id"), "text")
+    vectors = table("embeddings").select("vec_id", "embedding")
     known = texts.join(vectors, "vec_id").select(
         text_hash("text").alias("comment_hash"), F.struct("vec_id", "text", "embedding").alias("row")
     )
     lowest = known.groupBy("comment_hash").agg(F.min_by("row", F.col("row.vec_id")).alias("row"))
     return lowest.select("comment_hash", F.col("row.text").alias("comment"), F.col("row.embedding").alias("embedding"))
 
-
-RAW = {
-    "restaurants": raw_restaurants,
-    "users": raw_users,
-    "food": raw_food,
-    "menu": raw_menu,
-    "orders": raw_orders,
-    "order_items": raw_order_items,
-    "reviews": raw_reviews,
-}

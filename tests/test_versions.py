@@ -32,7 +32,7 @@ def test_latest_version(spark):
 
 
 def test_hot_key_is_cut_before_the_shuffle(spark):
-    raw = sample.raw_order_items(spark, "/root/testdata/sf0.001")
+    raw = sample.raw_order_items(lambda name: sample.table(spark, "/root/testdata/sf0.001", name))
     plan = versions.dedup_latest(raw, "order_id")._jdf.queryExecution().executedPlan().toString()
     exchange = plan.index("Exchange hashpartitioning")
     assert "row_number(), 1, Partial" in plan[exchange:] and "row_number(), 1, Final" in plan[:exchange]
