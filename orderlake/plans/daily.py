@@ -69,6 +69,14 @@ class Warehouse:
     def stg_users(self) -> DataFrame:
         return staging.stg_users(self.raw("users"))
 
+    @property
+    def stg_food(self) -> DataFrame:
+        return staging.stg_food(self.raw("food"))
+
+    @property
+    def stg_menu(self) -> DataFrame:
+        return staging.stg_menu(self.raw("menu"))
+
     @property
     def stg_reviews(self) -> DataFrame:
         return staging.stg_reviews(self.raw("reviews"), self.stg_restaurants)
@@ -103,18 +111,19 @@ class Warehouse:
         return self._empty(LABEL_SCHEMA) if found is None else found
 
 
-def refresh_orders(w: Warehouse, days: int = settings.LOOKBACK_DAYS) -> None:
-    """Merge recently loaded orders. Only their RAW rows and their day partitions are read.
+def refresh_orders(w: Warehouse, days: int = settings.LOOKBACK_DAYS, fixed_partition: bool = False) -> None:
+    """Merge recently loaded orders: only their RAW rows and the day partitions they touch are read.
 
     The merge compares versions with the rows already there, so an old day that was loaded again
-    does not replace anything, exactly as if all of RAW had been ranked.
+    does not replace anything, exactly as if all of RAW had been ranked. ``fixed_partition`` is
+    for feeds in which an order never changes its date; it saves a look at all order ids.
     """
     recent = incremental.recent_raw(w.raw("orders"), w.written("marts", "fct_orders"), days)
     updates = marts.fct_orders(staging.stg_orders(recent))
-    incremental.upsert(w.spark, w.location("marts", "fct_orders"), updates, "order_id", "order_date")
+    incremental.upsert(w.spark, w.location("marts", "fct_orders"), updates, "order_id", "order_date", fixed_partition=fixed_partition)
 
 
-def refresh_order_items(w: Warehouse, days: int = settings.LOOKBACK_DAYS) -> None:
+def refresh_order_items(w: Warehouse, days: int = settings.LOOKBACK_DAYS, fixed_partition: bool = False) -> None:
     """Merge recently loaded items of known orders.
 
     An item that comes more than the lookback before its order is left out until a rebuild; the
@@ -123,7 +132,7 @@ def refresh_order_items(w: Warehouse, days: int = settings.LOOKBACK_DAYS) -> Non
     recent = incremental.recent_raw(w.raw("order_items"), w.written("marts", "fct_order_items"), days)
     updates = marts.fct_order_items(staging.stg_order_items(recent), w.fct_orders)
     path = w.location("marts", "fct_order_items")
-    incremental.upsert(w.spark, path, updates, "order_item_id", "order_date")
+    incremental.upsert(w.spark, path, updates, "order_item_id", "order_date", fixed_partition=fixed_partition)
 
 
 def apply_snapshot(
@@ -146,10 +155,10 @@ def apply_snapshot(
     tables.overwrite_partitions(after, path, ["_closed_on"])
 
 
-def build_core(w: Warehouse, run_at: Column) -> None:
+def build_core(w: Warehouse, run_at: Column, fixed_dates: bool = False) -> None:
     """Facts, dimensions, history, snapshot and the marts that need no labels."""
-    refresh_orders(w)
-    refresh_order_items(w)
+    refresh_orders(w, fixed_partition=fixed_dates)
+    refresh_order_items(w, fixed_partition=fixed_dates)
     restaurants, orders = w.stg_restaurants, w.fct_orders
     apply_snapshot(
         w.spark, w.location("snapshots", "restaurants"), restaurants, "restaurant_id", marts.TRACKED, run_at
@@ -160,7 +169,7 @@ def build_core(w: Warehouse, run_at: Column) -> None:
 
     save("dim_customer", marts.dim_customer(w.stg_users, w.pii_masking))
     save("dim_restaurants", marts.dim_restaurants(restaurants))
-    save("dim_food", marts.dim_food(staging.stg_food(w.raw("food"))))
+    save("dim_food", marts.dim_food(w.stg_food))
     save("dim_date", marts.dim_date(w.spark))
     save("dim_restaurants_history", marts.dim_restaurants_history(w.stg_restaurant_versions))
     save("mart_daily_city_revenue", marts.mart_daily_city_revenue(orders))
@@ -204,6 +213,31 @@ def build_review_marts(w: Warehouse) -> None:
     tables.full_refresh(search, w.location("marts", "mart_review_search"))
 
 
+VIEWS = (
+    "stg_orders stg_order_items stg_restaurant_versions stg_restaurants stg_users stg_food stg_menu stg_reviews "
+    "fct_orders fct_order_items fct_orders_point_in_time"
+).split()
+MARTS = (
+    "dim_customer dim_restaurants dim_food dim_date dim_restaurants_history mart_daily_city_revenue "
+    "mart_restaurant_performance mart_delivery_sla mart_restaurant_price_changes mart_daily_review_stats "
+    "mart_review_insights mart_review_search"
+).split()
+
+
+def register_views(w: Warehouse, for_analysts: bool = False) -> list[str]:
+    """Make the tables known to ``spark.sql`` by name.
+
+    Analysts get the facts, dimensions and marts without personal and technical columns, and no
+    staging rows.
+    """
+    frames = {name: w.mart(name) for name in MARTS} | {
+        name: getattr(w, name) for name in VIEWS if not (for_analysts and name.startswith("stg_"))
+    }
+    for name, df in frames.items():
+        (marts.analyst_projection(df) if for_analysts else df).createOrReplaceTempView(name)
+    return sorted(frames)
+
+
 def quality_report(w: Warehouse) -> DataFrame:
     """All checks, reconciliations included."""
     extra = [
@@ -229,16 +263,17 @@ def run_day(
     review_limit: int | None = settings.REVIEWS_PER_RUN,
     text_limit: int | None = settings.TEXTS_PER_RUN,
     pii_masking: bool = False,
+    fixed_dates: bool = False,
 ) -> DataFrame:
     """Run one logical day and return the quality report. Days run one after another, in order.
 
-    A repeated day loads no file twice and leaves every table as it was.
+    ``fixed_dates`` promises that an order keeps its date when it is sent again. A repeated day loads no file twice and leaves every table as it was.
     """
     run_at = F.current_timestamp() if run_at is None else run_at
     w = Warehouse(spark, warehouse, pii_masking)
     for table in TABLES:
         ingest_day(spark, lake, table, ds, w.path)
-    build_core(w, run_at)
+    build_core(w, run_at, fixed_dates)
     enrich(w, labeller, model, run_at, review_limit)
     embed(w, encoder, model, run_at, text_limit)
     build_review_marts(w)

@@ -16,8 +16,6 @@ TUNING = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Bloom filters prune the big side of a selective shuffle join.
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
-    # A day or month re-run replaces only its own partitions.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 

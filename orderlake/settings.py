@@ -1,4 +1,4 @@
-"""Fixed values shared by the plans."""
+"""Dates, limits, word lists and domains the results depend on."""
 
 # Load time assumed for rows that were loaded before load metadata existed.
 INITIAL_LOAD_AT = "2026-07-01"

@@ -40,6 +40,13 @@ def test_messy_dimension_file(spark, tmp_path):
     ]
 
 
+def test_long_quoted_fields(spark, tmp_path):
+    value = 'a ""b"", ' * 20000
+    put(tmp_path, "food.csv", f'i,f,item,v\n0,fd0,"{value}",Veg\n1,fd1,"{value},Veg\n2,fd2,""x,Veg\n3,fd3,{"," * 5000}\n')
+    got = csv_files.read_table(spark.read, "food", str(tmp_path))
+    assert rows(got, "f_id", F.length("item").alias("n")) == [("fd0", len(value.replace('""', '"'))), ("fd3", None)]
+
+
 ORDER = "1,2026-09-01 10:00:00,2026-09-01,5,7,\"Kothrud,Pune\",Pizzas,1,2,100,0,20,5,125,INR,UPI,Delivered,{rating},{minutes}"
 HEADER = ",".join(f"c{i}" for i in range(19))
 

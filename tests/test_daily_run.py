@@ -7,7 +7,7 @@ from helpers import day, rows
 from pyspark.sql import functions as F
 
 from orderlake.plans import daily
-from orderlake.plans.reviews import ReviewQuery, hashed_vectors, question_vector, review_search
+from orderlake.plans.reviews import ReviewQuery, hashed_vectors, question_vector, review_search, search_reviews
 from orderlake.sources.schemas import TABLES
 from orderlake.streaming import ingest
 
@@ -120,6 +120,28 @@ def test_labels_vectors_and_search(spark, warehouse):
         ("Arrived way too late.", 2, 23, 3), ("Arrived way too late.", 2, 21, 1)]
 
 
+def test_sql_on_views(spark, warehouse):
+    w, _ = warehouse
+    daily.register_views(w)
+    top = spark.sql("SELECT city, sum(gmv) AS gmv FROM mart_daily_city_revenue GROUP BY city ORDER BY gmv DESC LIMIT 1")
+    assert rows(top) == [("Pune", 375)]
+    assert rows(spark.sql("SELECT email FROM stg_users")) == [("jane.doe@example.com",)]
+    names = daily.register_views(w, for_analysts=True)
+    assert "stg_users" not in names and "email" not in spark.table("dim_customer").columns
+    assert not [c for c in spark.table("fct_orders").columns if c.startswith("_")]
+
+
+def test_search_from_plain_arguments(warehouse):
+    w, _ = warehouse
+    mart, vectors = w.mart_review_search, w.written("ai", "review_embeddings")
+    found = search_reviews(mart, vectors, hashed_vectors, query="arrived too late", city="pune", k=1)
+    assert (found["matching_reviews"], found["filters"], found["note"]) == (3, {"city": "pune"}, None)
+    [best] = found["results"]
+    assert (best["text"], best["reviews"], [e["review_id"] for e in best["examples"]]) == ("Arrived way too late.", 2, [23, 21])
+    assert search_reviews(mart, vectors, hashed_vectors, city="Nowhere")["results"] == []
+    assert "invalid arguments" in search_reviews(mart, vectors, hashed_vectors, sentiment="angry")["error"]
+
+
 def test_a_repeated_day_changes_nothing(spark, lake, warehouse):
     w, _ = warehouse
     names = ["dim_restaurants_history", "mart_daily_city_revenue", "mart_review_search", "mart_review_insights"]
