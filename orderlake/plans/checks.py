@@ -12,7 +12,9 @@ from orderlake.operators.quality import drift, orphans, unexpected_values
 from orderlake.operators.versions import dedup_latest
 
 
-def key_checks(name: str, df: DataFrame, key: str, unique: bool, not_null: Sequence[str], warn: Sequence[str] = ()) -> DataFrame:
+def key_checks(
+    name: str, df: DataFrame, key: str, unique: bool, not_null: Sequence[str], warn: Sequence[str] = ()
+) -> DataFrame:
     """Uniqueness of the key and all not-NULL checks of a table in one pass.
 
     Rows are counted per key once; every check is then a sum over keys.
@@ -27,13 +29,11 @@ def key_checks(name: str, df: DataFrame, key: str, unique: bool, not_null: Seque
         failures = F.coalesce(F.sum(f"_null_{i}"), F.lit(0))
         results.append((f"not_null {name}.{c}", "warn" if c in warn else "error", failures))
     totals = per_key.agg(*[f.alias(f"_r{i}") for i, (_, _, f) in enumerate(results)])
-    rows = F.array(
-        *[
-            F.struct(F.lit(check).alias("check_name"), F.lit(severity).alias("severity"), F.col(f"_r{i}").alias("failures"))
-            for i, (check, severity, _) in enumerate(results)
-        ]
-    )
-    return totals.select(F.inline(rows))
+    rows = [
+        F.struct(F.lit(check).alias("check_name"), F.lit(level).alias("severity"), F.col(f"_r{i}").alias("failures"))
+        for i, (check, level, _) in enumerate(results)
+    ]
+    return totals.select(F.inline(F.array(*rows)))
 
 
 def counted(check: str, severity: str, failing: DataFrame) -> DataFrame:
@@ -49,8 +49,9 @@ def with_status(report: DataFrame) -> DataFrame:
 
 def full_report(t) -> DataFrame:
     """All schema checks over the tables of ``t`` (attributes named like the tables)."""
+    order_columns = ["order_id", "customer_id", "restaurant_id", "_loaded_at"]
     parts = [
-        key_checks("stg_orders", t.stg_orders, "order_id", True, ["order_id", "customer_id", "restaurant_id", "_loaded_at"]),
+        key_checks("stg_orders", t.stg_orders, "order_id", True, order_columns),
         key_checks("stg_order_items", t.stg_order_items, "order_item_id", True, ["order_item_id"]),
         key_checks("stg_restaurants", t.stg_restaurants, "restaurant_id", True, ["restaurant_id"]),
         key_checks("stg_users", t.stg_users, "customer_id", True, ["customer_id"]),

@@ -42,10 +42,6 @@ class Warehouse:
     def _empty(self, schema) -> DataFrame:
         return self.spark.createDataFrame([], schema)
 
-    def _fact(self, name: str, plan: Callable[[], DataFrame]) -> DataFrame:
-        found = self.written("marts", name)
-        return self._empty(plan().schema) if found is None else found
-
     def mart(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.location("marts", name))
 
@@ -83,11 +79,15 @@ class Warehouse:
 
     @property
     def fct_orders(self) -> DataFrame:
-        return self._fact("fct_orders", lambda: marts.fct_orders(self.stg_orders))
+        found = self.written("marts", "fct_orders")
+        return self._empty(marts.fct_orders(self.stg_orders).schema) if found is None else found
 
     @property
     def fct_order_items(self) -> DataFrame:
-        return self._fact("fct_order_items", lambda: marts.fct_order_items(self.stg_order_items, self.stg_orders))
+        found = self.written("marts", "fct_order_items")
+        if found is None:
+            return self._empty(marts.fct_order_items(self.stg_order_items, self.stg_orders).schema)
+        return found
 
     @property
     def restaurants_history(self) -> DataFrame:
@@ -120,7 +120,8 @@ def refresh_orders(w: Warehouse, days: int = settings.LOOKBACK_DAYS, fixed_parti
     """
     recent = incremental.recent_raw(w.raw("orders"), w.written("marts", "fct_orders"), days)
     updates = marts.fct_orders(staging.stg_orders(recent))
-    incremental.upsert(w.spark, w.location("marts", "fct_orders"), updates, "order_id", "order_date", fixed_partition=fixed_partition)
+    path = w.location("marts", "fct_orders")
+    incremental.upsert(w.spark, path, updates, "order_id", "order_date", fixed_partition=fixed_partition)
 
 
 def refresh_order_items(w: Warehouse, days: int = settings.LOOKBACK_DAYS, fixed_partition: bool = False) -> None:
@@ -180,7 +181,9 @@ def build_core(w: Warehouse, run_at: Column, fixed_dates: bool = False) -> None:
     save("mart_daily_review_stats", marts.mart_daily_review_stats(w.stg_reviews))
 
 
-def enrich(w: Warehouse, labeller: Callable[[str], str] | None, model: str, run_at: Column, limit: int | None) -> None:
+def enrich(
+    w: Warehouse, labeller: Callable[[str], str] | None, model: str, run_at: Column, limit: int | None
+) -> None:
     """Label reviews that have no label; answers that cannot be used are kept apart and retried."""
     todo = reviews.reviews_to_enrich(w.stg_reviews, w.labels, limit)
     path = w.location("ai", "review_enriched")
@@ -240,9 +243,10 @@ def register_views(w: Warehouse, for_analysts: bool = False) -> list[str]:
 
 def quality_report(w: Warehouse) -> DataFrame:
     """All checks, reconciliations included."""
+    raw_orders, raw_items = w.raw("orders"), w.raw("order_items")
     extra = [
-        ("reconcile_orders", checks.reconcile_orders(w.raw("orders"), w.fct_orders)),
-        ("reconcile_order_items", checks.reconcile_order_items(w.raw("order_items"), w.raw("orders"), w.fct_order_items)),
+        ("reconcile_orders", checks.reconcile_orders(raw_orders, w.fct_orders)),
+        ("reconcile_order_items", checks.reconcile_order_items(raw_items, raw_orders, w.fct_order_items)),
         ("history_current", checks.history_current(w.restaurants_history, w.stg_restaurants)),
     ]
     report = checks.full_report(w)
@@ -267,7 +271,8 @@ def run_day(
 ) -> DataFrame:
     """Run one logical day and return the quality report. Days run one after another, in order.
 
-    ``fixed_dates`` promises that an order keeps its date when it is sent again. A repeated day loads no file twice and leaves every table as it was.
+    A repeated day loads no file twice and leaves every table as it was. ``fixed_dates`` promises
+    that an order keeps its date when it is sent again.
     """
     run_at = F.current_timestamp() if run_at is None else run_at
     w = Warehouse(spark, warehouse, pii_masking)

@@ -23,10 +23,11 @@ def categorical_values(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFr
     """Distinct non-NULL values of category columns, one pass per table."""
     out = None
     for name, (df, columns) in tables.items():
-        cells = F.array(
-            *[F.struct(F.lit(f"{name}.{c}".upper()).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns]
-        )
-        values = df.select(F.inline(cells)).where(F.col("value").isNotNull()).distinct()
+        cells = [
+            F.struct(F.lit(f"{name}.{c}".upper()).alias("column_name"), F.col(c).cast("string").alias("value"))
+            for c in columns
+        ]
+        values = df.select(F.inline(F.array(*cells))).where(F.col("value").isNotNull()).distinct()
         out = values if out is None else out.unionByName(values)
     return out.orderBy("column_name", "value")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlake.functions.scalars import (
@@ -63,14 +63,17 @@ def stg_order_items(raw_items: DataFrame) -> DataFrame:
     )
 
 
-def stg_restaurant_versions(raw_restaurants: DataFrame) -> DataFrame:
-    """Every version of every restaurant, one per file day (a day may have been loaded twice)."""
-    numbered = raw_restaurants.select(
-        "*", try_whole("id").alias("restaurant_id"), file_date().alias("_file_date")
-    ).where(F.col("restaurant_id").isNotNull())
-    newest_load = [F.col("_loaded_at").desc_nulls_last(), F.col("cost").asc_nulls_last(), F.col("rating").asc_nulls_last()]
-    once_a_day = first_per_group(numbered, ["restaurant_id", "_file_date"], newest_load)
-    return once_a_day.select(
+def _with_number(raw_restaurants: DataFrame) -> DataFrame:
+    numbered = raw_restaurants.select("*", try_whole("id").alias("restaurant_id"), file_date().alias("_file_date"))
+    return numbered.where(F.col("restaurant_id").isNotNull())
+
+
+def _newest_load() -> list[Column]:
+    return [F.col("_loaded_at").desc_nulls_last(), F.col("cost").asc_nulls_last(), F.col("rating").asc_nulls_last()]
+
+
+def _parsed_restaurants(rows: DataFrame) -> DataFrame:
+    return rows.select(
         "restaurant_id",
         F.col("name").alias("restaurant_name"),
         city_of("city").alias("city"),
@@ -85,8 +88,17 @@ def stg_restaurant_versions(raw_restaurants: DataFrame) -> DataFrame:
     )
 
 
+def stg_restaurant_versions(raw_restaurants: DataFrame) -> DataFrame:
+    """Every version of every restaurant, one per file day (a day may have been loaded twice)."""
+    keys = ["restaurant_id", "_file_date"]
+    return _parsed_restaurants(first_per_group(_with_number(raw_restaurants), keys, _newest_load()))
+
+
 def stg_restaurants(raw_restaurants: DataFrame) -> DataFrame:
-    return dedup_latest(stg_restaurant_versions(raw_restaurants), "restaurant_id").drop("_file_date")
+    """The newest load of the newest file day; one shuffle, without building all versions first."""
+    order = [F.col("_file_date").desc_nulls_last(), *_newest_load()]
+    latest = first_per_group(_with_number(raw_restaurants), ["restaurant_id"], order)
+    return _parsed_restaurants(latest).drop("_file_date")
 
 
 def stg_users(raw_users: DataFrame) -> DataFrame:

@@ -299,24 +299,19 @@ def loaded_at_default(lake: Lake) -> DataFrame:
     return lake.raw("restaurants").select("id", "_source_file", scalars.loaded_at().alias("_loaded_at"))
 
 
-def _yearly_drop(lake: Lake, path: str) -> tuple[str, str]:
-    """Orders as CSV in two drops of yearly folders: first versions, then late and re-sent rows."""
-    later = scalars.file_date() > F.col("order_date")
-    first, second = f"{path}/first", f"{path}/second"
-    tables.write_csv_drop(_yearly(lake.raw_orders.where(~later)), first, "dt")
-    tables.write_csv_drop(_yearly(lake.raw_orders.where(later)), second, "dt")
-    return first, second
-
-
 @query
 def incremental_ingest(lake: Lake) -> DataFrame:
-    """Two drops loaded by one stream, with a run in between that finds nothing new."""
+    """Two drops of order files loaded by one stream: first versions, then late and re-sent rows.
+
+    The stream runs once more after each drop and finds nothing new.
+    """
     path = shared_dir(lake.spark, "incremental_ingest")
-    first, second = _yearly_drop(lake, path)
-    for source in (first, first, second):
-        streams.ingest(
-            lake.spark, "orders", source, f"{path}/raw", f"{path}/checkpoint/{source[-6:]}", label=source[-6:]
-        ).awaitTermination()
+    later = scalars.file_date() > F.col("order_date")
+    for drop, rows in (("first", lake.raw_orders.where(~later)), ("second", lake.raw_orders.where(later))):
+        tables.write_csv_drop(_yearly(rows), f"{path}/orders/{drop}", "dt")
+        for _ in range(2):
+            load = streams.ingest(lake.spark, "orders", f"{path}/orders", f"{path}/raw", f"{path}/checkpoint")
+            load.awaitTermination()
     loaded = lake.spark.read.parquet(f"{path}/raw")
     return loaded.drop(*METADATA, "_load_day", "_load")
 
@@ -365,11 +360,10 @@ def incremental_merge_items(lake: Lake) -> DataFrame:
     """Items merged in order of load; later loads replace and repeat earlier ones."""
     path = shared_dir(lake.spark, "merge_items")
     raw, early = lake.raw("order_items"), F.col("_loaded_at") < F.lit("1998-01-01").cast("timestamp")
+    ties = ["restaurant_id", "f_id", "quantity", "line_amount"]
     for rows in (raw.where(early), raw.where(~early), raw):
         updates = _by_month(marts.fct_order_items(staging.stg_order_items(rows), lake.stg_orders))
-        upsert.upsert(
-            lake.spark, path, updates, "order_item_id", "order_month", ["restaurant_id", "f_id", "quantity", "line_amount"]
-        )
+        upsert.upsert(lake.spark, path, updates, "order_item_id", "order_month", ties)
     return tables.read(lake.spark, path).drop("order_month")
 
 
@@ -413,8 +407,8 @@ def scd2_snapshot(lake: Lake) -> DataFrame:
     path = shared_dir(lake.spark, "scd2_snapshot")
     raw = lake.raw("restaurants")
     for day in ("1996-01-01", "1998-01-01", "2030-01-01", "2030-01-02"):
-        known = raw.where(F.coalesce("_loaded_at", F.lit("1990-01-01").cast("timestamp")) < F.lit(day).cast("timestamp"))
         run_at = F.lit(day).cast("timestamp")
+        known = raw.where(F.coalesce("_loaded_at", F.lit("1990-01-01").cast("timestamp")) < run_at)
         daily.apply_snapshot(lake.spark, path, staging.stg_restaurants(known), "restaurant_id", marts.TRACKED, run_at)
     columns = ["restaurant_id", *marts.TRACKED, "dbt_valid_from", "dbt_valid_to"]
     return tables.read(lake.spark, path).select(*columns)

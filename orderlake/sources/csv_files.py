@@ -33,8 +33,9 @@ def _metadata_columns(load_time: Column) -> list[Column]:
 
 
 def _reader(source, options: dict[str, str], schema):
-    reader = source.schema(schema).option("header", "true").option("enforceSchema", "true")
-    return reader.options(**options)
+    # Folders below the path are read too; dt= folders are known by the file path, not as a column.
+    fixed = {"header": "true", "enforceSchema": "true", "recursiveFileLookup": "true"}
+    return source.schema(schema).options(**fixed, **options)
 
 
 def read_strict(source, table: RawTable, path, load_time: Column) -> DataFrame:

@@ -15,16 +15,19 @@ from pyspark.sql import functions as F
 from orderlake.functions.scalars import text_hash
 
 CUISINES = ("North Indian", "Chinese", "South Indian", "Pizzas")
-Source = Callable[[str], DataFrame]
+INCOME_BANDS = ("No Income", "Below Rs.10000", "10001 to 25000", "25001 to 50000", "More than 50000")
 PAYMENT_METHODS = ("UPI", "Card", "Wallet", "COD", "NetBanking")
 
+Source = Callable[[str], DataFrame]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _day(value, days=0) -> Column:
-    return F.date_add(F.col(value).cast("date") if isinstance(value, str) else value, F.lit(days) if isinstance(days, int) else days)
+    day = F.col(value).cast("date") if isinstance(value, str) else value
+    return F.date_add(day, F.lit(days) if isinstance(days, int) else days)
 
 
 def _file(name: str, day: Column) -> Column:
@@ -105,7 +108,8 @@ def raw_orders(table: Source) -> DataFrame:
     resent = delivered & ~late & (o % 97 == 5)
     orders = (
         table("orders")
-        .select("o_orderkey", "o_custkey", F.col("o_orderdate").alias("placed"), F.col("o_orderdate").cast("date").alias("order_date"))
+        .select("o_orderkey", "o_custkey", F.col("o_orderdate").alias("placed"))
+        .withColumn("order_date", F.col("placed").cast("date"))
         .join(baskets, "o_orderkey", "left")
         .join(places, "r_id", "left")
         .withColumn("discount", F.when(o % 5 == 0, F.expr("subtotal div 10")).otherwise(F.lit(0)).cast("bigint"))
@@ -173,7 +177,7 @@ def raw_users(table: Source) -> DataFrame:
         _pick(("Female", "Male"), c).alias("gender"),
         _pick(("Single", "Married", "Prefer not to say"), c).alias("marital_status"),
         F.col("c_mktsegment").alias("occupation"),
-        _pick(("No Income", "Below Rs.10000", "10001 to 25000", "25001 to 50000", "More than 50000"), c).alias("monthly_income"),
+        _pick(INCOME_BANDS, c).alias("monthly_income"),
         _pick(("Graduate", "Post Graduate", "Ph.D", "School"), c).alias("education"),
         _text(c % 6 + 1).alias("family_size"),
         F.lit(None).cast("string").alias("_source_file"),

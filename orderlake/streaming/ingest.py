@@ -18,7 +18,9 @@ from orderlake.sources.csv_files import day_path, read_table
 from orderlake.sources.schemas import TABLES, RawTable
 
 
-def _start(rows: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str, every: str | None) -> StreamingQuery:
+def _start(
+    rows: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str, every: str | None
+) -> StreamingQuery:
     writer = rows.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
