@@ -437,7 +437,8 @@ SELECT _idx, name, id_number, rating, cost, rating_count, city, d AS file_day, l
        d - 7 AS week_before, datediff('day', d, DATE '2000-01-01')::INTEGER AS days_to_2000,
        CASE WHEN cost IS NOT NULL AND rating IS NOT NULL THEN greatest(cost, trunc(rating)::BIGINT) END AS greatest,
        CASE WHEN cost IS NOT NULL AND rating IS NOT NULL THEN least(cost, trunc(rating)::BIGINT) END AS least,
-       {rounded("cost", "(cost % 100)", 3)} AS ratio, abs(cost - 300) AS distance
+       {rounded("cost", "(cost % 100)", 3)} AS ratio, abs(cost - 300) AS distance,
+       (cost * cost + rating_count * rating_count)::DOUBLE AS vector_square
 FROM (SELECT _idx, name, {whole("id")} AS id_number, {_RATING} AS rating, {_COST} AS cost,
              {whole("nullif(regexp_extract(rating_count, '[0-9]+'), '')")} AS rating_count, {city_of("city")} AS city,
              {file_date()} AS d, {LOADED_AT} AS loaded_at, sha256(link) AS link_hash, cuisine, lic_no, _loaded_at
@@ -494,6 +495,19 @@ SELECT review_id, CASE WHEN good > bad THEN 'positive' WHEN bad > good THEN 'neg
        {rounded("(good - bad)", "(good + bad)", 3)} AS sentiment_score, CASE {_TOPIC} ELSE 'other' END AS topic,
        CASE {_ISSUE} END AS key_issue, 'rules-1' AS model
 FROM (SELECT *, {_BAD} AS bad, {_GOOD} AS good FROM rule_hits)""",
+    "model_labels": f"""
+SELECT review_id, CASE WHEN readable THEN (['positive', 'negative', 'neutral'])[n % 3 + 1] END AS sentiment_label,
+       CASE WHEN readable THEN (n % 5 - 2) / 2.0::DOUBLE END AS sentiment_score,
+       CASE WHEN readable THEN ({[*TOPICS, "weather"]})[n % 7 + 1] END AS topic,
+       CASE WHEN readable AND n % 2 = 0 THEN 'length ' || n END AS key_issue, 'length' AS model,
+       CASE WHEN n % 11 = 10 THEN 'TimeoutError: no reply' WHEN n % 13 = 12 THEN 'not readable'
+            WHEN n % 7 = 6 THEN 'unknown topic' END AS problem
+FROM (SELECT review_id, length(comment) AS n, n % 11 <> 10 AND n % 13 <> 12 AS readable FROM stg_reviews)""",
+    "encode_texts": """
+SELECT comment_hash, 'length' AS model, 2 AS dimension, (n / sqrt(n * n + m * m))::FLOAT::DOUBLE AS x,
+       (m / sqrt(n * n + m * m))::FLOAT::DOUBLE AS y
+FROM (SELECT DISTINCT comment_hash, length(comment)::DOUBLE AS n,
+             (length(comment) - length(replace(comment, ' ', '')) + 1)::DOUBLE AS m FROM stg_reviews)""",
     "texts_to_embed": """
 SELECT comment_hash, min(comment) AS comment FROM stg_reviews
 WHERE comment_hash NOT IN (SELECT comment_hash FROM review_embeddings) GROUP BY 1""",

@@ -106,6 +106,12 @@ def days_between(earlier, later) -> Column:
 # --- vectors -----------------------------------------------------------------------------
 
 
+def vector_from_json(value, dimension: int | None = None) -> Column:
+    """JSON text as a vector; NULL for other text and, where a dimension is given, other lengths."""
+    vector = F.from_json(_col(value), "array<float>")
+    return vector if dimension is None else F.when(F.size(vector) == dimension, vector)
+
+
 def dot(a, b) -> Column:
     products = F.zip_with(_col(a), _col(b), lambda x, y: x.cast("double") * y.cast("double"))
     return F.aggregate(products, F.lit(0.0), lambda acc, x: acc + x)

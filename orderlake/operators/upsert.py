@@ -100,14 +100,16 @@ def upsert(
     if not touched:
         tables.remove(spark, staged)
         return
-    left_behind: set = set()
+    moved_from: set = set()
     if not fixed_partition:
-        homes = target.select(key, partition_by).join(updates.select(key), key, "left_semi")
-        left_behind = set(_values_of(homes, partition_by)) - touched
-    existing = target.where(_in_partitions(partition_by, touched | left_behind))
-    merged = merge_latest(existing, updates, key, tiebreak)
-    # An overwrite leaves a partition alone that gets no row, so those are dropped afterwards.
-    emptied = left_behind - set(_values_of(merged, partition_by)) if left_behind else set()
+        arrivals = updates.select(key, F.col(partition_by).alias("_arrives_in"))
+        moved = ~F.col(partition_by).eqNullSafe(F.col("_arrives_in"))
+        moved_from = set(_values_of(target.select(key, partition_by).join(arrivals, key).where(moved), partition_by))
+    scope = touched | moved_from
+    merged = merge_latest(target.where(_in_partitions(partition_by, scope)), updates, key, tiebreak)
+    # An overwrite leaves a partition alone that gets no row. That needs a moved key, and such
+    # partitions are dropped afterwards.
+    emptied = scope - set(_values_of(merged, partition_by)) if moved_from else set()
     tables.overwrite_partitions(merged, path, [partition_by])
     tables.drop_partitions(spark, path, partition_by, emptied)
     tables.remove(spark, staged)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from functools import cached_property, lru_cache
 
@@ -444,6 +445,8 @@ def scalar_functions(lake: Lake) -> DataFrame:
     """Every scalar expression of the plans over the restaurant files."""
     day, number = scalars.file_date(), scalars.first_whole("cost")
     rating = scalars.try_amount("rating", 3, 1)
+    texts = [number.cast("string"), scalars.first_whole("rating_count").cast("string")]
+    vector = scalars.vector_from_json(F.concat(F.lit("["), F.concat_ws(",", *texts), F.lit("]")), 2)
     return lake.raw("restaurants").select(
         "_idx",
         "name",
@@ -471,6 +474,7 @@ def scalar_functions(lake: Lake) -> DataFrame:
         scalars.strict_least(number, rating.cast("bigint")).alias("least"),
         scalars.ratio(number, number % 100, 3).alias("ratio"),
         F.abs(number - 300).alias("distance"),
+        scalars.dot(vector, vector).alias("vector_square"),
     )
 
 
@@ -549,6 +553,37 @@ def enrich_reviews(lake: Lake) -> DataFrame:
     return reviews.rule_labels(lake.stg_reviews)
 
 
+def _length_labels(comment: str) -> str:
+    """A stand-in for a labelling model: answers depend on the length of the whole text only."""
+    topics = [*settings.TOPICS, "weather"]
+    n = len(comment)
+    if n % 11 == 10:
+        raise TimeoutError("no reply")
+    if n % 13 == 12:
+        return "sorry"
+    labels = {"sentiment_label": settings.SENTIMENTS[n % 3], "sentiment_score": (n % 5 - 2) / 2, "topic": topics[n % 7]}
+    return json.dumps(labels | {"key_issue": "null" if n % 2 else f"length {n}"})
+
+
+@query
+def model_labels(lake: Lake) -> DataFrame:
+    """All reviews through a labelling function in the tasks; bad answers carry their problem."""
+    answers = reviews.model_answers(lake.stg_reviews, _length_labels)
+    return reviews.checked_answers(answers, "length").drop("answer")
+
+
+@query
+def encode_texts(lake: Lake) -> DataFrame:
+    """All distinct texts through an encoder function in the tasks, in requests of 64."""
+
+    def encoder(texts: list[str]) -> list[list[float]]:
+        return [[len(t), t.count(" ") + 1] for t in texts]
+
+    vectors = reviews.encoded_vectors(reviews.texts_to_embed(lake.stg_reviews, None), encoder, "length")
+    parts = [F.col("embedding")[i].cast("double").alias(name) for i, name in enumerate("xy")]
+    return vectors.select("comment_hash", "model", F.size("embedding").alias("dimension"), *parts)
+
+
 @query
 def texts_to_embed(lake: Lake) -> DataFrame:
     return reviews.texts_to_embed(lake.stg_reviews, lake.vectors)

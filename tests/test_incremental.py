@@ -1,8 +1,11 @@
+import random
+
 import pytest
 from helpers import day, rows, source, ts
 from pyspark.sql import functions as F
 
 from orderlake.operators import upsert
+from orderlake.operators.versions import dedup_latest
 from orderlake.plans import daily
 from orderlake.sources import tables
 
@@ -95,6 +98,22 @@ def test_insert_if_absent(spark, path):
     assert rows(spark.read.parquet(path)) == [(1, "b"), (2, "c"), (3, "y")]
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_any_order_of_loads_equals_a_rebuild(spark, path, seed):
+    rnd = random.Random(seed)
+    data = []
+    for load in range(40):
+        i = rnd.choice([1, 1, 1, 2, 3, 4, 5])
+        order_day = f"2026-09-0{rnd.choice([i, i, i, 7])}"
+        data.append((i, order_day, f"s{load}", f"2026-09-{rnd.randrange(10, 20)}", f"2026-09-20T00:00:{load:02d}"))
+    everything = orders(spark, *data)
+    rnd.shuffle(data)
+    for start in range(0, 40, 14):
+        merge(spark, path, orders(spark, *data[start : start + 14]))
+    columns = ["id", "order_date", "status"]
+    assert rows(tables.read(spark, path), *columns) == rows(dedup_latest(everything, "id"), *columns)
+
+
 def snapshot(spark, path, data, when):
     current = spark.createDataFrame(data, "id bigint, name string, rating int, other string")
     daily.apply_snapshot(spark, path, current, "id", ["name", "rating"], F.lit(when).cast("timestamp"))
