@@ -193,13 +193,18 @@ def anomaly_days(orders: DataFrame, reviews: DataFrame, percent: int = 140, min_
 # --- traces ------------------------------------------------------------------------------
 
 
-def trace_fields(rows: DataFrame, text_column: str, keep: list[str]) -> DataFrame:
-    """JSON text as one row per field: its value as text, and as a number where it is one.
+def append_traces(rows: DataFrame, path: str, text_column: str) -> None:
+    """Append log rows, their JSON text stored as a variant; other text is stored as NULL."""
+    rows.withColumn(text_column, F.try_parse_json(text_column)).write.mode("append").parquet(path)
 
-    Text that is not JSON gives one row without a field.
+
+def trace_fields(logs: DataFrame, trace: str, keep: list[str]) -> DataFrame:
+    """Variant traces as one row per field: its value as text, and as a number where it is one.
+
+    A missing trace gives one row without a field.
     """
-    parsed = rows.select(*keep, F.try_parse_json(text_column).alias("_trace"))
-    fields = parsed.lateralJoin(parsed.sparkSession.tvf.variant_explode_outer(F.col("_trace").outer()))
+    traces = logs.select(*keep, F.col(trace).alias("_trace"))
+    fields = traces.lateralJoin(traces.sparkSession.tvf.variant_explode_outer(F.col("_trace").outer()))
     return fields.select(
         *keep,
         F.col("key"),

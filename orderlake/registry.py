@@ -429,9 +429,10 @@ def insert_if_absent(lake: Lake) -> DataFrame:
 
 @query
 def trace_log_flatten(lake: Lake) -> DataFrame:
-    """JSON traces of events, summed per event type and field."""
-    events = lake.source("events")
-    fields = reports.trace_fields(events, "props", ["event_type"])
+    """JSON traces of events, appended to a log and summed per event type and field."""
+    path = shared_dir(lake.spark, "trace_log")
+    reports.append_traces(lake.source("events").select("event_id", "event_type", "props"), path, "props")
+    fields = reports.trace_fields(lake.spark.read.parquet(path), "props", ["event_type"])
     return fields.groupBy("event_type", "key").agg(
         F.count(F.lit(1)).alias("n"), F.sum("value_number").alias("total"), F.min("value_text").alias("first_text")
     )

@@ -6,7 +6,9 @@ import pytest
 from helpers import day, rows
 from pyspark.sql import functions as F
 
+from orderlake.operators import upsert
 from orderlake.plans import daily
+from orderlake.plans.marts import mart_daily_city_revenue
 from orderlake.plans.reviews import ReviewQuery, hashed_vectors, question_vector, review_search, search_reviews
 from orderlake.sources.schemas import TABLES
 from orderlake.streaming import ingest
@@ -168,6 +170,38 @@ def test_stream_loads_new_files_only(spark, tmp_path):
     assert spark.read.parquet(raw).select("_loaded_at").distinct().count() == 2
 
 
+def test_continuous_ingest(spark, tmp_path):
+    lake, raw, check = tmp_path / "lake", str(tmp_path / "raw"), str(tmp_path / "check")
+    put(lake, "orders", [order(1, "2026-09-01")], "2026-09-01")
+    load = ingest.ingest(spark, "orders", str(lake / "orders"), raw, check, every="1 second")
+    try:
+        load.processAllAvailable()
+        put(lake, "orders", [order(2, "2026-09-02")], "2026-09-02")
+        load.processAllAvailable()
+    finally:
+        load.stop()
+    assert rows(spark.read.parquet(raw), "order_id") == [(1,), (2,)]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lookback_reaches_the_scan(warehouse):
+    w, _ = warehouse
+    plan = plan_of(upsert.recent_raw(w.raw("orders"), w.fct_orders))
+    assert "PartitionFilters: [isnotnull(_load_day" in plan or "PartitionFilters: [((_load_day" in plan, plan
+    assert "GreaterThan(_loaded_at" in plan
+
+
+def test_marts_read_only_their_columns(warehouse):
+    w, _ = warehouse
+    plan = plan_of(mart_daily_city_revenue(w.fct_orders))
+    [schema] = [line for line in plan.split("ReadSchema: ")[1:]]
+    read = {part.split(":")[0] for part in schema.split("struct<")[1].split(">")[0].split(",")}
+    assert read == {"city", "order_status", "is_delivered", "sales_amount"}
+
+
 def test_labelling_model_in_the_run(spark, lake, warehouse, tmp_path):
     import json
 

@@ -120,9 +120,10 @@ def test_anomaly_days(spark):
     assert rows(reports.anomaly_days(orders, no_reviews, min_rows=1), "day") == [(day("2026-09-12"),)]
 
 
-def test_trace_fields(spark):
+def test_trace_fields(spark, tmp_path):
     df = spark.createDataFrame([(1, '{"tool": "search", "ms": 12}'), (2, "not json"), (3, '{"ms": "x"}')], "id int, trace string")
-    assert rows(reports.trace_fields(df, "trace", ["id"])) == [
+    reports.append_traces(df, str(tmp_path / "log"), "trace")
+    assert rows(reports.trace_fields(spark.read.parquet(str(tmp_path / "log")), "trace", ["id"])) == [
         (1, "ms", "12", 12),
         (1, "tool", "search", None),
         (2, None, None, None),
