@@ -554,22 +554,25 @@ def enrich_reviews(lake: Lake) -> DataFrame:
     return reviews.rule_labels(lake.stg_reviews)
 
 
-def _length_labels(comment: str) -> str:
-    """A stand-in for a labelling model: answers depend on the length of the whole text only."""
-    topics = [*settings.TOPICS, "weather"]
-    n = len(comment)
-    if n % 11 == 10:
-        raise TimeoutError("no reply")
-    if n % 13 == 12:
-        return "sorry"
-    labels = {"sentiment_label": settings.SENTIMENTS[n % 3], "sentiment_score": (n % 5 - 2) / 2, "topic": topics[n % 7]}
-    return json.dumps(labels | {"key_issue": "null" if n % 2 else f"length {n}"})
-
-
 @query
 def model_labels(lake: Lake) -> DataFrame:
-    """All reviews through a labelling function in the tasks; bad answers carry their problem."""
-    answers = reviews.model_answers(lake.stg_reviews, _length_labels)
+    """All reviews through a labelling function in the tasks; bad answers carry their problem.
+
+    The function stands in for a model and looks at the length of the whole text only.
+    """
+    # Plain values, so that executors need not have this package.
+    sentiments, topics = list(settings.SENTIMENTS), [*settings.TOPICS, "weather"]
+
+    def labeller(comment: str) -> str:
+        n = len(comment)
+        if n % 11 == 10:
+            raise TimeoutError("no reply")
+        if n % 13 == 12:
+            return "sorry"
+        labels = {"sentiment_label": sentiments[n % 3], "sentiment_score": (n % 5 - 2) / 2, "topic": topics[n % 7]}
+        return json.dumps(labels | {"key_issue": "null" if n % 2 else f"length {n}"})
+
+    answers = reviews.model_answers(lake.stg_reviews, labeller)
     return reviews.checked_answers(answers, "length").drop("answer")
 
 
