@@ -207,7 +207,7 @@ def test_texts_to_embed(spark):
     assert rows(reviews.texts_to_embed(texts, known, 1)) == [("a", "A")]
 
 
-def test_hashed_vectors_equal_brute_force(spark):
+def test_hashed_vectors_hold_word_counts(spark):
     texts = {"1": "late late cold", "2": "Cold LATE late", "3": "great food", "4": ""}
     got = {
         r.comment_hash: np.array(r.embedding)
