@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
+from collections.abc import Iterable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake.session import shared_dir
+from orderlake.sources import tables
 
 _SHIPPED: set[str] = set()
 
@@ -53,3 +56,16 @@ def free_name(taken, wanted: str) -> str:
     while name.lower() in low:
         name += "_"
     return name
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of jobs that have ended; it notices through the driver's garbage collection."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+def drop_tables(frames: Iterable[DataFrame]) -> None:
+    """Delete tables that ``written`` made and that no later step reads."""
+    for df in frames:
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            tables.remove(df.sparkSession, folder)

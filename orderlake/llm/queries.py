@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import url_filter
+from orderlake.llm import quality, suffix_dedup, url_filter
 from orderlake.llm.common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,3 +38,27 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's URL judged by the rules, else by trees trained on the URLs the rules decide."""
     judged = url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict", F.round("block_probability", 6).alias("block_probability"))
+
+
+@query
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score for every document, learned from the labels outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(F.coalesce(~quality.held_out(), F.lit(True)))
+    scored = quality.score(docs, quality.fit(docs, labels))
+    return scored.select("doc_id", F.coalesce(quality.held_out(), F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@query
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 400-byte strings that also start anywhere else."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = suffix_dedup.remove_repeats(docs, min_bytes=400)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
