@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import quality, suffix_dedup, url_filter
+from orderlake.llm import bagminhash, byte_bpe, fingerprints, packing, quality, suffix_dedup, url_filter, warc_zip
 from orderlake.llm.common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +63,67 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query
+def op8_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a WARC record into ZIP archives and read back from them by range."""
+    archives = warc_zip.write_archives(table(spark, sf_dir, "pages"))
+    records = warc_zip.read_archives(archives)
+    return records.select(
+        warc_zip.key_of(F.col("record_id")).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc_zip.key_of(F.col("refers_to")).alias("refers_to"),
+    )
+
+
+# Base32 from the SHA-1's hexadecimal digits: ten digits, forty bits, are eight letters.
+ORACLE_SQL["op8_warc_zip"] = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body, sha1(coalesce(html, '')) AS hex FROM pages),
+     f AS (SELECT *, min(page_id) OVER (PARTITION BY body) AS first FROM p)
+SELECT page_id, octet_length(body) AS payload_bytes,
+       list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           (((('0x' || substr(hex, (i // 8) * 10 + 1, 10))::BIGINT >> (35 - 5 * (i % 8))) & 31) + 1)::BIGINT, 1)
+           FOR i IN range(32)], 'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM f
+"""
+
+
+@query
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 4096 tokens."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    packed = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, length=4096)
+    return packed.select(
+        "doc_id", "start", "length", F.crc32("tokens").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+@query
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token ids, and the bytes they decode to."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = byte_bpe.decode(byte_bpe.encode(docs, vocabulary, public_tokenizers.PATTERN).drop("text"), vocabulary)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's sketch, compared with its edited text and with the next document."""
+    return fingerprints.compare_neighbours(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op9_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document: five-word shingles with counts, similarity 0.8 or more."""
+    return bagminhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), threshold=0.8)

@@ -43,7 +43,7 @@ _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _SECOND = np.uint64(0xBF58476D1CE4E5B9)
 _BYTE_IDS = np.random.default_rng(400).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: Windows that are looked at together.
-SEGMENT = 1 << 20
+SEGMENT = 1 << 19
 #: Offsets to the anchor that form one block in round 2.
 BLOCK = 32
 _WIDTH = 1 << 20
@@ -140,7 +140,7 @@ def _encoded(column: pa.Array) -> list[bytes]:
     return [(t or "").encode("utf-8", "surrogatepass") for t in column.to_pylist()]
 
 
-def _pieces(texts: list[bytes], most: int = 8 << 20) -> Iterator[list[bytes]]:
+def _pieces(texts: list[bytes], most: int = 2 << 20) -> Iterator[list[bytes]]:
     """Texts in groups of bounded total size; a longer text is a group of its own."""
     group, size = [], 0
     for t in texts:
@@ -219,10 +219,10 @@ def _kinds(rows: DataFrame, n) -> DataFrame:
     return rows.groupBy("bucket", "full").agg(F.sum(n).alias("n"), F.min(place).alias("place"))
 
 
-def _undecided(kinds: DataFrame) -> DataFrame:
+def _undecided(kinds: DataFrame, keep) -> DataFrame:
     """Kinds of the buckets in which a string stands alone among others of another kind."""
     of_bucket = kinds.groupBy("bucket").agg(F.sum("n").alias("total"), F.min("n").alias("least"))
-    open_buckets = of_bucket.where((F.col("least") == 1) & (F.col("total") > 1)).select("bucket")
+    open_buckets = keep(of_bucket.where((F.col("least") == 1) & (F.col("total") > 1)).select("bucket"), "open_buckets")
     return kinds.join(open_buckets, "bucket", "left_semi")
 
 
@@ -302,35 +302,37 @@ def remove_repeats(docs: DataFrame, text: str = "text", min_bytes: int = 400) ->
     done: list[DataFrame] = []
 
     def keep(df: DataFrame, name: str) -> DataFrame:
-        out = written(df, name)
+        # Besides cutting lineage, this leaves joins of plain tables, whose hot keys Spark splits at run time.
+        done.append(written(df, name))
         release(spark)
-        done.append(out)
-        return out
+        return done[-1]
 
     # Round 1: q-gram buckets, then whole phrases.
     runs = keep(_phrase_rows(rows.select("text_"), extent), "phrases")
-    shared = runs.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    shared = keep(runs.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket"), "shared_buckets")
     runs = keep(runs.join(shared, "bucket", "left_semi"), "shared_phrases")
-    drop_tables(done[:1])
+    drop_tables(done[:2])
+    del done[:2]
     kinds = keep(_kinds(runs, F.lit(1)), "phrase_kinds")
     marks = [keep(_repeated(runs, kinds).select("k1", "k2", "first", (F.col("span") % _WIDTH).alias("width")).distinct(), "marks1")]
     packed = _keyed(rows, "text_", carried)
     # Round 2: blocks of the undecided phrases. A string that stands alone is in one text only; copies of other texts
     # raise counts that are over 1 anyway.
-    listed = _listed(_undecided(kinds))
-    texts = packed.select("k1", "k2", "z").join(listed, ["k1", "k2"])
-    blocks = keep(_from_texts(keep(texts, "open_texts"), extent, single=False), "blocks")
+    listed = keep(_listed(_undecided(kinds, keep)), "open_phrases")
+    texts = keep(packed.select("k1", "k2", "z").join(listed, ["k1", "k2"]), "open_texts")
+    blocks = keep(_from_texts(texts, extent, single=False), "blocks")
     kinds = keep(_kinds(blocks, F.col("n")), "block_kinds")
     alone = blocks.where("n = 1")
     marks.append(keep(_repeated(alone, kinds).select("k1", "k2", "first", F.col("span").alias("width")), "marks2"))
     # Round 3: single windows of the undecided blocks.
-    open_texts = done[4].drop("listed").join(_listed(_undecided(kinds)), ["k1", "k2"])
-    windows = keep(_from_texts(open_texts, extent, single=True), "windows")
-    kinds = _kinds(windows, F.col("n"))
+    listed = keep(_listed(_undecided(kinds, keep)), "open_blocks")
+    windows = keep(_from_texts(texts.drop("listed").join(listed, ["k1", "k2"]), extent, single=True), "windows")
+    kinds = keep(_kinds(windows, F.col("n")), "window_kinds")
     alone = windows.where("n = 1")
     marks.append(keep(_repeated(alone, kinds).select("k1", "k2", "first", F.col("span").alias("width")), "marks3"))
     drop_tables([t for t in done if all(t is not m for m in marks)])
     every = marks[0].unionByName(marks[1]).unionByName(marks[2])
-    of_text = every.groupBy("k1", "k2").agg(F.collect_set(F.struct("first", "width")).alias("marks"))
+    of_text = written(every.groupBy("k1", "k2").agg(F.collect_set(F.struct("first", "width")).alias("marks")), "marks")
+    drop_tables(marks)
     cut = _cut(packed.join(of_text, ["k1", "k2"], "left"), carried, min_bytes)
     return cut.select(f"{carried}.*", "n_bytes", "spans", "kept")
