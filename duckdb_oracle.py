@@ -8,8 +8,6 @@ from __future__ import annotations
 
 import re
 
-from orderlake.plans.reviews import COMPLAINTS, PRAISE
-
 
 def _file(name: str, day: str) -> str:
     return f"'raw/{name}/dt=' || strftime({day}, '%Y-%m-%d') || '/{name}.csv'"
@@ -58,6 +56,22 @@ ORDER_COLUMNS = (
     "delivery_time_min, _source_file, _loaded_at"
 )
 
+# The words of the built-in labels, written down a second time so that a slip in either list shows.
+BAD_WORDS = {
+    "food quality": "disgusting|inedible|burnt|soggy|rotten|rancid|mouldy",
+    "delivery": "delayed|slow|missing|never came|no show|behind schedule",
+    "pricing": "worthless|costly|pricey|rip-?off|overcharged",
+    "service": "idiot|stupid|moron|loser|impolite|careless|unfriendly|ignored",
+    "packaging": "trash|crushed|dented|dripping|unsealed|damaged",
+}
+GOOD_WORDS = {
+    "food quality": "tasty|yummy|juicy|crisp|excellent|superb",
+    "delivery": "prompt|punctual|quick|speedy|on schedule",
+    "pricing": "cheap|affordable|bargain|fair price",
+    "service": "friendly|courteous|kind|attentive|smiling",
+    "packaging": "sturdy|intact|tidy|well wrapped",
+}
+
 _REST_DAY = "(DATE '1995-01-01' + ((s_suppkey % 700) * 3 + k * 290)::INTEGER)"
 _LAG = "(CASE WHEN o_orderkey % 50 = 7 OR version = 1 THEN 1 ELSE 0 END)"
 _ARRIVES = "(o_orderkey % 40 > 2 AND version = 0)"
@@ -323,7 +337,7 @@ QUALIFY row_number() OVER (PARTITION BY run_at, {whole("id")} ORDER BY {NEWEST})
     "rule_hits": "SELECT review_id, lower(comment) AS text, "
     + ", ".join(
         f"regexp_matches(lower(comment), '(^|[^a-z])({p})([^a-z]|$)') AS {side}_{i}"
-        for side, patterns in (("bad", COMPLAINTS), ("good", PRAISE))
+        for side, patterns in (("bad", BAD_WORDS), ("good", GOOD_WORDS))
         for i, p in enumerate(patterns.values())
     )
     + " FROM stg_reviews",
@@ -386,7 +400,14 @@ _ITEM_TIES = "order_item_id NULLS LAST, f_id NULLS LAST, quantity NULLS LAST, li
 
 QUERIES |= {
     "csv_scan": "SELECT _idx, f_id, item, veg_or_non_veg FROM raw_food",
-    "load_tolerant": _columns("raw_users", _USER_FILE),
+    "load_tolerant": f"""
+SELECT * EXCLUDE (name, k), CASE k WHEN 1 THEN name || chr(10) || 'a "second" line' WHEN 2 THEN chr(1) || name ELSE name END AS name
+FROM (SELECT {_USER_FILE}, unnest([0, 1, 2]) AS k FROM raw_users)""",
+    "load_rejects": """
+SELECT line, CASE k WHEN 0 THEN 'a quote is never closed' ELSE 'text beside a quoted field' END AS reason, count(*) AS n
+FROM (SELECT k, CASE k WHEN 0 THEN '1,"' || name || ' open' WHEN 1 THEN '2,"' || name || '"x,y' ELSE '3,' || name || '"z",y' END AS line
+      FROM (SELECT name, unnest([0, 1, 2]) AS k FROM raw_users))
+GROUP BY 1, 2""",
     "load_strict": _columns("raw_orders", _ORDER_FILE),
     "load_metadata": f"""
 SELECT make_date(coalesce(year({file_date()}), 1900), 12, 31) AS file_day, count(*) AS n, 1::BIGINT AS load_times
@@ -401,6 +422,7 @@ SELECT date_trunc('month', {file_date()})::DATE AS dt, {file_date()} AS file_day
     "incremental_merge_orders": "SELECT * FROM fct_orders",
     "stream_merge_orders": "SELECT * FROM fct_orders",
     "incremental_merge_items": "SELECT * FROM fct_order_items",
+    "merge_items_late_order": "SELECT * FROM fct_order_items",
     "incremental_lookback": """
 SELECT * FROM fct_orders WHERE _loaded_at > (SELECT coalesce(max(_loaded_at), TIMESTAMP '1900-01-01') - INTERVAL 3 DAY
   FROM raw_orders WHERE _loaded_at <= TIMESTAMP '1998-07-01')""",
@@ -462,12 +484,12 @@ QUALIFY row_number() OVER (PARTITION BY order_id, r_id ORDER BY {NEWEST}, {_ITEM
 
 # --- reviews --------------------------------------------------------------------------------
 
-_BAD = " + ".join(f"bad_{i}::INTEGER" for i in range(len(COMPLAINTS)))
-_GOOD = " + ".join(f"good_{i}::INTEGER" for i in range(len(PRAISE)))
+_BAD = " + ".join(f"bad_{i}::INTEGER" for i in range(len(BAD_WORDS)))
+_GOOD = " + ".join(f"good_{i}::INTEGER" for i in range(len(GOOD_WORDS)))
 _TOPIC = " ".join(
-    [f"WHEN bad_{i} THEN '{t}'" for i, t in enumerate(COMPLAINTS)] + [f"WHEN good_{i} THEN '{t}'" for i, t in enumerate(PRAISE)]
+    [f"WHEN bad_{i} THEN '{t}'" for i, t in enumerate(BAD_WORDS)] + [f"WHEN good_{i} THEN '{t}'" for i, t in enumerate(GOOD_WORDS)]
 )
-_ISSUE = " ".join(f"WHEN bad_{i} THEN nullif(regexp_extract(text, '{p}'), '')" for i, p in enumerate(COMPLAINTS.values()))
+_ISSUE = " ".join(f"WHEN bad_{i} THEN nullif(regexp_extract(text, '{p}'), '')" for i, p in enumerate(BAD_WORDS.values()))
 
 QUERIES |= {
     "review_filter": """
@@ -480,8 +502,8 @@ QUALIFY row_number() OVER (PARTITION BY comment_hash ORDER BY review_date DESC N
     "review_search_summary": """
 SELECT count(*) AS matching_reviews,
        count(DISTINCT CASE WHEN e.comment_hash IS NOT NULL THEN m.comment_hash END) AS searchable_texts,
-       CASE WHEN count(*) = 0 THEN '0 reviews match these filters; try a wider date range or fewer filters'
-            WHEN count(e.comment_hash) = 0 THEN 'matching reviews exist but none has an embedding yet' END AS note
+       CASE WHEN count(*) = 0 THEN 'no review passes these restrictions'
+            WHEN count(e.comment_hash) = 0 THEN 'the reviews found have texts that are not encoded yet' END AS note
 FROM mart_review_search m LEFT JOIN review_embeddings e ON e.comment_hash = m.comment_hash
 WHERE m.topic = 'delivery' AND m.review_date >= DATE '1996-01-01'""",
     "reviews_to_enrich": """
@@ -508,6 +530,20 @@ SELECT comment_hash, 'length' AS model, 2 AS dimension, (n / sqrt(n * n + m * m)
        (m / sqrt(n * n + m * m))::FLOAT::DOUBLE AS y
 FROM (SELECT DISTINCT comment_hash, length(comment)::DOUBLE AS n,
              (length(comment) - length(replace(comment, ' ', '')) + 1)::DOUBLE AS m FROM stg_reviews)""",
+    "embed_texts": """
+SELECT comment_hash, place, (n / sqrt(sum(n * n) OVER (PARTITION BY comment_hash)))::FLOAT::DOUBLE AS weight,
+       'hashed-words-1' AS model, 256 AS dimensions
+FROM (SELECT comment_hash, (('0x' || substr(md5(w), 1, 7))::BIGINT % 256)::INTEGER AS place, count(*)::DOUBLE AS n
+      FROM (SELECT comment_hash, unnest(regexp_split_to_array(lower(trim(comment, ' ')), '\\s+')) AS w
+            FROM (SELECT comment_hash, min(comment) AS comment FROM stg_reviews GROUP BY 1))
+      WHERE w <> '' GROUP BY 1, 2)""",
+    "review_search_results": """
+SELECT comment AS text, n_reviews AS reviews, round(score, 3) AS similarity,
+       list(review_id ORDER BY review_date DESC, review_id DESC) AS example_review_id,
+       list(city ORDER BY review_date DESC, review_id DESC) AS example_city
+FROM (SELECT * FROM search_filtered JOIN search_scored USING (comment_hash)
+      QUALIFY row_number() OVER (PARTITION BY comment_hash ORDER BY review_date DESC NULLS FIRST, review_id DESC) <= 2)
+GROUP BY comment_hash, comment, n_reviews, score""",
     "texts_to_embed": """
 SELECT comment_hash, min(comment) AS comment FROM stg_reviews
 WHERE comment_hash NOT IN (SELECT comment_hash FROM review_embeddings) GROUP BY 1""",
@@ -570,11 +606,20 @@ SELECT * FROM (
                     count(*) FILTER (WHERE line_amount <> price * quantity) AS wrong_lines
              FROM fct_order_items GROUP BY 1) l ON l.order_id = o.order_id)
 WHERE bad_subtotal OR bad_lines OR bad_gst OR bad_sales_amount""",
+    # Each day against the city's other days: their pooled share or mean, and mean and deviation of their daily values
+    # (in thousandths, so that sums are exact).
     "anomaly_days": f"""
-SELECT kind, city, day, n, {rounded("total", "n", 4)} AS observed, {rounded("other_total", "other_n", 4)} AS baseline
-FROM (SELECT *, (sum(n) OVER w - n)::BIGINT AS other_n, (sum(total) OVER w - total)::BIGINT AS other_total FROM city_days
-      WINDOW w AS (PARTITION BY kind, city))
-WHERE n >= 2 AND other_total > 0 AND total * other_n * 100 >= other_total * n * 140""",
+SELECT a.kind, a.city, a.day, a.n, {rounded("a.total", "a.n", 4)} AS observed, {rounded("b.total", "b.n", 4)} AS baseline,
+       CASE WHEN b.squares * b.days > b.v * b.v THEN round((a.v * b.days - b.v)::DOUBLE
+         / sqrt((b.squares * b.days - b.v * b.v)::DOUBLE), 2) END AS deviations
+FROM (SELECT *, (total * 2000 + n) // (2 * n) AS v FROM city_days) a
+JOIN (SELECT x.kind, x.city, x.day, count(*) AS days, sum(y.n)::BIGINT AS n, sum(y.total)::BIGINT AS total,
+             sum((y.total * 2000 + y.n) // (2 * y.n))::BIGINT AS v,
+             sum(((y.total * 2000 + y.n) // (2 * y.n)) * ((y.total * 2000 + y.n) // (2 * y.n)))::BIGINT AS squares
+      FROM city_days x JOIN city_days y ON y.kind = x.kind AND y.city IS NOT DISTINCT FROM x.city AND y.day <> x.day
+      GROUP BY 1, 2, 3) b
+  ON b.kind = a.kind AND b.city IS NOT DISTINCT FROM a.city AND b.day = a.day
+WHERE a.total > 0 AND a.total * b.n * 100 >= b.total * a.n * 140""",
     "daily_feed_summary": _FEED,
     "review_eligibility": """
 SELECT * FROM (
@@ -630,7 +675,8 @@ def _drift(sides: dict[str, str], measures: dict[str, str]) -> str:
     totals = ", ".join(f"{sql} AS {m}" for m, sql in measures.items())
     both = " UNION ALL ".join(f"SELECT '{side}' AS side, {totals} FROM {rows}" for side, rows in sides.items())
     pivot = ", ".join(f"max({m}) FILTER (WHERE side = '{side}') AS {side}_{m}" for m in measures for side in sides)
-    return f"SELECT {pivot} FROM ({both}) HAVING " + " OR ".join(f"min({m}) <> max({m})" for m in measures)
+    differs = " OR ".join(f"min({m}) <> max({m}) OR count({m}) = 1" for m in measures)
+    return f"SELECT {pivot} FROM ({both}) HAVING {differs}"
 
 
 _ORDER_TOTALS = {
@@ -660,6 +706,13 @@ SELECT veg_or_non_veg, count(*) AS n FROM raw_food WHERE veg_or_non_veg NOT IN (
         {"raw": "raw_items_of_orders", "fct": "stg_order_items WHERE order_id IN (SELECT order_id FROM on_time_orders)"},
         _ITEM_TOTALS,
     ),
+    "history_current_broken": """
+SELECT restaurant_id, sum(is_current::INTEGER)::BIGINT AS current_versions
+FROM (SELECT restaurant_id, CASE WHEN restaurant_id % 3 = 0 THEN false WHEN restaurant_id % 3 = 1 THEN true ELSE is_current END AS is_current
+      FROM restaurants_history)
+GROUP BY restaurant_id HAVING sum(is_current::INTEGER) <> 1
+UNION ALL
+SELECT NULL, count(*) FROM stg_restaurants WHERE restaurant_id % 7 = 0 HAVING count(*) > 0""",
     "assert_history_current": """
 SELECT restaurant_id, sum(is_current::INTEGER)::BIGINT AS current_versions FROM restaurants_history
 GROUP BY restaurant_id HAVING sum(is_current::INTEGER) <> 1

@@ -86,7 +86,7 @@ def text_hash(value) -> Column:
 
 
 def file_date(source_file="_source_file") -> Column:
-    """Day of the ``dt=YYYY-MM-DD`` folder of a file; NULL for the initial load."""
+    """The date in a file's ``dt=`` folder; NULL where the path has none or no real date."""
     day = F.regexp_extract(_col(source_file), "dt=([0-9]{4}-[0-9]{2}-[0-9]{2})", 1)
     return F.when(day != "", day).try_cast("date")
 

@@ -44,5 +44,5 @@ def drift(expected: DataFrame, actual: DataFrame, names: tuple[str, str], measur
     ]
     differs = F.lit(False)
     for m in measures:
-        differs = differs | (F.col(f"{names[0]}_{m}") != F.col(f"{names[1]}_{m}"))
+        differs = differs | ~F.col(f"{names[0]}_{m}").eqNullSafe(F.col(f"{names[1]}_{m}"))
     return both.agg(*sides).where(differs)

@@ -53,9 +53,17 @@ def append_new_columns(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     return existing.unionByName(incoming, allowMissingColumns=True)
 
 
+# A change set may touch this many partitions; more means that the table is partitioned by something
+# finer than a calendar, which a driver should not list.
+MOST_PARTITIONS = 100_000
+
+
 def _values_of(df: DataFrame, column: str) -> list:
-    """Partition values of a change set; a calendar column, so the list is short."""
-    return [row[0] for row in df.select(column).distinct().collect()]
+    """Distinct partition values of a change set; their number is checked, since the driver holds them."""
+    values = [row[0] for row in df.select(column).distinct().limit(MOST_PARTITIONS + 1).collect()]
+    if len(values) > MOST_PARTITIONS:
+        raise ValueError(f"the change set touches over {MOST_PARTITIONS} partitions of {column}")
+    return values
 
 
 def merge_latest(existing: DataFrame, updates: DataFrame, key: str, tiebreak: Sequence[str] = ()) -> DataFrame:
@@ -69,6 +77,33 @@ def merge_latest(existing: DataFrame, updates: DataFrame, key: str, tiebreak: Se
     return first_per_group(both, [key], order).drop("_update")
 
 
+# Keys per part of the index where keys are whole numbers, which mostly grow with time, and the
+# number of parts where they are not.
+KEYS_PER_PART, PARTS = 1_000_000, 4096
+
+
+def _part_of(key: Column, kind: str) -> Column:
+    """The part of the index a key is in: neighbouring numbers are together, other keys are dealt out."""
+    if kind in ("bigint", "int", "smallint", "tinyint"):
+        return F.floor(key / KEYS_PER_PART).cast("bigint")
+    return F.pmod(F.xxhash64(key), F.lit(PARTS))
+
+
+def _places(df: DataFrame, key: str, partition_by: str) -> DataFrame:
+    """Index rows of table rows: key, the partition it is in, and the part of the index."""
+    kind = df.schema[key].dataType.simpleString()
+    return df.select(F.col(key).alias("k"), F.col(partition_by).alias("p"), _part_of(F.col(key), kind).alias("part"))
+
+
+def index_path(path: str) -> str:
+    return f"{path.rstrip('/')}__keys"
+
+
+def _read_index(spark: SparkSession, path: str, kinds) -> DataFrame:
+    schema = f"k {kinds[0]}, p {kinds[1]}, part bigint"
+    return spark.read.schema(schema).parquet(index_path(path))
+
+
 def upsert(
     spark: SparkSession,
     path: str,
@@ -81,38 +116,60 @@ def upsert(
     """Merge updates into a Parquet table on a key, rewriting only the partitions they touch.
 
     Read and dynamically overwrite the touched partitions; the old files stay until the job
-    commits, so a lost executor only repeats its tasks. ``fixed_partition=True`` promises that a
-    key never changes its partition; without it the key column of the whole table is compared, to
-    find old versions of moved keys. Repeating an upsert changes nothing.
+    commits, so a lost executor only repeats its tasks. Where a key was before is looked up in an
+    index beside the table, of which only the parts of the updates' keys are read and rewritten.
+    ``fixed_partition=True`` promises that a key never changes its partition; there is no index
+    then. Repeating an upsert changes nothing.
     """
-    if not tables.exists(spark, path):
-        latest = first_per_group(updates, [key], version_order() + [F.col(c).asc_nulls_last() for c in tiebreak])
-        tables.overwrite_partitions(latest, path, [partition_by])
-        return
-
-    # Written once: the partition list, the moved keys and the merge all read the same rows.
+    order = version_order() + [F.col(c).asc_nulls_last() for c in tiebreak]
     staged = shared_dir(spark, "updates")
-    tables.full_refresh(updates, staged)
-    updates = spark.read.schema(updates.schema).parquet(staged)
-    target = tables.read(spark, path)
-    target = target.withColumn(partition_by, F.col(partition_by).cast(updates.schema[partition_by].dataType))
-    touched = set(_values_of(updates, partition_by))
-    if not touched:
+    try:
+        # Written once: the partition list, the moved keys and the merge all read the same rows.
+        tables.full_refresh(updates, f"{staged}/in")
+        updates = spark.read.schema(updates.schema).parquet(f"{staged}/in")
+        if not tables.exists(spark, path):
+            tables.full_refresh(first_per_group(updates, [key], order), f"{staged}/out")
+            merged = spark.read.schema(updates.schema).parquet(f"{staged}/out")
+            tables.overwrite_partitions(merged, path, [partition_by])
+            if not fixed_partition:
+                tables.overwrite_partitions(_places(merged, key, partition_by), index_path(path), ["part"])
+            return
+        touched = set(_values_of(updates, partition_by))
+        if not touched:
+            return
+        kinds = [updates.schema[c].dataType.simpleString() for c in (key, partition_by)]
+        target = tables.read(spark, path)
+        target = target.withColumn(partition_by, F.col(partition_by).cast(kinds[1]))
+        arrivals = _places(updates, key, partition_by)
+        moved_from: set = set()
+        if not fixed_partition:
+            if not tables.exists(spark, index_path(path)):
+                tables.overwrite_partitions(_places(target, key, partition_by), index_path(path), ["part"])
+            parts = _values_of(arrivals, "part")
+            known = _read_index(spark, path, kinds).where(_in_partitions("part", set(parts)))
+            moved = known.alias("old").join(arrivals.alias("new"), F.col("old.k").eqNullSafe(F.col("new.k")))
+            moved_from = set(_values_of(moved.where(~F.col("old.p").eqNullSafe(F.col("new.p"))).select("old.p"), "p"))
+        scope = touched | moved_from
+        merged = merge_latest(target.where(_in_partitions(partition_by, scope)), updates, key, tiebreak)
+        schema = merged.schema
+        tables.full_refresh(merged, f"{staged}/out")
+        merged = spark.read.schema(schema).parquet(f"{staged}/out")
+        # An overwrite leaves a partition alone that gets no row. That needs a moved key, and such
+        # partitions are dropped afterwards.
+        emptied = scope - set(_values_of(merged, partition_by)) if moved_from else set()
+        tables.overwrite_partitions(merged, path, [partition_by])
+        tables.drop_partitions(spark, path, partition_by, emptied)
+        if not fixed_partition:
+            new_keys = arrivals.select("k").distinct()
+            same = known.k.eqNullSafe(new_keys.k)
+            placed = _places(merged, key, partition_by)
+            placed = placed.join(new_keys, placed.k.eqNullSafe(new_keys.k), "left_semi")
+            after = known.join(new_keys, same, "left_anti").unionByName(placed)
+            tables.full_refresh(after, f"{staged}/keys")
+            after = spark.read.schema(after.schema).parquet(f"{staged}/keys")
+            tables.overwrite_partitions(after, index_path(path), ["part"])
+    finally:
         tables.remove(spark, staged)
-        return
-    moved_from: set = set()
-    if not fixed_partition:
-        arrivals = updates.select(key, F.col(partition_by).alias("_arrives_in"))
-        moved = ~F.col(partition_by).eqNullSafe(F.col("_arrives_in"))
-        moved_from = set(_values_of(target.select(key, partition_by).join(arrivals, key).where(moved), partition_by))
-    scope = touched | moved_from
-    merged = merge_latest(target.where(_in_partitions(partition_by, scope)), updates, key, tiebreak)
-    # An overwrite leaves a partition alone that gets no row. That needs a moved key, and such
-    # partitions are dropped afterwards.
-    emptied = scope - set(_values_of(merged, partition_by)) if moved_from else set()
-    tables.overwrite_partitions(merged, path, [partition_by])
-    tables.drop_partitions(spark, path, partition_by, emptied)
-    tables.remove(spark, staged)
 
 
 def _in_partitions(column: str, values: set) -> Column:

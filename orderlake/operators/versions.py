@@ -26,11 +26,9 @@ def version_order(source_file: str = "_source_file", loaded_at: str = "_loaded_a
 
 
 def dedup_latest(df: DataFrame, key: str | Sequence[str], tiebreak: Sequence[str] = ()) -> DataFrame:
-    """Latest version of each key.
+    """One row per key: the first in ``version_order``, then by the columns in ``tiebreak``.
 
-    The day of the file decides before the load time, so an old day that is loaded again never
-    replaces a newer one. ``tiebreak`` names columns that order rows of equal file day and load
-    time; keep it short, since every column in it has to be read.
+    Keep ``tiebreak`` short; every column in it has to be read.
     """
     keys = [key] if isinstance(key, str) else list(key)
     order = version_order() + [F.col(c).asc_nulls_last() for c in tiebreak]
@@ -64,26 +62,19 @@ def as_of_join(
 ) -> DataFrame:
     """Left join to the version in effect at ``ts``; at most one match per left row.
 
-    Versions are repeated for each calendar month they cover, so the join runs on (key, month)
-    plus the exact range. That keeps the candidates of a row down to one month of versions and
-    spreads a hot key over its months. ``span`` holds at least all left timestamps in ``span_ts``
-    and limits the months; its two bounds are read as scalars. The right side may be broadcast
-    when Spark finds it small; otherwise a hot (key, month) is split by the adaptive skew join.
-    Right columns other than the key are kept, without the range.
+    Versions are repeated for each calendar month they cover in which ``span`` (timestamps in
+    ``span_ts``, at least all of the left ones) has a row, so the join runs on (key, month) plus the
+    exact range. That keeps the candidates of a row down to one month of versions and spreads a hot
+    key over its months, and a stray timestamp adds its own month and none between. The list of
+    months is one scalar. The right side may be broadcast when Spark finds it small; otherwise a hot
+    (key, month) is split by the adaptive skew join. Right columns other than the key are kept,
+    without the range.
     """
-    bounds = span.agg(F.min(span_ts).alias("low"), F.max(span_ts).alias("high"))
-    low, high = bounds.select("low").scalar(), bounds.select("high").scalar()
+    seen = span.where(F.col(span_ts).isNotNull()).agg(F.collect_set(F.trunc(span_ts, "month")).alias("months")).scalar()
     kept = [c for c in right.columns if c not in (key, valid_from, valid_to)]
-
-    covered = (
-        right.select(key, valid_from, valid_to, *kept)
-        .withColumn("_low", F.greatest(F.col(valid_from), low))
-        .withColumn("_high", F.least(F.coalesce(F.col(valid_to), high), high))
-        .where(F.col("_low") <= F.col("_high"))
-    )
-    months = F.sequence(
-        F.trunc(F.col("_low"), "month"), F.trunc(F.col("_high"), "month"), F.expr("interval 1 month")
-    )
+    first, last = F.trunc(F.col(valid_from), "month"), F.trunc(F.col(valid_to), "month")
+    covered = right.select(key, valid_from, valid_to, *kept).withColumn("_seen", seen)
+    months = F.filter("_seen", lambda m: (m >= first) & (last.isNull() | (m <= last)))
     versions = covered.select(
         F.col(key).alias("_key"),
         F.col(valid_from).alias("_from"),

@@ -17,10 +17,14 @@ def key_checks(
 ) -> DataFrame:
     """Uniqueness of the key and all not-NULL checks of a table in one pass.
 
-    Rows are counted per key once; every check is then a sum over keys.
+    Where the key must be unique, rows are counted per key once and every check is a sum over
+    keys; otherwise nothing has to be grouped or moved.
     """
     nulls = [F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(not_null)]
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), *nulls)
+    if unique:
+        per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), *nulls)
+    else:
+        per_key = df.agg(*nulls)
     results = []
     if unique:
         repeated = F.count_if((F.col("_n") > 1) & F.col(key).isNotNull())

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from orderlake import settings
 from orderlake.operators import upsert as incremental
-from orderlake.operators.versions import scd2_snapshot
+from orderlake.operators.versions import dedup_latest, scd2_snapshot
 from orderlake.plans import checks, marts, reviews, staging
-from orderlake.session import tune
+from orderlake.session import shared_dir, tune
 from orderlake.sources import tables
 from orderlake.sources.schemas import TABLES
 from orderlake.streaming.ingest import ingest_day
@@ -39,6 +39,10 @@ class Warehouse:
         path, schema = self.location("raw", name), TABLES[name].stored_schema
         return self.spark.read.schema(schema).parquet(path) if tables.exists(self.spark, path) else self._empty(schema)
 
+    def rejects(self, name: str) -> DataFrame | None:
+        """Lines of a tolerant table's files that were no records, with the reason."""
+        return self.written("raw", f"{name}__rejects")
+
     def _empty(self, schema) -> DataFrame:
         return self.spark.createDataFrame([], schema)
 
@@ -75,7 +79,12 @@ class Warehouse:
 
     @property
     def stg_reviews(self) -> DataFrame:
-        return staging.stg_reviews(self.raw("reviews"), self.stg_restaurants)
+        """Latest reviews with the restaurant's city of today; the written rows hold all but the city."""
+        latest = self.written("staging", "latest_reviews")
+        if latest is None:
+            return staging.stg_reviews(self.raw("reviews"), self.stg_restaurants)
+        cities = self.mart("dim_restaurants") if tables.exists(self.spark, self.location("marts", "dim_restaurants")) else self.stg_restaurants
+        return staging.with_city(latest, cities)
 
     @property
     def fct_orders(self) -> DataFrame:
@@ -124,16 +133,47 @@ def refresh_orders(w: Warehouse, days: int = settings.LOOKBACK_DAYS, fixed_parti
     incremental.upsert(w.spark, path, updates, "order_id", "order_date", fixed_partition=fixed_partition)
 
 
-def refresh_order_items(w: Warehouse, days: int = settings.LOOKBACK_DAYS, fixed_partition: bool = False) -> None:
-    """Merge recently loaded items of known orders.
+def merge_items(
+    spark: SparkSession, path: str, waiting: str, raw_items: DataFrame, orders: DataFrame, fixed_partition: bool = False
+) -> None:
+    """Merge RAW items of known orders; items whose order is unknown wait for a later run.
 
-    An item that comes more than the lookback before its order is left out until a rebuild; the
-    reconciliation check reports it.
+    ``waiting`` is a table of their latest RAW rows. It is looked at in each run, so an item that
+    came long before its order is merged when the order comes.
     """
+    columns = [c for c in raw_items.columns if not c.startswith("_load_") and c != "_load"]
+    todo = raw_items.select(*columns)
+    if tables.exists(spark, waiting):
+        todo = todo.unionByName(tables.read(spark, waiting))
+    latest = dedup_latest(todo, "order_item_id", ["r_id", "f_id", "quantity", "line_amount"])
+    staged = shared_dir(spark, "items")
+    try:
+        tables.full_refresh(latest, staged)
+        latest = spark.read.schema(latest.schema).parquet(staged)
+        updates = marts.fct_order_items(staging.stg_order_items(latest), orders)
+        incremental.upsert(spark, path, updates, "order_item_id", "order_date", fixed_partition=fixed_partition)
+        tables.full_refresh(latest.join(orders.select("order_id"), "order_id", "left_anti").select(*columns), waiting)
+    finally:
+        tables.remove(spark, staged)
+
+
+def refresh_order_items(w: Warehouse, days: int = settings.LOOKBACK_DAYS, fixed_partition: bool = False) -> None:
+    """Merge recently loaded items, and earlier ones that have waited for their order."""
     recent = incremental.recent_raw(w.raw("order_items"), w.written("marts", "fct_order_items"), days)
-    updates = marts.fct_order_items(staging.stg_order_items(recent), w.fct_orders)
-    path = w.location("marts", "fct_order_items")
-    incremental.upsert(w.spark, path, updates, "order_item_id", "order_date", fixed_partition=fixed_partition)
+    path, waiting = w.location("marts", "fct_order_items"), w.location("staging", "items_without_order")
+    merge_items(w.spark, path, waiting, recent, w.fct_orders, fixed_partition)
+
+
+def refresh_reviews(w: Warehouse, days: int = settings.LOOKBACK_DAYS) -> None:
+    """Merge recently loaded reviews into their written latest versions.
+
+    A review belongs to the day it was written, but a re-send may change that, so moved keys are
+    looked for.
+    """
+    path = w.location("staging", "latest_reviews")
+    recent = incremental.recent_raw(w.raw("reviews"), w.written("staging", "latest_reviews"), days)
+    updates = staging.latest_reviews(recent)
+    incremental.upsert(w.spark, path, updates, "review_id", "review_date", ["rating", "comment"])
 
 
 def apply_snapshot(
@@ -160,6 +200,7 @@ def build_core(w: Warehouse, run_at: Column, fixed_dates: bool = False) -> None:
     """Facts, dimensions, history, snapshot and the marts that need no labels."""
     refresh_orders(w, fixed_partition=fixed_dates)
     refresh_order_items(w, fixed_partition=fixed_dates)
+    refresh_reviews(w)
     restaurants, orders = w.stg_restaurants, w.fct_orders
     apply_snapshot(
         w.spark, w.location("snapshots", "restaurants"), restaurants, "restaurant_id", marts.TRACKED, run_at
@@ -185,7 +226,7 @@ def enrich(
     w: Warehouse, labeller: Callable[[str], str] | None, model: str, run_at: Column, limit: int | None
 ) -> None:
     """Label reviews that have no label; answers that cannot be used are kept apart and retried."""
-    todo = reviews.reviews_to_enrich(w.stg_reviews, w.labels, limit)
+    todo = reviews.reviews_to_enrich(w.stg_reviews, w.labels, limit, w.written("ai", "quarantine"))
     path = w.location("ai", "review_enriched")
     if labeller is None:
         labels = reviews.rule_labels(todo)
@@ -202,11 +243,34 @@ def enrich(
 
 
 def embed(w: Warehouse, encoder, model: str, run_at: Column, limit: int | None) -> None:
-    """Vectors for texts that have none; ``encoder`` None uses hashed words."""
-    todo = reviews.texts_to_embed(w.stg_reviews, w.written("ai", "review_embeddings"), limit)
-    vectors = reviews.hashed_vectors(todo) if encoder is None else reviews.encoded_vectors(todo, encoder, model)
-    path = w.location("ai", "review_embeddings")
-    incremental.insert_if_absent(w.spark, path, vectors.withColumn("embedded_at", run_at), "comment_hash")
+    """Vectors for texts that have none of this model; ``encoder`` None uses hashed words.
+
+    All vectors of a model have one length; a run that brings another one is refused as a whole.
+    """
+    path, spark = w.location("ai", "review_embeddings"), w.spark
+    known = w.written("ai", "review_embeddings")
+    mine = None if known is None else known.where(F.col("model") == model)
+    todo = reviews.texts_to_embed(w.stg_reviews, mine, limit)
+    found = reviews.hashed_vectors(todo, model=model) if encoder is None else reviews.encoded_vectors(todo, encoder, model)
+    staged = shared_dir(spark, "vectors")
+    try:
+        tables.full_refresh(found.withColumn("embedded_at", run_at), staged)
+        new = spark.read.parquet(staged)
+        lengths = reviews.vector_lengths(new)
+        expected = w.written("ai", "vector_models")
+        before = {} if expected is None else {r.model: r.dimensions for r in expected.collect()}
+        changed = {m: (before[m], n) for m, n in lengths.items() if before.get(m, n) != n}
+        if changed:
+            raise ValueError(f"vectors of another length than before: {changed}")
+        unknown = [(m, n) for m, n in lengths.items() if m not in before]
+        if unknown:
+            spark.createDataFrame(unknown, "model string, dimensions int").write.mode("append").parquet(
+                w.location("ai", "vector_models")
+            )
+        # Texts with a vector of this model were left out above.
+        new.write.mode("append").parquet(path)
+    finally:
+        tables.remove(spark, staged)
 
 
 def build_review_marts(w: Warehouse) -> None:
@@ -263,16 +327,18 @@ def run_day(
     run_at: Column | None = None,
     labeller: Callable[[str], str] | None = None,
     encoder=None,
-    model: str = "rules-1",
-    review_limit: int | None = settings.REVIEWS_PER_RUN,
-    text_limit: int | None = settings.TEXTS_PER_RUN,
+    model: str = settings.RULES_MODEL,
+    encoder_model: str = settings.HASHED_MODEL,
+    review_limit: int | None = None,
+    text_limit: int | None = None,
     pii_masking: bool = False,
     fixed_dates: bool = False,
 ) -> DataFrame:
     """Run one logical day and return the quality report. Days run one after another, in order.
 
     A repeated day loads no file twice and leaves every table as it was. ``fixed_dates`` promises
-    that an order keeps its date when it is sent again.
+    that an order keeps its date when it is sent again. ``model`` names the labeller and
+    ``encoder_model`` the encoder; all open reviews and texts are worked on unless a limit is given.
     """
     run_at = F.current_timestamp() if run_at is None else run_at
     w = Warehouse(spark, warehouse, pii_masking)
@@ -280,6 +346,6 @@ def run_day(
         ingest_day(spark, lake, table, ds, w.path)
     build_core(w, run_at, fixed_dates)
     enrich(w, labeller, model, run_at, review_limit)
-    embed(w, encoder, model, run_at, text_limit)
+    embed(w, encoder, encoder_model, run_at, text_limit)
     build_review_marts(w)
     return quality_report(w)

@@ -44,14 +44,11 @@ def _paid_if(condition: Column, amount: str = "sales_amount") -> Column:
 
 
 def age_segment(age: str = "age") -> Column:
-    a = F.col(age)
-    return (
-        F.when(a < 25, "Gen Z")
-        .when((a >= 25) & (a < 40), "Millennial")
-        .when((a >= 40) & (a < 55), "Gen X")
-        .when(a.isNull(), "Unknown")
-        .otherwise("Boomer")
-    )
+    """The generation by age; the last one has no upper bound."""
+    segment = F.when(F.col(age).isNull(), "Unknown")
+    for below, name in ((25, "Gen Z"), (40, "Millennial"), (55, "Gen X")):
+        segment = segment.when(F.col(age) < below, name)
+    return segment.otherwise("Boomer")
 
 
 def dim_customer(users: DataFrame, pii_masking: bool = False) -> DataFrame:

@@ -161,11 +161,15 @@ def review_eligibility(reviews: DataFrame, raw_orders: DataFrame) -> DataFrame:
 # --- anomalies ---------------------------------------------------------------------------
 
 
-def anomaly_days(orders: DataFrame, reviews: DataFrame, percent: int = 140, min_rows: int = 2) -> DataFrame:
+def anomaly_days(orders: DataFrame, reviews: DataFrame, percent: int = 140) -> DataFrame:
     """Days on which a city's delivery time or negative-review share is far above its other days.
 
-    A day is compared with the mean over all other days of the city, in whole numbers. Rows are
-    summed per city and day first, so the window over a city holds one row per day.
+    A day is reported when its value is at least ``percent`` of the value pooled over all other
+    days of the city, so anything above a baseline of zero is. ``deviations`` says by how many
+    standard deviations of the other days' values it lies above their mean; it is NULL where those
+    do not vary. A city's only day has nothing to be compared with. Rows are summed per city and
+    day first, so the window over a city holds one row per day; daily values are counted in whole
+    thousandths, which keeps all sums exact.
     """
     minutes = orders.where(F.col("delivery_time_min").isNotNull()).groupBy(
         F.lit("delivery_time").alias("kind"), "city", F.col("order_date").alias("day")
@@ -174,19 +178,30 @@ def anomaly_days(orders: DataFrame, reviews: DataFrame, percent: int = 140, min_
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("rating") <= 2).alias("total")
     )
     city = Window.partitionBy("kind", "city")
-    days = minutes.unionByName(negative).select(
+    daily = minutes.unionByName(negative).withColumn("v", F.expr("(total * 2000 + n) div (2 * n)"))
+
+    def others(value: Column) -> Column:
+        return F.sum(value).over(city) - value
+
+    days = daily.select(
         "*",
-        (F.sum("n").over(city) - F.col("n")).alias("other_n"),
-        (F.sum("total").over(city) - F.col("total")).alias("other_total"),
+        others(F.lit(1)).alias("other_days"),
+        others(F.col("n")).alias("other_n"),
+        others(F.col("total")).alias("other_total"),
+        others(F.col("v")).alias("v_sum"),
+        others(F.col("v") * F.col("v")).alias("v_squares"),
     )
     above = F.col("total") * F.col("other_n") * 100 >= F.col("other_total") * F.col("n") * percent
-    return days.where((F.col("n") >= min_rows) & (F.col("other_total") > 0) & above).select(
+    spread = F.col("v_squares") * F.col("other_days") - F.col("v_sum") * F.col("v_sum")
+    distance = (F.col("v") * F.col("other_days") - F.col("v_sum")).cast("double")
+    return days.where((F.col("other_days") > 0) & (F.col("total") > 0) & above).select(
         "kind",
         "city",
         "day",
         "n",
         ratio("total", "n", 4).alias("observed"),
         ratio("other_total", "other_n", 4).alias("baseline"),
+        F.when(spread > 0, F.round(distance / F.sqrt(spread.cast("double")), 2)).alias("deviations"),
     )
 
 

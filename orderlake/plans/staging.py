@@ -129,15 +129,14 @@ def stg_menu(raw_menu: DataFrame) -> DataFrame:
     return typed.where(F.col("restaurant_id").isNotNull() & (F.col("price") > 0))
 
 
-def stg_reviews(raw_reviews: DataFrame, restaurants: DataFrame) -> DataFrame:
-    """Latest commented version of each review with the restaurant's current city.
+def latest_reviews(raw_reviews: DataFrame) -> DataFrame:
+    """Latest commented version of each review.
 
-    Rows without a comment are left out first, so a later empty re-send does not win. The city
-    is looked up after the latest version is chosen; restaurants are unique, so this only saves work.
+    Rows without a comment are left out first, so a later empty re-send does not win.
     """
     commented = raw_reviews.where(F.col("comment").isNotNull())
     latest = dedup_latest(commented, "review_id", tiebreak=["rating", "comment"])
-    typed = latest.select(
+    return latest.select(
         "review_id",
         "order_id",
         F.col("user_id").cast("bigint").alias("customer_id"),
@@ -149,8 +148,12 @@ def stg_reviews(raw_reviews: DataFrame, restaurants: DataFrame) -> DataFrame:
         "_source_file",
         loaded_at().alias("_loaded_at"),
     )
+
+
+def with_city(reviews: DataFrame, restaurants: DataFrame) -> DataFrame:
+    """Reviews with the restaurant's current city, which changes without the review."""
     cities = restaurants.select("restaurant_id", "city")
-    return typed.join(cities, "restaurant_id", "left").select(
+    return reviews.join(cities, "restaurant_id", "left").select(
         "review_id",
         "order_id",
         "customer_id",
@@ -163,3 +166,8 @@ def stg_reviews(raw_reviews: DataFrame, restaurants: DataFrame) -> DataFrame:
         "_source_file",
         "_loaded_at",
     )
+
+
+def stg_reviews(raw_reviews: DataFrame, restaurants: DataFrame) -> DataFrame:
+    """Latest reviews with their city, looked up after the latest version is chosen."""
+    return with_city(latest_reviews(raw_reviews), restaurants)

@@ -26,6 +26,7 @@ class Lake:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self.source = lru_cache(maxsize=None)(self.source)
+        self._written: dict[str, DataFrame] = {}
 
     def source(self, name: str) -> DataFrame:
         return sample.table(self.spark, self.sf_dir, name)
@@ -73,9 +74,18 @@ class Lake:
 
     def written(self, name: str) -> DataFrame:
         """A table written once, for queries that work on the table and not on its plan."""
-        path = shared_dir(self.spark, name)
-        tables.full_refresh(getattr(self, name), path)
-        return self.spark.read.parquet(path)
+        if name not in self._written:
+            path = shared_dir(self.spark, name)
+            tables.full_refresh(getattr(self, name), path)
+            self._written[name] = self.spark.read.parquet(path)
+        return self._written[name]
+
+    def on_written(self, *names: str) -> Lake:
+        """This lake with some tables written, in this order, so that what builds on them reads them."""
+        other = Lake(self.spark, self.sf_dir)
+        for name in names:
+            setattr(other, name, other.written(name))
+        return other
 
     @cached_property
     def labels(self) -> DataFrame:
@@ -248,16 +258,40 @@ def csv_scan(lake: Lake) -> DataFrame:
     return _data_columns(csv_files.read_table(lake.spark.read, "food", drop))
 
 
+def _messy_users(lake: Lake) -> str:
+    """Users as files of a thousand records each: every user three times, once with a line break and quotes
+    inside a field and once with a control character; and three lines per user that are no records."""
+    path = shared_dir(lake.spark, "messy_users")
+    users = _data_columns(lake.raw("users"))
+    name = F.col("name")
+    names = {"plain": name, "broken": F.concat(name, F.lit('\na "second" line')), "control": F.concat(F.lit("\u0001"), name)}
+
+    def line(text):
+        row = F.struct(*[text.alias(c) if c == "name" else F.col(c) for c in users.columns])
+        return F.to_csv(row, {"quoteAll": "true", "escape": '"', "multiLine": "true"})
+
+    open_quote = F.concat(F.lit('1,"'), name, F.lit(" open"))
+    beside = [F.concat(F.lit('2,"'), name, F.lit('"x,y')), F.concat(F.lit("3,"), name, F.lit('"z",y'))]
+    lines = F.array(open_quote, *[line(text) for text in names.values()], *beside)
+    group = F.floor(F.col("_idx").cast("bigint") / 1000).alias("part")
+    records = users.select(group, F.array_join(lines, "\n").alias("lines"))
+    files = records.groupBy("part").agg(F.array_join(F.collect_list("lines"), "\n").alias("lines"))
+    header = F.lit(",".join(users.columns) + "\n")
+    files.select("part", F.concat(header, "lines").alias("value")).write.partitionBy("part").text(path)
+    return path
+
+
 @query
 def load_tolerant(lake: Lake) -> DataFrame:
-    """Users among lines with broken quotes; only those lines are left out."""
-    drop = shared_dir(lake.spark, "load_tolerant")
-    users = _data_columns(lake.raw("users"))
-    good = users.select(F.to_csv(F.struct(*users.columns), {"quoteAll": "true"}).alias("line"))
-    broken = users.select(F.concat(F.lit('1,"'), F.col("name"), F.lit('"x,open "quote')).alias("line"))
-    options = {"header": "true", "sep": "\u0001", "quote": "", "escapeQuotes": "false"}
-    good.unionByName(broken).write.options(**options).csv(drop)
-    return _data_columns(csv_files.read_table(lake.spark.read, "users", drop))
+    """Users with odd but legal fields among broken lines; only the broken lines are left out."""
+    return _data_columns(csv_files.read_table(lake.spark.read, "users", _messy_users(lake)))
+
+
+@query
+def load_rejects(lake: Lake) -> DataFrame:
+    """The broken lines of the same files, with the reason."""
+    rejects = csv_files.rejected(csv_files.read_records(lake.spark.read, _messy_users(lake)))
+    return rejects.groupBy("line", "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
@@ -368,6 +402,16 @@ def incremental_merge_items(lake: Lake) -> DataFrame:
     return tables.read(lake.spark, path).drop("order_month")
 
 
+@query
+def merge_items_late_order(lake: Lake) -> DataFrame:
+    """All items are loaded at once, a third of the orders only later: their items have waited."""
+    path = shared_dir(lake.spark, "late_order")
+    items, late = lake.raw("order_items"), F.col("order_id") % 3 == 0
+    for rows, orders in ((items, lake.fct_orders.where(~late)), (items.where("false"), lake.fct_orders)):
+        daily.merge_items(lake.spark, f"{path}/fct", f"{path}/waiting", rows, orders)
+    return tables.read(lake.spark, f"{path}/fct")
+
+
 @query
 def stream_merge_orders(lake: Lake) -> DataFrame:
     """Orders streamed from RAW batches into the fact table."""
@@ -528,10 +572,22 @@ def _question(lake: Lake):
 
 @query
 def review_search(lake: Lake) -> DataFrame:
+    return _found(lake).drop("score")
+
+
+def _found(lake: Lake) -> DataFrame:
     args = reviews.ReviewQuery(query="late delivery", sentiment="negative", k=10)
     return reviews.review_search(lake.written("mart_review_search"), lake.vectors, _question(lake), args)
 
 
+@query
+def review_search_results(lake: Lake) -> DataFrame:
+    """One row per text, its examples as arrays."""
+    found = reviews.search_results(_found(lake))
+    examples = [F.transform("examples", lambda e, c=c: e[c]).alias(f"example_{c}") for c in ("review_id", "city")]
+    return found.select("text", "reviews", "similarity", *examples)
+
+
 @query
 def review_search_summary(lake: Lake) -> DataFrame:
     args = reviews.ReviewQuery(topic="delivery", date_from="1996-01-01")
@@ -595,7 +651,12 @@ def texts_to_embed(lake: Lake) -> DataFrame:
 
 @query
 def embed_texts(lake: Lake) -> DataFrame:
-    return reviews.hashed_vectors(reviews.texts_to_embed(lake.stg_reviews, None)).drop("comment")
+    """Every text's vector, without its zeros."""
+    vectors = reviews.hashed_vectors(reviews.texts_to_embed(lake.stg_reviews, None))
+    places = vectors.select(
+        "comment_hash", F.posexplode("embedding").alias("place", "weight"), "model", F.size("embedding").alias("dimensions")
+    )
+    return places.where("weight <> 0").withColumn("weight", F.col("weight").cast("double"))
 
 
 # --- profile and reports -----------------------------------------------------------------
@@ -680,7 +741,9 @@ def dq_accepted_values(lake: Lake) -> DataFrame:
 
 @query
 def dq_report(lake: Lake) -> DataFrame:
-    return checks.full_report(lake)
+    """All checks, over tables that are written once each, as a run of the platform has them."""
+    names = "stg_restaurants stg_orders stg_order_items stg_reviews restaurants_history mart_review_search".split()
+    return checks.full_report(lake.on_written(*names))
 
 
 @query
@@ -710,3 +773,12 @@ def reconcile_items_without_late(lake: Lake) -> DataFrame:
 @query
 def assert_history_current(lake: Lake) -> DataFrame:
     return checks.history_current(lake.restaurants_history, lake.stg_restaurants)
+
+
+@query
+def history_current_broken(lake: Lake) -> DataFrame:
+    """A history with no, several and the right number of current versions, and restaurants that are missing."""
+    third = F.col("restaurant_id") % 3
+    current = F.when(third == 0, False).when(third == 1, True).otherwise(F.col("is_current"))
+    history = lake.restaurants_history.withColumn("is_current", current)
+    return checks.history_current(history, lake.stg_restaurants.where("restaurant_id % 7 <> 0"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -22,7 +25,10 @@ TUNING = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session somebody else created."""
+    """Apply the runtime settings to a session somebody else created.
+
+    This changes the caller's session, its time zone (UTC) included; every query of the package does it.
+    """
     for key, value in TUNING.items():
         spark.conf.set(key, value)
     return spark
@@ -44,15 +50,26 @@ def local_session(cores: int | str = 8, app: str = "orderlake") -> SparkSession:
     return tune(builder.getOrCreate())
 
 
+_SCRATCH: dict[str, str] = {}
+
+
+def _local_scratch(application: str) -> str:
+    """A temporary folder of this machine for one application, removed when Python ends."""
+    if application not in _SCRATCH:
+        _SCRATCH[application] = tempfile.mkdtemp(prefix="orderlake-")
+        atexit.register(shutil.rmtree, _SCRATCH[application], ignore_errors=True)
+    return _SCRATCH[application]
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder all executors can reach, below the cluster's checkpoint folder.
 
-    Only a local session may fall back to a temporary folder of this machine.
+    Only a session whose executors are threads of this process may do without that setting.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        base = tempfile.mkdtemp(prefix="orderlake-")
-        spark.sparkContext.setCheckpointDir(base)
+        base = _local_scratch(context.applicationId)
     return f"{base.rstrip('/')}/orderlake/{name}-{uuid.uuid4().hex}"

@@ -18,9 +18,10 @@ SENTIMENT_STARS = {"negative": (1, 2), "neutral": (3, 3), "positive": (4, 5)}
 # Review search.
 DEFAULT_QUESTION = "what customers say about their order"
 EXAMPLES_PER_TEXT = 2
-# Batch sizes of the review jobs.
+# Names under which the built-in labels and vectors are stored.
+RULES_MODEL, HASHED_MODEL = "rules-1", "hashed-words-1"
+# Size of a capped batch of reviews, for labelling models that are paid by the call.
 REVIEWS_PER_RUN = 5
-TEXTS_PER_RUN = 5000
 TEXTS_PER_REQUEST = 64
 # Data profile.
 TOP_CITIES = 40

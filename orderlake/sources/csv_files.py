@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from orderlake.functions.scalars import text_or_null, to_whole
 from orderlake.sources.schemas import TABLES, RawTable
 
-# A record whose quoted fields are all closed and followed by a comma or the end of the line.
-# Possessive quantifiers keep the test linear in the length of the line.
-_FIELD = '(?:"(?:[^"]++|"")*+"|[^",][^,]*+)?+'
-WELL_FORMED = f"^{_FIELD}(?:,{_FIELD})*+$"
+# A field is quoted as a whole or holds no quote at all; only a quoted one may hold line breaks.
+# Possessive quantifiers keep the test linear in the length of the text.
+_FIELD = r'(?:"(?:[^"]++|"")*+"|[^",\n]*+)'
+_RECORD = rf"{_FIELD}(?:,{_FIELD})*+"
+# A record that ends with its line, or else the rest of the line, which is no record.
+_PIECE = rf"{_RECORD}(?=\r?(?:\n|\z))|[^\n]++"
 
 _CSV = {"sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 
@@ -49,17 +51,43 @@ def read_strict(source, table: RawTable, path, load_time: Column) -> DataFrame:
     return rows.select(*_typed(table, F.col), *_metadata_columns(load_time))
 
 
-def read_tolerant(source, table: RawTable, path, load_time: Column) -> DataFrame:
-    """Dimensions: a row whose quoting is broken is left out, the rest loads.
+def read_records(source, path, load_time: Column | None = None) -> DataFrame:
+    """The records of CSV files as text, headers left out: ``record``, ``good`` and load metadata.
 
-    Each line is read as one text, so a stray quote cannot swallow the rows after it and files
-    stay splittable; good lines are then cut into fields.
+    A record may span lines inside a quoted field. Where no record can be read the rest of the line
+    is one that is not good, and reading goes on with the next line, so a stray quote costs its own
+    line only. Each file is read as one text by one task and must fit into 2 GB.
     """
-    lines = _reader(source, {"sep": "\u0001", "quote": "\u0000", "mode": "PERMISSIVE"}, "line string").csv(path)
-    good = lines.where(F.col("line").rlike(WELL_FORMED))
-    cells = F.from_csv("line", table.text_schema.simpleString()[7:-1].replace(":", " "), _CSV)
-    parsed = good.select(cells.alias("cell"), *_metadata_columns(load_time))
-    return parsed.select(*_typed(table, lambda name: F.col("cell")[name]), "_source_file", "_loaded_at")
+    options = {"wholetext": "true", "recursiveFileLookup": "true"}
+    files = source.format("text").options(**options).load(path)
+    pieces = F.transform(F.regexp_extract_all("value", F.lit(_PIECE), F.lit(0)), lambda p: F.regexp_replace(p, r"\r\z", ""))
+    filled = F.filter(pieces, lambda p: p != "")
+    now = F.current_timestamp() if load_time is None else load_time
+    content = files.select(filled.alias("pieces"), *_metadata_columns(now))
+    records = F.explode(F.slice("pieces", F.lit(2), F.greatest(F.size("pieces") - 1, F.lit(0)))).alias("record")
+    return content.select(records, "_source_file", "_loaded_at").withColumn(
+        "good", F.col("record").rlike(rf"\A{_RECORD}\z")
+    )
+
+
+def parsed(records: DataFrame, table: RawTable) -> DataFrame:
+    """The good records as rows of the table."""
+    columns = ", ".join(f"{name} string" for name in table.names)
+    cells = F.from_csv("record", columns, _CSV | {"multiLine": "true"})
+    rows = records.where("good").select(cells.alias("cell"), "_source_file", "_loaded_at")
+    return rows.select(*_typed(table, lambda name: F.col("cell")[name]), "_source_file", "_loaded_at")
+
+
+def rejected(records: DataFrame) -> DataFrame:
+    """What could not be read: file, line and why."""
+    quotes = F.length("record") - F.length(F.replace("record", F.lit('"'), F.lit("")))
+    reason = F.when(quotes % 2 == 1, "a quote is never closed").otherwise("text beside a quoted field")
+    return records.where("NOT good").select("_source_file", F.col("record").alias("line"), reason.alias("reason"), "_loaded_at")
+
+
+def read_tolerant(source, table: RawTable, path, load_time: Column) -> DataFrame:
+    """Dimensions: what is no record is left out (``rejected`` tells it), the rest loads."""
+    return parsed(read_records(source, path, load_time), table)
 
 
 def read_table(source, table: RawTable | str, path, load_time: Column | None = None) -> DataFrame:

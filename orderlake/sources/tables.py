@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -18,15 +20,54 @@ def exists(spark: SparkSession, path: str) -> bool:
     return any("=" in name or not name.startswith(("_", ".")) for name in names)
 
 
+def _schema_file(path: str) -> str:
+    return f"{path.rstrip('/')}__schema.json"
+
+
+def _stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    file = spark._jvm.org.apache.hadoop.fs.Path(_schema_file(path))
+    files = file.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(file):
+        return None
+    stream = files.open(file)
+    try:
+        return T.StructType.fromJson(json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
+    finally:
+        stream.close()
+
+
+def _remember_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Columns of a table whose files may lack some; written when a write adds a column."""
+    known = _stored_schema(spark, path)
+    names = set() if known is None else set(known.fieldNames())
+    added = [f for f in schema.fields if f.name not in names]
+    if not added:
+        return
+    every = T.StructType([T.StructField(f.name, f.dataType) for f in [*(known or T.StructType()).fields, *added]])
+    file = spark._jvm.org.apache.hadoop.fs.Path(_schema_file(path))
+    stream = file.getFileSystem(spark._jsc.hadoopConfiguration()).create(file, True)
+    try:
+        stream.write(bytearray(every.json().encode()))
+    finally:
+        stream.close()
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """A table whose later files may have more columns than its first ones."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    """A table whose later files may have more columns than its first ones.
+
+    The columns are known from the file beside the table; only tables written otherwise have the
+    footers of all their files read.
+    """
+    schema = _stored_schema(spark, path)
+    reader = spark.read.option("mergeSchema", "true") if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)
 
 
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that a job wrote for itself."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    for name in (path, _schema_file(path)):
+        folder = spark._jvm.org.apache.hadoop.fs.Path(name)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def drop_partitions(spark: SparkSession, path: str, column: str, values) -> None:
@@ -36,7 +77,9 @@ def drop_partitions(spark: SparkSession, path: str, column: str, values) -> None
 
 
 def full_refresh(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Replace a whole table."""
+    """Replace a whole table, columns included."""
+    file = df.sparkSession._jvm.org.apache.hadoop.fs.Path(_schema_file(path))
+    file.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(file, False)
     df = balanced(df, partition_by) if partition_by else df
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
@@ -49,6 +92,9 @@ def balanced(df: DataFrame, partition_by: list[str]) -> DataFrame:
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
     """Replace exactly the partitions that ``df`` has rows for; a repeat changes nothing."""
+    if exists(df.sparkSession, path) and _stored_schema(df.sparkSession, path) is None:
+        _remember_schema(df.sparkSession, path, read(df.sparkSession, path).schema)
+    _remember_schema(df.sparkSession, path, df.schema)
     writer = balanced(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*partition_by).parquet(path)
 

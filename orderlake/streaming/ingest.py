@@ -14,9 +14,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from orderlake.sources import tables
-from orderlake.sources.csv_files import day_path, read_table
+from orderlake.sources.csv_files import day_path, parsed, read_records, read_table, rejected
 from orderlake.sources.schemas import TABLES, RawTable
 
+# The file source leaves out files much older than the newest one it has seen. Late and copied files
+# must load too, so that age is set out of reach; the checkpoint alone says what is known.
+ANY_AGE = "36500d"
+
+
+def _any_age(spark: SparkSession):
+    return spark.readStream.option("maxFileAge", ANY_AGE)
+
 
 def _start(
     rows: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str, every: str | None
@@ -38,14 +46,19 @@ def ingest(
     """Load the files of a folder that were not loaded before.
 
     Without ``every`` the query loads what is there and ends; with it (``"1 minute"``) it keeps
-    looking for new files. ``label`` tells queries apart that write to the same RAW table.
+    looking for new files. ``label`` tells queries apart that write to the same RAW table. Records a
+    tolerant table cannot take are kept beside it, in ``<raw_path>__rejects``. The driver remembers
+    the files of the folder; give a folder that grows for ever a checkpoint per day, as ``ingest_day``.
     """
     table = TABLES[table] if isinstance(table, str) else table
-    rows = read_table(spark.readStream, table, source)
+    rows = read_table(_any_age(spark), table, source) if table.strict else read_records(_any_age(spark), source)
 
     def save(batch: DataFrame, batch_id: int) -> None:
         load = {"_load_day": F.to_date("_loaded_at"), "_load": F.lit(f"{label}{batch_id:06d}")}
-        tables.overwrite_partitions(batch.withColumns(load), raw_path, ["_load_day", "_load"])
+        good = batch if table.strict else parsed(batch, table)
+        tables.overwrite_partitions(good.withColumns(load), raw_path, ["_load_day", "_load"])
+        if not table.strict:
+            tables.overwrite_partitions(rejected(batch).withColumns(load), f"{raw_path}__rejects", ["_load_day", "_load"])
 
     return _start(rows, save, checkpoint, every)
 
@@ -73,5 +86,5 @@ def follow_raw(
     ``merge`` has to be repeatable, as a keyed upsert is.
     """
     schema = spark.read.parquet(raw_path).schema
-    rows = spark.readStream.schema(schema).parquet(raw_path)
+    rows = _any_age(spark).schema(schema).parquet(raw_path)
     return _start(rows, lambda batch, _: merge(batch), checkpoint, every)

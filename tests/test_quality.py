@@ -116,8 +116,25 @@ def test_anomaly_days(spark):
     orders = spark.createDataFrame(data, "city string, order_date date, delivery_time_min bigint")
     no_reviews = spark.createDataFrame([], "city string, review_date date, rating bigint")
     baseline_free = reports.anomaly_days(orders.where("order_date < '2026-09-11'"), no_reviews)
-    assert rows(baseline_free) == [("delivery_time", "Pune", day("2026-09-10"), 3, 42.0, 30.0)]
-    assert rows(reports.anomaly_days(orders, no_reviews, min_rows=1), "day") == [(day("2026-09-12"),)]
+    assert rows(baseline_free) == [("delivery_time", "Pune", day("2026-09-10"), 3, 42.0, 30.0, None)]
+    assert rows(reports.anomaly_days(orders, no_reviews), "day", "deviations") == [(day("2026-09-12"), 13.04)]
+
+
+def test_anomaly_over_a_zero_baseline(spark):
+    calm = [("Pune", day(f"2026-09-{d:02d}"), 5) for d in range(1, 10) for _ in range(4)]
+    bad = [("Pune", day("2026-09-10"), 1)] * 20 + [("Goa", day("2026-09-10"), 5), ("Goa", day("2026-09-11"), 5)]
+    reviews = spark.createDataFrame(calm + bad, "city string, review_date date, rating bigint")
+    no_orders = spark.createDataFrame([], "city string, order_date date, delivery_time_min bigint")
+    assert rows(reports.anomaly_days(no_orders, reviews)) == [("negative_reviews", "Pune", day("2026-09-10"), 20, 1.0, 0.0, None)]
+    one_more = reviews.unionByName(reviews.where("review_date = '2026-09-05'").limit(1).selectExpr("city", "review_date", "2L AS rating"))
+    assert (day("2026-09-10"), 20) in rows(reports.anomaly_days(no_orders, one_more), "day", "n")
+
+
+def test_totals_that_are_null_on_one_side_differ(spark):
+    some = spark.createDataFrame([(2, 5)], "n bigint, amount bigint")
+    none = spark.createDataFrame([(2, None)], "n bigint, amount bigint")
+    assert rows(quality.drift(some, none, ("a", "b"), ["n", "amount"])) == [(2, 2, 5, None)]
+    assert rows(quality.drift(none, none, ("a", "b"), ["n", "amount"])) == []
 
 
 def test_trace_fields(spark, tmp_path):

@@ -6,7 +6,7 @@ from orderlake.session import TUNING, shared_dir, tune
 
 
 def fake(conf, master):
-    context = SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=lambda path: None)
+    context = SimpleNamespace(master=master, applicationId="app-test", getCheckpointDir=lambda: None)
     return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: conf.get(key, default)), sparkContext=context)
 
 
@@ -21,6 +21,11 @@ def test_a_cluster_without_a_shared_folder_is_refused():
         shared_dir(fake({}, "yarn"), "updates")
 
 
+def test_executors_of_their_own_need_a_shared_folder():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(fake({}, "local-cluster[2,1,1024]"), "updates")
+
+
 def test_a_local_session_may_use_its_own_folder():
     assert "/orderlake/updates-" in shared_dir(fake({}, "local[8]"), "updates")
 

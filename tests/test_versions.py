@@ -108,6 +108,17 @@ def test_as_of_join_equals_brute_force(spark):
     assert sorted((tuple(r) for r in got.select("k", "at", "v").collect()), key=str) == brute_as_of(left, right)
 
 
+def test_a_stray_timestamp_adds_one_month_only(spark):
+    left = [(1, ts("2024-01-05")), (1, ts("2024-03-05")), (1, ts("9999-12-01")), (1, None)]
+    lf = spark.createDataFrame(left, "k int, at timestamp_ntz")
+    rf = spark.createDataFrame([(1, ts("1900-01-01"), ts("2024-02-01"), "x"), (1, ts("2024-02-01"), None, "y")], "k int, valid_from timestamp_ntz, valid_to timestamp_ntz, v string")
+    joined = versions.as_of_join(lf, rf, "k", "at", lf, "at")
+    assert rows(joined, "at", "v") == [(None, None), (ts("2024-01-05"), "x"), (ts("2024-03-05"), "y"), (ts("9999-12-01"), "y")]
+    plan = joined._jdf.queryExecution().executedPlan()
+    joined.collect()
+    assert "_version_month" in plan.toString() and "sequence(" not in plan.toString()
+
+
 def test_as_of_join_of_nothing(spark):
     lf = spark.createDataFrame([], "k int, at timestamp_ntz")
     rf = spark.createDataFrame([(1, ts("1900-01-01"), None, "x")], "k int, valid_from timestamp_ntz, valid_to timestamp_ntz, v string")
