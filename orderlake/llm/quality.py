@@ -27,7 +27,6 @@ from orderlake.llm.common import written
 #: Characters whose share of the text is a statistic of its own.
 MARKS = "!?.,;:'\"-_#$%&*@/\\|<>()[]{}=+~^`"
 N_STATS = 24 + len(MARKS)
-RESULT = ("score", "predicted")
 
 
 def statistics(text: str) -> np.ndarray:
@@ -232,18 +231,18 @@ def fit(
     return model
 
 
-def score(docs: DataFrame, model: QualityModel, text: str = "text", threshold: float = 0.7) -> DataFrame:
+def score(docs: DataFrame, model: QualityModel, text: str = "text", threshold: float = 0.7, into: str = "score") -> DataFrame:
     """The documents with ``score`` (0 to 1) and ``predicted`` (1 from the threshold on)."""
-    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in RESULT or c == text])
-    fields = [f for f in docs.schema.fields if f.name.lower() not in RESULT]
+    fields = [f for f in docs.schema.fields if f.name.lower() not in (into, "predicted")]
     names = [f.name for f in fields]
-    schema = T.StructType([*fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
+    docs = docs.select(*[F.col(f"`{c}`") for c in names])
+    schema = T.StructType([*fields, T.StructField(into, T.DoubleType()), T.StructField("predicted", T.IntegerType())])
 
     def each(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         p = np.clip(model.score(_all_statistics(batch.column(batch.schema.get_field_index(text)))), 0.0, 1.0)
         columns = [batch.column(batch.schema.get_field_index(n)) for n in names]
         columns += [pa.array(p), pa.array((p >= threshold).astype(np.int32))]
-        yield pa.RecordBatch.from_arrays(columns, names=[*names, "score", "predicted"])
+        yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return _map_rows(docs, each, schema)
 

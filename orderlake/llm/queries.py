@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import bagminhash, byte_bpe, fingerprints, packing, quality, suffix_dedup, url_filter, warc_zip
+from orderlake.llm import ann_tree, bagminhash, byte_bpe, fingerprints, line_dedup, packing, quality, suffix_dedup, url_filter, warc_zip
 from orderlake.llm.common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +127,40 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate class of every document: five-word shingles with counts, similarity 0.8 or more."""
     return bagminhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), threshold=0.8)
+
+
+@query
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the chunks of lines that an earlier document, or an earlier place of it, has."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    clean = line_dedup.remove_repeated_chunks(docs)
+    kept = F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    return clean.select("doc_id", "n_lines", "n_removed", "n_chunks_removed", kept)
+
+
+ORACLE_SQL["op2_line_dedup"] = """
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+     line AS (SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS i FROM split),
+     hashed AS (SELECT *, ('0x' || substr(md5(line), 1, 7))::BIGINT AS h FROM line),
+     rolled AS (SELECT *, (h + 1000003 * coalesce(lag(h) OVER w, 0)) % 2147483647 % 3 = 0 AS cut
+                FROM hashed WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+     ended AS (SELECT *, cut AND NOT coalesce(lag(cut) OVER w, false) AS last
+               FROM rolled WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+     numbered AS (SELECT *, coalesce(sum(last::INT) OVER (PARTITION BY doc_id ORDER BY i
+                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS no FROM ended),
+     chunk AS (SELECT doc_id, no, string_agg(line, chr(10) ORDER BY i) AS body, count(*) AS n,
+                      count(*) FILTER (trim(line, ' ') <> '') AS solid FROM numbered GROUP BY doc_id, no),
+     placed AS (SELECT *, n >= 2 AND solid >= 2 AND row_number() OVER (PARTITION BY body, solid >= 2 ORDER BY doc_id, no) > 1 AS gone
+                FROM chunk)
+SELECT doc_id, sum(n)::BIGINT AS n_lines, coalesce(sum(n) FILTER (gone), 0)::BIGINT AS n_removed,
+       count(*) FILTER (gone) AS n_chunks_removed,
+       sha256(coalesce(string_agg(body, chr(10) ORDER BY no) FILTER (NOT gone), '')) AS kept_sha256
+FROM placed GROUP BY doc_id
+"""
+
+
+@query
+def op5_ann_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth one."""
+    index = ann_tree.build(table(spark, sf_dir, "embeddings"), k=10)
+    return ann_tree.search(index, F.col("vec_id") % 100 == 0, k=10)

@@ -265,14 +265,14 @@ def _unite(intervals: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _cut(marked: DataFrame, carried: str, size: int) -> DataFrame:
+def _cut(marked: DataFrame, carried: str, size: int, as_text: bool) -> DataFrame:
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
     schema = T.StructType(
         [
             marked.schema[carried],
             T.StructField("n_bytes", T.LongType()),
             T.StructField("spans", T.ArrayType(span)),
-            T.StructField("kept", T.BinaryType()),
+            T.StructField("kept", T.StringType() if as_text else T.BinaryType()),
         ]
     )
     arrow_span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -287,14 +287,20 @@ def _cut(marked: DataFrame, carried: str, size: int) -> DataFrame:
                 spans.append([{"start": a, "end": e} for a, e in cuts])
                 edges = [0, *(x for c in cuts for x in c), len(text)]
                 kept.append(b"".join(text[a:e] for a, e in zip(edges[::2], edges[1::2], strict=True)))
-            columns = [batch.column(carried), batch.column("n_bytes"), pa.array(spans, arrow_span), pa.array(kept, pa.binary())]
+            if as_text:
+                kept = [k.decode("utf-8", "ignore") for k in kept]
+            columns = [batch.column(carried), batch.column("n_bytes"), pa.array(spans, arrow_span)]
+            columns.append(pa.array(kept, pa.string() if as_text else pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return marked.mapInArrow(each, schema)
 
 
-def remove_repeats(docs: DataFrame, text: str = "text", min_bytes: int = 400) -> DataFrame:
-    """The rows with ``n_bytes``, ``spans`` (maximal removed byte runs) and ``kept`` (the other bytes, binary)."""
+def remove_repeats(docs: DataFrame, text: str = "text", min_bytes: int = 400, kept_as_text: bool = False) -> DataFrame:
+    """The rows with ``n_bytes``, ``spans`` (maximal removed byte runs) and ``kept`` (the other bytes, binary).
+
+    As text, ``kept`` leaves out what is left of characters that a removed run begins or ends in.
+    """
     spark, extent = docs.sparkSession, Extent.of(min_bytes)
     own = [c for c in docs.columns if c.lower() not in RESULT]
     carried = free_name(["k1", "k2", "z", "n_bytes", "marks", "text_"], "carried")
@@ -334,5 +340,5 @@ def remove_repeats(docs: DataFrame, text: str = "text", min_bytes: int = 400) ->
     every = marks[0].unionByName(marks[1]).unionByName(marks[2])
     of_text = written(every.groupBy("k1", "k2").agg(F.collect_set(F.struct("first", "width")).alias("marks")), "marks")
     drop_tables(marks)
-    cut = _cut(packed.join(of_text, ["k1", "k2"], "left"), carried, min_bytes)
+    cut = _cut(packed.join(of_text, ["k1", "k2"], "left"), carried, min_bytes, kept_as_text)
     return cut.select(f"{carried}.*", "n_bytes", "spans", "kept")

@@ -1,0 +1,55 @@
+"""Held-out accuracy, the calibration step, and odd inputs."""
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from orderlake.llm import quality
+from orderlake.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.1"
+
+
+def test_held_out_accuracy(spark):
+    scored = QUERIES["op3_quality_classifier"](spark, SF)
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    rows = scored.join(labels, "doc_id").where("held_out").select("quality", "score", "predicted").collect()
+    assert len(rows) > 800
+    good, bad = [r for r in rows if r.quality == 1], [r for r in rows if r.quality == 0]
+    assert np.mean([r.predicted for r in good]) > 0.97 and np.mean([r.predicted for r in bad]) < 0.05
+    assert abs(np.mean([r.score for r in rows]) - len(good) / len(rows)) < 0.03
+    assert scored.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+
+
+def test_pool_adjacent_is_isotonic_regression():
+    x, levels = quality.pool_adjacent(np.arange(6.0), np.array([1, 0, 2, 1, 4, 4.0]), np.array([4, 4, 4, 4, 4, 4.0]))
+    assert np.allclose(levels, [0.125, 0.375, 1.0]) and np.allclose(x, [0.5, 2.5, 4.5])
+
+
+def test_random_features_approximate_the_kernel():
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(20, 5))
+    model = quality.QualityModel(np.zeros(5), np.ones(5), rng.normal(0, 0.5, (5, 20000)), rng.uniform(0, 2 * np.pi, 20000), None, x, x, 0.5)
+    z = model.features(x)[:, :20000]
+    distance = ((x[:, None] - x[None]) ** 2).sum(-1)
+    assert np.abs(z @ z.T - np.exp(-distance * 0.25 / 2)).max() < 0.05
+
+
+def test_odd_rows_and_labels(spark):
+    texts = [None, "", " ", "fine words stand here. " * 30, "x" * 200000, "!!!! $$$$ ####" * 20]
+    docs = spark.createDataFrame([(i, t, 0.5, "c") for i, t in enumerate(texts)] + [(0, None, 0.1, "c")], "doc_id long, text string, score double, stats string")
+    labels = spark.createDataFrame([(3, 1), (5, 0), (5, 0), (4, None), (None, 1), (77, 1)], "doc_id long, quality int")
+    out = quality.score(docs, quality.fit(docs, labels))
+    assert out.columns == ["doc_id", "text", "stats", "score", "predicted"]
+    rows = out.collect()
+    assert len(rows) == 7 and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in rows)
+    assert len({r.score for r in rows if r.doc_id == 0}) == 1
+    for some, want in ((labels.where("quality = 1 AND doc_id = 3"), 1.0), (labels.limit(0), 0.5)):
+        assert {r.score for r in quality.score(docs, quality.fit(docs, some)).collect()} == {want}
+    assert quality.score(docs.limit(0), quality.fit(docs.limit(0), labels)).count() == 0
+
+
+def test_bounded_training_rows(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.fit(docs, labels, max_rows=800)
+    rows = quality.score(docs.select("doc_id", "text"), model).join(labels, "doc_id").agg(F.avg((F.col("predicted") == F.col("quality")).cast("int"))).head()
+    assert rows[0] > 0.95
