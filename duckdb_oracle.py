@@ -539,8 +539,8 @@ FROM (SELECT comment_hash, (('0x' || substr(md5(w), 1, 7))::BIGINT % 256)::INTEG
       WHERE w <> '' GROUP BY 1, 2)""",
     "review_search_results": """
 SELECT comment AS text, n_reviews AS reviews, round(score, 3) AS similarity,
-       list(review_id ORDER BY review_date DESC, review_id DESC) AS example_review_id,
-       list(city ORDER BY review_date DESC, review_id DESC) AS example_city
+       string_agg(review_id::VARCHAR, ',' ORDER BY review_date DESC, review_id DESC) AS example_review_id,
+       coalesce(string_agg(city, ',' ORDER BY review_date DESC, review_id DESC), '') AS example_city
 FROM (SELECT * FROM search_filtered JOIN search_scored USING (comment_hash)
       QUALIFY row_number() OVER (PARTITION BY comment_hash ORDER BY review_date DESC NULLS FIRST, review_id DESC) <= 2)
 GROUP BY comment_hash, comment, n_reviews, score""",

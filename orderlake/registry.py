@@ -258,6 +258,9 @@ def csv_scan(lake: Lake) -> DataFrame:
     return _data_columns(csv_files.read_table(lake.spark.read, "food", drop))
 
 
+_AS_IT_IS = {"quoteAll": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def _messy_users(lake: Lake) -> str:
     """Users as files of a thousand records each: every user three times, once with a line break and quotes
     inside a field and once with a control character; and three lines per user that are no records."""
@@ -268,7 +271,7 @@ def _messy_users(lake: Lake) -> str:
 
     def line(text):
         row = F.struct(*[text.alias(c) if c == "name" else F.col(c) for c in users.columns])
-        return F.to_csv(row, {"quoteAll": "true", "escape": '"', "multiLine": "true"})
+        return F.to_csv(row, _AS_IT_IS)
 
     open_quote = F.concat(F.lit('1,"'), name, F.lit(" open"))
     beside = [F.concat(F.lit('2,"'), name, F.lit('"x,y')), F.concat(F.lit("3,"), name, F.lit('"z",y'))]
@@ -582,9 +585,9 @@ def _found(lake: Lake) -> DataFrame:
 
 @query
 def review_search_results(lake: Lake) -> DataFrame:
-    """One row per text, its examples as arrays."""
+    """One row per text; its array of examples is shown as lists of their ids and cities."""
     found = reviews.search_results(_found(lake))
-    examples = [F.transform("examples", lambda e, c=c: e[c]).alias(f"example_{c}") for c in ("review_id", "city")]
+    examples = [F.array_join(F.col(f"examples.{c}").cast("array<string>"), ",").alias(f"example_{c}") for c in ("review_id", "city")]
     return found.select("text", "reviews", "similarity", *examples)
 
 
