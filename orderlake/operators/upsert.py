@@ -112,14 +112,15 @@ def upsert(
     partition_by: str,
     tiebreak: Sequence[str] = (),
     fixed_partition: bool = False,
-) -> None:
+) -> set | None:
     """Merge updates into a Parquet table on a key, rewriting only the partitions they touch.
 
     Read and dynamically overwrite the touched partitions; the old files stay until the job
     commits, so a lost executor only repeats its tasks. Where a key was before is looked up in an
     index beside the table, of which only the parts of the updates' keys are read and rewritten.
     ``fixed_partition=True`` promises that a key never changes its partition; there is no index
-    then. Repeating an upsert changes nothing.
+    then. Repeating an upsert changes nothing. Returns the partitions that were rewritten or dropped,
+    or None where the table was new.
     """
     order = version_order() + [F.col(c).asc_nulls_last() for c in tiebreak]
     staged = shared_dir(spark, "updates")
@@ -133,10 +134,10 @@ def upsert(
             tables.overwrite_partitions(merged, path, [partition_by])
             if not fixed_partition:
                 tables.overwrite_partitions(_places(merged, key, partition_by), index_path(path), ["part"])
-            return
+            return None
         touched = set(_values_of(updates, partition_by))
         if not touched:
-            return
+            return set()
         kinds = [updates.schema[c].dataType.simpleString() for c in (key, partition_by)]
         target = tables.read(spark, path)
         target = target.withColumn(partition_by, F.col(partition_by).cast(kinds[1]))
@@ -146,11 +147,11 @@ def upsert(
             if not tables.exists(spark, index_path(path)):
                 tables.overwrite_partitions(_places(target, key, partition_by), index_path(path), ["part"])
             parts = _values_of(arrivals, "part")
-            known = _read_index(spark, path, kinds).where(_in_partitions("part", set(parts)))
+            known = _read_index(spark, path, kinds).where(in_partitions("part", set(parts)))
             moved = known.alias("old").join(arrivals.alias("new"), F.col("old.k").eqNullSafe(F.col("new.k")))
             moved_from = set(_values_of(moved.where(~F.col("old.p").eqNullSafe(F.col("new.p"))).select("old.p"), "p"))
         scope = touched | moved_from
-        merged = merge_latest(target.where(_in_partitions(partition_by, scope)), updates, key, tiebreak)
+        merged = merge_latest(target.where(in_partitions(partition_by, scope)), updates, key, tiebreak)
         schema = merged.schema
         tables.full_refresh(merged, f"{staged}/out")
         merged = spark.read.schema(schema).parquet(f"{staged}/out")
@@ -168,11 +169,12 @@ def upsert(
             tables.full_refresh(after, f"{staged}/keys")
             after = spark.read.schema(after.schema).parquet(f"{staged}/keys")
             tables.overwrite_partitions(after, index_path(path), ["part"])
+        return scope
     finally:
         tables.remove(spark, staged)
 
 
-def _in_partitions(column: str, values: set) -> Column:
+def in_partitions(column: str, values: set) -> Column:
     known = [v for v in values if v is not None]
     test = F.col(column).isin(known)
     return test | F.col(column).isNull() if None in values else test

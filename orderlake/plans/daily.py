@@ -47,7 +47,7 @@ class Warehouse:
         return self.spark.createDataFrame([], schema)
 
     def mart(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.location("marts", name))
+        return tables.read(self.spark, self.location("marts", name))
 
     @property
     def stg_orders(self) -> DataFrame:
@@ -120,17 +120,17 @@ class Warehouse:
         return self._empty(LABEL_SCHEMA) if found is None else found
 
 
-def refresh_orders(w: Warehouse, days: int = settings.LOOKBACK_DAYS, fixed_partition: bool = False) -> None:
+def refresh_orders(w: Warehouse, days: int = settings.LOOKBACK_DAYS, fixed_partition: bool = False) -> set | None:
     """Merge recently loaded orders: only their RAW rows and the day partitions they touch are read.
 
     The merge compares versions with the rows already there, so an old day that was loaded again
     does not replace anything, exactly as if all of RAW had been ranked. ``fixed_partition`` is
-    for feeds in which an order never changes its date; it saves a look at all order ids.
+    for feeds in which an order never changes its date. Returns the days that changed, None for all.
     """
     recent = incremental.recent_raw(w.raw("orders"), w.written("marts", "fct_orders"), days)
     updates = marts.fct_orders(staging.stg_orders(recent))
     path = w.location("marts", "fct_orders")
-    incremental.upsert(w.spark, path, updates, "order_id", "order_date", fixed_partition=fixed_partition)
+    return incremental.upsert(w.spark, path, updates, "order_id", "order_date", fixed_partition=fixed_partition)
 
 
 def merge_items(
@@ -196,9 +196,21 @@ def apply_snapshot(
     tables.overwrite_partitions(after, path, ["_closed_on"])
 
 
+def refresh_days(w: Warehouse, name: str, rows_of: Callable[[DataFrame], DataFrame], facts: DataFrame, day: str, days: set | None) -> None:
+    """Rebuild a mart with a row per day and more for the days whose facts changed; all of it where ``days`` is None."""
+    path = w.location("marts", name)
+    if days is None or not tables.exists(w.spark, path):
+        tables.full_refresh(rows_of(facts), path, [day])
+    elif days:
+        changed = rows_of(facts.where(incremental.in_partitions(day, days)))
+        left = {row[0] for row in changed.select(day).distinct().collect()}  # some of the days of a change set
+        tables.overwrite_partitions(changed, path, [day])
+        tables.drop_partitions(w.spark, path, day, days - left)
+
+
 def build_core(w: Warehouse, run_at: Column, fixed_dates: bool = False) -> None:
     """Facts, dimensions, history, snapshot and the marts that need no labels."""
-    refresh_orders(w, fixed_partition=fixed_dates)
+    days = refresh_orders(w, fixed_partition=fixed_dates)
     refresh_order_items(w, fixed_partition=fixed_dates)
     refresh_reviews(w)
     restaurants, orders = w.stg_restaurants, w.fct_orders
@@ -214,7 +226,7 @@ def build_core(w: Warehouse, run_at: Column, fixed_dates: bool = False) -> None:
     save("dim_food", marts.dim_food(w.stg_food))
     save("dim_date", marts.dim_date(w.spark))
     save("dim_restaurants_history", marts.dim_restaurants_history(w.stg_restaurant_versions))
-    save("mart_daily_city_revenue", marts.mart_daily_city_revenue(orders))
+    refresh_days(w, "mart_daily_city_revenue", marts.mart_daily_city_revenue, orders, "order_date", days)
     save("mart_restaurant_performance", marts.mart_restaurant_performance(orders, w.mart("dim_restaurants")))
     save("mart_delivery_sla", marts.mart_delivery_sla(orders))
     changes = marts.mart_restaurant_price_changes(orders, w.restaurants_history, w.mart("dim_restaurants"))

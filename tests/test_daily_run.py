@@ -101,6 +101,23 @@ def test_marts(warehouse):
     assert rows(w.mart("dim_customer"), "email", "age_segment") == [("jane.doe@example.com", "Millennial")]
 
 
+def test_only_changed_days_of_a_mart_are_rebuilt(spark, tmp_path):
+    w = daily.Warehouse(spark, str(tmp_path))
+
+    def facts(*data):
+        return spark.createDataFrame([(day(d), n) for d, n in data], "order_date date, n bigint")
+
+    def totals(df):
+        return df.groupBy("order_date").agg(F.sum("n").alias("n"))
+
+    daily.refresh_days(w, "m", totals, facts(("2026-09-01", 1), ("2026-09-02", 2), ("2026-09-03", 3)), "order_date", None)
+    changed = facts(("2026-09-01", 100), ("2026-09-02", 5))
+    daily.refresh_days(w, "m", totals, changed, "order_date", {day("2026-09-02"), day("2026-09-03")})
+    assert rows(w.mart("m"), "order_date", "n") == [(day("2026-09-01"), 1), (day("2026-09-02"), 5)]
+    daily.refresh_days(w, "m", totals, changed, "order_date", set())
+    assert w.mart("m").count() == 2
+
+
 def test_snapshot_records_when_a_change_was_seen(spark, warehouse):
     w, _ = warehouse
     history = spark.read.parquet(w.location("snapshots", "restaurants")).where("restaurant_id = 1")
