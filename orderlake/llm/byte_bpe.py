@@ -14,6 +14,7 @@ from __future__ import annotations
 import base64
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -149,7 +150,7 @@ class ByteBpe:
         self.known: dict[str, list[int]] = {}
         self.table = PieceTable(self._encode_pieces)
 
-    def _encode_pieces(self, pieces: list[str]) -> list[list[int]]:
+    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
         known = self.known
         if len(known) > self.table.max_pieces:
             known.clear()
@@ -160,7 +161,7 @@ class ByteBpe:
                 if word not in known:
                     known[word] = self.encode_word(word.encode("utf-8", "surrogatepass"))
                 ids += known[word]
-            out.append(ids)
+            out.append(array("i", ids).tobytes())
         return out
 
     def encode_word(self, word: bytes) -> list[int]:

@@ -18,6 +18,7 @@ packed one after the other, ordered by a hash of their texts. Columns other than
 from __future__ import annotations
 
 import re
+from array import array
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -97,32 +98,69 @@ def candidates(doc_ends: np.ndarray, sentence_ends: np.ndarray, costs: Costs) ->
     return places[order], price[order]
 
 
+#: Points and commas that may belong to a longer run of symbols.
+_ODD_POINTS = re.compile(r"[^\w\s][.,]|[.,](?:[^\w\s]|_)|_[.,]")
+#: The byte-level alphabet: printable bytes stand for themselves, the others for the characters from 256 on.
+_PLAIN_BYTES = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_LETTERS = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PLAIN_BYTES)}
+#: Separates words that are encoded in one call; it is one token where it stands alone.
+_MARK = "|"
+
+
+def words_of(text: str) -> list[str]:
+    """Pieces whose tokens, one after the other, are the text's: words, and points and commas by themselves.
+
+    Texts whose characters are all in Latin-1 are put in lower case here, which is what the tokenizer does to them.
+    """
+    if _ODD_POINTS.search(text):
+        return text.split()
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text.replace(".", " .").replace(",", " ,").split()
+    return text.lower().replace(".", " .").replace(",", " ,").split()
+
+
 class WordTokenizer:
     """Ids of whole texts by way of their words; the tokenizer drops white space and no token crosses it."""
 
     def __init__(self, definition: str):
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True
+        self.mark = self._ids(_MARK)
         self.table = PieceTable(self._encode_words, flag=lambda w: w.endswith(SENTENCE_ENDS))
 
-    def _encode_words(self, words: list[str]) -> list[list[int]]:
-        out: list[list[int]] = []
-        for group in grouped(words, 1 << 16):
-            starts = np.cumsum([0, *(len(w) + 1 for w in group)])
-            encoded = self.tokenizer.encode(" ".join(group), add_special_tokens=False)
-            at = np.fromiter((o[0] for o in encoded.offsets), np.int64, len(encoded.offsets))
-            bounds = np.searchsorted(at, starts)
-            ids = encoded.ids
-            out += [ids[a:e] for a, e in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
-        return out
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Plain words go straight to the merges; the others through the whole tokenizer, many in one call."""
+        found: dict[str, bytes] = {}
+        merge, others = self.tokenizer.model.tokenize, []
+        for w in words:
+            if w.isalpha() and w.islower() and max(w) < "\u0100":
+                letters = w if w.isascii() else w.encode().decode("latin-1").translate(_BYTE_LETTERS)
+                found[w] = array("i", [t.id for t in merge(letters)]).tobytes()
+            else:
+                others.append(w)
+        for group in grouped(others, 1 << 16):
+            ids = np.array(self._ids(f" {_MARK} ".join([*group, ""])), np.int32)
+            ends = np.flatnonzero(ids == self.mark[0])
+            if len(self.mark) == 1 and len(ends) == len(group):
+                raw, starts = ids.tobytes(), np.concatenate([[0], ends[:-1] + 1])
+                for w, a, e in zip(group, (4 * starts).tolist(), (4 * ends).tolist(), strict=True):
+                    found[w] = raw[a:e]
+            else:
+                found |= {w: array("i", self._ids(w)).tobytes() for w in group}
+        return [found[w] for w in words]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids one after the other, the number of ids of each text, and the places behind ends of sentences."""
         if any(map(_SEPARATORS.search, texts)):
-            all_ids = [self.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+            all_ids = [self._ids(t) for t in texts]
             lengths = np.array(list(map(len, all_ids)), np.int64)
             return np.concatenate([np.array(i, np.int32) for i in all_ids]), lengths, np.zeros(0, np.int64)
-        return self.table.ids_of([t.split() for t in texts])
+        return self.table.ids_of([words_of(t) for t in texts])
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
