@@ -12,11 +12,11 @@ one named like the result is replaced.
 from __future__ import annotations
 
 import base64
-import heapq
 import re
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlake.llm.pieces import PieceTable, grouped
+from orderlake.llm.pieces import Memo, PieceTable, grouped
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -42,14 +42,14 @@ def read_ranks(path: str) -> list[bytes]:
 class PerfectHash:
     """Minimal perfect hash by displacement: every key has one of exactly ``len(keys)`` slots."""
 
-    displacements: np.ndarray
-    slots: np.ndarray
+    displacements: list[int]
+    slots: list[int]
     n: int
 
     @staticmethod
     def _hashes(key: bytes, n: int) -> tuple[int, int, int]:
-        h = xxhash.xxh3_128_intdigest(key)
-        return h & 0xFFFFFFFF, (h >> 32) % n, (h >> 64) % max(n - 1, 1) + 1
+        h = xxhash.xxh3_64_intdigest(key)
+        return h & 0xFFFFF, (h >> 20) % n, (h >> 40) % max(n - 1, 1) + 1
 
     @classmethod
     def of(cls, keys: list[bytes], per_bucket: int = 4) -> PerfectHash:
@@ -58,8 +58,7 @@ class PerfectHash:
         hashes = [cls._hashes(k, n) for k in keys]
         for i, (bucket, _, _) in enumerate(hashes):
             buckets[bucket % len(buckets)].append(i)
-        displacements, slots = np.zeros(len(buckets), np.int64), np.full(n, -1, np.int64)
-        free = 0
+        displacements, slots, free = [0] * len(buckets), [-1] * n, 0
         for b in sorted(range(len(buckets)), key=lambda b: -len(buckets[b])):
             held = buckets[b]
             if len(held) == 1:  # the rest goes straight to what is left
@@ -88,30 +87,44 @@ class PerfectHash:
     def get(self, key: bytes) -> int:
         """The number of the key that has this key's slot; the caller compares the bytes."""
         bucket, first, step = self._hashes(key, self.n)
-        d = int(self.displacements[bucket % len(self.displacements)])
-        return int(self.slots[-d - 1 if d < 0 else self._slot(first, step, d, self.n)])
+        d = self.displacements[bucket % len(self.displacements)]
+        return self.slots[-d - 1 if d < 0 else self._slot(first, step, d, self.n)]
 
 
 def merge_bytes(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """BPE of one pre-token: a heap of (rank, start, end) over parts linked by their starts."""
-    n = len(word)
-    after, before, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
-    heap = [(ranks[word[i : i + 2]], i, i + 2) for i in range(n - 1) if word[i : i + 2] in ranks]
-    heapq.heapify(heap)
+    """BPE of one pre-token: a heap of candidate merges over parts linked by their starts.
+
+    An entry is (rank, start, end) in one number, so the least is the merge of lowest rank, of several the leftmost. A part
+    that was merged into another one has 0 for its successor.
+    """
+    n, rank_of = len(word), ranks.get
+    shift = (n + 1).bit_length()
+    mask, high = (1 << shift) - 1, 2 * shift
+    heap = []
+    for i in range(n - 1):
+        rank = rank_of(word[i : i + 2])
+        if rank is not None:
+            heap.append(rank << high | i << shift | i + 2)
+    heapify(heap)
+    after, before = list(range(1, n + 2)), list(range(-1, n))
     while heap:
-        _, i, end = heapq.heappop(heap)
-        if not alive[i] or (j := after[i]) >= n or after[j] != end:
+        entry = heappop(heap)
+        i, end = entry >> shift & mask, entry & mask
+        j = after[i]
+        if j <= i or j >= n or after[j] != end:
             continue  # one of the two parts has been merged with another meanwhile
-        alive[j], after[i] = False, end
+        after[j], after[i] = 0, end
         if end < n:
             before[end] = i
-            wider = word[i : after[end]]
-            if wider in ranks:
-                heapq.heappush(heap, (ranks[wider], i, after[end]))
+            last = after[end]
+            rank = rank_of(word[i:last])
+            if rank is not None:
+                heappush(heap, rank << high | i << shift | last)
         if i:
-            wider = word[before[i] : end]
-            if wider in ranks:
-                heapq.heappush(heap, (ranks[wider], before[i], end))
+            first = before[i]
+            rank = rank_of(word[first:end])
+            if rank is not None:
+                heappush(heap, rank << high | first << shift | end)
     out, i = [], 0
     while i < n:
         out.append(ranks[word[i : after[i]]])
@@ -123,6 +136,10 @@ def merge_bytes(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 _PLAIN_BREAK = re.compile(r"(?<=\S)(?= \S)|(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")
 
 
+#: Points and commas that may belong to a longer pre-token.
+_ODD_POINTS = re.compile(r"(?:\A|[\W_])[.,]|[.,](?:[^\w\s]|_)")
+
+
 def _evenly_spaced(text: str) -> bool:
     """White space is single blanks and line breaks between words, and nothing else."""
     words = text.split()
@@ -137,7 +154,10 @@ def cut_at_spaces(text: str) -> list[str]:
         return []
     if not _evenly_spaced(text):
         return _PLAIN_BREAK.split(text)
-    return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+    text = text.replace(" ", "\0 ").replace("\n", "\0\n\0")
+    if not _ODD_POINTS.search(text):
+        text = text.replace(".", "\0.").replace(",", "\0,")
+    return text.split("\0")
 
 
 class ByteBpe:
@@ -147,21 +167,27 @@ class ByteBpe:
         self.tokens, self.perfect = tokens, perfect
         self.ranks = {t: i for i, t in enumerate(tokens)}
         self.pattern = regex.compile(pattern)
-        self.known: dict[str, list[int]] = {}
+        self.known = Memo()
         self.table = PieceTable(self._encode_pieces)
 
+    def words(self, piece: str) -> list[str]:
+        """The pre-tokens of a piece; the pattern is asked where they aren't plain to see."""
+        body = piece[1:] if piece[0] == " " else piece
+        if body.isalpha():
+            return [piece]
+        return self.pattern.findall(piece)
+
     def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        known = self.known
-        if len(known) > self.table.max_pieces:
-            known.clear()
-        out = []
+        known, out = self.known, []
         for piece in pieces:
-            ids: list[int] = []
-            for word in self.pattern.findall(piece):
-                if word not in known:
-                    known[word] = self.encode_word(word.encode("utf-8", "surrogatepass"))
-                ids += known[word]
-            out.append(array("i", ids).tobytes())
+            parts = []
+            for word in self.words(piece):
+                ids = known.get(word)
+                if ids is None:
+                    ids = array("i", self.encode_word(word.encode("utf-8", "surrogatepass"))).tobytes()
+                    known.put(word, ids)
+                parts.append(ids)
+            out.append(parts[0] if len(parts) == 1 else b"".join(parts))
         return out
 
     def encode_word(self, word: bytes) -> list[int]:
