@@ -88,7 +88,8 @@ def remove_repeated_chunks(docs: DataFrame, key: str = "doc_id", text: str = "te
     bodies = _bodies(cut)
     hashes = bodies.select(F.xxhash64("body").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
     seen_twice = written(hashes.where("n > 1").select("h"), "chunk_hashes")
-    # Only these carry their text on.
+    # Only these carry their text on. Merge joins whatever the number of repeats is, so that the plan is the same at every size.
+    seen_twice = seen_twice.hint("merge")
     again = bodies.withColumn("h", F.xxhash64("body")).join(seen_twice, "h", "left_semi").select("key_", "text_hash_", "no", "body")
     again = written(again, "repeated_chunks")
     release(docs.sparkSession)
@@ -100,7 +101,7 @@ def remove_repeated_chunks(docs: DataFrame, key: str = "doc_id", text: str = "te
     drop_tables([seen_twice, again, firsts])
     release(docs.sparkSession)
     same = F.col("key_").eqNullSafe(F.col("k_")) & F.col("text_hash_").eqNullSafe(F.col("t_"))
-    joined = with_chunks(base.join(gone, same, "left").drop("k_", "t_"), "text_")
+    joined = with_chunks(base.join(gone.hint("merge"), same, "left").drop("k_", "t_"), "text_")
     kept = F.filter("chunks_", lambda c: ~F.array_contains("gone_", c["no"]))
     # One string per chunk that stays, put together again.
     rest = F.array_join(F.transform(kept, lambda c: F.array_join(_chunk_lines(c), "\n")), "\n")
