@@ -182,7 +182,7 @@ def _least_reachable(near: np.ndarray) -> np.ndarray:
 
 def _verified(families: DataFrame, slim: DataFrame, first_rows: DataFrame, threshold: float, block: int) -> DataFrame:
     """Links (a, b) that join what a family's blocks hold of each class."""
-    sizes = families.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    sizes = written(families.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "family_sizes")
     members = families.join(sizes, "root").withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
     members = members.withColumn("own", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int"))
     # One row per text: copies differ in their keys, so that no text's rows meet in one task.
@@ -229,6 +229,7 @@ def _rooted(docs: DataFrame, key: str, text: str, threshold: float, block: int)
     signed = written(_signed(slim), "signatures")
     bucket = signed.select("k", "bands").dropDuplicates(["k"]).select("k", F.explode("bands").alias("bucket"))
     least = bucket.groupBy("bucket").agg(F.min("k").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket", "b")
+    least = written(least, "bucket_centres")
     links = written(bucket.join(least, "bucket").select(F.col("k").alias("a"), "b").where("a != b").distinct(), "bucket_links")
     release(spark)
     families = connected_components(links, "families")
@@ -245,6 +246,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", th
     """One row per row of ``docs``: key, ``class_id`` (least key of the class) and ``class_size`` (its rows)."""
     rooted = written(_rooted(docs, key, text, threshold, block), "rooted")
     named = rooted.groupBy("root").agg(F.min("key_").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
+    named = written(named, "class_names")  # a join of two plain tables, so that a large class is split
     return rooted.join(named, "root").select(F.col("key_").alias(key), "class_id", "class_size")
 
 

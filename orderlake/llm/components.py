@@ -20,14 +20,14 @@ def connected_components(links: DataFrame, name: str, rounds: int = 60) -> DataF
     state = _state(current)
     for _ in range(rounds):
         done = current
-        current = written(_small_star(_large_star(current)), f"{name}_links")
-        drop_tables([done])
+        stars = written(_large_star(current, name), f"{name}_stars")
+        current = written(_small_star(stars, name), f"{name}_links")
+        drop_tables([done, stars])
         release(links.sparkSession)
         before, state = state, _state(current)
         if state == before:
-            return nodes.join(current.select(F.col("a").alias("k"), F.col("b").alias("root")), "k", "left").select(
-                "k", F.coalesce("root", "k").alias("root")
-            )
+            roots = current.select(F.col("a").alias("k"), F.col("b").alias("root"))
+            return written(nodes.join(roots, "k", "left").select("k", F.coalesce("root", "k").alias("root")), f"{name}_roots")
     raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
@@ -42,14 +42,15 @@ def _state(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).head())
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _large_star(links: DataFrame, name: str) -> DataFrame:
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+    # Written, so that the join is one of plain tables and Spark splits a node with very many neighbours.
+    least = written(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), f"{name}_least")
     greater = links.select(F.col("b").alias("a"), F.col("a").alias("v")).join(least, "a").select(F.col("v").alias("a"), F.col("m").alias("b"))
     return _downward(greater)
 
 
-def _small_star(links: DataFrame) -> DataFrame:
-    least = links.groupBy("a").agg(F.min("b").alias("m"))
+def _small_star(links: DataFrame, name: str) -> DataFrame:
+    least = written(links.groupBy("a").agg(F.min("b").alias("m")), f"{name}_least")
     handed = links.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return _downward(handed.union(least.select("a", F.col("m").alias("b"))))
