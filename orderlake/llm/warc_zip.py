@@ -112,7 +112,8 @@ def write_archives(
     # Only payloads that are there more than once take part in the join; their first keys are a slim table.
     groups = rows.where(F.octet_length("p") >= min_revisit).groupBy("same").agg(F.min("k").alias("first"), F.count(F.lit(1)).alias("n"))
     firsts = written(groups.where((F.col("n") > 1) & F.col("first").isNotNull()).select("same", "first"), "warc_firsts")
-    rows = rows.join(firsts, "same", "left")
+    # A merge join at every size, so that the plan doesn't depend on the number of copies.
+    rows = rows.join(firsts.hint("merge"), "same", "left")
     refers_to = F.when(F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("k")), F.col("first").cast("string"))
     rows = rows.select(F.col("k").cast("string").alias("k"), refers_to.alias("r"), "u", "p")
 
