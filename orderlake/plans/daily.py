@@ -134,10 +134,19 @@ def refresh_orders(w: Warehouse, days: int = settings.LOOKBACK_DAYS, fixed_parti
 
 
 def merge_items(
-    spark: SparkSession, path: str, waiting: str, raw_items: DataFrame, orders: DataFrame, fixed_partition: bool = False
+    spark: SparkSession,
+    path: str,
+    waiting: str,
+    raw_items: DataFrame,
+    orders: DataFrame,
+    fixed_partition: bool = False,
+    partition_by: str = "order_date",
+    with_partition: Callable[[DataFrame], DataFrame] = lambda facts: facts,
 ) -> None:
     """Merge RAW items of known orders; items whose order is unknown wait for a later run.
 
+    ``with_partition`` adds the partition column where the facts don't have it.
+
     ``waiting`` is a table of their latest RAW rows. It is looked at in each run, so an item that
     came long before its order is merged when the order comes.
     """
@@ -150,8 +159,8 @@ def merge_items(
     try:
         tables.full_refresh(latest, staged)
         latest = spark.read.schema(latest.schema).parquet(staged)
-        updates = marts.fct_order_items(staging.stg_order_items(latest), orders)
-        incremental.upsert(spark, path, updates, "order_item_id", "order_date", fixed_partition=fixed_partition)
+        updates = with_partition(marts.fct_order_items(staging.stg_order_items(latest), orders))
+        incremental.upsert(spark, path, updates, "order_item_id", partition_by, fixed_partition=fixed_partition)
         tables.full_refresh(latest.join(orders.select("order_id"), "order_id", "left_anti").select(*columns), waiting)
     finally:
         tables.remove(spark, staged)

@@ -411,8 +411,9 @@ def merge_items_late_order(lake: Lake) -> DataFrame:
     path = shared_dir(lake.spark, "late_order")
     items, late = lake.raw("order_items"), F.col("order_id") % 3 == 0
     for rows, orders in ((items, lake.fct_orders.where(~late)), (items.where("false"), lake.fct_orders)):
-        daily.merge_items(lake.spark, f"{path}/fct", f"{path}/waiting", rows, orders)
-    return tables.read(lake.spark, f"{path}/fct")
+        by_month = {"partition_by": "order_month", "with_partition": _by_month}
+        daily.merge_items(lake.spark, f"{path}/fct", f"{path}/waiting", rows, orders, **by_month)
+    return tables.read(lake.spark, f"{path}/fct").drop("order_month")
 
 
 @query
