@@ -21,7 +21,8 @@ from orderlake.llm.common import ship, table, written
 
 #: Documents with a lower score are rejected.
 LEAST_SCORE = 0.5
-#: Passages of more than fifty words have at least about this many bytes.
+#: Repeats from this many bytes on are cut. Meant are more than fifty words: those mostly have more bytes, but not always, and
+#: this many bytes hold as few as 34 words (figures in the README).
 PASSAGE_BYTES = 240
 
 
