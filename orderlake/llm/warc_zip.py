@@ -3,8 +3,8 @@
 An archive is a ZIP file with stored (uncompressed) members: ``archive/data.warc.gz`` holds one gzip member
 per WARC record, ``indexes/index.cdxj`` one line per record with its offset and length. The reader finds the end of the central
 directory, follows the ZIP64 locator where there is one, reads the directory, locates the stored members through their local
-headers and reads records by byte ranges; a long member is dealt out to many tasks by its index. Without an
-index the member's gzip members are walked one after the other in bounded blocks.
+headers and reads records by byte ranges; a long member is dealt out to many tasks by its index. Where no
+index names a member, its gzip members are walked one after the other in bounded blocks. A compressed member is an error.
 
 Files are opened with ``pyarrow.fs`` by URI, so archives can lie in any store it knows. A task writes files under names
 of its own and reports them on success; what a lost executor left is never listed.
@@ -204,23 +204,32 @@ def data_start(file, member: Member) -> int:
     return member.header + 30 + n_name + n_extra
 
 
-def _indexed(file, listed: list[Member]) -> Iterator[tuple[int, int]]:
-    """(offset, length) of the records that the archive's indexes list."""
-    starts = {m.name: data_start(file, m) for m in listed if m.name.startswith("archive/") and not m.method}
+def _indexed(file, listed: list[Member], named: set[str]) -> Iterator[tuple[int, int]]:
+    """(offset, length) of the records that the archive's indexes list; the members they are in are added to ``named``."""
+    starts = {m.name: data_start(file, m) for m in listed if _holds_records(m)}
+
+    def place(line: bytes) -> tuple[int, int]:
+        entry = json.loads(line[line.index(b"{") :])
+        named.add(entry["filename"])
+        return starts[entry["filename"]] + int(entry["offset"]), int(entry["length"])
+
     for index in (m for m in listed if m.name.startswith("indexes/") and not m.method):
         begin, rest = data_start(file, index), b""
         for at in range(0, index.size, RANGE):
             *lines, rest = (rest + _read(file, begin + at, min(RANGE, index.size - at))).split(b"\n")
-            for line in lines:
-                entry = json.loads(line[line.index(b"{") :])
-                yield starts[entry["filename"]] + int(entry["offset"]), int(entry["length"])
+            yield from map(place, lines)
+        # The last line may have no line break.
+        if rest.strip():
+            yield place(rest)
+
+
+def _holds_records(member: Member) -> bool:
+    return member.name.startswith("archive/") and not member.name.endswith("/")
 
 
 def _walked(file, listed: list[Member]) -> Iterator[tuple[int, int]]:
-    """(offset, length) of the gzip members of archives that have no index."""
-    for m in listed:
-        if not m.name.startswith("archive/") or m.method:
-            continue
+    """(offset, length) of the gzip members of archive members that no index names."""
+    for m in filter(_holds_records, listed):
         begin, unpack, first, at = data_start(file, m), zlib.decompressobj(31), 0, 0
         while at < m.size:
             block = _read(file, begin + at, min(RANGE, m.size - at))
@@ -231,6 +240,15 @@ def _walked(file, listed: list[Member]) -> Iterator[tuple[int, int]]:
                 if unpack.eof:
                     yield begin + first, at - first
                     first, unpack = at, zlib.decompressobj(31)
+        if first < at:
+            raise ValueError(f"{m.name} ends inside a record")
+
+
+def _located(file, listed: list[Member]) -> Iterator[tuple[int, int]]:
+    """(offset, length) of all records: by index, and of the members that no index names by walking them."""
+    named: set[str] = set()
+    yield from _indexed(file, listed, named)
+    yield from _walked(file, [m for m in listed if m.name not in named])
 
 
 def _ranges(archives: DataFrame) -> DataFrame:
@@ -242,9 +260,7 @@ def _ranges(archives: DataFrame) -> DataFrame:
                 files, name = pafs.FileSystem.from_uri(path)
                 rows: list[tuple[int, list[int]]] = []
                 with files.open_input_file(name) as file:
-                    listed = members(file)
-                    by_index = any(m.name.startswith("indexes/") and not m.method for m in listed)
-                    for offset, length in _indexed(file, listed) if by_index else _walked(file, listed):
+                    for offset, length in _located(file, members(file)):
                         if rows and rows[-1][0] + sum(rows[-1][1]) == offset and sum(rows[-1][1]) + length <= RANGE:
                             rows[-1][1].append(length)
                         else:

@@ -113,6 +113,37 @@ def test_archives_without_index_are_walked(spark, tmp_path, monkeypatch):
     assert warc_zip.read_archives(archives).where("payload_bytes > 0").count() == 30
 
 
+def test_members_that_no_index_names_and_an_index_without_last_line_break(spark, tmp_path):
+    def packed(numbers):
+        return [warc_zip._gzip_member(warc_zip._record(str(i), None, "u", b"payload %d" % i)[0]) for i in numbers]
+
+    named, other, lines, at = packed(range(5)), packed(range(5, 12)), [], 0
+    for record in named:
+        lines.append(f'- {warc_zip.DATE} {{"offset": {at}, "length": {len(record)}, "filename": "{warc_zip.DATA}"}}')
+        at += len(record)
+    path = str(tmp_path / "two.wacz")
+    with zipfile.ZipFile(path, "w") as out:
+        out.writestr("archive/", b"")
+        out.writestr(warc_zip.DATA, b"".join(named))
+        out.writestr("archive/more.warc.gz", b"".join(other))
+        out.writestr(warc_zip.INDEX, "\n".join(lines))
+    records = warc_zip.read_archives(spark.createDataFrame([(path,)], "archive string"))
+    assert sorted(r.record_id for r in records.collect()) == sorted(f"{warc_zip.URN}{i}" for i in range(12))
+
+
+@pytest.mark.parametrize("indexed", [False, True])
+def test_compressed_and_cut_members_are_refused(tmp_path, indexed):
+    record = warc_zip._gzip_member(warc_zip._record("1", None, "u", b"payload")[0])
+    for data, kind, why in ((record, zipfile.ZIP_DEFLATED, "compressed"), (record * 2 + record[:-9], zipfile.ZIP_STORED, "inside a record")):
+        with zipfile.ZipFile(tmp_path / "bad.wacz", "w") as out:
+            out.writestr("archive/more.warc.gz", data, compress_type=kind)
+            if indexed:
+                out.writestr(warc_zip.INDEX, b"")
+        file = pafs.LocalFileSystem().open_input_file(str(tmp_path / "bad.wacz"))
+        with pytest.raises(ValueError, match=why):
+            list(warc_zip._located(file, warc_zip.members(file)))
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "page_id long, url string, html string")
     archives = warc_zip.write_archives(empty)
