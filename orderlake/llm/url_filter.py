@@ -148,6 +148,27 @@ def _with_suffixes(df: DataFrame, suffixes: dict[str, DataFrame], prior: float)
     return df
 
 
+def _sample(data: DataFrame, label: str, rows: dict[int, int], max_rows: int, seed: int) -> DataFrame:
+    """At most about ``max_rows`` rows with ``weight_``, the number of rows each stands for; ``rows`` counts each label's.
+
+    Equal feature rows are counted first. The more rows one has the likelier it stays, a hot one always; both
+    labels stay, since each has half the room at least.
+    """
+    if sum(rows.values()) <= max_rows:
+        return data.withColumn("weight_", F.lit(1.0))
+    seen = [c for c in data.columns if c.startswith(("f_", "s_"))] + [label]
+    counted = data.groupBy(*seen).agg(F.count(F.lit(1)).cast("double").alias("n_"))
+
+    def step(kind: int) -> float:
+        # Rows that one row of the sample stands for.
+        return max(1.0, rows[kind] / max(max_rows / 2, max_rows - rows[1 - kind]))
+
+    each = F.when(F.col(label) == 1, F.lit(step(1))).otherwise(F.lit(step(0)))
+    drawn = F.pmod(F.xxhash64(*seen, F.lit(seed)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    kept = counted.withColumn("step_", each).where(drawn < F.col("n_") / F.col("step_"))
+    return kept.withColumn("weight_", F.greatest("n_", "step_")).drop("n_", "step_")
+
+
 def fit(
     labelled: DataFrame,
     url: str = "url",
@@ -160,8 +181,8 @@ def fit(
 ) -> UrlModel:
     """Train from URLs labelled 1 (block) or 0 (allow); columns ``host`` and ``path`` must be there.
 
-    The trees are fitted on at most about ``max_rows`` labelled rows, picked by a hash of the URL; the
-    suffix statistics (share of blocked URLs, smoothed, and log count) are taken over all of them.
+    The trees are fitted on at most about ``max_rows`` rows; where there are more, on distinct feature rows that are
+    weighted by their labelled rows. The suffix statistics (share of blocked URLs, smoothed, and log count) are taken over all of them.
     """
     data = written(_features(labelled.where(F.col(label).isNotNull()), url).drop(url), "url_labels")
     total, blocked = data.agg(F.count(F.lit(1)), F.coalesce(F.sum(label), F.lit(0))).head()
@@ -176,13 +197,11 @@ def fit(
         stats = data.groupBy(key).agg(rate, F.log1p(n.cast("double")).alias(f"f_{key}_seen"))
         suffixes[key] = written(stats, f"url_{key}")
         names += [f"f_{key}_rate", f"f_{key}_seen"]
-    share = min(1.0, max_rows / total)
-    if share < 1.0:
-        data = data.where(F.pmod(F.xxhash64("host", "path", "f_entropy", F.lit(seed)), F.lit(1_000_000)) < int(share * 1_000_000))
+    data = _sample(data, label, {1: blocked, 0: total - blocked}, max_rows, seed)
     ready = _with_suffixes(data, suffixes, prior)
     ready = VectorAssembler(inputCols=names, outputCol="features").transform(ready)
-    ready = ready.select("features", F.col(label).cast("double").alias("label"))
-    classifier = GBTClassifier(maxIter=trees, maxDepth=depth, seed=seed, maxBins=64)
+    ready = ready.select("features", F.col(label).cast("double").alias("label"), "weight_")
+    classifier = GBTClassifier(maxIter=trees, maxDepth=depth, seed=seed, maxBins=64, weightCol="weight_")
     return UrlModel(classifier.fit(ready), suffixes, prior, names)
 
 

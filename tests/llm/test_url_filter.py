@@ -62,6 +62,28 @@ def test_trees_learn_from_labelled_urls(spark):
     assert share > 0.95
 
 
+def test_a_hot_url_neither_fills_the_sample_nor_leaves_it(spark, monkeypatch):
+    class Trees:
+        def __init__(self, weightCol=None, **_):
+            self.weight = weightCol
+
+        def fit(self, ready):
+            weight = F.col(self.weight) if self.weight else F.lit(1.0)
+            self.rows = ready.select("label", weight.alias("w")).collect()
+            return self
+
+    monkeypatch.setattr(url_filter, "GBTClassifier", Trees)
+    others = [(f"http://h{i}.net/{'x' * (i % 97)}{i}", 0) for i in range(4000)]
+    for n in range(6):
+        # One URL on a third of the rows, and all that is blocked.
+        known = spark.createDataFrame([(f"http://hot.com/{n}", 1)] * 2000 + others, "url string, label int")
+        known = known.withColumns({"host": url_filter.host_of(F.col("url")), "path": url_filter.path_of(F.col("url"))})
+        rows = url_filter.fit(known, max_rows=400).trees.rows
+        assert len(rows) <= 480
+        assert [r.w for r in rows if r.label == 1] == [2000]
+        assert abs(sum(r.w for r in rows if r.label == 0) - 4000) < 1600
+
+
 def test_nothing_to_learn(spark):
     pages = spark.createDataFrame([(1, "http://a.b/")], "page_id long, url string")
     assert url_filter.judge(pages, URL_RULES).head().verdict == "allow"
