@@ -70,6 +70,17 @@ def remove(spark: SparkSession, path: str) -> None:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def is_marked(spark: SparkSession, path: str) -> bool:
+    mark = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """Leave an empty file; ``remove`` takes it away."""
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    file.getFileSystem(spark._jsc.hadoopConfiguration()).create(file, True).close()
+
+
 def drop_partitions(spark: SparkSession, path: str, column: str, values) -> None:
     """Remove the folders of single partitions."""
     for value in values:
