@@ -17,6 +17,8 @@ TUNING = {
     # Split hot join keys even where that costs one more exchange above the join.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Batches for Python are bounded by bytes too: ten thousand long texts would not fit a worker.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
     # Load times are instants; days and folders are those of UTC.
     "spark.sql.session.timeZone": "UTC",
     # Bloom filters prune the big side of a selective shuffle join.
