@@ -8,8 +8,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.llm import ann_tree, bagminhash, byte_bpe, fingerprints, line_dedup, packing, quality, suffix_dedup, url_filter, warc_zip
+from orderlake.llm import (
+    ann_tree,
+    bagminhash,
+    byte_bpe,
+    divergence,
+    dual_tree,
+    fingerprints,
+    line_dedup,
+    packing,
+    quality,
+    suffix_dedup,
+    url_filter,
+    warc_zip,
+    weak_rules,
+)
 from orderlake.llm.common import ship, table
+from orderlake.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -17,7 +32,7 @@ ORACLE_SQL: dict[str, str] = {}
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        ship(spark)
+        ship(tune(spark))
         return fn(spark, sf_dir)
 
     run.__name__ = fn.__name__
@@ -164,3 +179,67 @@ def op5_ann_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten nearest vectors of every hundredth one."""
     index = ann_tree.build(table(spark, sf_dir, "embeddings"), k=10)
     return ann_tree.search(index, F.col("vec_id") % 100 == 0, k=10)
+
+
+@query
+def op11_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's counts, and whether the rules' votes say that it is good."""
+    judged = weak_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"), carry=["doc_id"])
+    return judged.select("doc_id", *weak_rules.COUNTS, F.round("posterior", 6).alias("posterior"), "base_failed", "kept")
+
+
+@query
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each source's distance to the other sources of its language, and the terms it has most above the language."""
+    return divergence.audit(table(spark, sf_dir, "documents"), least_docs=30, smoothing=5, top=50)
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE_SQL["op12_source_divergence"] = rf"""
+WITH d AS (SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_LOWER} AS body FROM documents),
+     o AS (SELECT i, lang, source, unnest(regexp_extract_all(body, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+     kept AS (SELECT lang, term FROM o GROUP BY lang, term HAVING count(DISTINCT i) >= 30),
+     g AS (SELECT DISTINCT lang, source FROM d),
+     c AS (SELECT lang, source, term, count(*) AS n FROM o SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+     v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+     dense AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n FROM g JOIN kept k USING (lang) LEFT JOIN c USING (lang, source, term)),
+     p AS (SELECT dense.lang, source, term, n,
+                  1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER (PARTITION BY dense.lang, source) + 5 * v) AS p
+           FROM dense JOIN v ON dense.lang = v.lang),
+     q AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(n) + 5)) // (sum(sum(n)) OVER (PARTITION BY lang) + 5 * any_value(v)) AS q
+           FROM dense JOIN v USING (lang) GROUP BY lang, term),
+     pair AS (SELECT a.lang, a.source, b.source AS item, coalesce(sum(abs(x.p - y.p)), 0)::BIGINT AS value
+              FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+              LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+              GROUP BY ALL),
+     term AS (SELECT lang, source, term AS item, (p - q)::BIGINT AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+     ranked AS (SELECT lang, source, 'pair' AS part, item, value,
+                       row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, encode(item)) AS rank FROM pair
+                UNION ALL
+                SELECT lang, source, 'term', item, value,
+                       row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, encode(item)) FROM term)
+SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+
+@query
+def op13_dual_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty best documents for every benchmark item."""
+    return dual_tree.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+ORACLE_SQL["op13_dual_tree"] = rf"""
+WITH o AS (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+     i AS (SELECT item_id, unnest(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+     tf AS (SELECT doc_id, term, count(*) AS tf FROM o GROUP BY ALL),
+     doc AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY doc_id),
+     corpus AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM doc),
+     m AS (SELECT doc_id, 75 + (25 * n * docs) // terms AS m FROM doc, corpus),
+     w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+           FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), corpus),
+     s AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+           FROM i JOIN tf USING (term) JOIN m USING (doc_id) JOIN w USING (term) GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 20
+"""

@@ -1,0 +1,113 @@
+"""The audit against SQL, and its refinement, wide languages and odd rows against plain Python."""
+
+import math
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from oracle_check import compare, connect
+from pyspark.sql import functions as F
+
+from orderlake.llm import divergence
+from orderlake.llm.queries import ORACLE_SQL, QUERIES
+
+TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+SCHEMA = "text string, lang string, source string"
+
+
+def lowered(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+
+
+def plain(rows, least, top):
+    docs, counts, groups = defaultdict(Counter), defaultdict(Counter), defaultdict(set)
+    for text, lang, source in rows:
+        lang, source = lang or "", source or ""
+        found = Counter(TERM.findall(lowered(text)))
+        groups[lang].add(source)
+        docs[lang].update(found.keys())
+        counts[lang, source].update(found)
+    out = []
+    for lang, sources in groups.items():
+        kept = [t for t, n in docs[lang].items() if n >= least]
+        v = len(kept)
+
+        def p(count, total, v=v):
+            return 1 + (10**9 * (count + 5)) // (total + 5 * v)
+
+        total = {s: sum(counts[lang, s][t] for t in kept) for s in sources}
+        everywhere = {t: sum(counts[lang, s][t] for s in sources) for t in kept}
+        for s in sources:
+            pairs = [(-sum(abs(p(counts[lang, s][t], total[s]) - p(counts[lang, o][t], total[o])) for t in kept), o) for o in sources if o != s]
+            above = [(p(everywhere[t], sum(total.values())) - p(counts[lang, s][t], total[s]), t) for t in kept if counts[lang, s][t]]
+            for part, found, limit in (("pair", pairs, math.inf), ("term", [x for x in above if x[0] < 0], top)):
+                ranked = sorted(found, key=lambda x: (x[0], x[1].encode()))
+                out += [(lang, s, part, item, -value, i + 1) for i, (value, item) in enumerate(ranked) if i < limit]
+    return sorted(out)
+
+
+def rows_of(df):
+    return sorted((r.lang, r.source, r.part, r.item, r.value, r.rank) for r in df.select("lang", "source", "part", "item", "value", "rank").collect())
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_the_query_is_its_sql(spark, sf):
+    path = f"/root/testdata/{sf}"
+    assert compare(QUERIES["op12_source_divergence"](spark, path), connect(path), ORACLE_SQL["op12_source_divergence"]) == []
+
+
+def random_rows(seed, n, sources, kinds=60):
+    rng = random.Random(seed)
+    names = ["".join(rng.choice(["a", "B", "ab", "abc", "é", "ŝ", "漢", "aaaaaaaa"]) for _ in range(rng.randint(1, 6))) for _ in range(kinds)]
+    names += ["x" * 40 + "y", "x" * 40 + "z", "x" * 40]
+    rows = []
+    for _ in range(n):
+        words = rng.choices(names, [1 / (i + 1) for i in range(len(names))], k=rng.randint(0, 40))
+        rows.append((rng.choice([" ", "-7-", "\n"]).join(words), rng.choice(["en", "de", None]), rng.choice(sources)))
+    return rows
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_small_tables_are_brute_force(spark, seed, monkeypatch):
+    monkeypatch.setattr(divergence, "BLOCK_CELLS", 16)
+    monkeypatch.setattr(divergence, "SLICE", 2)
+    monkeypatch.setattr(divergence, "BITS_EACH", 1)
+    rows = random_rows(seed, 150, ["a", "b", "Ä", "", None])
+    rows += [(None, "fr", "q"), ("", "fr", "r"), ("only once", "it", "s"), ("5 !", None, None), ("ab " * 100_000, "en", "a")]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumn("value", F.lit(1)).withColumn("terms", F.lit("x")).repartition(3)
+    assert rows_of(divergence.audit(docs, least_docs=9, top=3)) == plain(rows, 9, 3)
+
+
+def test_no_rows_and_no_terms(spark):
+    assert divergence.audit(spark.createDataFrame([], SCHEMA)).count() == 0
+    silent = spark.createDataFrame([(None, None, "a"), ("1 2", None, None)], SCHEMA)
+    assert rows_of(divergence.audit(silent)) == [("", "", "pair", "a", 0, 1), ("", "a", "pair", "", 0, 1)]
+
+
+def test_a_prefix_counts_documents_not_terms(spark):
+    rows = spark.createDataFrame([("abx aby abz abx",)] * 4 + [("abx",)] * 2 + [("cd",)] * 9, "text string").select("text", F.lit("en").alias("lang"), F.lit("s").alias("source"))
+    table = divergence._term_rows(rows, "text", "lang", "source")
+    level = divergence._prefixes(table, 2, 0, None).groupBy("prefix", "complete").agg(F.sum("n").alias("n")).collect()
+    assert sorted((bytes(r.prefix), r.complete, r.n) for r in level) == [(b"ab", False, 6), (b"cd", False, 9)]
+    kept = divergence.frequent_terms(table, 5).collect()
+    assert sorted((bytes(r.term), r.docs) for r in kept) == [(b"abx", 6), (b"cd", 9)]
+
+
+def test_counts_beyond_64_bits(spark):
+    big = 9_000_000_000_000_000_000
+    row = spark.createDataFrame([(big, big, 3)], "n long, total long, v long")
+    got = row.select(divergence._frequency(F.col("n"), F.col("total"), F.col("v"), 10**9, 5)).head()[0]
+    assert got == 1 + (10**9 * (big + 5)) // (big + 15)
+
+
+def test_the_bitmap_has_what_spark_put_in(spark):
+    words = [f"w{i}é".encode() for i in range(300)]
+    entries = spark.createDataFrame([("en", bytearray(w)) for w in words], "lang string, term binary")
+    bitmap = divergence._bitmap(entries, "term")
+    part = divergence._Part.__new__(divergence._Part)
+    part.langs, part.lang, part.words = [b"en", b"de"], np.zeros(300, np.int64), words
+    assert part.hits(bitmap, None).all()
+    part.lang = part.lang + 1
+    assert part.hits(bitmap, None).mean() < 0.3
