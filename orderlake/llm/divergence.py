@@ -2,12 +2,13 @@
 
 Which terms count (those in at least ``least_docs`` documents of their language) is found by iceberg prefix refinement. A
 term is its bytes and an end mark; level by level the prefixes of all terms are counted by the documents that hold
-them, a prefix with too few documents goes with everything below it, and the prefixes that stay are extended (to 2, 3, 4, 6, 9, ...
+them, a prefix with too few documents goes with everything below it, and the prefixes that stay are extended (to 4, 8, 16, 32, ...
 bytes). A prefix that reaches the end mark is a complete term and stays for good. A document counts once for each
 prefix, however many of its terms have it.
 
-Texts are read once, into a written table of each document's different terms. A level adds up counts in its tasks before anything is
-shuffled. What stays is told to the next level's tasks as a bitmap of hashes (at most 8 MB, whatever the corpus): a false
+Texts are read once, into a written table of each document's different terms in order, with how much of each term is that of the one
+before it: a term begins a prefix of its document where it has less in common than the prefix is long. A level
+adds up counts in its tasks before anything is shuffled. What stays is told to the next level's tasks as a bitmap of hashes (at most 8 MB, whatever the corpus): a false
 hit only costs a count, since every level counts the prefixes themselves and the last join is on whole terms.
 
 Frequencies are ``p = 1 + (scale * (count + smoothing)) div (N + smoothing * V)`` in whole numbers. Sources are compared in
@@ -23,9 +24,11 @@ task. Other input columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,51 +40,66 @@ from orderlake.llm.common import drop_tables, written
 BITMAP_BITS, BITS_EACH = 26, 16
 #: Most numbers of one block of the comparison, and sources that one task compares with all others.
 BLOCK_CELLS, SLICE = 1 << 20, 256
+#: Bytes of the first level's prefixes; each level has twice those of the one before.
+FIRST_CUT = 4
 #: Seed of Spark's xxhash64.
 _SEED = 42
 
 
+def _common(kinds: pa.Array, owner: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """For each text's terms in order what a term has in common with the one before: a number of bytes that is exact from 32 on, and
+    below that the greatest of 0, 4, 8 and 16."""
+    words = kinds.to_pylist()
+    fixed = np.array([*words, b""], "S32")
+    parts = fixed.view(np.uint64).reshape(-1, 4)
+    common = np.zeros(len(code), np.int32)
+    if len(code) > 1:
+        a, b = code[:-1], code[1:]
+        same = owner[:-1] == owner[1:]
+        first = fixed.view(np.uint32)[::8]
+        common[1:][same & (first[a] == first[b])] = 4
+        for end, columns in ((8, (0,)), (16, (1,)), (32, (2, 3))):
+            for c in columns:
+                same &= parts[a, c] == parts[b, c]
+            common[1:][same] = end
+        for i in np.flatnonzero(same).tolist():
+            common[i + 1] = len(commonprefix([words[a[i]], words[b[i]]]))
+    return common
+
+
 def _term_rows(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
-    """One row per document: language, source, its different terms and how often each is there."""
+    """One row per document: language, source, its different terms in order, how often each is there, and ``common`` (see above)."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in terms.slices(batch, 2):
                 kinds, codes, counts = terms.terms(terms.bytes_of(part.column(2)), terms.LETTERS)
-                owner, code, n = terms.tally(codes, counts, len(kinds))
-                own = terms.lists(owner, len(counts), kinds.take(pa.array(code)), pa.array(n))
-                yield pa.RecordBatch.from_arrays([*part.columns[:2], *own], names=["lang", "source", "terms", "counts"])
+                order = pc.array_sort_indices(kinds)
+                standing = np.empty(len(kinds), np.int64)
+                standing[order.to_numpy()] = np.arange(len(kinds))
+                kinds = kinds.take(order)
+                owner, code, n = terms.tally(standing[codes], counts, len(kinds))
+                common = pa.array(_common(kinds, owner, code))
+                own = terms.lists(owner, len(counts), kinds.take(pa.array(code)), pa.array(n), common)
+                yield pa.RecordBatch.from_arrays([*part.columns[:2], *own], names=["lang", "source", "terms", "counts", "common"])
 
     named = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(a) for c, a in ((lang, "lang"), (source, "source"))]
     rows = docs.select(*named, F.col(f"`{text}`").cast("binary").alias("text"))
-    return rows.mapInArrow(each, "lang string, source string, terms array<binary>, counts array<long>")
-
-
-class _Part:
-    """The (document, term) pairs of a batch, with the different (language, term) pairs among them."""
-
-    def __init__(self, batch: pa.RecordBatch):
-        held = batch.column("terms").value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-        coded = batch.column("terms").flatten().dictionary_encode()
-        langs = batch.column("lang").dictionary_encode()
-        self.langs = [s.encode("utf-8", "surrogatepass") for s in langs.dictionary.to_pylist()]
-        self.lang_names, words = langs.dictionary, coded.dictionary.to_pylist()
-        self.doc = np.repeat(np.arange(len(held)), held)
-        lang = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[self.doc]
-        code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        pairs, self.pair = np.unique(lang * max(len(words), 1) + code, return_inverse=True)
-        self.lang = pairs // max(len(words), 1)
-        self.words = [words[c] for c in (pairs % max(len(words), 1)).tolist()]
-
-    def hits(self, bitmap: np.ndarray | None, cut: int | None) -> np.ndarray:
-        """The (language, term) pairs whose prefix of ``cut`` bytes (None: the whole term) is in the bitmap."""
-        if bitmap is None:
-            return np.ones(len(self.words), bool)
-        names, n = self.langs, len(self.words)
-        digest = xxhash.xxh64_intdigest
-        hashes = (digest(names[la] + b"\0" + w[:cut], _SEED) for la, w in zip(self.lang.tolist(), self.words, strict=True))
-        at = np.fromiter(hashes, np.uint64, n) & np.uint64(len(bitmap) * 64 - 1)
-        return (bitmap[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+    return rows.mapInArrow(each, "lang string, source string, terms array<binary>, counts array<long>, common array<int>")
+
+
+def _by_lang(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.RecordBatch]]:
+    for batch in batches:
+        for lang in pc.unique(batch.column("lang")).to_pylist():
+            yield lang, batch.filter(pc.equal(batch.column("lang"), lang))
+
+
+def _hits(bitmap: np.ndarray, lang: str, words: pa.Array) -> np.ndarray:
+    """The words, or prefixes, of a language that are in the bitmap."""
+    before, digest = lang.encode("utf-8", "surrogatepass") + b"\0", xxhash.xxh64_intdigest
+    hashes = np.fromiter((digest(before + w, _SEED) for w in words.to_pylist()), np.uint64, len(words))
+    at = hashes & np.uint64(len(bitmap) * 64 - 1)
+    return (bitmap[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
 def _bitmap(entries: DataFrame, term: str) -> np.ndarray | None:
@@ -99,50 +117,38 @@ def _bitmap(entries: DataFrame, term: str) -> np.ndarray | None:
 
 
 def _prefixes(rows: DataFrame, cut: int, before: int, alive) -> DataFrame:
-    """(lang, prefix, complete, n): documents by prefix of at most ``cut`` bytes, among terms longer than ``before`` - 1 bytes whose
-    shorter prefix is alive."""
+    """(lang, prefix, n): documents by prefix of ``cut`` bytes, of terms whose prefix of ``before`` bytes is alive. A shorter prefix is a
+    complete term; terms that ended before this level are counted already."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = alive.value if alive else None
-        for batch in batches:
-            part = _Part(batch)
-            if not len(part.doc):
-                continue
-            words = part.words
-            # With its end mark a term has one byte more; those that ended before this level are counted already.
-            wanted = np.fromiter((len(w) >= before for w in words), bool, len(words))
-            wanted &= part.hits(bitmap, before)
-            keys = [(la, w[:cut], len(w) < cut) for la, w in zip(part.lang.tolist(), words, strict=True)]
-            numbers: dict[tuple, int] = {}
-            of_pair = np.fromiter((numbers.setdefault(k, len(numbers)) for k in keys), np.int64, len(keys))
-            used = wanted[part.pair]
-            there = np.unique(part.doc[used] * len(numbers) + of_pair[part.pair[used]]) % len(numbers)
-            n = np.bincount(there, minlength=len(numbers))
-            found, kinds = np.flatnonzero(n), list(numbers)
-            columns = [
-                part.lang_names.take(pa.array([kinds[i][0] for i in found], pa.int64())),
-                pa.array([kinds[i][1] for i in found], pa.binary()),
-                pa.array([kinds[i][2] for i in found], pa.bool_()),
-                pa.array(n[found], pa.int64()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["lang", "prefix", "complete", "n"])
+        for lang, batch in _by_lang(batches):
+            words = batch.column("terms").flatten()
+            fresh = pc.less(batch.column("common").flatten(), cut)
+            if alive:
+                shorter = pc.binary_slice(words, 0, before).dictionary_encode()
+                good = _hits(alive.value, lang, shorter.dictionary)[shorter.indices.to_numpy()]
+                # All terms of a document with one shorter prefix stay or go together, so its first one stays first.
+                fresh = pc.and_(fresh, pc.and_(pa.array(good), pc.greater_equal(pc.binary_length(words), before)))
+            found = pc.binary_slice(words.filter(fresh), 0, cut).value_counts()
+            yield pa.RecordBatch.from_arrays([pa.repeat(lang, len(found)), found.field(0), found.field(1)], names=["lang", "prefix", "n"])
 
-    return rows.mapInArrow(each, "lang string, prefix binary, complete boolean, n long")
+    return rows.mapInArrow(each, "lang string, prefix binary, n long")
 
 
 def frequent_terms(rows: DataFrame, least_docs: int) -> DataFrame:
     """(lang, term, docs): the terms in at least ``least_docs`` documents of their language, by prefix refinement."""
     context = rows.sparkSession.sparkContext
-    before, cut, alive, levels = 0, 2, None, []
+    before, cut, alive, levels = 0, FIRST_CUT, None, []
     while True:
-        counted = _prefixes(rows, cut, before, alive).groupBy("lang", "prefix", "complete").agg(F.sum("n").alias("docs"))
+        counted = _prefixes(rows, cut, before, alive).groupBy("lang", "prefix").agg(F.sum("n").alias("docs"))
         level = written(counted.where(F.col("docs") >= least_docs), "prefixes")
-        levels.append(level.where("complete").select("lang", F.col("prefix").alias("term"), "docs"))
-        bitmap = _bitmap(level.where("NOT complete"), "prefix")
+        complete = F.octet_length("prefix") < cut
+        levels.append(level.where(complete).select("lang", F.col("prefix").alias("term"), "docs"))
+        bitmap = _bitmap(level.where(~complete), "prefix")
         if bitmap is None:
             break
         alive = context.broadcast(bitmap)
-        before, cut = cut, cut + cut // 2
+        before, cut = cut, cut * 2
     found = levels[0]
     for level in levels[1:]:
         found = found.unionByName(level)
@@ -159,25 +165,24 @@ def _counts(rows: DataFrame, kept: DataFrame) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(bitmap)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            part = _Part(batch)
-            if not len(part.doc):
-                continue
+        for lang, batch in _by_lang(batches):
+            coded = batch.column("terms").flatten().dictionary_encode()
             sources = batch.column("source").dictionary_encode()
-            group = sources.indices.to_numpy(zero_copy_only=False).astype(np.int64)[part.doc]
-            n = batch.column("counts").flatten().to_numpy(zero_copy_only=False)
-            used = part.hits(shared.value, None)[part.pair]
-            key = group[used] * len(part.words) + part.pair[used]
+            kinds = max(len(coded.dictionary), 1)
+            code = coded.indices.to_numpy().astype(np.int64)
+            group = np.repeat(sources.indices.to_numpy().astype(np.int64), batch.column("terms").value_lengths().to_numpy())
+            used = _hits(shared.value, lang, coded.dictionary)[code]
+            key = group[used] * kinds + code[used]
             order = np.argsort(key, kind="stable")
-            kinds, first = np.unique(key[order], return_index=True)
-            if not len(kinds):
+            found, first = np.unique(key[order], return_index=True)
+            if not len(found):
                 continue
-            pair = kinds % len(part.words)
+            n = batch.column("counts").flatten().to_numpy()[used][order]
             columns = [
-                part.lang_names.take(pa.array(part.lang[pair])),
-                sources.dictionary.take(pa.array(kinds // len(part.words))),
-                pa.array([part.words[i] for i in pair.tolist()], pa.binary()),
-                pa.array(np.add.reduceat(n[used][order], first), pa.int64()),
+                pa.repeat(lang, len(found)),
+                sources.dictionary.take(pa.array(found // kinds)),
+                coded.dictionary.take(pa.array(found % kinds)),
+                pa.array(np.add.reduceat(n, first)),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["lang", "source", "term", "n"])
 

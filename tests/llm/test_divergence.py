@@ -4,8 +4,10 @@ import math
 import random
 import re
 from collections import Counter, defaultdict
+from os.path import commonprefix
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from oracle_check import compare, connect
 from pyspark.sql import functions as F
@@ -87,12 +89,27 @@ def test_no_rows_and_no_terms(spark):
 
 
 def test_a_prefix_counts_documents_not_terms(spark):
-    rows = spark.createDataFrame([("abx aby abz abx",)] * 4 + [("abx",)] * 2 + [("cd",)] * 9, "text string").select("text", F.lit("en").alias("lang"), F.lit("s").alias("source"))
+    texts = [("abcdx abcdy abcdz abcdx",)] * 4 + [("abcdx",)] * 2 + [("abc cd",)] * 9
+    rows = spark.createDataFrame(texts, "text string").select("text", F.lit("en").alias("lang"), F.lit("s").alias("source"))
     table = divergence._term_rows(rows, "text", "lang", "source")
-    level = divergence._prefixes(table, 2, 0, None).groupBy("prefix", "complete").agg(F.sum("n").alias("n")).collect()
-    assert sorted((bytes(r.prefix), r.complete, r.n) for r in level) == [(b"ab", False, 6), (b"cd", False, 9)]
+    level = divergence._prefixes(table, 4, 0, None).groupBy("prefix").agg(F.sum("n").alias("n")).collect()
+    assert sorted((bytes(r.prefix), r.n) for r in level) == [(b"abc", 9), (b"abcd", 6), (b"cd", 9)]
     kept = divergence.frequent_terms(table, 5).collect()
-    assert sorted((bytes(r.term), r.docs) for r in kept) == [(b"abx", 6), (b"cd", 9)]
+    assert sorted((bytes(r.term), r.docs) for r in kept) == [(b"abc", 9), (b"abcdx", 6), (b"cd", 9)]
+
+
+def test_what_neighbouring_terms_share():
+    rng = random.Random(9)
+    docs = [sorted({rng.choice([b"a", b"abcd", b"abcdefgh", b"x" * 31]) * rng.randint(1, 5) + rng.choice([b"", b"q", b"\xc3\xa9"]) for _ in range(30)}) for _ in range(20)]
+    words = sorted({w for d in docs for w in d})
+    owner = np.repeat(np.arange(20), [len(d) for d in docs])
+    got = divergence._common(pa.array(words), owner, np.array([words.index(w) for d in docs for w in d]))
+    want = []
+    for d in docs:
+        for i, w in enumerate(d):
+            n = len(commonprefix([w, d[i - 1]])) if i else 0
+            want.append(n if n >= 32 else max(c for c in (0, 4, 8, 16) if c <= n))
+    assert got.tolist() == want
 
 
 def test_counts_beyond_64_bits(spark):
@@ -106,8 +123,4 @@ def test_the_bitmap_has_what_spark_put_in(spark):
     words = [f"w{i}é".encode() for i in range(300)]
     entries = spark.createDataFrame([("en", bytearray(w)) for w in words], "lang string, term binary")
     bitmap = divergence._bitmap(entries, "term")
-    part = divergence._Part.__new__(divergence._Part)
-    part.langs, part.lang, part.words = [b"en", b"de"], np.zeros(300, np.int64), words
-    assert part.hits(bitmap, None).all()
-    part.lang = part.lang + 1
-    assert part.hits(bitmap, None).mean() < 0.3
+    assert divergence._hits(bitmap, "en", pa.array(words)).all() and divergence._hits(bitmap, "de", pa.array(words)).mean() < 0.3
