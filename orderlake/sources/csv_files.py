@@ -8,15 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake.functions.scalars import text_or_null, to_whole
+from orderlake.sources.records import cut, read_lines
 from orderlake.sources.schemas import TABLES, RawTable
 
-# A field is quoted as a whole or holds no quote at all; only a quoted one may hold line breaks.
-# Possessive quantifiers keep the test linear in the length of the text.
-_FIELD = r'(?:"(?:[^"]++|"")*+"|[^",\n]*+)'
-_RECORD = rf"{_FIELD}(?:,{_FIELD})*+"
-# A record that ends with its line, or else the rest of the line, which is no record.
-_PIECE = rf"{_RECORD}(?=\r?(?:\n|\z))|[^\n]++"
-
 _CSV = {"sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 
 
@@ -44,37 +38,32 @@ def read_strict(source, table: RawTable, path, load_time: Column) -> DataFrame:
     """Facts: broken quoting or a value that does not fit its type aborts the read.
 
     Short rows are filled with NULL and surplus fields are left out, as for every table.
-    ``source`` is ``spark.read`` or ``spark.readStream``.
+    ``source`` is ``spark.read`` or, for tables whose records are single lines, ``spark.readStream``.
     """
-    options = _CSV | {"multiLine": str(table.multi_line).lower(), "unescapedQuoteHandling": "RAISE_ERROR"}
-    rows = _reader(source, options, table.text_schema).csv(path)
+    if table.multi_line:
+        return parsed(read_records(source, path, load_time), table)
+    rows = _reader(source, _CSV | {"unescapedQuoteHandling": "RAISE_ERROR"}, table.text_schema).csv(path)
     return rows.select(*_typed(table, F.col), *_metadata_columns(load_time))
 
 
 def read_records(source, path, load_time: Column | None = None) -> DataFrame:
     """The records of CSV files as text, headers left out: ``record``, ``good`` and load metadata.
 
-    A record may span lines inside a quoted field. Where no record can be read the rest of the line
-    is one that is not good, and reading goes on with the next line, so a stray quote costs its own
-    line only. Each file is read as one text by one task and must fit into 2 GB.
+    A record may span lines inside a quoted field, and a file is read by as many tasks as its size asks for.
     """
-    options = {"wholetext": "true", "recursiveFileLookup": "true"}
-    files = source.format("text").options(**options).load(path)
-    pieces = F.transform(F.regexp_extract_all("value", F.lit(_PIECE), F.lit(0)), lambda p: F.regexp_replace(p, r"\r\z", ""))
-    filled = F.filter(pieces, lambda p: p != "")
-    now = F.current_timestamp() if load_time is None else load_time
-    content = files.select(filled.alias("pieces"), *_metadata_columns(now))
-    records = F.explode(F.slice("pieces", F.lit(2), F.greatest(F.size("pieces") - 1, F.lit(0)))).alias("record")
-    return content.select(records, "_source_file", "_loaded_at").withColumn(
-        "good", F.col("record").rlike(rf"\A{_RECORD}\z")
-    )
+    return cut(read_lines(source, path, F.current_timestamp() if load_time is None else load_time))
 
 
 def parsed(records: DataFrame, table: RawTable) -> DataFrame:
-    """The good records as rows of the table."""
+    """The good records as rows of the table; one that is not good aborts a strict table's read."""
     columns = ", ".join(f"{name} string" for name in table.names)
-    cells = F.from_csv("record", columns, _CSV | {"multiLine": "true"})
-    rows = records.where("good").select(cells.alias("cell"), "_source_file", "_loaded_at")
+    record = F.col("record")
+    if table.strict:
+        record = F.when(F.col("good"), record).otherwise(F.raise_error(F.concat(F.lit("no record: "), F.left(record, F.lit(200)))))
+    else:
+        records = records.where("good")
+    cells = F.from_csv(record, columns, _CSV | {"multiLine": "true"})
+    rows = records.select(cells.alias("cell"), "_source_file", "_loaded_at")
     return rows.select(*_typed(table, lambda name: F.col("cell")[name]), "_source_file", "_loaded_at")
 
 

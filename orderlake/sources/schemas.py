@@ -15,7 +15,7 @@ class RawTable:
     columns: tuple[tuple[str, str], ...]
     daily: bool  # a dt=YYYY-MM-DD folder per day, else one folder for everything
     strict: bool  # a bad value aborts the load, else the bad row is left out
-    multi_line: bool = False  # quoted line breaks; such a file is read by one task
+    multi_line: bool = False  # quoted fields may hold line breaks
 
     @property
     def names(self) -> list[str]:

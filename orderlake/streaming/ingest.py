@@ -13,8 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from orderlake.session import shared_dir
 from orderlake.sources import tables
-from orderlake.sources.csv_files import day_path, parsed, read_records, read_table, rejected
+from orderlake.sources.csv_files import day_path, parsed, read_table, rejected
+from orderlake.sources.records import cut, read_lines
 from orderlake.sources.schemas import TABLES, RawTable
 
 # The file source leaves out files much older than the newest one it has seen. Late and copied files
@@ -51,14 +53,27 @@ def ingest(
     the files of the folder; give a folder that grows for ever a checkpoint per day, as ``ingest_day``.
     """
     table = TABLES[table] if isinstance(table, str) else table
-    rows = read_table(_any_age(spark), table, source) if table.strict else read_records(_any_age(spark), source)
+    by_line = table.strict and not table.multi_line
+    now = F.current_timestamp()
+    rows = read_table(_any_age(spark), table, source) if by_line else read_lines(_any_age(spark), source, now)
+    load_of = ["_load_day", "_load"]
 
     def save(batch: DataFrame, batch_id: int) -> None:
         load = {"_load_day": F.to_date("_loaded_at"), "_load": F.lit(f"{label}{batch_id:06d}")}
-        good = batch if table.strict else parsed(batch, table)
-        tables.overwrite_partitions(good.withColumns(load), raw_path, ["_load_day", "_load"])
-        if not table.strict:
-            tables.overwrite_partitions(rejected(batch).withColumns(load), f"{raw_path}__rejects", ["_load_day", "_load"])
+        if table.strict:
+            good = batch if by_line else parsed(cut(batch), table)
+            tables.overwrite_partitions(good.withColumns(load), raw_path, load_of)
+            return
+        # Written once, so that rows and rejects come from one reading of the files.
+        staged = shared_dir(spark, "records")
+        try:
+            records = cut(batch)
+            tables.full_refresh(records, staged)
+            records = batch.sparkSession.read.schema(records.schema).parquet(staged)
+            tables.overwrite_partitions(parsed(records, table).withColumns(load), raw_path, load_of)
+            tables.overwrite_partitions(rejected(records).withColumns(load), f"{raw_path}__rejects", load_of)
+        finally:
+            tables.remove(spark, staged)
 
     return _start(rows, save, checkpoint, every)
 

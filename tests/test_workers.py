@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
 sys.path.insert(0, sys.argv[1])
 from orderlake import registry
-for name in ("model_labels", "encode_texts"):
+for name in ("model_labels", "encode_texts", "load_rejects"):
     print(name, registry.QUERIES[name](spark, "/root/testdata/sf0.001").count())
 """
 
