@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlake.llm.pieces import Memo, PieceTable, grouped
+from orderlake.llm.pieces import PieceTable, grouped
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -166,8 +166,8 @@ class ByteBpe:
     def __init__(self, tokens: list[bytes], perfect: PerfectHash, pattern: str):
         self.tokens, self.perfect = tokens, perfect
         self.ranks = {t: i for i, t in enumerate(tokens)}
+        self.token_bytes = _tokens(tokens)
         self.pattern = regex.compile(pattern)
-        self.known = Memo()
         self.table = PieceTable(self._encode_pieces)
 
     def words(self, piece: str) -> list[str]:
@@ -178,16 +178,12 @@ class ByteBpe:
         return self.pattern.findall(piece)
 
     def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        known, out = self.known, []
+        out = []
         for piece in pieces:
-            parts = []
+            ids = array("i")
             for word in self.words(piece):
-                ids = known.get(word)
-                if ids is None:
-                    ids = array("i", self.encode_word(word.encode("utf-8", "surrogatepass"))).tobytes()
-                    known.put(word, ids)
-                parts.append(ids)
-            out.append(parts[0] if len(parts) == 1 else b"".join(parts))
+                ids.extend(self.encode_word(word.encode("utf-8", "surrogatepass")))
+            out.append(ids.tobytes())
         return out
 
     def encode_word(self, word: bytes) -> list[int]:
@@ -217,16 +213,25 @@ def _worker_encoder(vocabulary: tuple[str, list[bytes], PerfectHash], pattern: s
     return _ENCODERS[name, pattern]
 
 
-def _other_columns(df: DataFrame, result: str) -> list[str]:
-    return [c for c in df.columns if c.lower() != result]
+def _decoded(tokens: np.ndarray, values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    return pa.array([b"".join(tokens[values[a:e]].tolist()) for a, e in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())
 
 
-def encode(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", into: str = "ids") -> DataFrame:
-    """The rows with their token ids (``array<int>``)."""
+def _tokens(listed: list[bytes]) -> np.ndarray:
+    return np.array([*listed, b""], object)[:-1]
+
+
+def encode(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", into: str = "ids", decoded_into: str | None = None) -> DataFrame:
+    """The rows with their token ids (``array<int>``), and with the bytes they decode to where ``decoded_into`` names a column.
+
+    Both steps then share one worker and its vocabulary; ``decode`` alone does the same to any column of ids.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(pack_vocabulary(vocabulary))
-    own = [c for c in _other_columns(docs, into.lower())]
+    results = [into, decoded_into] if decoded_into else [into]
+    own = [c for c in docs.columns if c.lower() not in {r.lower() for r in results}]
     rows = docs.select(*[F.col(f"`{c}`") for c in own], F.col(f"`{text}`").alias("_text_to_encode"))
-    schema = T.StructType([*rows.schema.fields[:-1], T.StructField(into, T.ArrayType(T.IntegerType()))])
+    kinds = (T.ArrayType(T.IntegerType()), T.BinaryType())
+    schema = T.StructType([*rows.schema.fields[:-1], *(T.StructField(r, k) for r, k in zip(results, kinds, strict=False))])
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _worker_encoder(shared.value, pattern)
@@ -234,11 +239,13 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", i
             texts, done = [t or "" for t in batch.column(len(own)).to_pylist()], 0
             for group in grouped(texts):
                 ids, lengths = bpe.encode(group)
-                offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32())
+                bounds = np.concatenate([[0], np.cumsum(lengths)])
                 here = batch.slice(done, len(group))
                 done += len(group)
-                lists = pa.ListArray.from_arrays(offsets, pa.array(ids))
-                yield pa.RecordBatch.from_arrays([*here.columns[: len(own)], lists], names=[*own, into])
+                found = [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids))]
+                if decoded_into:
+                    found.append(_decoded(bpe.token_bytes, ids, bounds))
+                yield pa.RecordBatch.from_arrays([*here.columns[: len(own)], *found], names=[*own, *results])
 
     return rows.mapInArrow(each, schema)
 
@@ -246,16 +253,15 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", i
 def decode(encoded: DataFrame, vocabulary: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
     """The rows with the bytes (``binary``) that their ids stand for."""
     shared = encoded.sparkSession.sparkContext.broadcast(read_ranks(vocabulary))
-    own = _other_columns(encoded, into.lower())
+    own = [c for c in encoded.columns if c.lower() != into.lower()]
     rows = encoded.select(*[F.col(f"`{c}`") for c in own])
     schema = T.StructType([*rows.schema.fields, T.StructField(into, T.BinaryType())])
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = np.array([*shared.value, b""], object)[:-1]
+        tokens = _tokens(shared.value)
         for batch in batches:
             lists = batch.column(own.index(ids))
             values, bounds = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
-            decoded = [b"".join(tokens[values[a:e]].tolist()) for a, e in zip(bounds[:-1], bounds[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())], names=[*own, into])
+            yield pa.RecordBatch.from_arrays([*batch.columns, _decoded(tokens, values, bounds)], names=[*own, into])
 
     return rows.mapInArrow(each, schema)

@@ -1,7 +1,7 @@
 """Token ids of texts by way of a bounded table of the pieces seen so far.
 
 A worker meets the same pieces (words) again and again. The table gives each a number, its ids are stored once, and a
-text's ids are gathered from there. When the table has grown to its limit, the pieces seen once are forgotten.
+text's ids are gathered from there. When the table has grown to its limit, in pieces or in bytes, the pieces seen once are forgotten.
 """
 
 from __future__ import annotations
@@ -21,6 +21,10 @@ class _Numbers(dict):
         return number
 
 
+#: What Python needs for a piece besides its characters: the string, its entry in the dictionary, its number.
+_OVERHEAD = 150
+
+
 class PieceTable:
     """``encode`` gives the ids of each of a list of pieces as bytes (native 32-bit numbers); ``flag`` marks pieces (say,
     ends of sentences)."""
@@ -30,28 +34,35 @@ class PieceTable:
         encode: Callable[[list[str]], list[bytes]],
         flag: Callable[[str], bool] = lambda piece: False,
         max_pieces: int = 300_000,
-        max_ids: int = 8_000_000,
+        max_bytes: int = 64 << 20,
     ):
-        self.encode, self.flag, self.max_pieces, self.max_ids = encode, flag, max_pieces, max_ids
+        self.encode, self.flag, self.max_pieces, self.max_bytes = encode, flag, max_pieces, max_bytes
         self.clear()
 
     def clear(self) -> None:
         self.numbers = _Numbers()
         self.ids, self.starts, self.flags = array("i"), array("q", [0]), array("b")
         self.hits = np.zeros(0, np.int64)
+        self.held = 0  # characters of all pieces
+
+    def _full(self) -> bool:
+        n = len(self.flags)
+        return n > self.max_pieces or n * _OVERHEAD + self.held + 4 * len(self.ids) > self.max_bytes
 
     def _forget(self) -> None:
-        """Keep at most half of the table: the pieces that were seen most."""
+        """Keep at most a fourth of the table: the pieces that were seen most."""
         names, hits = list(self.numbers), self.hits
         ids, starts, flags = (np.array(c) for c in (self.ids, self.starts, self.flags))
         least = 2
-        while np.count_nonzero(hits >= least) > self.max_pieces // 2:
+        while np.count_nonzero(hits >= least) > min(self.max_pieces // 2, len(names) // 4):
             least *= 2
         kept = np.flatnonzero(hits >= least)
         lengths = np.diff(starts)[kept]
         ends = np.cumsum(lengths)
         self.clear()
-        if len(kept) and ends[-1] < self.max_ids // 2:
+        held = sum(len(names[i]) for i in kept.tolist())
+        if len(kept) and len(kept) * _OVERHEAD + held + 4 * ends[-1] < self.max_bytes // 2:
+            self.held = held
             self.numbers.update({names[i]: n for n, i in enumerate(kept.tolist())})
             self.ids = array("i", ids[np.repeat(starts[kept] - (ends - lengths), lengths) + np.arange(ends[-1])].tobytes())
             self.starts, self.flags = array("q", np.concatenate([[0], ends]).tobytes()), array("b", flags[kept].tobytes())
@@ -64,10 +75,11 @@ class PieceTable:
         self.ids.frombytes(b"".join(found))
         self.flags.frombytes(bytes(map(self.flag, pieces)))
         self.hits = np.concatenate([self.hits, np.zeros(len(pieces), np.int64)])
+        self.held += sum(map(len, pieces))
 
     def ids_of(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All ids one after the other, the number of ids of each text, and the places behind flagged pieces."""
-        if len(self.flags) > self.max_pieces or len(self.ids) > self.max_ids:
+        if self._full():
             self._forget()
         numbers, before = self.numbers, len(self.flags)
         counts = np.fromiter(map(len, texts), np.int64, len(texts))
@@ -86,26 +98,6 @@ class PieceTable:
         return out, np.diff(upto[bounds]), ends[flags[at] != 0]
 
 
-class Memo:
-    """A mapping of bounded size that keeps what is asked for: two generations, of which the older is dropped."""
-
-    def __init__(self, most: int = 300_000):
-        self.most, self.young, self.old = most, {}, {}
-
-    def get(self, key):
-        value = self.young.get(key)
-        if value is None:
-            value = self.old.get(key)
-            if value is not None:
-                self.put(key, value)
-        return value
-
-    def put(self, key, value) -> None:
-        self.young[key] = value
-        if len(self.young) >= self.most:
-            self.young, self.old = {}, self.young
-
-
 def grouped(texts: list[str], most: int = 1 << 20) -> Iterator[list[str]]:
     """Neighbouring texts in groups of about ``most`` characters; a longer text is a group of its own."""
     group, size = [], 0

@@ -123,7 +123,7 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's token ids, and the bytes they decode to."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    coded = byte_bpe.decode(byte_bpe.encode(docs, vocabulary, public_tokenizers.PATTERN).drop("text"), vocabulary)
+    coded = byte_bpe.encode(docs, vocabulary, public_tokenizers.PATTERN, decoded_into="decoded")
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

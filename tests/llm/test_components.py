@@ -6,7 +6,7 @@ from array import array
 import pytest
 
 from orderlake.llm.components import connected_components
-from orderlake.llm.pieces import Memo, PieceTable
+from orderlake.llm.pieces import PieceTable
 
 
 def brute(links):
@@ -60,12 +60,10 @@ def test_a_full_table_keeps_what_is_seen_often():
     assert asked.count("often") < 5
 
 
-def test_memo_is_bounded():
-    memo = Memo(10)
-    for i in range(100):
-        memo.put(i, i + 1)
-        assert memo.get(0) in (1, None) and memo.get(i) == i + 1
-        if i % 5 == 0:
-            memo.put("kept", 1)
-            assert memo.get("kept") == 1
-    assert len(memo.young) + len(memo.old) <= 20 and memo.get(0) == 1
+def test_a_table_is_bounded_by_bytes():
+    table = PieceTable(lambda pieces: [array("i", [len(p)]).tobytes() for p in pieces], max_bytes=200_000)
+    for n in range(200):
+        texts = [["often", *(f"{n}-{i}" + "x" * (i % 50) for i in range(300))]]
+        ids, lengths, _ = table.ids_of(texts)
+        assert ids.tolist() == [len(p) for p in texts[0]] and lengths.tolist() == [301]
+        assert table.held + 150 * len(table.numbers) < 200_000 + 301 * 250
