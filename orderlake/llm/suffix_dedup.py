@@ -32,6 +32,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -197,26 +198,45 @@ def _from_texts(texts: DataFrame, extent: Extent, single: bool) -> DataFrame:
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
-            for k1, k2, z, listed in zip(*(batch.column(c).to_pylist() for c in ("k1", "k2", "z", "listed")), strict=True):
-                text = memoryview(unpack.decompress(z))
-                rows = []
-                for item in listed:
-                    if single:
-                        for s in range(item["first"], item["first"] + item["span"] + 1):
-                            piece = text[s : s + extent.size]
-                            rows.append((_name(0, piece), _name(1, piece), item["n"], k1, k2, s, 0))
-                    else:
-                        for core, whole, lo, width in _blocks_of(text, item["first"], item["span"], extent):
-                            rows.append((core, whole, item["n"], k1, k2, lo, width))
-                for at in range(0, len(rows), 100_000):
-                    columns = zip(*rows[at : at + 100_000], strict=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, pa.int64()) for c in columns], names=["bucket", "full", "n", "k1", "k2", "first", "span"]
-                    )
+            for row in range(batch.num_rows):
+                k1, k2, z, listed = (batch.column(c)[row] for c in ("k1", "k2", "z", "listed"))
+                text = memoryview(unpack.decompress(z.as_py()))
+                found = _windows_of(text, listed.values, extent) if single else _open_blocks(text, listed.values, extent)
+                for values in _chunks(found, 4 if single else 5):
+                    core, whole, n, first, *width = values
+                    fixed = [np.full(len(core), k.as_py(), np.int64) for k in (k1, k2)]
+                    columns = [core, whole, n, *fixed, first, *(width or [np.zeros(len(core), np.int64)])]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["bucket", "full", "n", "k1", "k2", "first", "span"])
 
     return texts.mapInArrow(each, "bucket long, full long, n long, k1 long, k2 long, first long, span long")
 
 
+def _listed_items(listed: pa.StructArray) -> Iterator[tuple[int, int, int]]:
+    """(first, span, n) of a text's open strings, a bounded number of them as Python numbers at a time."""
+    for at in range(0, len(listed), 4096):
+        part = listed.slice(at, 4096)
+        yield from zip(*(part.field(i).to_pylist() for i in range(3)), strict=True)
+
+
+def _windows_of(text: memoryview, listed: pa.StructArray, extent: Extent) -> Iterator[tuple[int, ...]]:
+    for first, span, n in _listed_items(listed):
+        for s in range(first, first + span + 1):
+            piece = text[s : s + extent.size]
+            yield _name(0, piece), _name(1, piece), n, s
+
+
+def _open_blocks(text: memoryview, listed: pa.StructArray, extent: Extent) -> Iterator[tuple[int, ...]]:
+    for first, span, n in _listed_items(listed):
+        for core, whole, lo, width in _blocks_of(text, first, span, extent):
+            yield core, whole, n, lo, width
+
+
+def _chunks(rows: Iterator[tuple[int, ...]], width: int, most: int = 20_000) -> Iterator[np.ndarray]:
+    """Rows of numbers as columns, in pieces of bounded size."""
+    while len(flat := np.fromiter(chain.from_iterable(islice(rows, most)), np.int64)):
+        yield flat.reshape(-1, width).T.copy()
+
+
 def _kinds(rows: DataFrame, n) -> DataFrame:
     """Per bucket and whole identifier the number of strings, and one place where it stands."""
     place = F.struct("k1", "k2", "first", "span")
@@ -231,7 +251,7 @@ def _undecided(kinds: DataFrame, keep) -> DataFrame:
 
 
 def _listed(kinds: DataFrame) -> DataFrame:
-    item = F.struct(F.col("place.first").alias("first"), F.col("place.span").alias("span"), "n")
+    item = F.struct(F.col("place.first").alias("first"), F.col("place.span").alias("span"), F.col("n").cast("long").alias("n"))
     return kinds.groupBy("place.k1", "place.k2").agg(F.collect_list(item).alias("listed"))
 
 
@@ -240,17 +260,25 @@ def _repeated(rows: DataFrame, kinds: DataFrame) -> DataFrame:
     return rows.join(kinds.where("n > 1").select("bucket", "full"), ["bucket", "full"], "left_semi")
 
 
-def _keyed(docs: DataFrame, text: str, carried: str) -> DataFrame:
-    """Each row with its text's key and the text packed, so that it shuffles at about half its size."""
+def _keyed(docs: DataFrame, text: str, carried: str, once: bool = False) -> DataFrame:
+    """Each row with its text's key and the text packed, so that it shuffles at about half its size.
+
+    With ``once`` a task gives each text once, so that one which very many rows hold is not worked on for each of them.
+    """
     schema = T.StructType(
         [docs.schema[carried], *(T.StructField(c, T.LongType()) for c in ("k1", "k2", "n_bytes")), T.StructField("z", T.BinaryType())]
     )
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1)
+        seen: set[tuple[int, int]] = set()  # keys of the task's texts
         for batch in batches:
             texts = _encoded(batch.column(1))
-            keys = np.array([_text_key(t) for t in texts], np.int64).reshape(-1, 2)
+            keys = [_text_key(t) for t in texts]
+            if once:
+                fresh = [i for i, k in enumerate(keys) if k not in seen and not seen.add(k)]
+                batch, texts, keys = batch.take(pa.array(fresh, pa.int64())), [texts[i] for i in fresh], [keys[i] for i in fresh]
+            keys = np.array(keys, np.int64).reshape(-1, 2)
             sizes = pa.array(list(map(len, texts)), pa.int64())
             packed = pa.array([pack.compress(t) for t in texts], pa.binary())
             columns = [batch.column(0), pa.array(keys[:, 0]), pa.array(keys[:, 1]), sizes, packed]
@@ -329,7 +357,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", min_bytes: int = 400, ke
     # Round 2: blocks of the undecided phrases. A string that stands alone is in one text only; copies of other texts
     # raise counts that are over 1 anyway.
     listed = keep(_listed(_undecided(kinds, keep)), "open_phrases")
-    texts = keep(packed.select("k1", "k2", "z").join(listed, ["k1", "k2"]), "open_texts")
+    once = _keyed(rows, "text_", carried, once=True).select("k1", "k2", "z")
+    texts = keep(once.join(listed, ["k1", "k2"]), "open_texts")
     blocks = keep(_from_texts(texts, extent, single=False), "blocks")
     kinds = keep(_kinds(blocks, F.col("n")), "block_kinds")
     alone = blocks.where("n = 1")
