@@ -2,17 +2,17 @@
 
 Which terms count (those in at least ``least_docs`` documents of their language) is found by iceberg prefix refinement. A
 term is its bytes and an end mark; level by level the prefixes of all terms are counted by the documents that hold
-them, a prefix with too few documents goes with everything below it, and the prefixes that stay are extended (to 4, 8, 16, 32, ...
+them, a prefix with too few documents goes with everything below it, and the prefixes that stay are extended (to 6, 12, 24, 48, ...
 bytes). A prefix that reaches the end mark is a complete term and stays for good. A document counts once for each
 prefix, however many of its terms have it.
 
 Texts are read once, into a written table of each document's different terms in order, with how much of each term is that of the one
 before it: a term begins a prefix of its document where it has less in common than the prefix is long. A level
-adds up counts in its tasks before anything is shuffled. What stays is told to the next level's tasks as a bitmap of hashes (at most 8 MB, whatever the corpus): a false
-hit only costs a count, since every level counts the prefixes themselves and the last join is on whole terms.
+adds up counts in its tasks before anything is shuffled. What stays is told to the next level's tasks as a bitmap of hashes (at most
+8 MB, whatever the corpus): a false hit only costs a count, since every level counts the prefixes themselves and the last join is on whole terms.
 
 Frequencies are ``p = 1 + (scale * (count + smoothing)) div (N + smoothing * V)`` in whole numbers. Sources are compared in
-blocks of terms: a block has at most about a million numbers (sources times terms), and its sums are added up afterwards. A language with
+blocks of terms: a block has at most a few million numbers (sources times terms), mostly far fewer, and its sums are added up afterwards. A language with
 very many sources has each block compared for 256 sources at a time.
 
 Defined cases: null text, language and source are ''. Every row is a document of its own, also where keys or texts repeat; a group
@@ -38,37 +38,49 @@ from orderlake.llm.common import drop_tables, written
 
 #: Most bits of a level's bitmap, as a power of two, and how many there are for each entry below that.
 BITMAP_BITS, BITS_EACH = 26, 16
-#: Most numbers of one block of the comparison, and sources that one task compares with all others.
-BLOCK_CELLS, SLICE = 1 << 20, 256
+#: Numbers of one block of the comparison: at least, and at most where a block has so many sources that its sums would be as many;
+#: and sources that one task compares with all others.
+BLOCK_CELLS, MOST_CELLS, SLICE = 1 << 16, 1 << 22, 256
 #: Bytes of the first level's prefixes; each level has twice those of the one before.
-FIRST_CUT = 4
+FIRST_CUT = 6
+#: A task counts so many bytes of prefixes at a time before they go to Spark.
+HELD_BYTES = 32 << 20
 #: Seed of Spark's xxhash64.
 _SEED = 42
 
 
 def _common(kinds: pa.Array, owner: np.ndarray, code: np.ndarray) -> np.ndarray:
-    """For each text's terms in order what a term has in common with the one before: a number of bytes that is exact from 32 on, and
-    below that the greatest of 0, 4, 8 and 16."""
+    """For each text's terms in order what a term has in common with the one before: a number of bytes that is exact from 24 on, and
+    below that the greatest of 0, 6 and 12."""
     words = kinds.to_pylist()
-    fixed = np.array([*words, b""], "S32")
-    parts = fixed.view(np.uint64).reshape(-1, 4)
+    fixed = np.array([*words, b""], "S24")
+    parts = fixed.view(np.uint64).reshape(-1, 3)
     common = np.zeros(len(code), np.int32)
     if len(code) > 1:
         a, b = code[:-1], code[1:]
         same = owner[:-1] == owner[1:]
-        first = fixed.view(np.uint32)[::8]
-        common[1:][same & (first[a] == first[b])] = 4
-        for end, columns in ((8, (0,)), (16, (1,)), (32, (2, 3))):
-            for c in columns:
-                same &= parts[a, c] == parts[b, c]
-            common[1:][same] = end
+        first, second = parts[:, 0], fixed.view(np.uint32).reshape(-1, 6)[:, 2]
+        six = np.uint64(0xFFFFFFFFFFFF)  # the bytes of a number stand from the lowest to the highest
+        common[1:][same & ((first[a] ^ first[b]) & six == 0)] = 6
+        same &= (first[a] == first[b]) & (second[a] == second[b])
+        common[1:][same] = 12
+        same &= (parts[a, 1] == parts[b, 1]) & (parts[a, 2] == parts[b, 2])
         for i in np.flatnonzero(same).tolist():
             common[i + 1] = len(commonprefix([words[a[i]], words[b[i]]]))
     return common
 
 
+def _as_bytes(owner: np.ndarray, rows: int, values: np.ndarray) -> pa.Array:
+    """Numbers of 32 bits, for ascending owners, as one binary value per row."""
+    offsets = (4 * np.searchsorted(owner, np.arange(rows + 1))).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer(offsets), pa.py_buffer(values.astype(np.int32))])
+
+
 def _term_rows(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
-    """One row per document: language, source, its different terms in order, how often each is there, and ``common`` (see above)."""
+    """One row per document: language, source, its different terms in order, how often each is there, and ``common`` (see above).
+
+    Each of them is one binary value, the terms with blanks between them: to Spark a row is a few values and not hundreds.
+    """
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -79,21 +91,27 @@ def _term_rows(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
                 standing[order.to_numpy()] = np.arange(len(kinds))
                 kinds = kinds.take(order)
                 owner, code, n = terms.tally(standing[codes], counts, len(kinds))
-                common = pa.array(_common(kinds, owner, code))
-                own = terms.lists(owner, len(counts), kinds.take(pa.array(code)), pa.array(n), common)
+                [listed] = terms.lists(owner, len(counts), kinds.take(pa.array(code)))
+                own = [pc.binary_join(listed, b" "), *(_as_bytes(owner, len(counts), x) for x in (n, _common(kinds, owner, code)))]
                 yield pa.RecordBatch.from_arrays([*part.columns[:2], *own], names=["lang", "source", "terms", "counts", "common"])
 
     named = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(a) for c, a in ((lang, "lang"), (source, "source"))]
     rows = docs.select(*named, F.col(f"`{text}`").cast("binary").alias("text"))
-    return rows.mapInArrow(each, "lang string, source string, terms array<binary>, counts array<long>, common array<int>")
+    return rows.mapInArrow(each, "lang string, source string, terms binary, counts binary, common binary")
 
 
 def _by_lang(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.RecordBatch]]:
+    """The documents with terms, one language at a time."""
     for batch in batches:
+        batch = batch.filter(pc.greater(pc.binary_length(batch.column("terms")), 0))
         for lang in pc.unique(batch.column("lang")).to_pylist():
             yield lang, batch.filter(pc.equal(batch.column("lang"), lang))
 
 
+def _numbers(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.int32)
+
+
 def _hits(bitmap: np.ndarray, lang: str, words: pa.Array) -> np.ndarray:
     """The words, or prefixes, of a language that are in the bitmap."""
     before, digest = lang.encode("utf-8", "surrogatepass") + b"\0", xxhash.xxh64_intdigest
@@ -121,16 +139,30 @@ def _prefixes(rows: DataFrame, cut: int, before: int, alive) -> DataFrame:
     complete term; terms that ended before this level are counted already."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[pa.Array]] = {}
+        size = 0
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            for lang, parts in held.items():
+                found = pa.chunked_array(parts).value_counts()
+                yield pa.RecordBatch.from_arrays([pa.repeat(lang, len(found)), found.field(0), found.field(1)], names=["lang", "prefix", "n"])
+            held.clear()
+
         for lang, batch in _by_lang(batches):
-            words = batch.column("terms").flatten()
-            fresh = pc.less(batch.column("common").flatten(), cut)
+            words = pc.split_pattern(batch.column("terms"), b" ").flatten()
+            fresh = pa.array(_numbers(batch.column("common")) < cut)
             if alive:
                 shorter = pc.binary_slice(words, 0, before).dictionary_encode()
                 good = _hits(alive.value, lang, shorter.dictionary)[shorter.indices.to_numpy()]
                 # All terms of a document with one shorter prefix stay or go together, so its first one stays first.
                 fresh = pc.and_(fresh, pc.and_(pa.array(good), pc.greater_equal(pc.binary_length(words), before)))
-            found = pc.binary_slice(words.filter(fresh), 0, cut).value_counts()
-            yield pa.RecordBatch.from_arrays([pa.repeat(lang, len(found)), found.field(0), found.field(1)], names=["lang", "prefix", "n"])
+            prefixes = pc.binary_slice(words.filter(fresh), 0, cut)
+            held.setdefault(lang, []).append(prefixes)
+            size += prefixes.nbytes
+            if size > HELD_BYTES:
+                yield from counted()
+                size = 0
+        yield from counted()
 
     return rows.mapInArrow(each, "lang string, prefix binary, n long")
 
@@ -166,18 +198,19 @@ def _counts(rows: DataFrame, kept: DataFrame) -> DataFrame:
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, batch in _by_lang(batches):
-            coded = batch.column("terms").flatten().dictionary_encode()
+            split = pc.split_pattern(batch.column("terms"), b" ")
+            coded = split.flatten().dictionary_encode()
             sources = batch.column("source").dictionary_encode()
             kinds = max(len(coded.dictionary), 1)
             code = coded.indices.to_numpy().astype(np.int64)
-            group = np.repeat(sources.indices.to_numpy().astype(np.int64), batch.column("terms").value_lengths().to_numpy())
+            group = np.repeat(sources.indices.to_numpy().astype(np.int64), split.value_lengths().to_numpy())
             used = _hits(shared.value, lang, coded.dictionary)[code]
             key = group[used] * kinds + code[used]
             order = np.argsort(key, kind="stable")
             found, first = np.unique(key[order], return_index=True)
             if not len(found):
                 continue
-            n = batch.column("counts").flatten().to_numpy()[used][order]
+            n = _numbers(batch.column("counts")).astype(np.int64)[used][order]
             columns = [
                 pa.repeat(lang, len(found)),
                 sources.dictionary.take(pa.array(found // kinds)),
@@ -262,7 +295,8 @@ def audit(
     )
     # A language without kept terms has no frequencies; its sources are all alike.
     base = F.when(F.col("v") > 0, _frequency(F.lit(0), F.col("total"), F.greatest("v", F.lit(1)), scale, smoothing)).otherwise(0)
-    groups = groups.withColumns({"base": base, "blocks": F.ceil(F.greatest(F.col("v") * F.col("sources"), F.lit(1)) / BLOCK_CELLS)})
+    cells = F.least(F.greatest(4 * F.col("sources") * F.col("sources"), F.lit(BLOCK_CELLS)), F.lit(MOST_CELLS))
+    groups = groups.withColumns({"base": base, "blocks": F.ceil(F.greatest(F.col("v") * F.col("sources"), F.lit(1)) / cells)})
     groups = written(groups, "source_groups")
     drop_tables([rows])
 

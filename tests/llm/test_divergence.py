@@ -89,18 +89,18 @@ def test_no_rows_and_no_terms(spark):
 
 
 def test_a_prefix_counts_documents_not_terms(spark):
-    texts = [("abcdx abcdy abcdz abcdx",)] * 4 + [("abcdx",)] * 2 + [("abc cd",)] * 9
+    texts = [("abcdefx abcdefy abcdefz abcdefx",)] * 4 + [("abcdefx",)] * 2 + [("abc cd",)] * 9
     rows = spark.createDataFrame(texts, "text string").select("text", F.lit("en").alias("lang"), F.lit("s").alias("source"))
     table = divergence._term_rows(rows, "text", "lang", "source")
-    level = divergence._prefixes(table, 4, 0, None).groupBy("prefix").agg(F.sum("n").alias("n")).collect()
-    assert sorted((bytes(r.prefix), r.n) for r in level) == [(b"abc", 9), (b"abcd", 6), (b"cd", 9)]
+    level = divergence._prefixes(table, 6, 0, None).groupBy("prefix").agg(F.sum("n").alias("n")).collect()
+    assert sorted((bytes(r.prefix), r.n) for r in level) == [(b"abc", 9), (b"abcdef", 6), (b"cd", 9)]
     kept = divergence.frequent_terms(table, 5).collect()
-    assert sorted((bytes(r.term), r.docs) for r in kept) == [(b"abc", 9), (b"abcdx", 6), (b"cd", 9)]
+    assert sorted((bytes(r.term), r.docs) for r in kept) == [(b"abc", 9), (b"abcdefx", 6), (b"cd", 9)]
 
 
 def test_what_neighbouring_terms_share():
     rng = random.Random(9)
-    docs = [sorted({rng.choice([b"a", b"abcd", b"abcdefgh", b"x" * 31]) * rng.randint(1, 5) + rng.choice([b"", b"q", b"\xc3\xa9"]) for _ in range(30)}) for _ in range(20)]
+    docs = [sorted({rng.choice([b"a", b"abcdef", b"abcdefgh", b"x" * 23]) * rng.randint(1, 5) + rng.choice([b"", b"q", b"\xc3\xa9"]) for _ in range(30)}) for _ in range(20)]
     words = sorted({w for d in docs for w in d})
     owner = np.repeat(np.arange(20), [len(d) for d in docs])
     got = divergence._common(pa.array(words), owner, np.array([words.index(w) for d in docs for w in d]))
@@ -108,7 +108,7 @@ def test_what_neighbouring_terms_share():
     for d in docs:
         for i, w in enumerate(d):
             n = len(commonprefix([w, d[i - 1]])) if i else 0
-            want.append(n if n >= 32 else max(c for c in (0, 4, 8, 16) if c <= n))
+            want.append(n if n >= 24 else max(c for c in (0, 6, 12) if c <= n))
     assert got.tolist() == want
 
 
