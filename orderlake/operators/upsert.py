@@ -58,7 +58,7 @@ def append_new_columns(existing: DataFrame, incoming: DataFrame) -> DataFrame:
 MOST_PARTITIONS = 100_000
 
 
-def _values_of(df: DataFrame, column: str) -> list:
+def distinct_values(df: DataFrame, column: str) -> list:
     """Distinct partition values of a change set; their number is checked, since the driver holds them."""
     values = [row[0] for row in df.select(column).distinct().limit(MOST_PARTITIONS + 1).collect()]
     if len(values) > MOST_PARTITIONS:
@@ -82,7 +82,7 @@ def merge_latest(existing: DataFrame, updates: DataFrame, key: str, tiebreak: Se
 KEYS_PER_PART, PARTS = 1_000_000, 4096
 
 
-def _part_of(key: Column, kind: str) -> Column:
+def part_of(key: Column, kind: str) -> Column:
     """The part of the index a key is in: neighbouring numbers are together, other keys are dealt out."""
     if kind in ("bigint", "int", "smallint", "tinyint"):
         return F.floor(key / KEYS_PER_PART).cast("bigint")
@@ -92,7 +92,7 @@ def _part_of(key: Column, kind: str) -> Column:
 def _places(df: DataFrame, key: str, partition_by: str) -> DataFrame:
     """Index rows of table rows: key, the partition it is in, and the part of the index."""
     kind = df.schema[key].dataType.simpleString()
-    return df.select(F.col(key).alias("k"), F.col(partition_by).alias("p"), _part_of(F.col(key), kind).alias("part"))
+    return df.select(F.col(key).alias("k"), F.col(partition_by).alias("p"), part_of(F.col(key), kind).alias("part"))
 
 
 def index_path(path: str) -> str:
@@ -104,6 +104,11 @@ def _read_index(spark: SparkSession, path: str, kinds) -> DataFrame:
     return spark.read.schema(schema).parquet(index_path(path))
 
 
+def _with_keys(rows: DataFrame, keys: DataFrame, key: str, how: str) -> DataFrame:
+    """Rows whose key is (``left_semi``) or isn't (``left_anti``) among the keys; NULL is a key like any other."""
+    return rows.join(keys, rows[key].eqNullSafe(keys["k"]), how)
+
+
 def upsert(
     spark: SparkSession,
     path: str,
@@ -112,68 +117,90 @@ def upsert(
     partition_by: str,
     tiebreak: Sequence[str] = (),
     fixed_partition: bool = False,
+    changes: str | None = None,
 ) -> set | None:
     """Merge updates into a Parquet table on a key, rewriting only the partitions they touch.
 
-    Read and dynamically overwrite the touched partitions; the old files stay until the job
-    commits, so a lost executor only repeats its tasks. Where a key was before is looked up in an
-    index beside the table, of which only the parts of the updates' keys are read and rewritten.
+    Versions are compared for the updates' keys only; the other rows of a touched partition are copied, and where the keys are
+    few enough to be broadcast they aren't shuffled. The touched partitions are read and dynamically overwritten; the old
+    files stay until the job commits, so a lost executor only repeats its tasks. Where a key was before is looked up in an
+    index beside the table, of which only the parts of the updates' keys are read, and rewritten where a place is new.
     ``fixed_partition=True`` promises that a key never changes its partition; there is no index
     then. Repeating an upsert changes nothing. Returns the partitions that were rewritten or dropped,
     or None where the table was new.
+
+    ``changes`` names a folder that gets, before the table changes, the updates' keys as signed rows: what the table had of them with
+    ``_sign`` -1, what it will have with 1. A new table leaves it empty: all of its rows are new.
     """
     order = version_order() + [F.col(c).asc_nulls_last() for c in tiebreak]
     staged = shared_dir(spark, "updates")
     try:
-        # Written once: the partition list, the moved keys and the merge all read the same rows.
+        # Written once: the partition list, the index lookup and the merge all read the same rows.
         tables.full_refresh(updates, f"{staged}/in")
         updates = spark.read.schema(updates.schema).parquet(f"{staged}/in")
         if not tables.exists(spark, path):
-            tables.full_refresh(first_per_group(updates, [key], order), f"{staged}/out")
-            merged = spark.read.schema(updates.schema).parquet(f"{staged}/out")
-            tables.overwrite_partitions(merged, path, [partition_by])
-            if not fixed_partition:
-                tables.overwrite_partitions(_places(merged, key, partition_by), index_path(path), ["part"])
+            tables.overwrite_partitions(first_per_group(updates, [key], order), path, [partition_by])
+            if not fixed_partition and tables.exists(spark, path):
+                tables.overwrite_partitions(_places(tables.read(spark, path), key, partition_by), index_path(path), ["part"])
             return None
-        touched = set(_values_of(updates, partition_by))
+        touched = set(distinct_values(updates, partition_by))
         if not touched:
             return set()
         kinds = [updates.schema[c].dataType.simpleString() for c in (key, partition_by)]
         target = tables.read(spark, path)
         target = target.withColumn(partition_by, F.col(partition_by).cast(kinds[1]))
-        arrivals = _places(updates, key, partition_by)
-        moved_from: set = set()
+        keys = updates.select(F.col(key).alias("k")).distinct()
+        known, homes = None, set()
         if not fixed_partition:
             if not tables.exists(spark, index_path(path)):
                 tables.overwrite_partitions(_places(target, key, partition_by), index_path(path), ["part"])
-            parts = _values_of(arrivals, "part")
-            known = _read_index(spark, path, kinds).where(in_partitions("part", set(parts)))
-            moved = known.alias("old").join(arrivals.alias("new"), F.col("old.k").eqNullSafe(F.col("new.k")))
-            moved_from = set(_values_of(moved.where(~F.col("old.p").eqNullSafe(F.col("new.p"))).select("old.p"), "p"))
-        scope = touched | moved_from
-        merged = merge_latest(target.where(in_partitions(partition_by, scope)), updates, key, tiebreak)
-        schema = merged.schema
-        tables.full_refresh(merged, f"{staged}/out")
-        merged = spark.read.schema(schema).parquet(f"{staged}/out")
+            known = _known_places(spark, path, keys, kinds)
+            homes = set(distinct_values(_with_keys(known, keys, "k", "left_semi"), "p"))
+        scope = touched | homes
+        here = target.where(in_partitions(partition_by, scope))
+        old = _with_keys(here, keys, key, "left_semi")
+        latest = merge_latest(old, updates, key, tiebreak)
+        schema = latest.schema
+        tables.full_refresh(latest, f"{staged}/latest")
+        latest = spark.read.schema(schema).parquet(f"{staged}/latest")
+        if changes is not None:
+            signed = append_new_columns(old.withColumn("_sign", F.lit(-1)), latest.withColumn("_sign", F.lit(1)))
+            tables.full_refresh(signed, changes)
+        kept = _with_keys(here, keys, key, "left_anti")
         # An overwrite leaves a partition alone that gets no row. That needs a moved key, and such
         # partitions are dropped afterwards.
-        emptied = scope - set(_values_of(merged, partition_by)) if moved_from else set()
-        tables.overwrite_partitions(merged, path, [partition_by])
+        left = homes - set(distinct_values(latest, partition_by)) if homes else set()
+        emptied = left - set(distinct_values(kept.where(in_partitions(partition_by, left)), partition_by)) if left else set()
+        tables.overwrite_partitions(append_new_columns(kept, latest), path, [partition_by])
         tables.drop_partitions(spark, path, partition_by, emptied)
         if not fixed_partition:
-            new_keys = arrivals.select("k").distinct()
-            same = known.k.eqNullSafe(new_keys.k)
-            placed = _places(merged, key, partition_by)
-            placed = placed.join(new_keys, placed.k.eqNullSafe(new_keys.k), "left_semi")
-            after = known.join(new_keys, same, "left_anti").unionByName(placed)
-            tables.full_refresh(after, f"{staged}/keys")
-            after = spark.read.schema(after.schema).parquet(f"{staged}/keys")
-            tables.overwrite_partitions(after, index_path(path), ["part"])
+            placed = _places(latest, key, partition_by)
+            same = placed.k.eqNullSafe(known.k) & placed.p.eqNullSafe(known.p)
+            if not placed.join(known, same, "left_anti").isEmpty():
+                after = _with_keys(known, keys, "k", "left_anti").unionByName(placed)
+                tables.overwrite_partitions(after, index_path(path), ["part"])
         return scope
     finally:
         tables.remove(spark, staged)
 
 
+def _known_places(spark: SparkSession, path: str, keys: DataFrame, kinds: Sequence[str]) -> DataFrame:
+    """The index in the parts where the keys (``k``) are."""
+    parts = distinct_values(keys.select(part_of(F.col("k"), kinds[0]).alias("part")), "part")
+    return _read_index(spark, path, kinds).where(in_partitions("part", set(parts)))
+
+
+def rows_of_keys(spark: SparkSession, path: str, keys: DataFrame, key: str, partition_by: str) -> DataFrame:
+    """A table in the partitions where the keys (the only column of ``keys``) are, by its index; without an index all of it."""
+    target = tables.read(spark, path)
+    if not tables.exists(spark, index_path(path)):
+        return target
+    kinds = [target.schema[c].dataType.simpleString() for c in (key, partition_by)]
+    keys = keys.toDF("k").select(F.col("k").cast(kinds[0])).distinct()
+    homes = distinct_values(_with_keys(_known_places(spark, path, keys, kinds), keys, "k", "left_semi"), "p")
+    return target.where(in_partitions(partition_by, set(homes)))
+
+
 def in_partitions(column: str, values: set) -> Column:
     known = [v for v in values if v is not None]
     test = F.col(column).isin(known)

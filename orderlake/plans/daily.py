@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake import settings
+from orderlake.operators import deltas
 from orderlake.operators import upsert as incremental
 from orderlake.operators.versions import dedup_latest, scd2_snapshot
-from orderlake.plans import checks, marts, reviews, staging
+from orderlake.plans import checks, ledger, marts, reviews, staging, upkeep
 from orderlake.session import shared_dir, tune
 from orderlake.sources import tables
 from orderlake.sources.schemas import TABLES
@@ -120,7 +121,9 @@ class Warehouse:
         return self._empty(LABEL_SCHEMA) if found is None else found
 
 
-def refresh_orders(w: Warehouse, days: int = settings.LOOKBACK_DAYS, fixed_partition: bool = False) -> set | None:
+def refresh_orders(
+    w: Warehouse, days: int = settings.LOOKBACK_DAYS, fixed_partition: bool = False, changes: str | None = None
+) -> set | None:
     """Merge recently loaded orders: only their RAW rows and the day partitions they touch are read.
 
     The merge compares versions with the rows already there, so an old day that was loaded again
@@ -130,7 +133,9 @@ def refresh_orders(w: Warehouse, days: int = settings.LOOKBACK_DAYS, fixed_parti
     recent = incremental.recent_raw(w.raw("orders"), w.written("marts", "fct_orders"), days)
     updates = marts.fct_orders(staging.stg_orders(recent))
     path = w.location("marts", "fct_orders")
-    return incremental.upsert(w.spark, path, updates, "order_id", "order_date", fixed_partition=fixed_partition)
+    return incremental.upsert(
+        w.spark, path, updates, "order_id", "order_date", fixed_partition=fixed_partition, changes=changes
+    )
 
 
 def merge_items(
@@ -138,13 +143,14 @@ def merge_items(
     path: str,
     waiting: str,
     raw_items: DataFrame,
-    orders: DataFrame,
+    orders: str,
     fixed_partition: bool = False,
     partition_by: str = "order_date",
     with_partition: Callable[[DataFrame], DataFrame] = lambda facts: facts,
 ) -> None:
     """Merge RAW items of known orders; items whose order is unknown wait for a later run.
 
+    ``orders`` is the path of the orders' facts. Only the partitions are read in which the items' orders are by the index of that table.
     ``with_partition`` adds the partition column where the facts don't have it.
 
     ``waiting`` is a table of their latest RAW rows. It is looked at in each run, so an item that
@@ -159,9 +165,10 @@ def merge_items(
     try:
         tables.full_refresh(latest, staged)
         latest = spark.read.schema(latest.schema).parquet(staged)
-        updates = with_partition(marts.fct_order_items(staging.stg_order_items(latest), orders))
+        placed = incremental.rows_of_keys(spark, orders, latest.select("order_id"), "order_id", partition_by)
+        updates = with_partition(marts.fct_order_items(staging.stg_order_items(latest), placed))
         incremental.upsert(spark, path, updates, "order_item_id", partition_by, fixed_partition=fixed_partition)
-        tables.full_refresh(latest.join(orders.select("order_id"), "order_id", "left_anti").select(*columns), waiting)
+        tables.full_refresh(latest.join(placed.select("order_id"), "order_id", "left_anti").select(*columns), waiting)
     finally:
         tables.remove(spark, staged)
 
@@ -170,7 +177,9 @@ def refresh_order_items(w: Warehouse, days: int = settings.LOOKBACK_DAYS, fixed_
     """Merge recently loaded items, and earlier ones that have waited for their order."""
     recent = incremental.recent_raw(w.raw("order_items"), w.written("marts", "fct_order_items"), days)
     path, waiting = w.location("marts", "fct_order_items"), w.location("staging", "items_without_order")
-    merge_items(w.spark, path, waiting, recent, w.fct_orders, fixed_partition)
+    orders = w.location("marts", "fct_orders")
+    if tables.exists(w.spark, orders):
+        merge_items(w.spark, path, waiting, recent, orders, fixed_partition)
 
 
 def refresh_reviews(w: Warehouse, days: int = settings.LOOKBACK_DAYS) -> None:
@@ -219,33 +228,40 @@ def refresh_days(w: Warehouse, name: str, rows_of: Callable[[DataFrame], DataFra
 
 def build_core(w: Warehouse, run_at: Column, fixed_dates: bool = False) -> None:
     """Facts, dimensions, history, snapshot and the marts that need no labels."""
-    # There from before the merge until the mart is rebuilt. A run that finds it can't know which days the lost run's merge changed:
-    # a repeated merge no longer sees which days orders have left.
+    # There from before the merge until the marts of orders have followed it. A run that finds it can't know what the lost run's merge
+    # changed: a repeated merge no longer sees what was there before.
     unfinished = w.location("marts", "mart_daily_city_revenue__unfinished")
     left_over = tables.is_marked(w.spark, unfinished)
     tables.mark(w.spark, unfinished)
-    days = refresh_orders(w, fixed_partition=fixed_dates)
-    refresh_order_items(w, fixed_partition=fixed_dates)
-    refresh_reviews(w)
-    restaurants, orders = w.stg_restaurants, w.fct_orders
-    apply_snapshot(
-        w.spark, w.location("snapshots", "restaurants"), restaurants, "restaurant_id", marts.TRACKED, run_at
-    )
+    signed = shared_dir(w.spark, "order_changes")
+    try:
+        days = refresh_orders(w, fixed_partition=fixed_dates, changes=signed)
+        refresh_order_items(w, fixed_partition=fixed_dates)
+        refresh_reviews(w)
+        restaurants, orders = w.stg_restaurants, w.fct_orders
+        apply_snapshot(
+            w.spark, w.location("snapshots", "restaurants"), restaurants, "restaurant_id", marts.TRACKED, run_at
+        )
 
-    def save(name: str, df: DataFrame) -> None:
-        tables.full_refresh(df, w.location("marts", name))
-
-    save("dim_customer", marts.dim_customer(w.stg_users, w.pii_masking))
-    save("dim_restaurants", marts.dim_restaurants(restaurants))
-    save("dim_food", marts.dim_food(w.stg_food))
-    save("dim_date", marts.dim_date(w.spark))
-    save("dim_restaurants_history", marts.dim_restaurants_history(w.stg_restaurant_versions))
-    refresh_days(w, "mart_daily_city_revenue", marts.mart_daily_city_revenue, orders, "order_date", None if left_over else days)
-    tables.remove(w.spark, unfinished)
-    save("mart_restaurant_performance", marts.mart_restaurant_performance(orders, w.mart("dim_restaurants")))
-    save("mart_delivery_sla", marts.mart_delivery_sla(orders))
-    changes = marts.mart_restaurant_price_changes(orders, w.restaurants_history, w.mart("dim_restaurants"))
-    save("mart_restaurant_price_changes", changes)
+        def save(name: str, df: DataFrame) -> None:
+            tables.full_refresh(df, w.location("marts", name))
+
+        save("dim_customer", marts.dim_customer(w.stg_users, w.pii_masking))
+        save("dim_restaurants", marts.dim_restaurants(restaurants))
+        save("dim_food", marts.dim_food(w.stg_food))
+        save("dim_date", marts.dim_date(w.spark))
+        save("dim_restaurants_history", marts.dim_restaurants_history(w.stg_restaurant_versions))
+        days = None if left_over else days
+        changes = None if days is None else w.spark.read.parquet(signed) if days else deltas.signed(orders.limit(0))
+        refresh_days(w, "mart_daily_city_revenue", marts.mart_daily_city_revenue, orders, "order_date", days)
+        sums = upkeep.refresh_sums(w.spark, w.location("state", "orders"), orders, changes)
+        save("mart_restaurant_performance", marts.restaurant_performance(sums["restaurant_sums"], w.mart("dim_restaurants")))
+        save("mart_delivery_sla", marts.delivery_sla(sums["delivery_minutes"]))
+        path, daily = w.location("marts", "mart_restaurant_price_changes"), sums["restaurant_days"]
+        upkeep.refresh_price_changes(w.spark, path, daily, changes, w.restaurants_history, w.mart("dim_restaurants"))
+        tables.remove(w.spark, unfinished)
+    finally:
+        tables.remove(w.spark, signed)
     save("mart_daily_review_stats", marts.mart_daily_review_stats(w.stg_reviews))
 
 
@@ -332,12 +348,20 @@ def register_views(w: Warehouse, for_analysts: bool = False) -> list[str]:
     return sorted(frames)
 
 
-def quality_report(w: Warehouse) -> DataFrame:
-    """All checks, reconciliations included."""
+def quality_report(w: Warehouse, whole: bool = False) -> DataFrame:
+    """All checks, reconciliations included; those follow what has changed, or rank all of RAW with ``whole``."""
     raw_orders, raw_items = w.raw("orders"), w.raw("order_items")
+    if whole:
+        orders = checks.reconcile_orders(raw_orders, w.fct_orders)
+        items = checks.reconcile_order_items(raw_items, raw_orders, w.fct_order_items)
+    else:
+        folder = w.location("state", "ledger")
+        ledger.advance(w.spark, folder, raw_orders, raw_items)
+        orders = ledger.reconcile(w.spark, folder, ledger.ORDERS, w.location("marts", "fct_orders"))
+        items = ledger.reconcile(w.spark, folder, ledger.ITEMS, w.location("marts", "fct_order_items"))
     extra = [
-        ("reconcile_orders", checks.reconcile_orders(raw_orders, w.fct_orders)),
-        ("reconcile_order_items", checks.reconcile_order_items(raw_items, raw_orders, w.fct_order_items)),
+        ("reconcile_orders", orders),
+        ("reconcile_order_items", items),
         ("history_current", checks.history_current(w.restaurants_history, w.stg_restaurants)),
     ]
     report = checks.full_report(w)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from orderlake import settings
 from orderlake.functions.scalars import days_between, mask_email, ratio, strict_greatest, strict_least
+from orderlake.operators.deltas import count_of, rows_in, signed, sum_of
 from orderlake.operators.versions import as_of_join, first_per_group, scd2_ranges
 
 TRACKED = ["restaurant_name", "city", "cuisine", "rating", "rating_count", "cost_for_two"]
@@ -217,41 +218,55 @@ def mart_daily_city_revenue(orders: DataFrame) -> DataFrame:
     )
 
 
-def mart_restaurant_performance(orders: DataFrame, restaurants: DataFrame) -> DataFrame:
-    """Orders are summed per restaurant before the names are joined on."""
-    totals = orders.groupBy("restaurant_id").agg(
-        F.count(F.lit(1)).alias("orders"),
-        F.sum(_paid_if(F.col("is_delivered"))).alias("revenue"),
-        F.round(F.avg("customer_rating"), 2).alias("avg_customer_rating"),
-        F.round(F.avg("delivery_time_min"), 1).alias("avg_delivery_min"),
+def restaurant_sums(orders: DataFrame) -> DataFrame:
+    """Signed sums per restaurant, from which its performance is computed."""
+    paid = _paid_if(F.col("is_delivered"))
+    return orders.groupBy("restaurant_id").agg(
+        rows_in().alias("orders"),
+        sum_of(paid).alias("revenue"),
+        count_of(paid.isNotNull()).alias("priced"),
+        sum_of(F.col("customer_rating")).alias("rating"),
+        count_of(F.col("customer_rating").isNotNull()).alias("rated"),
+        sum_of(F.col("delivery_time_min")).alias("minutes"),
+        count_of(F.col("delivery_time_min").isNotNull()).alias("timed"),
     )
+
+
+def restaurant_performance(sums: DataFrame, restaurants: DataFrame) -> DataFrame:
+    """The performance mart from ``restaurant_sums``."""
+
+    def mean(total: str, n: str, digits: int) -> Column:
+        return F.round(F.try_divide(F.col(total).cast("double"), F.col(n).cast("double")), digits)
+
     names = restaurants.select("restaurant_id", "restaurant_name", "city", "cuisine")
-    return totals.join(names, "restaurant_id", "left").select(
+    return sums.join(names, "restaurant_id", "left").select(
         "restaurant_id",
         "restaurant_name",
         "city",
         "cuisine",
         "orders",
-        "revenue",
-        "avg_customer_rating",
-        "avg_delivery_min",
+        F.when(F.col("priced") > 0, F.col("revenue")).alias("revenue"),
+        mean("rating", "rated", 2).alias("avg_customer_rating"),
+        mean("minutes", "timed", 1).alias("avg_delivery_min"),
     )
 
 
-def mart_delivery_sla(orders: DataFrame) -> DataFrame:
-    """Exact percentiles from a histogram.
+def mart_restaurant_performance(orders: DataFrame, restaurants: DataFrame) -> DataFrame:
+    """Orders are summed per restaurant before the names are joined on."""
+    return restaurant_performance(restaurant_sums(signed(orders)), restaurants)
 
-    Orders are first counted per whole minute in each task, so the percentile step sees one row
-    per (city, hour, minute) however many orders a city has.
-    """
-    histogram = (
-        orders.where("is_delivered")
-        .groupBy("city", F.hour("order_timestamp").alias("order_hour"), "delivery_time_min")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+
+def delivery_minutes(orders: DataFrame) -> DataFrame:
+    """Signed numbers of delivered orders per city, hour and whole minute."""
+    hour = F.hour("order_timestamp").alias("order_hour")
+    return orders.where("is_delivered").groupBy("city", hour, "delivery_time_min").agg(rows_in().alias("n"))
+
+
+def delivery_sla(minutes: DataFrame) -> DataFrame:
+    """The delivery mart from ``delivery_minutes``: exact percentiles by the cumulative numbers."""
     shares = F.percentile("delivery_time_min", F.array(F.lit(0.5), F.lit(0.9)), F.col("n"))
     return (
-        histogram.groupBy("city", "order_hour")
+        minutes.groupBy("city", "order_hour")
         .agg(F.sum("n").alias("delivered_orders"), shares.alias("p"))
         .select(
             "city",
@@ -263,6 +278,15 @@ def mart_delivery_sla(orders: DataFrame) -> DataFrame:
     )
 
 
+def mart_delivery_sla(orders: DataFrame) -> DataFrame:
+    """Exact percentiles from a histogram.
+
+    Orders are first counted per whole minute in each task, so the percentile step sees one row
+    per (city, hour, minute) however many orders a city has.
+    """
+    return delivery_sla(delivery_minutes(signed(orders)))
+
+
 def price_changes(history: DataFrame) -> DataFrame:
     """Versions whose price differs from the known price before."""
     by_start = Window.partitionBy("restaurant_id").orderBy(F.col("valid_from").asc_nulls_first())
@@ -277,30 +301,38 @@ def price_changes(history: DataFrame) -> DataFrame:
     )
 
 
-def mart_restaurant_price_changes(
-    orders: DataFrame, history: DataFrame, restaurants: DataFrame, days: int = 7, span: DataFrame | None = None
-) -> DataFrame:
-    """Orders and delivered revenue in the days before and after each price change.
-
-    A change takes effect at midnight, so the two windows are whole days: orders are summed per
-    restaurant and day once, each change asks for its days by equality, and no range join is needed.
-    ``span`` may be any frame with the same newest ``order_timestamp`` that is cheaper to read.
-    """
+def restaurant_days(orders: DataFrame) -> DataFrame:
+    """Signed sums per restaurant and day."""
     paid_null = F.col("is_delivered") & F.col("sales_amount").isNull()
-    daily = orders.groupBy("restaurant_id", F.col("order_timestamp").cast("date").alias("day")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(_paid_if(F.col("is_delivered"))).alias("revenue"),
-        F.count_if(paid_null).alias("unpriced"),
-    )
-    last_order = (orders if span is None else span).agg(F.max("order_timestamp").alias("ts"))
-    changes = price_changes(history)
-    wanted = changes.select("*", F.explode(F.sequence(F.lit(-days), F.lit(days - 1))).alias("offset")).select(
-        "*", F.date_add("changed_on", F.col("offset")).alias("day")
+    return orders.groupBy("restaurant_id", F.col("order_timestamp").cast("date").alias("day")).agg(
+        rows_in().alias("n"),
+        sum_of(_paid_if(F.col("is_delivered"))).alias("revenue"),
+        count_of(paid_null).alias("unpriced"),
     )
+
+
+CHANGE = ["restaurant_id", "changed_on", "old_cost_for_two", "new_cost_for_two"]
+
+
+def named_changes(history: DataFrame, restaurants: DataFrame) -> DataFrame:
+    """Price changes with what the mart says of their restaurants."""
+    names = restaurants.select("restaurant_id", "restaurant_name", "city")
+    return price_changes(history).join(names, "restaurant_id", "left").select(*CHANGE, "restaurant_name", "city")
+
+
+def windows(changes: DataFrame, days: int) -> DataFrame:
+    """Each change with the days before and after it."""
+    offsets = F.explode(F.sequence(F.lit(-days), F.lit(days - 1)))
+    return changes.select("*", offsets.alias("offset")).select("*", F.date_add("changed_on", F.col("offset")).alias("day"))
+
+
+def price_change_rows(changes: DataFrame, daily: DataFrame, last_order: Column, days: int = 7) -> DataFrame:
+    """Rows of the price change mart for ``named_changes``, from ``restaurant_days`` and the time of the last order."""
     before, after = F.col("offset") < 0, F.col("offset") >= 0
     sums = (
-        wanted.join(daily, ["restaurant_id", "day"], "left")
-        .groupBy("restaurant_id", "changed_on", "old_cost_for_two", "new_cost_for_two")
+        windows(changes, days)
+        .join(daily, ["restaurant_id", "day"], "left")
+        .groupBy(*changes.columns)
         .agg(
             F.coalesce(F.sum(F.when(before, F.col("n"))), F.lit(0)).alias(f"orders_{days}d_before"),
             F.coalesce(F.sum(F.when(after, F.col("n"))), F.lit(0)).alias(f"orders_{days}d_after"),
@@ -317,9 +349,8 @@ def mart_restaurant_price_changes(
         unknown = (F.col("all_orders") > 0) & (F.col(f"unpriced_{side}") == F.col("all_orders"))
         return F.when(~unknown, F.coalesce(F.col(f"revenue_{side}"), F.lit(0)))
 
-    observed = days_between(F.col("changed_on"), last_order.scalar()) + 1
-    names = restaurants.select("restaurant_id", "restaurant_name", "city")
-    return sums.join(names, "restaurant_id", "left").select(
+    observed = days_between(F.col("changed_on"), last_order) + 1
+    return sums.select(
         "restaurant_id",
         "restaurant_name",
         "city",
@@ -335,6 +366,20 @@ def mart_restaurant_price_changes(
     )
 
 
+def mart_restaurant_price_changes(
+    orders: DataFrame, history: DataFrame, restaurants: DataFrame, days: int = 7, span: DataFrame | None = None
+) -> DataFrame:
+    """Orders and delivered revenue in the days before and after each price change.
+
+    A change takes effect at midnight, so the two windows are whole days: orders are summed per
+    restaurant and day once, each change asks for its days by equality, and no range join is needed.
+    ``span`` may be any frame with the same newest ``order_timestamp`` that is cheaper to read.
+    """
+    last_order = (orders if span is None else span).agg(F.max("order_timestamp").alias("ts"))
+    changes = named_changes(history, restaurants)
+    return price_change_rows(changes, restaurant_days(signed(orders)), last_order.scalar(), days)
+
+
 def mart_daily_review_stats(reviews: DataFrame) -> DataFrame:
     totals = reviews.groupBy("review_date", "city").agg(
         F.count(F.lit(1)).alias("reviews"),

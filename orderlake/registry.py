@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from orderlake import settings
 from orderlake.functions import scalars
 from orderlake.operators import quality, upsert, versions
-from orderlake.plans import checks, daily, marts, reports, reviews, staging
+from orderlake.plans import checks, daily, ledger, marts, reports, reviews, staging, upkeep
 from orderlake.session import shared_dir, tune
 from orderlake.sources import csv_files, tables
 from orderlake.sources import sample_tables as sample
@@ -410,12 +410,65 @@ def merge_items_late_order(lake: Lake) -> DataFrame:
     """All items are loaded at once, a third of the orders only later: their items have waited."""
     path = shared_dir(lake.spark, "late_order")
     items, late = lake.raw("order_items"), F.col("order_id") % 3 == 0
-    for rows, orders in ((items, lake.fct_orders.where(~late)), (items.where("false"), lake.fct_orders)):
-        by_month = {"partition_by": "order_month", "with_partition": _by_month}
-        daily.merge_items(lake.spark, f"{path}/fct", f"{path}/waiting", rows, orders, **by_month)
+    by_month = {"partition_by": "order_month", "with_partition": _by_month}
+    for rows, orders in ((items, lake.fct_orders.where(~late)), (items.where("false"), lake.fct_orders.where(late))):
+        upsert.upsert(lake.spark, f"{path}/orders", _by_month(orders), "order_id", "order_month")
+        daily.merge_items(lake.spark, f"{path}/fct", f"{path}/waiting", rows, f"{path}/orders", **by_month)
     return tables.read(lake.spark, f"{path}/fct").drop("order_month")
 
 
+def _merged_with_sums(lake: Lake, name: str) -> tuple[str, dict[str, DataFrame], DataFrame | None]:
+    """Orders merged in two loads, the second one twice, with the stored sums that follow; and the last load's signed rows."""
+    path = shared_dir(lake.spark, name)
+    later = scalars.file_date() > F.col("order_date")
+    for i, rows in enumerate((lake.raw_orders.where(~later), lake.raw_orders.where(later), lake.raw_orders.where(later))):
+        updates = _by_month(marts.fct_orders(staging.stg_orders(rows)))
+        signed = f"{path}/changes{i}"
+        done = upsert.upsert(lake.spark, f"{path}/fct", updates, "order_id", "order_month", changes=signed)
+        changes = None if done is None else lake.spark.read.parquet(signed)
+        sums = upkeep.refresh_sums(lake.spark, f"{path}/state", tables.read(lake.spark, f"{path}/fct"), changes)
+        if i == 0:
+            history, names = lake.restaurants_history, lake.dim_restaurants
+            upkeep.refresh_price_changes(lake.spark, f"{path}/prices", sums["restaurant_days"], None, history.where("restaurant_id % 5 <> 0"), names)
+    return path, sums, changes
+
+
+@query
+def performance_from_changes(lake: Lake) -> DataFrame:
+    """The performance of restaurants from sums to which late and re-sent orders were added and whose old versions were subtracted."""
+    return marts.restaurant_performance(_merged_with_sums(lake, "performance_changes")[1]["restaurant_sums"], lake.dim_restaurants)
+
+
+@query
+def delivery_sla_from_counts(lake: Lake) -> DataFrame:
+    """Percentiles from stored numbers per city, hour and minute alone."""
+    return marts.delivery_sla(_merged_with_sums(lake, "delivery_counts")[1]["delivery_minutes"])
+
+
+@query
+def price_changes_from_changes(lake: Lake) -> DataFrame:
+    """The price change mart computed after the first load without a fifth of the restaurants, then brought up to the others and to
+    orders that came later."""
+    path, sums, _ = _merged_with_sums(lake, "price_changes")
+    signed = lake.spark.read.parquet(f"{path}/changes1")
+    upkeep.refresh_price_changes(lake.spark, f"{path}/prices", sums["restaurant_days"], signed, lake.restaurants_history, lake.dim_restaurants)
+    return tables.read(lake.spark, f"{path}/prices").drop("_changed_month")
+
+
+@query
+def reconcile_from_ledger(lake: Lake) -> DataFrame:
+    """Orders of RAW against facts that missed what came late, by sums that followed three loads of RAW."""
+    folder, later = shared_dir(lake.spark, "ledger"), scalars.file_date() > F.col("order_date")
+    facts = f"{folder}/fct"
+    for rows in (lake.raw_orders.where(~later), lake.raw_orders.where(later), lake.raw_orders.where(later)):
+        ledger.absorb(lake.spark, folder, ledger.ORDERS, rows)
+    upsert.upsert(lake.spark, facts, _by_month(marts.fct_orders(staging.stg_orders(lake.raw_orders.where(~later)))), "order_id", "order_month")
+    found = ledger.reconcile(lake.spark, folder, ledger.ORDERS, facts, "order_month")
+    both = [f"{side}_{m}" for m in ("orders", "delivered_gmv", "refunded") for side in ("raw", "fct")]
+    differs = (F.col("raw_checksum") != F.col("fct_checksum")).alias("rows_differ")
+    return found.select(*[F.col(c).cast("bigint").alias(c) for c in both], differs)
+
+
 @query
 def stream_merge_orders(lake: Lake) -> DataFrame:
     """Orders streamed from RAW batches into the fact table."""

@@ -91,7 +91,9 @@ def full_refresh(df: DataFrame, path: str, partition_by: list[str] | None = None
     """Replace a whole table, columns included."""
     file = df.sparkSession._jvm.org.apache.hadoop.fs.Path(_schema_file(path))
     file.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(file, False)
-    df = balanced(df, partition_by) if partition_by else df
+    if partition_by:
+        _remember_schema(df.sparkSession, path, df.schema)  # a table without rows has no file that tells its columns
+        df = balanced(df, partition_by)
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
