@@ -1,5 +1,9 @@
 """Held-out accuracy, the calibration step, and odd inputs."""
 
+import math
+import zlib
+from collections import Counter
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -53,3 +57,98 @@ def test_bounded_training_rows(spark):
     model = quality.fit(docs, labels, max_rows=800)
     rows = quality.score(docs.select("doc_id", "text"), model).join(labels, "doc_id").agg(F.avg((F.col("predicted") == F.col("quality")).cast("int"))).head()
     assert rows[0] > 0.95
+
+
+def plain_statistics(text):
+    """The same numbers, one at a time."""
+    raw = text.encode()
+    n = max(len(raw), 1)
+
+    def share(test):
+        return sum(map(test, raw)) / n
+
+    def spread(values):
+        mean = sum(values) / len(values)
+        return mean, math.sqrt(sum((v - mean) ** 2 for v in values) / len(values))
+
+    words, lines = text.split(), [s for s in text.split("\n") if s]
+    n_words, n_lines = max(len(words), 1), max(len(lines), 1)
+    (word_mean, word_sd), (line_mean, line_sd) = spread([len(w) for w in words] or [0.0]), spread([len(s) for s in lines] or [0.0])
+    counts = Counter(raw)
+    head = [
+        math.log(1 + len(text)),
+        math.log(1 + len(words)),
+        math.log(1 + len(lines)),
+        share(lambda b: 65 <= b <= 90),
+        share(lambda b: 97 <= b <= 122),
+        share(lambda b: 48 <= b <= 57),
+        share(lambda b: b >= 128),
+        share(lambda b: b == 32),
+        share(lambda b: b == 10) * 10,
+        share(lambda b: b < 32 and b != 10),
+        -sum(c / n * math.log2(c / n) for c in counts.values()),
+        max(counts.values(), default=0) / n,
+        word_mean,
+        word_sd,
+        math.log(1 + max(map(len, words), default=0)),
+        len(set(words)) / n_words,
+        len(set(words)) / math.sqrt(n_words),
+        len(set(lines)) / n_lines,
+        math.log(1 + line_mean),
+        math.log(1 + line_sd),
+        sum(w[-1] in "#$%&*!" for w in words) / n_words,
+        sum(w[0].isupper() for w in words) / n_words,
+        math.log(1 + len(words) / (sum(text.count(c) for c in ".!?") + 1)),
+        sum(len(w) < 2 for w in words) / n_words,
+    ]
+    return head + [math.sqrt(text.count(c) / n) for c in "!?.,;:'\"-_#$%&*@/\\|<>()[]{}=+~^`"]
+
+
+def plain_steps(points):
+    """Isotonic regression by its definition: the greatest mean that begins, of the least that ends, at or around a point."""
+    x, hits, n = zip(*points, strict=True)
+    value = [
+        max(min(sum(hits[a : e + 1]) / sum(n[a : e + 1]) for e in range(i, len(x))) for a in range(i + 1))
+        for i in range(len(x))
+    ]
+    steps = {}
+    for xi, ni, v in zip(x, n, value, strict=True):
+        centre, weight = steps.get(round(v, 12), (0.0, 0.0))
+        steps[round(v, 12)] = centre + xi * ni, weight + ni
+    return [c / w for c, w in steps.values()], list(steps)
+
+
+def test_the_query_is_brute_force(spark):
+    path = "/root/testdata/sf0.01"
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{path}/documents.parquet").collect()}
+    labels = [(r.doc_id, r.quality) for r in spark.read.parquet(f"{path}/labels.parquet").collect()]
+    held_out = {d: zlib.crc32(str(d).encode()) % 4 == 2 for d in texts}
+    learned = [(d, q) for d, q in labels if not held_out[d]]
+    stats = {d: plain_statistics(t) for d, t in texts.items()}
+    x = np.array([stats[d] for d, _ in learned])
+    y = np.array([float(q) for _, q in learned])
+    mean, scale = x.mean(0), np.sqrt(np.maximum(x.var(0), 1e-8))
+    rng = np.random.default_rng(5)
+    size = x.shape[1]
+    directions = rng.normal(0.0, 1.0 / 4.0, (size, 256)) / math.sqrt(size / 8.0)
+    phases = rng.uniform(0.0, 2.0 * math.pi, 256)
+
+    def features(rows):
+        z = np.clip((rows - mean) / scale, -6.0, 6.0)
+        return np.column_stack([math.sqrt(2.0 / 256) * np.cos(z @ directions + phases), z, np.ones(len(z))])
+
+    a = features(x)
+    ridge = 1e-3 * len(x) / a.shape[1]
+    # The ridge as further equations of a least squares problem, instead of normal equations.
+    weights = np.linalg.lstsq(np.vstack([a, math.sqrt(ridge) * np.eye(a.shape[1])]), np.concatenate([y, np.zeros(a.shape[1])]), rcond=None)[0]
+    bins = {}
+    for value, hit in zip(a @ weights, y, strict=True):
+        at = min(max(int((value + 0.5) / 2.0 * 400), 0), 399)
+        h, k = bins.get(at, (0.0, 0))
+        bins[at] = h + hit, k + 1
+    points = [((at + 0.5) * 2.0 / 400 - 0.5, h, k) for at, (h, k) in sorted(bins.items())]
+    want = dict(zip(texts, np.interp(features(np.array(list(stats.values()))) @ weights, *plain_steps(points)), strict=True))
+    rows = QUERIES["op3_quality_classifier"](spark, path).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    for r in rows:
+        assert abs(r.score - want[r.doc_id]) < 1e-6 and r.held_out == held_out[r.doc_id] and r.predicted == int(r.score >= 0.7)
