@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from orderlake.llm import bagminhash, line_dedup, packing, quality, suffix_dedup
 from orderlake.llm.common import ship, table, written
+from orderlake.session import tune
 
 #: Documents with a lower score are rejected.
 LEAST_SCORE = 0.5
@@ -45,7 +46,7 @@ def _widened(docs: DataFrame, df: DataFrame, changed: Column | None = None, text
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark)
+    ship(tune(spark))
     labels = table(spark, sf_dir, "labels").where(F.coalesce(~quality.held_out(), F.lit(True)))
     model = quality.fit(docs.select("doc_id", "text"), labels)
     if model.weights is None:
@@ -55,24 +56,24 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark)
+    ship(tune(spark))
     clean = line_dedup.remove_repeated_chunks(_narrow(docs))
     return _widened(docs, clean, F.col("n_removed") > 0, F.col("text"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark)
+    ship(tune(spark))
     return _widened(docs, bagminhash.keep_one(_narrow(docs), threshold=0.8))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark)
+    ship(tune(spark))
     cut = suffix_dedup.remove_repeats(_narrow(docs), min_bytes=PASSAGE_BYTES, kept_as_text=True)
     return _widened(docs, cut, F.size("spans") > 0, F.col("kept"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark)
+    ship(tune(spark))
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, length=4096)
 
 
