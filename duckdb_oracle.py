@@ -729,3 +729,28 @@ QUERIES |= {
     "price_changes_from_changes": QUERIES["mart_restaurant_price_changes"],
     "reconcile_from_ledger": f"SELECT *, true AS rows_differ FROM ({QUERIES['reconcile_orders_without_late']})",
 }
+
+_LOWERED = "translate(comment, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ANCHORS = "(VALUES ('food quality', ['the', 'and'], 1), ('delivery', ['der', 'und'], 2), ('pricing', ['les', 'des'], 3), ('service', ['que', 'los'], 4)) AS a(topic, named, place)"
+QUERIES["learned_labels"] = rf"""
+SELECT review_id, round(raw, 6) AS raw, key_issue, coalesce(topic, 'other') AS topic FROM (
+WITH r AS (SELECT review_id, rating, list_distinct(regexp_extract_all({_LOWERED}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS words FROM stg_reviews),
+     w AS (SELECT review_id, rating, unnest(words) AS word FROM r),
+     c AS (SELECT word, count(*) FILTER (rating >= 4) AS up, count(*) FILTER (rating <= 2) AS down
+           FROM w WHERE rating >= 4 OR rating <= 2 GROUP BY word),
+     t AS (SELECT sum(up)::DOUBLE AS all_up, sum(down)::DOUBLE AS all_down FROM c),
+     p AS (SELECT word, up + prior AS u, down + prior AS d, all_up, all_down
+           FROM (SELECT *, 100::DOUBLE * (up + down) / (all_up + all_down) AS prior FROM c, t)),
+     o AS (SELECT word, ln(u / (all_up + 100 - u)) - ln(d / (all_down + 100 - d)) AS weight, sqrt(1 / u + 1 / d) AS error FROM p),
+     weights AS (SELECT word, weight FROM o WHERE abs(weight) >= 1.96::DOUBLE * error),
+     scores AS (SELECT review_id, sum(weight) AS raw, arg_min(word, struct_pack(weight := weight, word := word)) FILTER (weight < 0) AS key_issue
+                FROM w JOIN weights USING (word) GROUP BY review_id),
+     of_topic AS (SELECT review_id, topic, place FROM r, {_ANCHORS} WHERE list_has_any(words, named)),
+     sizes AS (SELECT topic, count(*) AS n FROM of_topic GROUP BY topic),
+     seen AS (SELECT word, count(*) AS n FROM w GROUP BY word),
+     together AS (SELECT word, topic, place, count(*) AS n FROM w JOIN of_topic USING (review_id) GROUP BY ALL HAVING count(*) >= 5),
+     affinities AS (SELECT word, topic, place, ln(together.n * (SELECT count(*) FROM r) / (seen.n * sizes.n::DOUBLE)) AS affinity
+                    FROM together JOIN seen USING (word) JOIN sizes USING (topic)),
+     sums AS (SELECT review_id, topic, place, sum(affinity) AS affinity FROM w JOIN affinities USING (word) WHERE affinity > 0 GROUP BY ALL),
+     topics AS (SELECT review_id, arg_max(topic, struct_pack(a := round(affinity, 9), p := -place)) AS topic FROM sums GROUP BY review_id)
+SELECT r.review_id, raw, key_issue, topic FROM r LEFT JOIN scores USING (review_id) LEFT JOIN topics USING (review_id))"""

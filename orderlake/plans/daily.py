@@ -12,11 +12,15 @@ from orderlake.operators import deltas
 from orderlake.operators import upsert as incremental
 from orderlake.operators.versions import dedup_latest, scd2_snapshot
 from orderlake.plans import checks, ledger, marts, reviews, staging, upkeep
+from orderlake.plans.labeller import learn
 from orderlake.session import shared_dir, tune
 from orderlake.sources import tables
 from orderlake.sources.schemas import TABLES
 from orderlake.streaming.ingest import ingest_day
 
+#: The labeller that learns from the reviews' own stars.
+LEARNED = "learned"
+
 LABEL_SCHEMA = (
     "review_id bigint, sentiment_label string, sentiment_score double, topic string, key_issue string, model string, "
     "enrichment_at timestamp"
@@ -266,13 +270,20 @@ def build_core(w: Warehouse, run_at: Column, fixed_dates: bool = False) -> None:
 
 
 def enrich(
-    w: Warehouse, labeller: Callable[[str], str] | None, model: str, run_at: Column, limit: int | None
+    w: Warehouse, labeller: Callable[[str], str] | str | None, model: str, run_at: Column, limit: int | None
 ) -> None:
-    """Label reviews that have no label; answers that cannot be used are kept apart and retried."""
+    """Label reviews that have no label; answers that cannot be used are kept apart and retried.
+
+    ``labeller`` None takes the word lists, ``LEARNED`` what the reviews' own stars teach.
+    """
     todo = reviews.reviews_to_enrich(w.stg_reviews, w.labels, limit, w.written("ai", "quarantine"))
     path = w.location("ai", "review_enriched")
     if labeller is None:
         labels = reviews.rule_labels(todo)
+    elif labeller == LEARNED:
+        # The words' tables are small beside the reviews, but learning reads all of those once.
+        stars = w.stg_reviews.select("review_id", "rating", "comment")
+        labels = learn(stars).labels(todo)
     else:
         # Written once, so that good and bad answers come from the same calls.
         asked = w.location("ai", "answers")
@@ -376,7 +387,7 @@ def run_day(
     warehouse: str,
     ds: str,
     run_at: Column | None = None,
-    labeller: Callable[[str], str] | None = None,
+    labeller: Callable[[str], str] | str | None = None,
     encoder=None,
     model: str = settings.RULES_MODEL,
     encoder_model: str = settings.HASHED_MODEL,

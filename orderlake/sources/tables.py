@@ -20,6 +20,15 @@ def exists(spark: SparkSession, path: str) -> bool:
     return any("=" in name or not name.startswith(("_", ".")) for name in names)
 
 
+def state_of_files(spark: SparkSession, path: str) -> int:
+    """A number for the names, lengths and times of the files and folders in a folder and one level below; another state has another number."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    # ``globStatus`` gives nothing for a folder that isn't there.
+    found = [e for depth in ("*", "*/*") for e in files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(folder, depth)) or ()]
+    return hash(tuple(sorted((e.getPath().toString(), e.getLen(), e.getModificationTime()) for e in found)))
+
+
 def _schema_file(path: str) -> str:
     return f"{path.rstrip('/')}__schema.json"
 

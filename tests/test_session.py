@@ -33,3 +33,23 @@ def test_a_local_session_may_use_its_own_folder():
 def test_tuning_is_applied(spark):
     tune(spark)
     assert all(spark.conf.get(key) == value for key, value in TUNING.items())
+
+
+def test_a_lake_is_made_anew_when_its_files_change(spark, tmp_path):
+    import shutil
+
+    from orderlake import registry
+
+    shutil.copytree("/root/testdata/sf0.001", tmp_path / "sf")
+    path = str(tmp_path / "sf")
+    first = registry.lake_of(spark, path)
+    cities = registry.QUERIES["dq_report"](spark, path).where("check_name = 'unique fct_orders.order_id'").collect()
+    assert registry.lake_of(spark, path) is first and cities[0].status == "pass"
+    n = first.raw_orders.count()
+    orders = spark.read.parquet(f"{path}/orders.parquet")
+    orders.limit(100).coalesce(1).write.parquet(f"{path}/fewer")
+    (tmp_path / "sf" / "orders.parquet").unlink()
+    (tmp_path / "sf" / "fewer").rename(tmp_path / "sf" / "orders.parquet")
+    assert registry.lake_of(spark, path) is not first and registry.lake_of(spark, path).raw_orders.count() < n
+    registry.forget()
+    assert registry.lake_of(spark, path).raw_orders.count() < n
