@@ -297,7 +297,8 @@ def enrich(
 
 
 def embed(w: Warehouse, encoder, model: str, run_at: Column, limit: int | None) -> None:
-    """Vectors for texts that have none of this model; ``encoder`` None uses hashed words.
+    """Vectors for texts that have none of this model; ``encoder`` None uses hashed words. A fitted one (``encoder.fit``) is a function
+    like any other; keep it with its model's name, since another fit has another space.
 
     All vectors of a model have one length; a run that brings another one is refused as a whole.
     """
