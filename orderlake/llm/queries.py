@@ -146,7 +146,7 @@ def op9_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document without the chunks of lines that an earlier document, or an earlier place of it, has."""
+    """Every document without the lines of chunks that an earlier document, or an earlier place of it, has."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     clean = line_dedup.remove_repeated_chunks(docs)
     kept = F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
@@ -156,21 +156,24 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE_SQL["op2_line_dedup"] = """
 WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
      line AS (SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS i FROM split),
-     hashed AS (SELECT *, ('0x' || substr(md5(line), 1, 7))::BIGINT AS h FROM line),
-     rolled AS (SELECT *, (h + 1000003 * coalesce(lag(h) OVER w, 0)) % 2147483647 % 3 = 0 AS cut
-                FROM hashed WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
-     ended AS (SELECT *, cut AND NOT coalesce(lag(cut) OVER w, false) AS last
-               FROM rolled WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
-     numbered AS (SELECT *, coalesce(sum(last::INT) OVER (PARTITION BY doc_id ORDER BY i
-                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS no FROM ended),
-     chunk AS (SELECT doc_id, no, string_agg(line, chr(10) ORDER BY i) AS body, count(*) AS n,
-                      count(*) FILTER (trim(line, ' ') <> '') AS solid FROM numbered GROUP BY doc_id, no),
-     placed AS (SELECT *, n >= 2 AND solid >= 2 AND row_number() OVER (PARTITION BY body, solid >= 2 ORDER BY doc_id, no) > 1 AS gone
-                FROM chunk)
-SELECT doc_id, sum(n)::BIGINT AS n_lines, coalesce(sum(n) FILTER (gone), 0)::BIGINT AS n_removed,
-       count(*) FILTER (gone) AS n_chunks_removed,
-       sha256(coalesce(string_agg(body, chr(10) ORDER BY no) FILTER (NOT gone), '')) AS kept_sha256
-FROM placed GROUP BY doc_id
+     flagged AS (SELECT *, trim(line, ' ' || chr(9) || chr(13)) <> '' AS solid FROM line),
+     numbered AS (SELECT *, sum(solid::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS u FROM flagged),
+     hashed AS (SELECT *, ('0x' || substr(md5(line), 1, 7))::BIGINT AS h FROM numbered WHERE solid),
+     rolled AS (SELECT *, (h + 1000003 * lag(h) OVER w) % 2147483647 AS r, lag(line) OVER w AS b1, lag(line, 2) OVER w AS b2,
+                       lead(line) OVER w AS a1 FROM hashed WINDOW w AS (PARTITION BY doc_id ORDER BY u)),
+     compared AS (SELECT *, lag(r) OVER w AS r_before, lead(r) OVER w AS r_after FROM rolled WINDOW w AS (PARTITION BY doc_id ORDER BY u)),
+     border AS (SELECT * FROM compared WHERE r <= r_before OR r <= r_after OR (r IS NOT NULL AND b2 IS NULL AND a1 IS NULL)),
+     chunk AS (SELECT doc_id, u - 1 AS first, 2 AS n, b1 || chr(10) || line AS body FROM border
+               UNION SELECT doc_id, u - 2, 3, b2 || chr(10) || b1 || chr(10) || line FROM border WHERE b2 IS NOT NULL
+               UNION SELECT doc_id, u - 1, 3, b1 || chr(10) || line || chr(10) || a1 FROM border WHERE a1 IS NOT NULL),
+     placed AS (SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, first) > 1 AS again FROM chunk),
+     gone AS (SELECT DISTINCT doc_id, unnest(range(first::BIGINT, (first + n)::BIGINT)) AS u FROM placed WHERE again),
+     marked AS (SELECT l.doc_id, l.line, l.i, greatest(l.u, 1) AS u, g.u IS NOT NULL AS gone
+                FROM numbered l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.u = greatest(l.u, 1)),
+     turned AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS starts FROM marked)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed, count(*) FILTER (starts) AS n_chunks_removed,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM turned GROUP BY doc_id
 """
 
 
