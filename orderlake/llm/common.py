@@ -31,12 +31,12 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """The frame as a table in the cluster's shared folder: lineage is cut there, and a lost executor
-    only repeats the tasks that read it."""
+    only repeats the tasks that read it. ``codec`` packs tables of texts closer than the session's default."""
     spark = df.sparkSession
     path = shared_dir(spark, name)
-    df.write.parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -114,10 +114,12 @@ def remove_repeated_chunks(docs: DataFrame, key: str = "doc_id", text: str = "te
 
     # The texts of the chunks there, compared as they are.
     once = base.select("key_", "text_hash_", "text_").join(again.hint("merge"), same).drop("k_", "t_")
-    chunks = written(_chunks(with_borders(once, "text_")), "repeated_chunks")
+    chunks = written(_chunks(with_borders(once, "text_")), "repeated_chunks", "zstd")
     release(docs.sparkSession)
     place = F.struct(F.col("key_").isNull().alias("last"), "key_", "text_hash_", "first")
-    firsts = written(chunks.groupBy("body").agg(F.min(place).alias("first_place")), "first_chunks")
+    firsts = chunks.groupBy("body").agg(F.min(place).alias("first_place"), F.count(F.lit(1)).alias("times"))
+    firsts = written(firsts.where("times > 1").drop("times"), "first_chunks", "zstd")
+    release(docs.sparkSession)
     later = chunks.join(firsts.hint("merge"), "body").where(~place.eqNullSafe(F.col("first_place")))
     lines = F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)
     gone = later.select("key_", "text_hash_", F.explode(lines).alias("line")).groupBy("key_", "text_hash_").agg(F.collect_set("line").alias("gone_"))
