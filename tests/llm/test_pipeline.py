@@ -43,7 +43,7 @@ def test_quality_keeps_the_good(spark, stages):
 
 def test_lines(stages):
     _, before, _, after = stages["line_dedup"]
-    want = {(k, t) for k, t, _, removed in line_rules([(r.doc_id, r.text) for r in before]) if not removed or t.strip(" ")}
+    want = {(k, t) for k, t, _, removed, _ in line_rules([(r.doc_id, r.text) for r in before]) if not removed or t.strip(" ")}
     assert {(r.doc_id, r.text) for r in after} == want
     assert all(r.n_chars == len(r.text) for r in after)
 
