@@ -1,30 +1,30 @@
-"""Exact removal of long repeated strings: q-gram buckets, then counted names of strings around an anchor.
+"""Exact removal of long repeated strings: q-gram buckets, refined by identifiers of later offsets.
 
 Every byte covered by a string of ``min_bytes`` bytes that also starts anywhere else, in the same or another
-text, is found and removed. Only the beginning is that of a bucket-pointer refinement: suffixes start in buckets of equal
-q-grams, and an identifier of ``2h`` bytes is made from those of ``h`` bytes at two offsets, up to the q-gram (64 bytes at
-most) and inside a text. No bucket is refined by bucket identifiers of later offsets and nothing is sorted; the
-rounds after that name strings by a hash of their bytes and count the names:
+text, is found and removed. The identifier of a string of ``2h`` bytes is made from those of its halves, so that the identifiers of
+q-grams give those of all longer strings (``_ladder``), and a string of any length has one made from those at a few offsets (``_cover``).
+Buckets begin as equal q-grams. Each round sorts what is left by (bucket, identifier at later offsets); the pair is the new bucket, which
+the next round refines in turn:
 
 * Of each ``min_bytes`` window only the q-gram with the least identifier counts (equal windows pick the
   same one), so one suffix stands for a run of windows, a *phrase*, in its q-gram's bucket.
-* Round 1: buckets with one member are final. Phrases equal in their whole extent are repeated.
-* Round 2: phrases left undecided, next to others of their bucket, are cut into blocks of offsets
-  from the anchor; equal blocks are repeated, blocks whose common core occurs once are final.
-* Round 3: the windows of undecided blocks are compared one by one.
+* Round 1: buckets with one member are final. The others are refined by the identifiers at all offsets of a phrase's extent: phrases
+  equal in all of it are repeated.
+* Round 2: phrases that stand alone, next to others of their bucket, are cut into blocks of offsets from the anchor. Their bucket is
+  refined by the identifiers at the block's common core; buckets with one member are final. Then by those at the block's whole extent: equal blocks are repeated.
+* Round 3: buckets of blocks that stand alone are refined by the identifiers of single windows.
 
-Refining by the identifier at anchor + h needs the bucket of every suffix, not only of anchors. At sf0.01 and 400 bytes that table
-would hold 2,409,972 suffixes and 11.0 times the input's size (sorted by bucket, Parquet with zstd), for each doubling; the
-phrases are 17,930 (116 windows each) and 0.085 times.
+Identifiers are made of the bytes alone, so a phrase finds those of its later offsets in its own text, and the table of all suffixes' buckets is
+never written: at sf0.01 and 400 bytes it would hold 2,409,972 suffixes and 11.0 times the input's size (sorted by bucket, Parquet with zstd), for each
+doubling; the phrases are 17,930 (116 windows each) and 0.085 times.
 
 Buckets are counted, never gathered: a passage that a third of all texts share costs one partial count per task.
-Identifiers are hashes of the bytes themselves; a wrong match needs two different strings that agree in a 64-bit name of
-their q-gram (or core) and in a 64-bit BLAKE2 name of the whole. Rounds are written tables, so lost executors
-repeat tasks only.
+Identifiers are 64-bit hashes; a wrong match needs two different strings that agree in their bucket and in the identifier
+that refines it. Rounds are written tables, so lost executors repeat tasks only.
 
 Defined cases: a null text is empty; texts shorter than ``min_bytes`` lose nothing; exact copies remove each other
-entirely (from ``min_bytes`` on). Texts of any length are scanned in bounded segments. Input columns are carried
-through; one named like a result column is replaced.
+entirely (from ``min_bytes`` on); an empty table stays empty. Texts of any length are scanned in bounded segments. Input columns are
+carried through; one named like a result column is replaced.
 """
 
 from __future__ import annotations
@@ -32,7 +32,6 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -61,6 +60,15 @@ class Extent:
     size: int
     gram: int
 
+    @property
+    def core(self) -> int:
+        """Length of what all windows of a block have in common; 0 where it has no q-gram."""
+        return self.size - BLOCK + 1 if self.size - BLOCK + 1 >= self.gram else 0
+
+    def step(self, length: int) -> int:
+        """The longest strings of the ladder that are not longer."""
+        return self.gram << (length // self.gram).bit_length() - 1
+
     @staticmethod
     def of(size: int) -> Extent:
         if size < 8:
@@ -79,12 +87,23 @@ def _pair(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return x
 
 
-def _gram_ids(raw: np.ndarray, gram: int) -> np.ndarray:
-    ids, h = _BYTE_IDS[raw], 1
-    while h < gram:
+def _ladder(raw: np.ndarray, extent: Extent) -> dict[int, np.ndarray]:
+    """By length, for the q-gram's and its doublings up to ``size``: identifiers of the strings that start at each place."""
+    ids, h, found = _BYTE_IDS[raw], 1, {}
+    while h * 2 <= extent.size:
         ids = _pair(ids[:-h], ids[h:])
         h *= 2
-    return ids
+        if h in (extent.gram, extent.step(extent.size), extent.core and extent.step(extent.core)):
+            found[h] = ids
+    return found
+
+
+def _cover(ids: np.ndarray, step: int, start: np.ndarray, end: np.ndarray, most: int) -> np.ndarray:
+    """Identifiers of strings of ``step`` to ``most`` bytes, from those of ``step`` bytes at offsets 0, step, 2 step, ... and at their end."""
+    name = ids[start]
+    for offset in range(step, most, step):
+        name = _pair(name, ids[np.minimum(start + offset, end - step)])
+    return name
 
 
 def _anchors(ids: np.ndarray, width: int) -> np.ndarray:
@@ -102,7 +121,7 @@ def _anchors(ids: np.ndarray, width: int) -> np.ndarray:
 
 
 def phrases(raw: np.ndarray, offsets: np.ndarray, extent: Extent) -> Iterator[tuple[np.ndarray, ...]]:
-    """Runs of windows with one anchor in texts laid end to end: first window, last window, anchor, q-gram identifier.
+    """Runs of windows with one anchor in texts laid end to end: first window, last window, anchor, identifiers of q-gram and whole extent.
 
     No run crosses a text's border; segments may cut one, which only leaves more to the later rounds.
     """
@@ -119,21 +138,27 @@ def phrases(raw: np.ndarray, offsets: np.ndarray, extent: Extent) -> Iterator[tu
         here = np.flatnonzero(valid[start:stop])
         if not len(here):
             continue
-        ids = _gram_ids(raw[start : stop - 1 + size], extent.gram)
+        ladder = _ladder(raw[start : stop - 1 + size], extent)
+        ids = ladder[extent.gram]
         at = _anchors(ids, size - extent.gram + 1)[here]
         fresh = np.ones(len(here), bool)
         fresh[1:] = (at[1:] != at[:-1]) | (np.diff(here) > 1) | border[start + here[1:]]
         first = np.flatnonzero(fresh)
         last = np.append(first[1:], len(here)) - 1
-        yield start + here[first], start + here[last], start + at[first], ids[at[first]].view(np.int64)
+        begin, last, at = here[first], here[last], at[first].astype(np.int64)
+        full = _whole(ladder, extent, begin, last, at, 2 * size)
+        yield start + begin, start + last, start + at, ids[at].view(np.int64), full.view(np.int64)
 
 
-def _name(*parts) -> int:
-    """64 bits of BLAKE2 over numbers and bytes."""
-    h = hashlib.blake2b(digest_size=8)
-    for p in parts:
-        h.update(p if isinstance(p, memoryview) else int(p).to_bytes(8, "little", signed=True))
-    return int.from_bytes(h.digest(), "little", signed=True)
+def _span(first: np.ndarray, last: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+    """Where the anchor lies behind the first window, and how many windows follow that one."""
+    return (anchor - first) * _WIDTH + (last - first)
+
+
+def _whole(ladder: dict[int, np.ndarray], extent: Extent, first: np.ndarray, last: np.ndarray, anchor: np.ndarray, most: int) -> np.ndarray:
+    """Identifiers of runs of windows with all their bytes, as they lie about the anchor."""
+    step = extent.step(extent.size)
+    return _pair(_cover(ladder[step], step, first, last + extent.size, most), _span(first, last, anchor).view(np.uint64))
 
 
 def _text_key(raw) -> tuple[int, int]:
@@ -166,79 +191,105 @@ def _phrase_rows(docs: DataFrame, extent: Extent) -> DataFrame:
             for texts in _pieces(_encoded(batch.column(0))):
                 blob = b"".join(texts)
                 offsets = np.cumsum([0, *map(len, texts)])
-                view = memoryview(blob)
                 keys = np.array([_text_key(t) for t in texts], np.int64)
-                for first, last, at, bucket in phrases(np.frombuffer(blob, np.uint8), offsets, extent):
+                for first, last, at, bucket, full in phrases(np.frombuffer(blob, np.uint8), offsets, extent):
                     doc = np.searchsorted(offsets, first, "right") - 1
-                    full = [
-                        _name(p - a, view[a : e + extent.size])
-                        for a, e, p in zip(first.tolist(), last.tolist(), at.tolist(), strict=True)
-                    ]
-                    columns = [bucket, np.array(full, np.int64), keys[doc, 0], keys[doc, 1], first - offsets[doc]]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c) for c in (*columns, (at - first) * _WIDTH + (last - first))],
-                        names=["bucket", "full", "k1", "k2", "first", "span"],
-                    )
+                    columns = [bucket, full, keys[doc, 0], keys[doc, 1], first - offsets[doc], _span(first, last, at)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["bucket", "full", "k1", "k2", "first", "span"])
 
     return docs.mapInArrow(each, "bucket long, full long, k1 long, k2 long, first long, span long")
 
 
-def _blocks_of(text: memoryview, first: int, span: int, extent: Extent) -> Iterator[tuple[int, int, int, int]]:
-    """(core identifier, whole identifier, first window, windows - 1) of each block of a phrase."""
-    anchor, last = first + span // _WIDTH, first + span % _WIDTH
-    for k in range((anchor - last) // BLOCK, (anchor - first) // BLOCK + 1):
-        lo, hi = max(first, anchor - k * BLOCK - BLOCK + 1), min(last, anchor - k * BLOCK)
-        core = text[anchor - k * BLOCK : anchor - k * BLOCK - BLOCK + 1 + extent.size]
-        yield _name(k, core), _name(anchor - lo, text[lo : hi + extent.size]), lo, hi - lo
+@dataclass(frozen=True)
+class Open:
+    """Strings that a round left open: bucket, first window, ``_span``, number of members, and the text of each."""
+
+    bucket: np.ndarray
+    first: np.ndarray
+    span: np.ndarray
+    n: np.ndarray
+    text: np.ndarray
+
+    def __getitem__(self, rows) -> Open:
+        return Open(*(c[rows] for c in (self.bucket, self.first, self.span, self.n, self.text)))
+
+    @property
+    def anchor(self) -> np.ndarray:
+        return self.first + self.span // _WIDTH
+
+    @property
+    def last(self) -> np.ndarray:
+        return self.first + self.span % _WIDTH
+
+    def spread(self, counts: np.ndarray) -> tuple[Open, np.ndarray]:
+        """Each string ``counts`` times, with numbers from 0."""
+        at = np.repeat(np.arange(len(counts)), counts)
+        return self[at], np.arange(len(at)) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+def _blocks(ladder: dict[int, np.ndarray], strings: Open, extent: Extent) -> tuple[np.ndarray, np.ndarray, Open]:
+    """Refined buckets and whole identifiers of the blocks of phrases."""
+    lowest = (strings.anchor - strings.last) // BLOCK
+    of, i = strings.spread((strings.anchor - strings.first) // BLOCK - lowest + 1)
+    k = (of.anchor - of.last) // BLOCK + i
+    top = of.anchor - k * BLOCK
+    first, last = np.maximum(of.first, top - BLOCK + 1), np.minimum(of.last, top)
+    bucket = _pair(of.bucket.view(np.uint64), k.view(np.uint64))
+    if extent.core:
+        step = extent.step(extent.core)
+        bucket = _pair(bucket, _cover(ladder[step], step, top, top + extent.core, extent.core))
+    full = _whole(ladder, extent, first, last, of.anchor, extent.size + BLOCK)
+    return bucket, full, Open(bucket, first, _span(first, last, of.anchor), of.n, of.text)
+
+
+def _windows(ladder: dict[int, np.ndarray], strings: Open, extent: Extent) -> tuple[np.ndarray, np.ndarray, Open]:
+    """Buckets and identifiers of the single windows of blocks."""
+    of, i = strings.spread(strings.span % _WIDTH + 1)
+    first, step = of.first + i, extent.step(extent.size)
+    full = _cover(ladder[step], step, first, first + extent.size, extent.size)
+    return of.bucket, full, Open(of.bucket, first, np.zeros(len(first), np.int64), of.n, of.text)
 
 
 def _from_texts(texts: DataFrame, extent: Extent, single: bool) -> DataFrame:
     """The blocks of the listed phrases, or the windows of the listed blocks, of each text."""
 
+    def of_group(batch: pa.RecordBatch, offsets: list[int], blob: bytes) -> Iterator[pa.RecordBatch]:
+        listed = batch.column("listed")
+        text = np.repeat(np.arange(len(listed)), listed.value_lengths().to_numpy(zero_copy_only=False))
+        bucket, first, span, n = (np.asarray(c, np.int64) for c in listed.flatten().flatten())
+        strings = Open(bucket, first + np.array(offsets)[text], span, n, text)
+        strings, raw = strings[np.argsort(strings.first, kind="stable")], np.frombuffer(blob, np.uint8)
+        keys = [batch.column(c).to_numpy() for c in ("k1", "k2")]
+        i = 0
+        while i < len(strings.first):
+            begin = int(strings.first[i])
+            j = int(np.searchsorted(strings.first, begin + SEGMENT))
+            part = strings[i:j]
+            ladder = _ladder(raw[begin : int(part.last.max()) + extent.size], extent)
+            part = Open(part.bucket, part.first - begin, part.span, part.n, part.text)
+            bucket, full, found = (_windows if single else _blocks)(ladder, part, extent)
+            first = found.first + begin - np.array(offsets)[found.text]
+            columns = [bucket.view(np.int64), full.view(np.int64), found.n, keys[0][found.text], keys[1][found.text], first, found.span]
+            out = pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["bucket", "full", "n", "k1", "k2", "first", "span"])
+            yield from (out.slice(at, 20_000) for at in range(0, out.num_rows, 20_000))
+            i = j
+
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
+            group, offsets, start = [], [], 0
             for row in range(batch.num_rows):
-                k1, k2, z, listed = (batch.column(c)[row] for c in ("k1", "k2", "z", "listed"))
-                text = memoryview(unpack.decompress(z.as_py()))
-                found = _windows_of(text, listed.values, extent) if single else _open_blocks(text, listed.values, extent)
-                for values in _chunks(found, 4 if single else 5):
-                    core, whole, n, first, *width = values
-                    fixed = [np.full(len(core), k.as_py(), np.int64) for k in (k1, k2)]
-                    columns = [core, whole, n, *fixed, first, *(width or [np.zeros(len(core), np.int64)])]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["bucket", "full", "n", "k1", "k2", "first", "span"])
+                offsets.append(sum(map(len, group[-1:])) + (offsets[-1] if offsets else 0))
+                group.append(unpack.decompress(batch.column("z")[row].as_py()))
+                if offsets[-1] + len(group[-1]) > SEGMENT or row + 1 == batch.num_rows:
+                    yield from of_group(batch.slice(start, row + 1 - start), offsets, b"".join(group))
+                    group, offsets, start = [], [], row + 1
 
     return texts.mapInArrow(each, "bucket long, full long, n long, k1 long, k2 long, first long, span long")
 
 
-def _listed_items(listed: pa.StructArray) -> Iterator[tuple[int, int, int]]:
-    """(first, span, n) of a text's open strings, a bounded number of them as Python numbers at a time."""
-    for at in range(0, len(listed), 4096):
-        part = listed.slice(at, 4096)
-        yield from zip(*(part.field(i).to_pylist() for i in range(3)), strict=True)
-
-
-def _windows_of(text: memoryview, listed: pa.StructArray, extent: Extent) -> Iterator[tuple[int, ...]]:
-    for first, span, n in _listed_items(listed):
-        for s in range(first, first + span + 1):
-            piece = text[s : s + extent.size]
-            yield _name(0, piece), _name(1, piece), n, s
-
-
-def _open_blocks(text: memoryview, listed: pa.StructArray, extent: Extent) -> Iterator[tuple[int, ...]]:
-    for first, span, n in _listed_items(listed):
-        for core, whole, lo, width in _blocks_of(text, first, span, extent):
-            yield core, whole, n, lo, width
-
-
-def _chunks(rows: Iterator[tuple[int, ...]], width: int, most: int = 20_000) -> Iterator[np.ndarray]:
-    """Rows of numbers as columns, in pieces of bounded size."""
-    while len(flat := np.fromiter(chain.from_iterable(islice(rows, most)), np.int64)):
-        yield flat.reshape(-1, width).T.copy()
-
-
 def _kinds(rows: DataFrame, n) -> DataFrame:
-    """Per bucket and whole identifier the number of strings, and one place where it stands."""
+    """Each bucket refined by the whole identifiers: the number of strings in it, and one place where it stands."""
     place = F.struct("k1", "k2", "first", "span")
     return rows.groupBy("bucket", "full").agg(F.sum(n).alias("n"), F.min(place).alias("place"))
 
@@ -251,7 +302,7 @@ def _undecided(kinds: DataFrame, keep) -> DataFrame:
 
 
 def _listed(kinds: DataFrame) -> DataFrame:
-    item = F.struct(F.col("place.first").alias("first"), F.col("place.span").alias("span"), F.col("n").cast("long").alias("n"))
+    item = F.struct("bucket", F.col("place.first").alias("first"), F.col("place.span").alias("span"), F.col("n").cast("long").alias("n"))
     return kinds.groupBy("place.k1", "place.k2").agg(F.collect_list(item).alias("listed"))
 
 
@@ -345,16 +396,17 @@ def remove_repeats(docs: DataFrame, text: str = "text", min_bytes: int = 400, ke
         release(spark)
         return done[-1]
 
-    # Round 1: q-gram buckets, then whole phrases.
+    # Round 1: q-gram buckets, refined by whole phrases.
     runs = keep(_phrase_rows(rows.select("text_"), extent), "phrases")
     shared = keep(runs.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket"), "shared_buckets")
     runs = keep(runs.join(shared, "bucket", "left_semi"), "shared_phrases")
     drop_tables(done[:2])
     del done[:2]
     kinds = keep(_kinds(runs, F.lit(1)), "phrase_kinds")
-    marks = [keep(_repeated(runs, kinds).select("k1", "k2", "first", (F.col("span") % _WIDTH).alias("width")).distinct(), "marks1")]
+    place = ["k1", "k2", "first", (F.col("span") % _WIDTH).alias("width")]
+    marks = [keep(_repeated(runs, kinds).select(*place).distinct(), "marks1")]
     packed = _keyed(rows, "text_", carried)
-    # Round 2: blocks of the undecided phrases. A string that stands alone is in one text only; copies of other texts
+    # Round 2: buckets of undecided phrases refined by their blocks. A string that stands alone is in one text only; copies of other texts
     # raise counts that are over 1 anyway.
     listed = keep(_listed(_undecided(kinds, keep)), "open_phrases")
     once = _keyed(rows, "text_", carried, once=True).select("k1", "k2", "z")
@@ -362,13 +414,13 @@ def remove_repeats(docs: DataFrame, text: str = "text", min_bytes: int = 400, ke
     blocks = keep(_from_texts(texts, extent, single=False), "blocks")
     kinds = keep(_kinds(blocks, F.col("n")), "block_kinds")
     alone = blocks.where("n = 1")
-    marks.append(keep(_repeated(alone, kinds).select("k1", "k2", "first", F.col("span").alias("width")), "marks2"))
-    # Round 3: single windows of the undecided blocks.
+    marks.append(keep(_repeated(alone, kinds).select(*place), "marks2"))
+    # Round 3: buckets of undecided blocks refined by their windows.
     listed = keep(_listed(_undecided(kinds, keep)), "open_blocks")
     windows = keep(_from_texts(texts.drop("listed").join(listed, ["k1", "k2"]), extent, single=True), "windows")
     kinds = keep(_kinds(windows, F.col("n")), "window_kinds")
     alone = windows.where("n = 1")
-    marks.append(keep(_repeated(alone, kinds).select("k1", "k2", "first", F.col("span").alias("width")), "marks3"))
+    marks.append(keep(_repeated(alone, kinds).select(*place), "marks3"))
     drop_tables([t for t in done if all(t is not m for m in marks)])
     every = marks[0].unionByName(marks[1]).unionByName(marks[2])
     of_text = written(every.groupBy("k1", "k2").agg(F.collect_set(F.struct("first", "width")).alias("marks")), "marks")
