@@ -498,6 +498,10 @@ SELECT * EXCLUDE (comment) FROM mart_review_search WHERE lower(city) = lower('na
     "review_search": f"""
 SELECT comment_hash, comment, n_reviews, round(score, 3) AS similarity, {_CONTEXT}
 FROM search_filtered JOIN search_scored USING (comment_hash)
+QUALIFY row_number() OVER (PARTITION BY comment_hash ORDER BY review_date DESC NULLS FIRST, review_id DESC) <= 2""",
+    "review_search_indexed": f"""
+SELECT comment_hash, comment, n_reviews, round(score, 3) AS similarity, {_CONTEXT}
+FROM search_filtered JOIN search_scored USING (comment_hash)
 QUALIFY row_number() OVER (PARTITION BY comment_hash ORDER BY review_date DESC NULLS FIRST, review_id DESC) <= 2""",
     "review_search_summary": """
 SELECT count(*) AS matching_reviews,
