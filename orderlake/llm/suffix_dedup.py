@@ -47,7 +47,7 @@ _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _SECOND = np.uint64(0xBF58476D1CE4E5B9)
 _BYTE_IDS = np.random.default_rng(400).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: Windows that are looked at together.
-SEGMENT = 1 << 19
+SEGMENT = 1 << 17
 #: Offsets to the anchor that form one block in round 2.
 BLOCK = 32
 _WIDTH = 1 << 20
