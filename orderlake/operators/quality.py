@@ -22,10 +22,14 @@ def missing(df: DataFrame, column: str) -> DataFrame:
 def orphans(df: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Values without a parent, with their number of rows.
 
-    Rows are counted per value first, so a value that holds most rows is one row in the join.
+    Rows are counted per value first, so a value that holds most rows is one row afterwards. Values and parents then meet in an
+    aggregate: a join might broadcast millions of parents' keys through the driver, whose compressed files look small.
     """
     values = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    return values.join(parent.select(F.col(parent_column).alias(column)), column, "left_anti")
+    parents = parent.select(F.col(parent_column).alias(column)).where(F.col(column).isNotNull())
+    both = values.withColumn("_known", F.lit(0)).unionByName(parents.select(column, F.lit(0).cast("bigint").alias("n"), F.lit(1).alias("_known")))
+    found = both.groupBy(column).agg(F.sum("n").alias("n"), F.max("_known").alias("_known")).where("_known = 0")
+    return found.select(F.col(column).cast(df.schema[column].dataType).alias(column), "n")
 
 
 def unexpected_values(df: DataFrame, column: str, allowed: Iterable) -> DataFrame:

@@ -66,9 +66,11 @@ def as_of_join(
     ``span_ts``, at least all of the left ones) has a row, so the join runs on (key, month) plus the
     exact range. That keeps the candidates of a row down to one month of versions and spreads a hot
     key over its months, and a stray timestamp adds its own month and none between. The list of
-    months is one scalar. The right side may be broadcast when Spark finds it small; otherwise a hot
-    (key, month) is split by the adaptive skew join. Right columns other than the key are kept,
-    without the range.
+    months is one scalar. A hot (key, month) is split by the adaptive skew join. Right columns other
+    than the key are kept, without the range.
+
+    The join is a merge join by a hint: Spark takes the repeated versions for as small as the versions
+    they come from, and would send all of them through the driver as a broadcast.
     """
     seen = span.where(F.col(span_ts).isNotNull()).agg(F.collect_set(F.trunc(span_ts, "month")).alias("months")).scalar()
     kept = [c for c in right.columns if c not in (key, valid_from, valid_to)]
@@ -89,7 +91,7 @@ def as_of_join(
         & (F.col(ts) >= F.col("_from"))
         & ((F.col(ts) < F.col("_to")) | F.col("_to").isNull())
     )
-    return rows.join(versions, condition, "left").drop("_key", "_from", "_to", "_month", "_version_month")
+    return rows.join(versions.hint("merge"), condition, "left").drop("_key", "_from", "_to", "_month", "_version_month")
 
 
 _HISTORY = ("dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to")

@@ -52,23 +52,27 @@ def with_status(report: DataFrame) -> DataFrame:
 
 
 def full_report(t) -> DataFrame:
-    """All schema checks over the tables of ``t`` (attributes named like the tables)."""
+    """All schema checks over the tables of ``t`` (attributes named like the tables).
+
+    The checks run here, one after the other, and their few rows of totals are collected: in one query all of them would run at once,
+    with the broadcasts of all their joins in the driver's memory together.
+    """
     order_columns = ["order_id", "customer_id", "restaurant_id", "_loaded_at"]
-    parts = [
-        key_checks("stg_orders", t.stg_orders, "order_id", True, order_columns),
-        key_checks("stg_order_items", t.stg_order_items, "order_item_id", True, ["order_item_id"]),
-        key_checks("stg_restaurants", t.stg_restaurants, "restaurant_id", True, ["restaurant_id"]),
-        key_checks("stg_users", t.stg_users, "customer_id", True, ["customer_id"]),
-        key_checks("stg_reviews", t.stg_reviews, "review_id", True, ["review_id"]),
-        key_checks("fct_orders", t.fct_orders, "order_id", True, ["order_id"]),
-        key_checks(
+    parts = (
+        lambda: key_checks("stg_orders", t.stg_orders, "order_id", True, order_columns),
+        lambda: key_checks("stg_order_items", t.stg_order_items, "order_item_id", True, ["order_item_id"]),
+        lambda: key_checks("stg_restaurants", t.stg_restaurants, "restaurant_id", True, ["restaurant_id"]),
+        lambda: key_checks("stg_users", t.stg_users, "customer_id", True, ["customer_id"]),
+        lambda: key_checks("stg_reviews", t.stg_reviews, "review_id", True, ["review_id"]),
+        lambda: key_checks("fct_orders", t.fct_orders, "order_id", True, ["order_id"]),
+        lambda: key_checks(
             "dim_restaurants_history",
             t.restaurants_history,
             "restaurant_version_key",
             True,
             ["restaurant_version_key", "valid_from"],
         ),
-        key_checks(
+        lambda: key_checks(
             "fct_orders_point_in_time",
             t.fct_orders_point_in_time,
             "order_id",
@@ -76,22 +80,21 @@ def full_report(t) -> DataFrame:
             ["restaurant_version_key"],
             warn=["restaurant_version_key"],
         ),
-        key_checks("mart_review_search", t.mart_review_search, "review_id", True, ["review_id", "comment_hash"]),
-        counted(
+        lambda: key_checks("mart_review_search", t.mart_review_search, "review_id", True, ["review_id", "comment_hash"]),
+        lambda: counted(
             "relationships fct_orders.customer_id",
             "error",
             orphans(t.fct_orders, "customer_id", t.dim_customer, "customer_id"),
         ),
-        counted(
+        lambda: counted(
             "accepted_values fct_orders.order_status",
             "error",
             unexpected_values(t.fct_orders, "order_status", settings.ORDER_STATUSES),
         ),
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return with_status(out)
+    )
+    rows = [row for part in parts for row in part().collect()]
+    report = t.spark.createDataFrame(rows, "check_name string, severity string, failures bigint")
+    return with_status(report)
 
 
 def reconcile_orders(raw_orders: DataFrame, orders: DataFrame) -> DataFrame:

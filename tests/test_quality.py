@@ -1,4 +1,5 @@
 from helpers import day, rows, source, ts
+from pyspark.sql import functions as F
 
 from orderlake.operators import quality
 from orderlake.plans import checks, reports
@@ -146,3 +147,19 @@ def test_trace_fields(spark, tmp_path):
         (2, None, None, None),
         (3, "ms", "x", None),
     ]
+
+
+def test_parents_are_not_broadcast(spark):
+    values, parent = spark.range(100).select((F.col("id") % 7).alias("k")), spark.range(5).select(F.col("id").alias("p"))
+    found = quality.orphans(values, "k", parent, "p")
+    assert rows(found) == [(5, 14), (6, 14)]
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_checks_run_one_after_another(spark):
+    """The report holds totals: no join of any check is left in its plan."""
+    from orderlake import registry
+
+    report = registry.QUERIES["dq_report"](spark, "/root/testdata/sf0.001")
+    assert report.count() == 24
+    assert not any(step in report._jdf.queryExecution().executedPlan().toString() for step in ("Join", "Window", "FileScan"))

@@ -214,3 +214,14 @@ def test_review_with_late_empty_resend_keeps_its_comment(spark):
     )
     restaurants = spark.createDataFrame([], "restaurant_id bigint, city string")
     assert rows(staging.stg_reviews(raw, restaurants), "rating", "comment", "city") == [(4, "good", None)]
+
+
+def test_repeated_versions_are_not_broadcast(spark):
+    """A few versions over many months are many rows, which Spark takes for few."""
+    history = spark.range(50).select("id", F.lit("1990-01-01").cast("timestamp").alias("valid_from"), F.lit(None).cast("timestamp").alias("valid_to"))
+    days = F.expr("timestampadd(MONTH, cast(id as int), timestamp'1995-01-15')").alias("ts")
+    left = spark.range(50).select("id", days)
+    found = versions.as_of_join(left, history.withColumn("known", F.lit(True)), "id", "ts", left, "ts")
+    assert found.where("known").count() == 50
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
