@@ -133,6 +133,10 @@ class Lake:
     def stg_reviews(self) -> DataFrame:
         return staging.stg_reviews(self.raw_reviews, self.stg_restaurants)
 
+    @cached_property
+    def latest_reviews(self) -> DataFrame:
+        return staging.latest_reviews(self.raw_reviews)
+
     @cached_property
     def dim_customer(self) -> DataFrame:
         return marts.dim_customer(self.stg_users)
@@ -195,10 +199,17 @@ class Lake:
 
     @cached_property
     def mart_review_search(self) -> DataFrame:
+        latest = self.written("latest_reviews")
         return marts.mart_review_search(
-            self.stg_reviews, self.restaurants_history, self.fct_orders, self.labels, span=self.review_dates
+            staging.with_city(latest, self.stg_restaurants), self.restaurants_history, self.fct_orders, self.labels, self.review_dates, latest
         )
 
+    @cached_property
+    def review_search_rows(self) -> DataFrame:
+        """What a search reads of all reviews; their texts stay in the written latest reviews."""
+        latest = staging.with_city(self.written("latest_reviews").drop("comment"), self.stg_restaurants)
+        return marts.review_search_rows(latest, self.restaurants_history, self.fct_orders, self.labels, span=self.review_dates)
+
 
 @lru_cache(maxsize=4)
 def _plans(spark: SparkSession, sf_dir: str, files: int) -> Lake:
@@ -629,7 +640,7 @@ def review_filter(lake: Lake) -> DataFrame:
     args = reviews.ReviewQuery(
         city="nation_3", date_from="1995-06-01", date_to="2000-12-31", sentiment="negative", max_restaurant_rating=4.5
     )
-    return reviews.review_filter(lake.mart_review_search, args).drop("comment")
+    return reviews.review_filter(lake.review_search_rows, args)
 
 
 def _question(lake: Lake):
@@ -648,12 +659,14 @@ def review_search_indexed(lake: Lake) -> DataFrame:
     """The same through the partitioned index, which is built once for the tables' state."""
     args = reviews.ReviewQuery(query="late delivery", sentiment="negative", k=10)
     question = lake.source("embeddings").agg(F.min_by("embedding", "vec_id").alias("v")).head().v
-    return reviews.review_search(lake.written("mart_review_search"), lake.vector_index, list(question), args).drop("score")
+    rows, texts = lake.written("review_search_rows"), lake.written("latest_reviews")
+    return reviews.review_search(rows, lake.vector_index, list(question), args, texts=texts).drop("score")
 
 
 def _found(lake: Lake) -> DataFrame:
     args = reviews.ReviewQuery(query="late delivery", sentiment="negative", k=10)
-    return reviews.review_search(lake.written("mart_review_search"), lake.vectors, _question(lake), args)
+    rows, texts = lake.written("review_search_rows"), lake.written("latest_reviews")
+    return reviews.review_search(rows, lake.vectors, _question(lake), args, texts=texts)
 
 
 @query
@@ -667,7 +680,7 @@ def review_search_results(lake: Lake) -> DataFrame:
 @query
 def review_search_summary(lake: Lake) -> DataFrame:
     args = reviews.ReviewQuery(topic="delivery", date_from="1996-01-01")
-    return reviews.search_summary(lake.mart_review_search, lake.vectors, args)
+    return reviews.search_summary(lake.review_search_rows, lake.vectors, args)
 
 
 @query
@@ -832,8 +845,10 @@ def dq_accepted_values(lake: Lake) -> DataFrame:
 @query
 def dq_report(lake: Lake) -> DataFrame:
     """All checks; tables that several of them read are written once each, as a run of the platform has them."""
-    names = "stg_restaurants stg_orders stg_reviews restaurants_history".split()
-    return checks.full_report(lake.on_written(*names))
+    names = "stg_restaurants stg_orders latest_reviews restaurants_history".split()
+    stored = lake.on_written(*names)
+    stored.stg_reviews = staging.with_city(stored.latest_reviews, stored.stg_restaurants)
+    return checks.full_report(stored)
 
 
 @query

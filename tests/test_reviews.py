@@ -287,3 +287,22 @@ def test_a_search_that_fails_says_so(mart, vectors):
 
     found = reviews.search_reviews(mart, vectors, broken, query="late")
     assert "encoder is away" in found.error and found.matching_reviews == 8 and found.results == []
+
+
+def test_search_takes_texts_from_beside_the_rows(spark, mart):
+    """Rows without comments, and a table of texts, give what rows with comments give."""
+    hashes = mart.select("comment_hash").distinct()
+    vectors = hashes.select("comment_hash", F.array(F.lit(1.0), F.crc32("comment_hash") % 7 + 0.5).alias("embedding"))
+    args = reviews.ReviewQuery(query="late", k=3)
+    whole = reviews.review_search(mart, vectors, [1.0, 0.5], args)
+    apart = reviews.review_search(mart.drop("comment"), vectors, [1.0, 0.5], args, texts=mart.select("comment_hash", "comment"))
+    assert whole.columns == apart.columns and rows(whole) == rows(apart) and whole.count() > 0
+
+
+def test_vectors_alone_move_no_text(spark):
+    """Neither the mart's rows nor the vectors take a text through a join or an aggregate."""
+    from orderlake.sources import sample_tables as sample
+
+    vectors = sample.review_embeddings(lambda name: sample.table(spark, "/root/testdata/sf0.001", name)).select("comment_hash", "embedding")
+    plan = vectors._jdf.queryExecution().optimizedPlan().toString()
+    assert "min_by(text" not in plan and "min_by(struct" not in plan
