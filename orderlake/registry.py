@@ -408,8 +408,8 @@ def incremental_merge_orders(lake: Lake) -> DataFrame:
     """Orders merged in two loads, the second one twice; equals a rebuild from all rows."""
     path = shared_dir(lake.spark, "merge_orders")
     later = scalars.file_date() > F.col("order_date")
-    loads = [lake.raw_orders.where(~later), lake.raw_orders.where(later), lake.raw_orders.where(later)]
-    for rows in loads:
+    raw = lake.written("raw_orders")
+    for rows in (raw.where(~later), raw.where(later), raw.where(later)):
         updates = _by_month(marts.fct_orders(staging.stg_orders(rows)))
         upsert.upsert(lake.spark, path, updates, "order_id", "order_month")
     return tables.read(lake.spark, path).select(*marts.ORDER_COLUMNS)
@@ -442,8 +442,8 @@ def merge_items_late_order(lake: Lake) -> DataFrame:
 def _merged_with_sums(lake: Lake, name: str) -> tuple[str, dict[str, DataFrame], DataFrame | None]:
     """Orders merged in two loads, the second one twice, with the stored sums that follow; and the last load's signed rows."""
     path = shared_dir(lake.spark, name)
-    later = scalars.file_date() > F.col("order_date")
-    for i, rows in enumerate((lake.raw_orders.where(~later), lake.raw_orders.where(later), lake.raw_orders.where(later))):
+    raw, later = lake.written("raw_orders"), scalars.file_date() > F.col("order_date")
+    for i, rows in enumerate((raw.where(~later), raw.where(later), raw.where(later))):
         updates = _by_month(marts.fct_orders(staging.stg_orders(rows)))
         signed = f"{path}/changes{i}"
         done = upsert.upsert(lake.spark, f"{path}/fct", updates, "order_id", "order_month", changes=signed)
@@ -481,10 +481,10 @@ def price_changes_from_changes(lake: Lake) -> DataFrame:
 def reconcile_from_ledger(lake: Lake) -> DataFrame:
     """Orders of RAW against facts that missed what came late, by sums that followed three loads of RAW."""
     folder, later = shared_dir(lake.spark, "ledger"), scalars.file_date() > F.col("order_date")
-    facts = f"{folder}/fct"
-    for rows in (lake.raw_orders.where(~later), lake.raw_orders.where(later), lake.raw_orders.where(later)):
+    raw, facts = lake.written("raw_orders"), f"{folder}/fct"
+    for rows in (raw.where(~later), raw.where(later), raw.where(later)):
         ledger.absorb(lake.spark, folder, ledger.ORDERS, rows)
-    upsert.upsert(lake.spark, facts, _by_month(marts.fct_orders(staging.stg_orders(lake.raw_orders.where(~later)))), "order_id", "order_month")
+    upsert.upsert(lake.spark, facts, _by_month(marts.fct_orders(staging.stg_orders(raw.where(~later)))), "order_id", "order_month")
     found = ledger.reconcile(lake.spark, folder, ledger.ORDERS, facts, "order_month")
     both = [f"{side}_{m}" for m in ("orders", "delivered_gmv", "refunded") for side in ("raw", "fct")]
     differs = (F.col("raw_checksum") != F.col("fct_checksum")).alias("rows_differ")
