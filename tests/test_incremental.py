@@ -190,3 +190,19 @@ def test_snapshot(spark, path):
     # A second run on a closing day keeps what the day closed before.
     third = snapshot(spark, path, [(1, "z", 4, "y"), (2, "b", 5, "x"), (4, "d", 2, "x")], d2)
     assert (2, "b", None, d1, d2) in third and (1, "a", 4, d1, d2) in third and (1, "z", 4, d2, None) in third
+
+
+def test_merge_queries_derive_their_orders_once(spark):
+    """Three loads of items read one written copy of the orders' columns, instead of deriving the orders for each."""
+    from orderlake import registry
+
+    registry.QUERIES["incremental_merge_items"](spark, "/root/testdata/sf0.001")
+    written = registry.lake_of(spark, "/root/testdata/sf0.001")._written
+    assert set(written["placed_orders"].columns) == {"order_id", "order_timestamp", "order_date", "city"}
+
+
+def test_merges_with_sums_derive_raw_orders_once(spark):
+    from orderlake import registry
+
+    registry.QUERIES["reconcile_from_ledger"](spark, "/root/testdata/sf0.001")
+    assert "raw_orders" in registry.lake_of(spark, "/root/testdata/sf0.001")._written
