@@ -52,8 +52,8 @@ _SEED = 42
 def _common(kinds: pa.Array, owner: np.ndarray, code: np.ndarray) -> np.ndarray:
     """For each text's terms in order what a term has in common with the one before: a number of bytes that is exact from 24 on, and
     below that the greatest of 0, 6 and 12."""
-    words = kinds.to_pylist()
-    fixed = np.array([*words, b""], "S24")
+    words = kinds.to_numpy(zero_copy_only=False)
+    fixed = np.append(words.astype("S24"), np.bytes_(b""))
     parts = fixed.view(np.uint64).reshape(-1, 3)
     common = np.zeros(len(code), np.int32)
     if len(code) > 1:
@@ -115,7 +115,7 @@ def _numbers(column: pa.Array) -> np.ndarray:
 def _hits(bitmap: np.ndarray, lang: str, words: pa.Array) -> np.ndarray:
     """The words, or prefixes, of a language that are in the bitmap."""
     before, digest = lang.encode("utf-8", "surrogatepass") + b"\0", xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(before + w, _SEED) for w in words.to_pylist()), np.uint64, len(words))
+    hashes = np.fromiter((digest(before + w, _SEED) for w in words.to_numpy(zero_copy_only=False)), np.uint64, len(words))
     at = hashes & np.uint64(len(bitmap) * 64 - 1)
     return (bitmap[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
 
@@ -134,6 +134,13 @@ def _bitmap(entries: DataFrame, term: str) -> np.ndarray | None:
     return out.view(np.uint64)
 
 
+def fresh_terms(batch: pa.RecordBatch, cut: int, least: int) -> pa.Array:
+    """The terms of at least ``least`` bytes that begin a prefix of ``cut`` bytes of their document."""
+    words = pc.split_pattern(batch.column("terms"), b" ").flatten()
+    words = words.filter(pa.array(_numbers(batch.column("common")) < cut))
+    return words.filter(pc.greater_equal(pc.binary_length(words), least)) if least else words
+
+
 def _prefixes(rows: DataFrame, cut: int, before: int, alive) -> DataFrame:
     """(lang, prefix, n): documents by prefix of ``cut`` bytes, of terms whose prefix of ``before`` bytes is alive. A shorter prefix is a
     complete term; terms that ended before this level are counted already."""
@@ -149,14 +156,13 @@ def _prefixes(rows: DataFrame, cut: int, before: int, alive) -> DataFrame:
             held.clear()
 
         for lang, batch in _by_lang(batches):
-            words = pc.split_pattern(batch.column("terms"), b" ").flatten()
-            fresh = pa.array(_numbers(batch.column("common")) < cut)
+            # Deep levels are about few terms, which are picked before anything is sliced or hashed.
+            words = fresh_terms(batch, cut, before)
             if alive:
                 shorter = pc.binary_slice(words, 0, before).dictionary_encode()
-                good = _hits(alive.value, lang, shorter.dictionary)[shorter.indices.to_numpy()]
                 # All terms of a document with one shorter prefix stay or go together, so its first one stays first.
-                fresh = pc.and_(fresh, pc.and_(pa.array(good), pc.greater_equal(pc.binary_length(words), before)))
-            prefixes = pc.binary_slice(words.filter(fresh), 0, cut)
+                words = words.filter(pa.array(_hits(alive.value, lang, shorter.dictionary)[shorter.indices.to_numpy()]))
+            prefixes = pc.binary_slice(words, 0, cut)
             held.setdefault(lang, []).append(prefixes)
             size += prefixes.nbytes
             if size > HELD_BYTES:

@@ -124,3 +124,25 @@ def test_the_bitmap_has_what_spark_put_in(spark):
     entries = spark.createDataFrame([("en", bytearray(w)) for w in words], "lang string, term binary")
     bitmap = divergence._bitmap(entries, "term")
     assert divergence._hits(bitmap, "en", pa.array(words)).all() and divergence._hits(bitmap, "de", pa.array(words)).mean() < 0.3
+
+
+def test_a_deep_level_hashes_only_terms_that_reach_it(monkeypatch):
+    docs = [[b"a", b"abcdefghijklm", b"b" * 30, b"b" * 29 + b"c"], [b"abcdefghijklmn", b"short"], []]
+    kinds = sorted({w for d in docs for w in d})
+    owner = np.repeat(np.arange(3), [len(d) for d in docs])
+    common = divergence._common(pa.array(kinds), owner, np.array([kinds.index(w) for d in docs for w in d]))
+    numbers = divergence._as_bytes(owner, 3, common)
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * 3), pa.array([b" ".join(d) for d in docs]), numbers], names=["lang", "terms", "common"])
+    hashed = []
+    monkeypatch.setattr(divergence, "_hits", lambda bitmap, lang, words: hashed.extend(words.to_pylist()) or np.ones(len(words), bool))
+
+    class Rows:
+        def mapInArrow(self, each, schema):
+            return [tuple(r.values()) for out in each(iter([batch])) for r in out.to_pylist()]
+
+    class Alive:
+        value = None
+
+    found = divergence._prefixes(Rows(), 24, 12, Alive())
+    assert sorted(hashed) == [b"abcdefghijkl", b"b" * 12]
+    assert sorted(found) == [("en", b"abcdefghijklm", 1), ("en", b"abcdefghijklmn", 1), ("en", b"b" * 24, 1)]
