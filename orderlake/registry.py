@@ -89,6 +89,10 @@ class Lake:
                 setattr(other, name, other.written(name))
         return self._variants[names]
 
+    @cached_property
+    def review_words(self) -> DataFrame:
+        return labeller.with_words(self.stg_reviews, "review_id", "rating")
+
     @cached_property
     def labels(self) -> DataFrame:
         return sample.review_enriched(self.source)
@@ -712,10 +716,9 @@ LANGUAGE_ANCHORS = {"food quality": ("the", "and"), "delivery": ("der", "und"),
 @query
 def learned_labels(lake: Lake) -> DataFrame:
     """What the stars of all reviews teach about words: raw scores, worst words, and topics that grow from a few anchors."""
-    starred = lake.stg_reviews.select("review_id", "rating", "comment")
-    scores = labeller.raw_scores(starred, labeller.word_weights(starred))
-    topics = labeller.topics_of(starred, labeller.topic_weights(starred, LANGUAGE_ANCHORS))
-    joined = starred.select("review_id").join(scores, "review_id", "left").join(topics, "review_id", "left")
+    words = lake.written("review_words")
+    values = labeller.word_values(labeller.word_counts(words, LANGUAGE_ANCHORS), LANGUAGE_ANCHORS)
+    joined = words.select("review_id").join(labeller.judged(words, values, LANGUAGE_ANCHORS), "review_id", "left")
     return joined.select("review_id", F.round("raw", 6).alias("raw"), "key_issue", F.coalesce("topic", F.lit("other")).alias("topic"))
 
 

@@ -123,3 +123,27 @@ def test_a_run_can_use_it(spark, tmp_path):
     spark.createDataFrame([(1, "Pune")], "restaurant_id long, city string").write.parquet(w.location("marts", "dim_restaurants"))
     daily.enrich(w, daily.LEARNED, "", F.lit("2026-09-04").cast("timestamp"), None)
     assert w.labels.count() == 300 and w.labels.where("sentiment_label = 'negative'").count() > 30
+
+
+def test_words_are_what_the_pattern_finds(spark):
+    texts = ["Éa Bc bC x\tbc", "日本 a_b a1b 'Tis", "", None, "  ", "ÀÈ\x00Z z ~é~é"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "review_id long, comment string")
+    got = {r.review_id: r.words for r in labeller.with_words(rows, "review_id").collect()}
+    for i, t in enumerate(texts):
+        assert sorted(got[i]) == sorted(words(t))
+
+
+def test_one_pass_over_the_words_learns_all(spark):
+    rows = some_reviews(3, 400) + [(9000, None, "gooda rider"), (9001, 5, None)]
+    reviews = labeller.with_words(spark.createDataFrame(rows, SCHEMA), "review_id", "rating").localCheckpoint()
+    counts = labeller.word_counts(reviews)
+    by_word = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert by_word.count("Generate explode") == 1
+    values = labeller.word_values(counts)
+    judged = labeller.judged(reviews, values)
+    assert judged._jdf.queryExecution().optimizedPlan().toString().count("Generate explode") == 2
+    got = {r.review_id: (r.raw and round(r.raw, 9), r.key_issue, r.topic) for r in judged.collect()}
+    scores = {r.review_id: (r.raw, r.key_issue) for r in labeller.raw_scores(reviews, labeller.word_weights(reviews)).collect()}
+    topics = {r.review_id: r.topic for r in labeller.topics_of(reviews, labeller.topic_weights(reviews)).collect()}
+    assert got == {i: (scores[i][0] and round(scores[i][0], 9) if i in scores else None, scores.get(i, (0, None))[1], topics.get(i)) for i in scores.keys() | topics.keys()}
+    assert len(scores) > 300 and len(topics) > 300
