@@ -32,6 +32,8 @@ from orderlake.llm.components import connected_components
 from orderlake.llm.shingles import encoded, grouped_bytes, mix, shingle_hashes
 
 BANDS, ROWS = 40, 5
+#: Text keys that a task remembers.
+SEEN = 1 << 18
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -105,13 +107,17 @@ def text_key(text) -> Column:
 
 
 def _signed(slim: DataFrame) -> DataFrame:
-    """(key, text key, band numbers) of each row; no bands for a text without words."""
+    """(key, text key, band numbers) of each row; no bands for a text without words, or one that the task has had before."""
     schema = T.StructType([*slim.schema.fields[:2], T.StructField("bands", T.ArrayType(T.LongType()))])
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()  # a text whose key was forgotten only has its bands twice
         for batch in batches:
+            if len(seen) > SEEN:
+                seen.clear()
+            fresh = [k not in seen and not seen.add(k) for k in batch.column(1).to_pylist()]
             texts, done = encoded(batch.column(2).to_pylist()), 0
-            for group in grouped_bytes(texts):
+            for group in grouped_bytes([t if f else b"" for t, f in zip(texts, fresh, strict=True)]):
                 owner, hashes, counts = bags(group)
                 times = signatures(owner, hashes, counts, len(group), BANDS * ROWS)
                 full = np.isfinite(times).all(axis=1)
@@ -227,17 +233,16 @@ def _rooted(docs: DataFrame, key: str, text: str, threshold: float, block: int)
     """(key_, k, root) of every row: rows with one root are one class."""
     spark, slim = docs.sparkSession, _slim(docs, key, text)
     signed = written(_signed(slim), "signatures")
-    bucket = signed.select("k", "bands").dropDuplicates(["k"]).select("k", F.explode("bands").alias("bucket"))
-    least = bucket.groupBy("bucket").agg(F.min("k").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket", "b")
+    # A text is here once for each task that has it, so a bucket is of one text if its least and greatest are the same.
+    bucket = signed.select("k", F.explode("bands").alias("bucket"))
+    least = bucket.groupBy("bucket").agg(F.min("k").alias("b"), F.max("k").alias("last")).where("b < last").select("bucket", "b")
     least = written(least, "bucket_centres")
-    links = written(bucket.join(least, "bucket").select(F.col("k").alias("a"), "b").where("a != b").distinct(), "bucket_links")
-    release(spark)
+    links = bucket.join(least, "bucket").select(F.col("k").alias("a"), "b").where("a != b")
     families = connected_components(links, "families")
+    release(spark)
     first_rows = signed.groupBy("k").agg(F.min("key_").alias("key_"))
-    checked = written(_verified(families, slim, first_rows, threshold, block), "near_links")
-    drop_tables([links])
+    classes = connected_components(_verified(families, slim, first_rows, threshold, block), "classes")
     release(spark)
-    classes = connected_components(checked, "classes")
     # Rows of one text have one key of the text, so copies are in a class whether it has links or not.
     return signed.select("key_", "k").join(classes, "k", "left").withColumn("root", F.coalesce("root", "k"))
 

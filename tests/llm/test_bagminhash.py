@@ -103,6 +103,28 @@ def test_classes_against_brute_force(spark, block):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, c, _ in brute(rows)})
 
 
+@pytest.mark.parametrize("seen", [1 << 18, 0])
+def test_a_task_makes_the_bands_of_a_text_once(spark, monkeypatch, seen):
+    monkeypatch.setattr(bagminhash, "SEEN", seen)
+    rng = random.Random(7)
+    texts = [" ".join(words(rng, 60)) for _ in range(3)]
+    texts.append(texts[0] + " and")
+    rows = [(i, texts[i % 4]) for i in range(40)] + [(40, None), (41, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    signed = bagminhash._signed(bagminhash._slim(docs, "doc_id", "text")).collect()
+    assert len(signed) == 42
+    assert sum(len(r.bands) for r in signed) == 4 * bagminhash.BANDS
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        got = sorted(tuple(r) for r in bagminhash.near_duplicates(docs).collect())
+        # With batches of three rows the task forgets, or all rows of a batch are copies.
+        forgetful = bagminhash._signed(bagminhash._slim(docs, "doc_id", "text")).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == brute(rows)
+    assert (sum(len(r.bands) for r in forgetful) > 4 * bagminhash.BANDS) == (seen == 0)
+
+
 def test_empty_table_and_null_keys(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert bagminhash.near_duplicates(empty).count() == 0

@@ -5,6 +5,7 @@ from array import array
 
 import pytest
 
+from orderlake.llm import components
 from orderlake.llm.components import connected_components
 from orderlake.llm.pieces import PieceTable
 
@@ -42,6 +43,36 @@ def test_no_links(spark):
     assert connected_components(spark.createDataFrame([], "a binary, b binary"), "none").count() == 0
 
 
+def tables_of(monkeypatch, links):
+    """Names and sizes of the tables that the components of ``links`` are made through."""
+    made = []
+
+    def written(df, name):
+        out = write(df, name)
+        made.append((name, out.count()))
+        return out
+
+    write = components.written
+    monkeypatch.setattr(components, "written", written)
+    connected_components(links, "t")
+    return made
+
+
+def test_stars_need_no_round_and_no_table_beside_their_roots(spark, monkeypatch):
+    stars = [(0, i) for i in range(1, 30)] + [(40, 41), (41, 40), (0, 5)]
+    made = tables_of(monkeypatch, spark.createDataFrame(stars, "a long, b long"))
+    assert made == [("t_links", 30), ("t_least", 32)]
+
+
+def test_links_never_become_more(spark, monkeypatch):
+    zigzag = [(i + 30, i) for i in range(30)] + [(i + 30, i + 1) for i in range(29)]
+    made = tables_of(monkeypatch, spark.createDataFrame(zigzag + zigzag, "a long, b long"))
+    links = [n for name, n in made if name in ("t_links", "t_stars")]
+    assert len(links) > 4 and max(links) == len(zigzag)
+    # Four tables a round, and two more at the end.
+    assert len(made) % 4 == 2
+
+
 def test_a_full_table_keeps_what_is_seen_often():
     asked = []
 
