@@ -8,6 +8,7 @@ from helpers import day, rows, source, ts
 
 from orderlake.operators import slices, upsert
 from orderlake.operators.versions import dedup_latest
+from orderlake.plans import daily
 from orderlake.sources import tables
 
 SCHEMA = "id bigint, order_date date, status string, _source_file string, _loaded_at timestamp"
@@ -59,6 +60,35 @@ def test_a_merge_in_slices_equals_a_rebuild(spark, tmp_path, monkeypatch, seed):
     assert not [p for p in tmp_path.iterdir() if "__new" in p.name]
 
 
+def test_items_in_slices_meet_their_orders_and_others_wait(spark, tmp_path, monkeypatch):
+    path = str(tmp_path)
+    raw = spark.createDataFrame(
+        [
+            # The newer version of item 7 is of another order, that of item 8 of an order nobody knows.
+            (k, o, 1, f"fd{k}", 5, q, 5 * q, source("order_items", f"2026-09-0{v}"), ts(f"2026-09-0{v}"))
+            for k, o, q, v in [(k, k % 6, 1, 1) for k in range(12)] + [(7, 4, 2, 2), (8, 99, 2, 2), (9, None, 2, 2)]
+        ],
+        "order_item_id bigint, order_id bigint, r_id bigint, f_id string, price bigint, quantity bigint, line_amount bigint, "
+        "_source_file string, _loaded_at timestamp",
+    )
+    facts = spark.createDataFrame(
+        [(o, ts(f"2026-09-0{o + 1}"), day(f"2026-09-0{o + 1}"), "c", None, ts("2026-09-01")) for o in range(6)],
+        "order_id bigint, order_timestamp timestamp, order_date date, city string, _source_file string, _loaded_at timestamp",
+    )
+    found = {}
+    for name, size in (("whole", 1000), ("sliced", 5)):
+        monkeypatch.setattr(slices, "ROWS_PER_SLICE", size)
+        at = f"{path}/{name}"
+        for late in (False, True):
+            upsert.upsert(spark, f"{at}/orders", facts.where(f"(order_id = 3) = {late}"), "order_id", "order_date")
+            daily.merge_items(spark, f"{at}/fct", f"{at}/waiting", raw.where(str(not late)), f"{at}/orders")
+            found[name, late] = [rows(tables.read(spark, f"{at}/{t}"), "order_item_id", "order_id", "quantity") for t in ("fct", "waiting")]
+    assert found["whole", False] == found["sliced", False] and found["whole", True] == found["sliced", True]
+    items, waiting = found["sliced", True]
+    assert sorted(items) == [(k, k % 6 if k != 7 else 4, 1 + (k == 7)) for k in (0, 1, 2, 3, 4, 5, 6, 7, 10, 11)]
+    assert waiting == [(8, 99, 2), (9, None, 2)]
+
+
 def test_no_shuffle_files_stay_after_a_merge(spark, tmp_path):
     disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
 
